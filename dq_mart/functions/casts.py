@@ -39,7 +39,7 @@ def to_date_safe(c: Column | str,
                  formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """Text -> date; the first format that parses wins, else null."""
     c = col_of(c).cast("string")
-    parsed = [F.try_to_date(c, F.lit(f)) for f in formats]
+    parsed = [F.try_to_date(c, f) for f in formats]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 

@@ -14,132 +14,67 @@ from __future__ import annotations
 ORACLES: dict[str, str] = {}
 
 
-def _pct(n: str, d: str, digits: int) -> str:
+def pct_sql(n: str, d: str, digits: int) -> str:
     scale = 10 ** digits
     return (f"CAST((CAST({2 * 100 * scale} AS BIGINT) * ({n}) + ({d})) // "
             f"NULLIF(2 * ({d}), 0) AS DOUBLE) / {float(scale)}")
 
 
-# --- section 2.13 ---------------------------------------------------------------
-
-_ORDER_VISITS = """(SELECT o_orderpriority AS branch_id,
-        CAST(o_orderdate AS DATE) AS date_of_consultation FROM orders)"""
-
-ORACLES["monthly_visits"] = f"""
-SELECT branch_id, CAST(COUNT(*) AS BIGINT) AS visits,
-       strftime(date_of_consultation, '%Y-%m') AS month
-FROM {_ORDER_VISITS} v
-GROUP BY branch_id, strftime(date_of_consultation, '%Y-%m')
-ORDER BY month, branch_id"""
-
-ORACLES["visits_by_branch"] = f"""
-SELECT branch_id, strftime(date_of_consultation, '%Y-%m') AS month,
-       CAST(COUNT(*) AS BIGINT) AS visit_count
-FROM {_ORDER_VISITS} v
-GROUP BY branch_id, strftime(date_of_consultation, '%Y-%m')
-ORDER BY month, visit_count DESC, branch_id"""
-
-_LINEITEM_BILLING = """(SELECT l_suppkey AS branch_id,
-        CAST(l_extendedprice AS DECIMAL(12,2)) AS total_bill,
-        CAST(ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)), 2)
-             AS DECIMAL(12,2)) AS amount_covered
-   FROM lineitem)"""
-
-ORACLES["revenue_coverage"] = f"""
-SELECT branch_id, CAST(COUNT(*) AS BIGINT) AS total_claims,
-       CAST(SUM(total_bill) AS DOUBLE) AS total_revenue,
-       CAST(SUM(amount_covered) AS DOUBLE) AS total_covered,
-       CAST(SUM(total_bill - amount_covered) AS DOUBLE) AS total_out_of_pocket
-FROM {_LINEITEM_BILLING} b
-GROUP BY branch_id ORDER BY total_revenue DESC, branch_id"""
-
-_ORDER_BILLING = """(SELECT o_orderpriority AS branch_id, o_totalprice AS total_bill,
-        c_mktsegment AS insurance_provider,
-        CASE WHEN o_orderkey % 7 = 0 THEN NULL
-             WHEN o_orderstatus = 'F' THEN 'Approved'
-             WHEN o_orderstatus = 'P' THEN 'Pending'
-             WHEN o_orderstatus = 'O' THEN 'Rejected' END AS claim_status
-   FROM orders JOIN customer ON o_custkey = c_custkey)"""
-
-ORACLES["revenue_by_branch"] = f"""
-WITH g AS (
-  SELECT branch_id, COUNT(*) AS n_all, COUNT(total_bill) AS n,
-         SUM(CAST(total_bill AS DECIMAL(12,2))) AS s
-  FROM {_ORDER_BILLING} b GROUP BY branch_id)
-SELECT branch_id, CAST(n_all AS BIGINT) AS total_claims,
-       CAST(s AS DOUBLE) AS total_revenue,
-       CAST(sign(CAST(s * 100 AS BIGINT)) * ((2 * abs(CAST(s * 100 AS BIGINT)) + n) // NULLIF(2 * n, 0))
-            AS DOUBLE) / 100.0 AS avg_bill
-FROM g ORDER BY total_revenue DESC, branch_id"""
-
-ORACLES["top_diagnoses"] = """
-SELECT p_name AS diagnosis, CAST(COUNT(*) AS BIGINT) AS frequency
-FROM part GROUP BY p_name ORDER BY frequency DESC, diagnosis LIMIT 10"""
-
-ORACLES["top_diagnoses_pct"] = f"""
-WITH t AS (SELECT COUNT(*) AS d FROM part)
-SELECT p_name AS diagnosis, CAST(COUNT(*) AS BIGINT) AS frequency,
-       {_pct('COUNT(*)', 'MAX(d)', 2)} AS pct
-FROM part, t GROUP BY p_name ORDER BY frequency DESC, diagnosis LIMIT 10"""
-
-_SURGERIES = """(SELECT l_suppkey AS doctor_id,
-        CASE l_returnflag WHEN 'A' THEN 'Successful' WHEN 'R' THEN 'Failed'
-                          WHEN 'N' THEN 'Complications' END AS surgery_outcome
-   FROM lineitem)"""
-
-ORACLES["surgery_outcomes"] = f"""
-SELECT doctor_id, CAST(COUNT(*) AS BIGINT) AS total_surgeries,
-       CAST(SUM(CASE WHEN surgery_outcome = 'Successful' THEN 1 ELSE 0 END) AS BIGINT) AS successful,
-       CAST(SUM(CASE WHEN surgery_outcome = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed
-FROM {_SURGERIES} s GROUP BY doctor_id
-ORDER BY total_surgeries DESC, doctor_id LIMIT 20"""
-
-ORACLES["surgery_outcomes_rate"] = f"""
-WITH g AS (
-  SELECT doctor_id, CAST(COUNT(*) AS BIGINT) AS total_surgeries,
-       CAST(SUM(CASE WHEN surgery_outcome = 'Successful' THEN 1 ELSE 0 END) AS BIGINT) AS successful,
-       CAST(SUM(CASE WHEN surgery_outcome = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
-       CAST(SUM(CASE WHEN surgery_outcome = 'Complications' THEN 1 ELSE 0 END) AS BIGINT) AS complications
-  FROM {_SURGERIES} s GROUP BY doctor_id
-  ORDER BY total_surgeries DESC, doctor_id LIMIT 20)
-SELECT *, {_pct('successful', 'total_surgeries', 1)} AS success_rate_pct FROM g"""
-
-_SUBST = """(SELECT l_linenumber AS serial_no, s_nationkey AS branch_id,
-        c_nationkey AS requested_doctor_id, s_nationkey AS consulted_doctor_id
-   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN customer ON o_custkey = c_custkey
-        JOIN supplier ON l_suppkey = s_suppkey)"""
-
-ORACLES["substitution_rate"] = f"""
-WITH g AS (
-  SELECT n_name AS branch_name, CAST(COUNT(a.serial_no) AS BIGINT) AS total_appointments,
-         CAST(SUM(CASE WHEN a.requested_doctor_id <> a.consulted_doctor_id THEN 1 ELSE 0 END)
-              AS BIGINT) AS substituted_appointments
-  FROM {_SUBST} a JOIN nation ON a.branch_id = n_nationkey
-  GROUP BY n_name)
-SELECT *, {_pct('substituted_appointments', 'total_appointments', 2)} AS substitution_rate_pct
-FROM g ORDER BY substitution_rate_pct DESC, branch_name"""
-
-ORACLES["substitution_by_branch"] = f"""
-SELECT branch_id, CAST(COUNT(*) AS BIGINT) AS total_appointments,
-       CAST(SUM(CASE WHEN requested_doctor_id <> consulted_doctor_id THEN 1 ELSE 0 END)
-            AS BIGINT) AS substitutions
-FROM {_SUBST} a GROUP BY branch_id ORDER BY substitutions DESC, branch_id"""
-
-ORACLES["claim_status"] = f"""
-SELECT insurance_provider, CAST(COUNT(*) AS BIGINT) AS total_claims,
-       CAST(SUM(CASE WHEN claim_status = 'Approved' THEN 1 ELSE 0 END) AS BIGINT) AS approved,
-       CAST(SUM(CASE WHEN claim_status = 'Rejected' THEN 1 ELSE 0 END) AS BIGINT) AS rejected,
-       CAST(SUM(CASE WHEN claim_status = 'Pending' THEN 1 ELSE 0 END) AS BIGINT) AS pending
-FROM {_ORDER_BILLING} b GROUP BY insurance_provider
-ORDER BY total_claims DESC, insurance_provider"""
-
-ORACLES["claim_status_rate"] = f"""
-WITH g AS (
-  SELECT insurance_provider, CAST(COUNT(claim_status) AS BIGINT) AS total_claims,
-         CAST(COUNT(CASE WHEN claim_status = 'Approved' THEN 1 END) AS BIGINT) AS approved_claims,
-         CAST(COUNT(CASE WHEN claim_status = 'Pending' THEN 1 END) AS BIGINT) AS pending_claims,
-         CAST(COUNT(CASE WHEN claim_status = 'Rejected' THEN 1 END) AS BIGINT) AS rejected_claims
-  FROM {_ORDER_BILLING} b GROUP BY insurance_provider)
-SELECT *, {_pct('approved_claims', 'total_claims', 2)} AS approved_rate_pct
-FROM g ORDER BY approved_rate_pct DESC, insurance_provider"""
+# --- SQL twins of the dirty derivations in standins.py ------------------------
+
+def yn_sql(k: str) -> str:
+    return (f"CASE CAST({k} % 8 AS INTEGER) WHEN 0 THEN 'Yes' WHEN 1 THEN ' no ' "
+            f"WHEN 2 THEN 'TRUE' WHEN 3 THEN '1' WHEN 4 THEN NULL WHEN 5 THEN 'NO' "
+            f"WHEN 6 THEN chr(9) || 'yes' ELSE 'maybe' END")
+
+
+def dt_sql(k: str, clean: str) -> str:
+    return (f"CASE WHEN {k} % 11 = 0 THEN 'not-a-date' WHEN {k} % 13 = 0 THEN NULL "
+            f"WHEN {k} % 17 = 0 THEN '2024-13-45' "
+            f"ELSE CAST(CAST({clean} AS DATE) AS VARCHAR) END")
+
+
+def bi_sql(k: str) -> str:
+    return (f"CASE WHEN {k} % 10 = 0 THEN 'x1' WHEN {k} % 10 = 1 THEN NULL "
+            f"WHEN {k} % 10 = 2 THEN CAST({k} AS VARCHAR) || '.7' "
+            f"ELSE CAST({k} + 3000000000 AS VARCHAR) END")
+
+
+def nt_sql(k: str, v: str) -> str:
+    return (f"CASE CAST({k} % 6 AS INTEGER) WHEN 0 THEN 'None' WHEN 1 THEN 'NA' "
+            f"WHEN 2 THEN 'none' WHEN 3 THEN '  ' WHEN 4 THEN '' ELSE {v} END")
+
+
+def ls_sql(k: str, a: str, b: str) -> str:
+    return (f"CASE CAST({k} % 9 AS INTEGER) WHEN 0 THEN '[]' WHEN 1 THEN NULL "
+            f"WHEN 2 THEN 'oops' "
+            f"WHEN 3 THEN '[' || chr(39) || {a} || chr(39) || ', ' || chr(39) || {a} || ' ' || chr(39) || ']' "
+            f"WHEN 4 THEN '[' || chr(39) || {b} || chr(39) || ',]' "
+            f"ELSE '[' || chr(34) || {a} || chr(34) || ', ' || chr(39) || {b} || chr(39) || ']' END")
+
+
+def mm_sql(k: str, v: str) -> tuple[str, str]:
+    a = f"CASE WHEN {k} % 5 = 0 THEN NULL ELSE {v} END"
+    b = f"CASE WHEN {k} % 3 = 0 THEN NULL WHEN {k} % 4 = 0 THEN 'Z' ELSE {v} END"
+    return a, b
+
+
+# Independent forms of the casts (not the Spark method):
+def strip_sql(v: str) -> str:
+    return f"regexp_replace({v}, '^\\s+|\\s+$', '', 'g')"
+
+
+def yes_no_sql(v: str) -> str:
+    return f"COALESCE(lower({strip_sql(v)}) IN ('yes', 'true', '1'), false)"
+
+
+def bigint0_sql(v: str) -> str:
+    return f"COALESCE(CAST(trunc(TRY_CAST({v} AS DOUBLE)) AS BIGINT), 0)"
+
+
+def list_items_sql(v: str) -> str:
+    """Items of a list-string, or NULL when it does not parse (valid for the
+    LS derivation, which has no escaped quotes)."""
+    return (f"CASE WHEN {v} LIKE '[%]' THEN "
+            f"list_transform(regexp_extract_all({v}, '[''\"]([^''\"]*)[''\"]', 1), lambda x: {strip_sql('x')}) "
+            f"END")

@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import analytics as A
 from .standins import DriverTables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -25,63 +24,7 @@ def query(name: str):
     return deco
 
 
-# --- section 2.13: named analytical queries ---------------------------------------
-
-@query("monthly_visits")
-def _monthly_visits(t: DriverTables) -> DataFrame:
-    return A.monthly_visits(t.order_visits)
-
-
-@query("visits_by_branch")
-def _visits_by_branch(t: DriverTables) -> DataFrame:
-    return A.visits_by_branch(t.order_visits)
-
-
-@query("revenue_coverage")
-def _revenue_coverage(t: DriverTables) -> DataFrame:
-    return A.revenue_coverage(t.lineitem_billing)
-
-
-@query("revenue_by_branch")
-def _revenue_by_branch(t: DriverTables) -> DataFrame:
-    return A.revenue_by_branch(t.order_billing)
-
-
-@query("top_diagnoses")
-def _top_diagnoses(t: DriverTables) -> DataFrame:
-    return A.top_diagnoses(t.part_diagnoses)
-
-
-@query("top_diagnoses_pct")
-def _top_diagnoses_pct(t: DriverTables) -> DataFrame:
-    return A.top_diagnoses_pct(t.part_diagnoses)
-
-
-@query("surgery_outcomes")
-def _surgery_outcomes(t: DriverTables) -> DataFrame:
-    return A.surgery_outcomes(t.lineitem_surgeries)
-
-
-@query("surgery_outcomes_rate")
-def _surgery_outcomes_rate(t: DriverTables) -> DataFrame:
-    return A.surgery_outcomes_rate(t.lineitem_surgeries)
-
-
-@query("substitution_rate")
-def _substitution_rate(t: DriverTables) -> DataFrame:
-    return A.substitution_rate(t.substitution_visits, t.nation_branches)
-
-
-@query("substitution_by_branch")
-def _substitution_by_branch(t: DriverTables) -> DataFrame:
-    return A.substitution_by_branch(t.substitution_visits)
-
-
-@query("claim_status")
-def _claim_status(t: DriverTables) -> DataFrame:
-    return A.claim_status(t.order_billing)
-
-
-@query("claim_status_rate")
-def _claim_status_rate(t: DriverTables) -> DataFrame:
-    return A.claim_status_rate(t.order_billing)
+def load_all() -> dict[str, QueryFn]:
+    """Import every key module (each registers its keys) and return them."""
+    from . import analytics_keys, cleaning_keys  # noqa: F401
+    return REGISTRY

@@ -118,3 +118,55 @@ def key_case(key: Column, modulus: int, cases: dict[int, Column | str | None],
         expr = F.when(r == i, v) if expr is None else expr.when(r == i, v)
     d = default if isinstance(default, Column) else F.lit(default).cast("string")
     return expr.otherwise(d)
+
+
+# --- dirty derivations (FIXTURES.md 3.2); each is a function of the row's key --
+
+def _s(v) -> Column:
+    return F.lit(v).cast("string")
+
+
+def dirty_yes_no(key: Column) -> Column:
+    """YN: the yes/no spellings, a null and junk."""
+    return key_case(key, 8, {0: "Yes", 1: " no ", 2: "TRUE", 3: "1", 4: None,
+                             5: "NO", 6: F.concat(F.lit("\t"), F.lit("yes"))}, "maybe")
+
+
+def dirty_date(key: Column, clean: Column) -> Column:
+    """DT: a clean ``yyyy-MM-dd`` text, unparseable text, a null, a bad day."""
+    return (F.when(key % 11 == 0, _s("not-a-date"))
+            .when(key % 13 == 0, _s(None))
+            .when(key % 17 == 0, _s("2024-13-45"))
+            .otherwise(clean.cast("date").cast("string")))
+
+
+def dirty_bigint(key: Column) -> Column:
+    """BI: junk, a null, a fraction, and ids above the INT range."""
+    return (F.when(key % 10 == 0, _s("x1"))
+            .when(key % 10 == 1, _s(None))
+            .when(key % 10 == 2, F.concat(key.cast("string"), F.lit(".7")))
+            .otherwise((key + F.lit(3000000000)).cast("string")))
+
+
+def dirty_null_token(key: Column, value: Column) -> Column:
+    """NT: reader null tokens, a lower-case look-alike, blank and empty."""
+    return key_case(key, 6, {0: "None", 1: "NA", 2: "none", 3: "  ", 4: ""}, value)
+
+
+def dirty_list(key: Column, a: Column, b: Column) -> Column:
+    """LS: list-strings — empty, null, junk, padded items, trailing comma,
+    mixed quotes."""
+    q, dq = F.lit("'"), F.lit('"')
+    return key_case(key, 9, {
+        0: "[]", 1: None, 2: "oops",
+        3: F.concat(F.lit("["), q, a, q, F.lit(", "), q, a, F.lit(" "), q, F.lit("]")),
+        4: F.concat(F.lit("["), q, b, q, F.lit(",]")),
+    }, F.concat(F.lit("["), dq, a, dq, F.lit(", "), q, b, q, F.lit("]")))
+
+
+def mismatch_pair(key: Column, value: Column) -> tuple[Column, Column]:
+    """MM: two columns with nulls on either side and some differences."""
+    a = F.when(key % 5 == 0, _s(None)).otherwise(value)
+    b = (F.when(key % 3 == 0, _s(None)).when(key % 4 == 0, _s("Z"))
+         .otherwise(value))
+    return a, b

@@ -39,7 +39,7 @@ def main(argv):
             r, ok = {"error": f"{type(e).__name__}: {str(e)[:600]}"}, False
         bad += not ok
         status = "OK " if ok else "BAD"
-        print(f"{status} {k:32s} {time.time()-t0:6.2f}s {json.dumps(r, default=str)[:900]}",
+        print(f"\n{status} {k:32s} {time.time()-t0:6.2f}s {json.dumps(r, default=str)[:900]}",
               flush=True)
     print(f"{len(keys or qs) - bad} ok, {bad} bad")
     spark.stop()
