@@ -26,5 +26,5 @@ def query(name: str):
 
 def load_all() -> dict[str, QueryFn]:
     """Import every key module (each registers its keys) and return them."""
-    from . import analytics_keys, cleaning_keys, profiling_keys  # noqa: F401
+    from . import analytics_keys, cleaning_keys, profiling_keys, report_keys  # noqa: F401
     return REGISTRY
