@@ -26,8 +26,14 @@ HEADER_NOISE = r"[.\s()\-]+"
 _EDGE_WS = r"^\s+|\s+$"
 
 
+def quoted(name: str) -> str:
+    """A column name as a literal identifier (dots, spaces are part of it)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def col_of(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A Column from a Column or a plain column *name* (never a nested path)."""
+    return F.col(quoted(c)) if isinstance(c, str) else c
 
 
 def strip_ws(c: Column | str) -> Column:

@@ -46,6 +46,9 @@ class TableSpec:
     name: str
     columns: tuple[ColumnSpec, ...]
     rename: Mapping[str, str] = field(default_factory=dict)
+    # When set, a clean header whose lower-case form is a declared column
+    # is renamed to it (the rule behind the reference's rename maps).
+    match_lower: bool = False
     yes_no: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
     bigint_default0: tuple[str, ...] = ()
@@ -57,6 +60,16 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    def rename_for(self, columns: Sequence[str]) -> dict[str, str]:
+        """The rename map for a frame with these (clean) column names."""
+        mapping = dict(self.rename)
+        if self.match_lower:
+            declared = set(self.column_names)
+            for c in columns:
+                if c not in mapping and c != c.lower() and c.lower() in declared:
+                    mapping[c] = c.lower()
+        return mapping
+
     def ddl(self) -> str:
         """The declared schema as a DDL string (VARCHAR(n) kept as a comment
         in ``max_len``; the stored type is STRING)."""
@@ -72,7 +85,7 @@ def transform(raw: DataFrame, spec: TableSpec, order: str | None = None) -> Data
     required when the spec has a primary key and is kept in the output.
     """
     df = clean_headers(raw)
-    df = rename_columns(df, spec.rename)
+    df = rename_columns(df, spec.rename_for(df.columns))
     if spec.drop:
         df = df.drop(*spec.drop)
     df = cast_yes_no(df, spec.yes_no)
