@@ -24,7 +24,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.casts import (DEFAULT_DATE_FORMATS, bigint_or_zero,
                                parse_list_string, to_date_safe, yes_no)
-from ..functions.text import normalize_header, null_tokens, strip_ws
+from ..functions.text import col_of, normalize_header, null_tokens, strip_ws
 
 
 class ColumnCollision(ValueError):
@@ -98,11 +98,11 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Column | str) ->
     Plan: ``HashAggregate(partial) -> Exchange(keys) -> HashAggregate(final)``
     on ``min(struct(order, other columns))``.
     """
-    order_col = F.col(order) if isinstance(order, str) else order
+    order_col = col_of(order)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(order_col.alias("__ord"), *[F.col(c) for c in rest])
-    best = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return best.select(*[F.col(c) if c in keys else F.col("__first").getField(c).alias(c)
+    packed = F.struct(order_col.alias("__ord"), *[col_of(c) for c in rest])
+    best = df.groupBy(*[col_of(k) for k in keys]).agg(F.min(packed).alias("__first"))
+    return best.select(*[col_of(c) if c in keys else F.col("__first").getField(c).alias(c)
                          for c in df.columns])
 
 
@@ -111,7 +111,7 @@ def explode_list_pairs(df: DataFrame, id_col: str, list_col: str,
     """G1 + D2: ``(id, "['A', 'B']")`` -> distinct ``(id, item)`` pairs with
     trimmed items.  Null or unparseable text yields no row; ``[]`` yields no
     row."""
-    pairs = (df.select(F.col(id_col).alias(out_id),
+    pairs = (df.select(col_of(id_col).alias(out_id),
                        F.explode(parse_list_string(list_col)).alias("__item"))
              .select(out_id, strip_ws("__item").alias(out_item)))
     return pairs.dropDuplicates([out_id, out_item])
@@ -121,6 +121,6 @@ def explode_list_ordered(df: DataFrame, id_col: str, list_col: str, order: str,
                          out_id: str = "doctor_id", out_item: str = "branch_id") -> DataFrame:
     """G1 before de-duplication, keeping the source order ``(order, pos)``
     for previews."""
-    return (df.select(F.col(order).alias("__ord"), F.col(id_col).alias(out_id),
+    return (df.select(col_of(order).alias("__ord"), col_of(id_col).alias(out_id),
                       F.posexplode(parse_list_string(list_col)).alias("__pos", "__item"))
             .select("__ord", "__pos", out_id, strip_ws("__item").alias(out_item)))

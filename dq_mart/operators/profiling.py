@@ -24,7 +24,7 @@ from pyspark.sql.types import (DateType, DoubleType, FloatType, NumericType,
 from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN,
                                parse_list_string, to_date_safe)
 from ..functions.numeric import pct_half_up
-from ..functions.text import is_blank, strip_ws
+from ..functions.text import is_blank, quoted, strip_ws
 
 INT_MAX = 2147483647
 
@@ -45,7 +45,7 @@ def missing_predicate(df: DataFrame, c: str) -> Column:
     """Missing as the reference counts it: null, NaN for floats, and
     whitespace-only text."""
     dt = df.schema[c].dataType
-    col = F.col(c)
+    col = F.col(quoted(c))
     if isinstance(dt, StringType):
         return is_blank(col)
     if isinstance(dt, (DoubleType, FloatType)):
@@ -74,7 +74,7 @@ def profile_types(df: DataFrame, table: str, order: str) -> DataFrame:
     """``(table_name, column_name, dtype, sample)`` — the Spark type
     and the value of the first row (smallest ``order``) as text."""
     cols = [c for c in df.columns]
-    one = df.agg(*[F.min_by(F.col(c).cast("string"), F.col(order)).alias(f"__s{i}")
+    one = df.agg(*[F.min_by(F.col(quoted(c)).cast("string"), F.col(quoted(order))).alias(f"__s{i}")
                    for i, c in enumerate(cols)])
     items = [F.struct(F.lit(c).alias("column_name"),
                       F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
@@ -96,7 +96,7 @@ def profile_int_range(df: DataFrame, table: str,
     """``(table_name, column_name, max_value, needs_bigint)`` for the
     numeric columns; a column needs BIGINT when its max exceeds INT."""
     cols = [c for c in (cols or numeric_columns(df)) if c in numeric_columns(df)]
-    one = df.agg(*[F.max(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    one = df.agg(*[F.max(F.col(quoted(c))).alias(f"__m{i}") for i, c in enumerate(cols)])
     items = [F.struct(F.lit(c).alias("column_name"),
                       F.col(f"__m{i}").cast("double").alias("max_value"),
                       F.coalesce(F.col(f"__m{i}") > F.lit(INT_MAX), F.lit(False))
@@ -106,6 +106,31 @@ def profile_int_range(df: DataFrame, table: str,
                                     "max_value", "needs_bigint")
 
 
+def profile_int_range_text(df: DataFrame, table: str,
+                           cols: Sequence[str] | None = None) -> DataFrame:
+    """C3 on raw text: the columns whose every non-null value reads as a
+    number (what a type-inferring reader would call numeric), with their
+    max and the BIGINT verdict.  One aggregation pass."""
+    cols = [c for c in (cols or df.columns) if isinstance(df.schema[c].dataType, StringType)]
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(quoted(c))
+        num = strip_ws(v).try_cast("double")
+        aggs += [F.count(v).alias(f"__t{i}"), F.count(num).alias(f"__p{i}"),
+                 F.max(num).alias(f"__m{i}")]
+    one = df.agg(*aggs)
+    items = [F.struct(F.lit(c).alias("column_name"),
+                      F.col(f"__m{i}").alias("max_value"),
+                      F.coalesce(F.col(f"__m{i}") > F.lit(INT_MAX), F.lit(False))
+                      .alias("needs_bigint"),
+                      ((F.col(f"__t{i}") == F.col(f"__p{i}")) & (F.col(f"__t{i}") > 0))
+                      .alias("__numeric"))
+             for i, c in enumerate(cols)]
+    return (_long(one, items).filter("__numeric")
+            .select(F.lit(table).alias("table_name"), "column_name", "max_value",
+                    "needs_bigint"))
+
+
 # --- C4: categorical values --------------------------------------------------------------
 
 def profile_categorical(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
@@ -118,7 +143,7 @@ def profile_categorical(df: DataFrame, table: str, cols: Sequence[str]) -> DataF
     if have:
         total = df.select(_count_all()).scalar()
         stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+            F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("string").alias("value"))
             for c in have])).alias("__v")).select("__v.*")
         counts = (stacked.filter(F.col("value").isNotNull())
                   .groupBy("column_name", "value").agg(_count_all().alias("cnt")))
@@ -143,9 +168,9 @@ def parsed_date(df: DataFrame, c: str,
                 formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     dt = df.schema[c].dataType
     if isinstance(dt, DateType):
-        return F.col(c)
+        return F.col(quoted(c))
     if isinstance(dt, (TimestampType, TimestampNTZType)):
-        return F.col(c).cast("date")
+        return F.col(quoted(c)).cast("date")
     return to_date_safe(c, formats)
 
 
@@ -175,8 +200,8 @@ def profile_dates_bad_values(df: DataFrame, table: str, col: str, order: str,
     """C5 examples: up to ``n`` distinct bad raw values (null included), in
     order of first appearance."""
     bad = df.filter(parsed_date(df, col, formats).isNull())
-    firsts = bad.groupBy(F.col(col).cast("string").alias("bad_value")) \
-        .agg(F.min(order).alias("__first"))
+    firsts = bad.groupBy(F.col(quoted(col)).cast("string").alias("bad_value")) \
+        .agg(F.min(F.col(quoted(order))).alias("__first"))
     return (firsts.orderBy("__first").limit(n)
             .select(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
                     "bad_value"))
@@ -188,7 +213,7 @@ def _distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column_name, raw, cnt)``: distinct raw values per column with
     their counts (one shuffle of distinct values)."""
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("raw"))
+        F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("string").alias("raw"))
         for c in cols])).alias("__v")).select("__v.*")
     return stacked.groupBy("column_name", "raw").agg(_count_all().alias("cnt"))
 
@@ -265,9 +290,37 @@ def profile_mismatch(df: DataFrame, a: str, b: str) -> DataFrame:
     """``(mismatches, total, pct, all_mismatch)``.  Inequality with the
     profiler's null rule: a null on either side counts as a mismatch
     (unlike SQL ``<>``)."""
-    differ = ~F.coalesce(F.col(a) == F.col(b), F.lit(False))
+    differ = ~F.coalesce(F.col(quoted(a)) == F.col(quoted(b)), F.lit(False))
     one = df.agg(F.count_if(differ).cast("bigint").alias("mismatches"),
                  _count_all().alias("total"))
     return one.select("mismatches", "total",
                       pct_half_up("mismatches", "total", 1).alias("pct"),
                       (F.col("mismatches") == F.col("total")).alias("all_mismatch"))
+
+
+# --- C13: one long metrics table ---------------------------------------------------------
+
+def metric_text(df: DataFrame, name: str) -> Column:
+    """A metric value as text: floating values through DECIMAL(38,6) so the
+    text does not depend on float printing."""
+    dt = df.schema[name].dataType
+    c = F.col(quoted(name))
+    if isinstance(dt, (DoubleType, FloatType)):
+        return c.cast("decimal(38,6)").cast("string")
+    return c.cast("string")
+
+
+def long_metrics(df: DataFrame, step: int, check: str, metrics: Sequence[str],
+                 table_col: str | None = "table_name",
+                 column_col: str | None = "column_name",
+                 item_col: str | None = None) -> DataFrame:
+    """A check's rows -> ``(step, check_name, table_name, column_name, item,
+    metric, value)``, one row per metric."""
+    def pick(c):
+        return (F.col(quoted(c)).cast("string") if c else F.lit(None).cast("string"))
+    kv = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"),
+                                      metric_text(df, m).alias("value")) for m in metrics]))
+    return (df.select(F.lit(step).alias("step"), F.lit(check).alias("check_name"),
+                      pick(table_col).alias("table_name"), pick(column_col).alias("column_name"),
+                      pick(item_col).alias("item"), kv.alias("__kv"))
+            .select("step", "check_name", "table_name", "column_name", "item", "__kv.*"))

@@ -27,5 +27,5 @@ def query(name: str):
 def load_all() -> dict[str, QueryFn]:
     """Import every key module (each registers its keys) and return them."""
     from . import (analytics_keys, cleaning_keys, etl_keys,  # noqa: F401
-                   profiling_keys, report_keys)
+                   profiling_keys, report_keys, sources_keys)
     return REGISTRY
