@@ -35,11 +35,18 @@ def yes_no(c: Column | str) -> Column:
     return F.coalesce(norm.isin(*TRUE_WORDS), F.lit(False))
 
 
+ISO_DATE = "yyyy-MM-dd"
+
+
 def to_date_safe(c: Column | str,
                  formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
-    """Text -> date; the first format that parses wins, else null."""
+    """Text -> date; the first format that parses wins, else null.
+
+    The ISO layout is parsed by ``try_cast`` (Spark's date parser: no
+    formatter and no exception per bad value, so it stays cheap on dirty
+    columns); other layouts use ``try_to_date`` with the given pattern."""
     c = col_of(c).cast("string")
-    parsed = [F.try_to_date(c, f) for f in formats]
+    parsed = [c.try_cast("date") if f == ISO_DATE else F.try_to_date(c, f) for f in formats]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 

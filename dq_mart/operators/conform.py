@@ -116,8 +116,8 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
     """Cast to the declared types in one projection.
 
     Output: the declared columns (typed; absent ones are null), the ``keep``
-    columns, ``reject_reasons`` (``array<string>``, empty when the row
-    fits) and ``raw`` (the source text of the declared columns, only on
+    columns, ``reject_reasons`` (the reasons joined by ``; ``, null when the
+    row fits) and ``raw`` (the source text of the declared columns, only on
     rejected rows, else null).
     """
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -134,23 +134,35 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
         typed[c.name] = t
         reasons.extend(_fits(v, t, c, src_str))
         raw_fields.append(v.cast("string").alias(c.name))
-    why = F.filter(F.array(*reasons), lambda x: x.isNotNull()) if reasons \
-        else F.array().cast("array<string>")
+    # concat_ws skips nulls: the reasons of a row, or null when it fits.
+    why = (F.nullif(F.concat_ws("; ", *reasons), F.lit("")) if reasons
+           else F.lit(None).cast("string"))
     out = df.select(*[typed[c].alias(c) for c in spec.column_names],
                     *[F.col(k) for k in keep],
                     why.alias(REJECT_REASONS),
                     F.struct(*raw_fields).alias(RAW))
-    return out.withColumn(RAW, F.when(F.size(REJECT_REASONS) > 0, F.col(RAW)))
+    return out.withColumn(RAW, F.when(F.col(REJECT_REASONS).isNotNull(), F.col(RAW)))
+
+
+def _split_barrier(conformed: DataFrame) -> DataFrame:
+    """Keep the good/rejected filter *above* the cleaning projection.
+
+    Catalyst pushes a filter below a deterministic projection by inlining the
+    projected expressions into the predicate; with several stacked cleaning
+    projections that predicate repeats every cast and grows too large for
+    compiled code, and every expression then runs twice.  A projection that
+    also holds a non-deterministic column (the task's partition id, dropped
+    right after) is not crossed, so each row is cleaned once."""
+    return conformed.select("*", F.spark_partition_id().alias("__task"))
 
 
 def good_rows(conformed: DataFrame) -> DataFrame:
     """Rows that fit, without the bookkeeping columns."""
-    return (conformed.filter(F.size(REJECT_REASONS) == 0)
-            .drop(REJECT_REASONS, RAW))
+    return (_split_barrier(conformed).filter(F.col(REJECT_REASONS).isNull())
+            .drop(REJECT_REASONS, RAW, "__task"))
 
 
 def rejected_rows(conformed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Rejected rows: kept columns, reasons joined by ``; `` and raw text."""
-    return (conformed.filter(F.size(REJECT_REASONS) > 0)
-            .select(*keep, F.array_join(REJECT_REASONS, "; ").alias("reasons"),
-                    F.col(f"{RAW}.*")))
+    """Rejected rows: kept columns, reasons and raw text."""
+    return (_split_barrier(conformed).filter(F.col(REJECT_REASONS).isNotNull())
+            .select(*keep, F.col(REJECT_REASONS).alias("reasons"), F.col(f"{RAW}.*")))

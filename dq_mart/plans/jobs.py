@@ -19,6 +19,7 @@ from ..operators import integrity as I
 from ..operators import profiling as P
 from ..operators.cleaning import explode_list_pairs
 from ..operators.conform import REJECT_REASONS, RAW, conform, transform
+from ..functions.text import quoted
 from ..sources.catalog import row_counts
 from ..sources.csv import ORDINAL, read_raw_csv
 from ..sources.landing import RAW_PREFIX, land_raw
@@ -103,7 +104,7 @@ def read_landed(spark: SparkSession, root: str, names=HOSPITAL_FILES) -> dict[st
 
 def with_status(conformed: DataFrame) -> DataFrame:
     return conformed.withColumn(
-        LOAD_STATUS, F.when(F.size(REJECT_REASONS) == 0, "ok").otherwise("rejected"))
+        LOAD_STATUS, F.when(F.col(REJECT_REASONS).isNull(), "ok").otherwise("rejected"))
 
 
 def etl_table(raw: DataFrame, spec) -> DataFrame:
@@ -160,7 +161,7 @@ def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
         parts.append(P.long_metrics(P.profile_nulls(data, name), 2, "nulls",
                                     ["null_count", "pct"]))
         if ORDINAL in df.columns:
-            parts.append(P.long_metrics(P.profile_types(df.select(*data.columns, ORDINAL),
+            parts.append(P.long_metrics(P.profile_types(df.select(*[F.col(quoted(c)) for c in data.columns], ORDINAL),
                                                         name, ORDINAL).filter(
                 F.col("column_name") != ORDINAL), 3, "types", ["dtype", "sample"]))
     if "billing" in tables:

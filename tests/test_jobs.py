@@ -90,9 +90,16 @@ def test_profile_job(spark, pipeline):
     assert bad[("patients", "Date of Latest Consultation")] == "1"
 
 
-def test_etl_and_report(spark, pipeline):
+@pytest.fixture(scope="module")
+def mart(spark, pipeline):
+    root = f"{pipeline['base']}/mart"
+    audit = {r.table_name: r for r in J.etl_job(spark, pipeline["raw"], root).collect()}
+    return root, audit
+
+
+def test_etl_and_report(spark, pipeline, mart):
     base = pipeline["base"]
-    audit = {r.table_name: r for r in J.etl_job(spark, pipeline["raw"], f"{base}/mart").collect()}
+    _, audit = mart
     assert all(r.ok for r in audit.values())
     assert audit["branches"].rows_written == 2 and audit["doctor_branch_visits"].rows_written == 2
     assert "lab_reports" not in audit
@@ -120,3 +127,31 @@ def test_etl_and_report(spark, pipeline):
     assert lines[i + 2:i + 4] == ["Acme,2,1,1,0", ",1,0,0,0"]
     i = lines.index("### DOCTOR_SUBSTITUTION ###")
     assert lines[i + 2:i + 4] == ["BR01,2,2", "BR02,1,0"]
+
+
+def test_sql_texts_match_dataframe_forms(spark, mart):
+    from dq_mart.operators import analytics as A
+    from dq_mart.plans.sql_texts import SQL, register_views, run_query
+    root, _ = mart
+    t = {n: J.read_loaded(spark, root, n)
+         for n in ("appointments", "billing", "surgeries", "branches")}
+    register_views(t)
+    forms = {
+        "monthly_visits": A.monthly_visits(t["appointments"]),
+        "visits_by_branch": A.visits_by_branch(t["appointments"]),
+        "revenue_coverage": A.revenue_coverage(t["billing"]),
+        "revenue_by_branch": A.revenue_by_branch(t["billing"]),
+        "top_diagnoses": A.top_diagnoses(t["appointments"]),
+        "top_diagnoses_pct": A.top_diagnoses_pct(t["appointments"]),
+        "surgery_outcomes": A.surgery_outcomes(t["surgeries"]),
+        "surgery_outcomes_rate": A.surgery_outcomes_rate(t["surgeries"]),
+        "substitution_rate": A.substitution_rate(t["appointments"], t["branches"]),
+        "substitution_by_branch": A.substitution_by_branch(t["appointments"]),
+        "claim_status": A.claim_status(t["billing"]),
+        "claim_status_rate": A.claim_status_rate(t["billing"]),
+    }
+    assert set(forms) == set(SQL)
+    for name, df in forms.items():
+        got = run_query(spark, name)
+        assert got.columns == df.columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in df.collect()], name
