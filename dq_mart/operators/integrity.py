@@ -7,8 +7,8 @@ has a null key too (null-safe equality).
 
 Plan: both sides are reduced to distinct keys first (hash aggregate with
 map-side partial aggregation, so a hot key costs one row per task), then a
-null-safe left-anti join on the distinct keys — at that point every key
-occurs once on each side, so the join cannot be skewed.  AQE picks a
+left outer join on the distinct keys, co-partitioned with them — at that
+point every key occurs once on each side, so the join cannot be skewed.  AQE picks a
 broadcast when the parent's distinct keys are small, else a sort-merge
 join.  Examples are the five smallest orphans: a bounded top-k, never a
 collected list of all orphans.
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import col_of
+
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -34,15 +36,39 @@ class ForeignKey:
 
 
 def distinct_keys(df: DataFrame, col: str, alias: str = "k") -> DataFrame:
-    return df.select(F.col(col).alias(alias)).distinct()
+    return df.select(col_of(col).alias(alias)).distinct()
+
+
+def flagged_keys(child: DataFrame, child_col: str, parent: DataFrame,
+                 parent_col: str) -> DataFrame:
+    """Distinct child keys with an ``orphan`` flag: ``(k, orphan)``.
+
+    A *left outer* equi-join of distinct keys with a match marker:
+    * written as an anti join, Catalyst would push the join below the
+      child's ``distinct`` and shuffle every child row into it;
+    * a plain ``k = k`` join reuses the hash partitioning of both
+      ``distinct`` outputs, so a sort-merge join needs no further shuffle
+      (a null-safe join would re-partition both sides on
+      ``(coalesce(k), isnull(k))``);
+    * the one null child key is then decided by a scalar flag "the parent
+      has a null key" (null-safe semantics of the reference's set
+      difference).
+    Each child key meets at most one parent key: no row is multiplied and
+    no key is hot in the join."""
+    c = distinct_keys(child, child_col, "k")
+    p = distinct_keys(parent, parent_col, "k").withColumn("__hit", F.lit(True))
+    parent_null = (parent.filter(col_of(parent_col).isNull())
+                   .select((F.count(F.lit(1)) > 0).alias("has_null")).scalar())
+    j = c.join(p, "k", "left")
+    orphan = F.col("__hit").isNull() & ~(F.col("k").isNull() & parent_null)
+    return j.select("k", orphan.alias("orphan"))
 
 
 def orphan_keys(child: DataFrame, child_col: str, parent: DataFrame,
                 parent_col: str) -> DataFrame:
     """Distinct child keys with no equal (null-safe) parent key: ``(k)``."""
-    c = distinct_keys(child, child_col, "k")
-    p = distinct_keys(parent, parent_col, "__pk")
-    return c.join(p, c["k"].eqNullSafe(p["__pk"]), "left_anti")
+    f = flagged_keys(child, child_col, parent, parent_col)
+    return f.filter("orphan").select("k")
 
 
 def fk_orphans(checks: Sequence[ForeignKey]) -> DataFrame:
@@ -53,30 +79,36 @@ def fk_orphans(checks: Sequence[ForeignKey]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _examples(orphans: DataFrame, n: int) -> DataFrame:
-    """One row: the ``n`` smallest orphans (null first) joined by ``, ``."""
-    top = orphans.orderBy(F.asc_nulls_first("k")).limit(n)
+def _check_parts(fk: ForeignKey, n_examples: int) -> DataFrame:
+    """Two partial rows for one relationship (counts; examples), both from
+    the same flagged keys, so the plan computes them once (reused
+    exchanges)."""
+    f = flagged_keys(fk.child, fk.child_col, fk.parent, fk.parent_col)
+    counts = f.agg(F.count(F.lit(1)).alias("child_ids"),
+                   F.count_if("orphan").alias("orphans"))
+    top = f.filter("orphan").orderBy(F.asc_nulls_first("k")).limit(n_examples)
     srt = F.sort_array(F.collect_list(F.struct("k")))
     txt = F.transform(srt, lambda s: F.coalesce(s["k"].cast("string"), F.lit("NULL")))
-    return top.agg(F.array_join(txt, ", ").alias("examples"))
+    ex = top.agg(F.nullif(F.array_join(txt, ", "), F.lit("")).alias("examples"))
+    none = F.lit(None)
+    return (counts.select(F.lit(fk.label).alias("label"), "child_ids", "orphans",
+                          none.cast("string").alias("examples"))
+            .unionByName(ex.select(F.lit(fk.label).alias("label"),
+                                   none.cast("bigint").alias("child_ids"),
+                                   none.cast("bigint").alias("orphans"), "examples")))
 
 
-def fk_check(fk: ForeignKey, n_examples: int = 5) -> DataFrame:
-    """One row ``(label, child_ids, orphans, examples)``; ``examples`` is
-    null when there is no orphan."""
-    c = distinct_keys(fk.child, fk.child_col, "k")
-    orph = orphan_keys(fk.child, fk.child_col, fk.parent, fk.parent_col)
-    n_ids = c.select(F.count(F.lit(1))).scalar()
-    n_orph = orph.select(F.count(F.lit(1))).scalar()
-    ex = _examples(orph, n_examples).scalar()
-    one = fk.child.sparkSession.range(1)
-    return one.select(F.lit(fk.label).alias("label"),
-                      n_ids.alias("child_ids"),
-                      n_orph.alias("orphans"),
-                      F.when(n_orph > 0, ex).alias("examples"))
+def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame:
+    """One row ``(label, child_ids, orphans, examples)`` per
+    relationship; ``examples`` are the ``n`` smallest orphans (null first)
+    joined by ``, ``, null when there is none."""
+    parts = functools.reduce(DataFrame.unionByName,
+                             [_check_parts(fk, n_examples) for fk in checks])
+    return parts.groupBy("label").agg(F.max("child_ids").alias("child_ids"),
+                                      F.max("orphans").alias("orphans"),
+                                      F.max("examples").alias("examples"))
 
 
-def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame:
-    """One row per relationship."""
-    return functools.reduce(DataFrame.unionByName,
-                            [fk_check(fk, n_examples) for fk in checks])
+def fk_check(fk: ForeignKey, n_examples: int = 5) -> DataFrame:
+    """J2 for one relationship."""
+    return fk_integrity([fk], n_examples)
