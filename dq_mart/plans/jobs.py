@@ -19,6 +19,7 @@ from ..operators import integrity as I
 from ..operators import profiling as P
 from ..operators.cleaning import explode_list_pairs
 from ..operators.conform import REJECT_REASONS, RAW, conform, transform
+from ..operators.table_profile import TableProfile
 from ..functions.text import quoted
 from ..sources.catalog import row_counts
 from ..sources.csv import ORDINAL, read_raw_csv
@@ -153,34 +154,28 @@ def read_loaded(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """All checks over the raw catalog, in the reference's order, as one
-    long metrics table."""
+    long metrics table.  Each table is scanned twice (one aggregate pass for
+    nulls, types, integer range, dates and the requested/consulted check;
+    one value pass for categorical and yes/no audits), plus the list-string
+    profile of doctors and the FK checks on distinct keys."""
     parts = [P.long_metrics(row_counts(tables), 1, "row_counts", ["row_count"],
                             column_col=None)]
     for name, df in tables.items():
-        data = df.drop(ORDINAL) if ORDINAL in df.columns else df
-        parts.append(P.long_metrics(P.profile_nulls(data, name), 2, "nulls",
-                                    ["null_count", "pct"]))
+        data = [c for c in df.columns if c != ORDINAL]
+        prof = TableProfile(df, name).nulls(cols=data)
         if ORDINAL in df.columns:
-            parts.append(P.long_metrics(P.profile_types(df.select(*[F.col(quoted(c)) for c in data.columns], ORDINAL),
-                                                        name, ORDINAL).filter(
-                F.col("column_name") != ORDINAL), 3, "types", ["dtype", "sample"]))
-    if "billing" in tables:
-        parts.append(P.long_metrics(P.profile_int_range_text(tables["billing"], "billing"),
-                                    4, "int_range", ["max_value", "needs_bigint"]))
-    for name, cols in CATEGORICAL.items():
-        if name in tables:
-            parts.append(P.long_metrics(P.profile_categorical(tables[name], name, cols), 5,
-                                        "categorical", ["cnt", "pct", "status"],
-                                        item_col="value"))
-    for name, cols in DATE_COLUMNS.items():
-        if name in tables:
-            parts.append(P.long_metrics(P.profile_dates(tables[name], name, cols), 6, "dates",
-                                        ["bad_count", "min_date", "max_date"]))
-    for name, cols in YES_NO_COLUMNS.items():
-        if name in tables:
-            parts.append(P.long_metrics(P.profile_yes_no(tables[name], name, cols), 7,
-                                        "yes_no", ["yes_count", "no_count",
-                                                   "unexpected_count"]))
+            prof.types(ORDINAL, cols=data)
+        if name == "billing":
+            prof.int_range(cols=data)
+        if name in DATE_COLUMNS:
+            prof.dates(DATE_COLUMNS[name])
+        if name in CATEGORICAL:
+            prof.categorical(CATEGORICAL[name])
+        if name in YES_NO_COLUMNS:
+            prof.yes_no(YES_NO_COLUMNS[name])
+        if name == "appointments":
+            prof.mismatch("Requested Doctor ID", "Consulted Doctor ID")
+        parts.append(prof.long())
     if "doctors" in tables and S.DOCTOR_LIST_COLUMN in tables["doctors"].columns:
         prof = P.profile_list_column(tables["doctors"], S.DOCTOR_LIST_COLUMN).select(
             F.lit("doctors").alias("table_name"),
@@ -193,12 +188,6 @@ def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
         parts.append(P.long_metrics(I.fk_integrity(fks), 9, "foreign_keys",
                                     ["child_ids", "orphans", "examples"], table_col=None,
                                     column_col=None, item_col="label"))
-    if "appointments" in tables:
-        mm = P.profile_mismatch(tables["appointments"], "Requested Doctor ID",
-                                "Consulted Doctor ID")
-        parts.append(P.long_metrics(mm, 10, "requested_vs_consulted",
-                                    ["mismatches", "total", "pct", "all_mismatch"],
-                                    table_col=None, column_col=None))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

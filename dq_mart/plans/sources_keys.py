@@ -120,11 +120,26 @@ PROFILE_STEPS = [
 
 @query("profile_report")
 def _profile_report(t: DriverTables) -> DataFrame:
-    from .registry import REGISTRY
-    parts = []
-    for step, check, key, metrics, tcol, ccol, icol in PROFILE_STEPS:
-        df = REGISTRY[key](t.spark, t.sf_dir)
-        parts.append(P.long_metrics(df, step, check, metrics, tcol, ccol, icol))
+    """C13 on the stand-ins: each table is scanned twice (one aggregate
+    pass, one value pass) whatever the number of checks."""
+    from ..operators.table_profile import TableProfile
+    from ..sources.catalog import row_counts
+    from . import cleaning_keys as CK
+    from ..operators import integrity as I
+    cust, op, mm = PK.customer_nt(t), PK.orders_profiled(t), PK.orders_mm(t)
+    parts = [
+        P.long_metrics(row_counts({n: t.table(n) for n in PK.CATALOG}), 1, "row_counts",
+                       ["row_count"], "table_name", None),
+        TableProfile(cust, "customer").nulls().types("c_custkey", cols=cust.columns)
+        .categorical(["segment", "c_nationkey", "Anesthesia Type"]).long(),
+        TableProfile(op, "orders").int_range(cols=P.numeric_columns(op))
+        .dates(["dt_raw", "dt_clean", "o_orderdate"]).yes_no(["yn_raw", "yn_clean"]).long(),
+        TableProfile(mm, "orders").nulls().mismatch("requested", "consulted").long(),
+        P.long_metrics(P.profile_list_column(CK._orders_dirty(t), "ls_raw"), 8, "list_column",
+                       ["total_rows", "parse_errors", "pairs", "distinct_items"], None, None),
+        P.long_metrics(I.fk_integrity(PK.driver_fks(t)), 9, "foreign_keys",
+                       ["child_ids", "orphans", "examples"], None, None, "label"),
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
