@@ -7,8 +7,9 @@ has a null key too (null-safe equality).
 
 Plan: both sides are reduced to distinct keys first (hash aggregate with
 map-side partial aggregation, so a hot key costs one row per task), then a
-left outer join on the distinct keys, co-partitioned with them — at that
-point every key occurs once on each side, so the join cannot be skewed.  AQE picks a
+left outer join on the distinct ``(coalesce(k), isnull(k))`` pairs,
+co-partitioned with them — at that point every key occurs once on each
+side, so the join cannot be skewed.  AQE picks a
 broadcast when the parent's distinct keys are small, else a sort-merge
 join.  Examples are the five smallest orphans: a bounded top-k, never a
 collected list of all orphans.
@@ -22,8 +23,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.window import Window
 
 from ..functions.text import col_of
+from ..session import checkpoint_root
 
 
 @dataclass(frozen=True)
@@ -39,6 +43,19 @@ def distinct_keys(df: DataFrame, col: str, alias: str = "k") -> DataFrame:
     return df.select(col_of(col).alias(alias)).distinct()
 
 
+def _key_pair(df: DataFrame, col: str, as_type: DataType) -> DataFrame:
+    """Distinct keys as ``(kc, kn)`` = ``(coalesce(k, default), isnull(k))``:
+    equality on the pair is null-safe equality on the key."""
+    k = col_of(col).cast(as_type)
+    if isinstance(as_type, NumericType):
+        default = F.lit(0).cast(as_type)
+    elif isinstance(as_type, StringType):
+        default = F.lit("")
+    else:
+        k, default = k.cast("string"), F.lit("")
+    return df.select(F.coalesce(k, default).alias("kc"), k.isNull().alias("kn")).distinct()
+
+
 def flagged_keys(child: DataFrame, child_col: str, parent: DataFrame,
                  parent_col: str) -> DataFrame:
     """Distinct child keys with an ``orphan`` flag: ``(k, orphan)``.
@@ -46,22 +63,21 @@ def flagged_keys(child: DataFrame, child_col: str, parent: DataFrame,
     A *left outer* equi-join of distinct keys with a match marker:
     * written as an anti join, Catalyst would push the join below the
       child's ``distinct`` and shuffle every child row into it;
-    * a plain ``k = k`` join reuses the hash partitioning of both
-      ``distinct`` outputs, so a sort-merge join needs no further shuffle
-      (a null-safe join would re-partition both sides on
-      ``(coalesce(k), isnull(k))``);
-    * the one null child key is then decided by a scalar flag "the parent
-      has a null key" (null-safe semantics of the reference's set
-      difference).
+    * both sides are made distinct on ``(coalesce(k), isnull(k))`` and joined
+      on exactly those columns, so the sort-merge join reuses the
+      ``distinct`` partitioning (no further shuffle) while keeping the
+      null-safe semantics of the reference's set difference (a null child
+      key is an orphan unless the parent has a null key).
     Each child key meets at most one parent key: no row is multiplied and
     no key is hot in the join."""
-    c = distinct_keys(child, child_col, "k")
-    p = distinct_keys(parent, parent_col, "k").withColumn("__hit", F.lit(True))
-    parent_null = (parent.filter(col_of(parent_col).isNull())
-                   .select((F.count(F.lit(1)) > 0).alias("has_null")).scalar())
-    j = c.join(p, "k", "left")
-    orphan = F.col("__hit").isNull() & ~(F.col("k").isNull() & parent_null)
-    return j.select("k", orphan.alias("orphan"))
+    ptype = parent.schema[parent_col].dataType
+    c = _key_pair(child, child_col, ptype)
+    p = _key_pair(parent, parent_col, ptype).withColumn("__hit", F.lit(True))
+    j = c.join(p, ["kc", "kn"], "left")
+    k = F.when(~F.col("kn"), F.col("kc"))
+    if not isinstance(ptype, (NumericType, StringType)):
+        k = k.cast(ptype)
+    return j.select(k.alias("k"), F.col("__hit").isNull().alias("orphan"))
 
 
 def orphan_keys(child: DataFrame, child_col: str, parent: DataFrame,
@@ -71,42 +87,52 @@ def orphan_keys(child: DataFrame, child_col: str, parent: DataFrame,
     return f.filter("orphan").select("k")
 
 
-def fk_orphans(checks: Sequence[ForeignKey]) -> DataFrame:
-    """All orphans of all checks: ``(label, orphan)``, the key as text."""
-    parts = [orphan_keys(fk.child, fk.child_col, fk.parent, fk.parent_col)
-             .select(F.lit(fk.label).alias("label"), F.col("k").cast("string").alias("orphan"))
-             for fk in checks]
+def fk_flags(checks: Sequence[ForeignKey]) -> DataFrame:
+    """Flagged distinct child keys of every relationship, in one frame:
+    ``(label, k_txt, k_num, orphan)``.  ``k_txt`` is the key as text,
+    ``k_num`` its numeric value for numeric keys (the sort order of the
+    examples), null otherwise."""
+    parts = []
+    for fk in checks:
+        f = flagged_keys(fk.child, fk.child_col, fk.parent, fk.parent_col)
+        numeric = isinstance(f.schema["k"].dataType, NumericType)
+        parts.append(f.select(F.lit(fk.label).alias("label"),
+                              F.col("k").cast("string").alias("k_txt"),
+                              (F.col("k").cast("double") if numeric
+                               else F.lit(None).cast("double")).alias("k_num"),
+                              "orphan"))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _check_parts(fk: ForeignKey, n_examples: int) -> DataFrame:
-    """Two partial rows for one relationship (counts; examples), both from
-    the same flagged keys, so the plan computes them once (reused
-    exchanges)."""
-    f = flagged_keys(fk.child, fk.child_col, fk.parent, fk.parent_col)
-    counts = f.agg(F.count(F.lit(1)).alias("child_ids"),
-                   F.count_if("orphan").alias("orphans"))
-    top = f.filter("orphan").orderBy(F.asc_nulls_first("k")).limit(n_examples)
-    srt = F.sort_array(F.collect_list(F.struct("k")))
-    txt = F.transform(srt, lambda s: F.coalesce(s["k"].cast("string"), F.lit("NULL")))
-    ex = top.agg(F.nullif(F.array_join(txt, ", "), F.lit("")).alias("examples"))
-    none = F.lit(None)
-    return (counts.select(F.lit(fk.label).alias("label"), "child_ids", "orphans",
-                          none.cast("string").alias("examples"))
-            .unionByName(ex.select(F.lit(fk.label).alias("label"),
-                                   none.cast("bigint").alias("child_ids"),
-                                   none.cast("bigint").alias("orphans"), "examples")))
+def fk_orphans(checks: Sequence[ForeignKey]) -> DataFrame:
+    """All orphans of all checks: ``(label, orphan)``, the key as text."""
+    return fk_flags(checks).filter("orphan").select("label", F.col("k_txt").alias("orphan"))
 
 
 def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame:
     """One row ``(label, child_ids, orphans, examples)`` per
     relationship; ``examples`` are the ``n`` smallest orphans (null first)
-    joined by ``, ``, null when there is none."""
-    parts = functools.reduce(DataFrame.unionByName,
-                             [_check_parts(fk, n_examples) for fk in checks])
-    return parts.groupBy("label").agg(F.max("child_ids").alias("child_ids"),
-                                      F.max("orphans").alias("orphans"),
-                                      F.max("examples").alias("examples"))
+    joined by ``, ``, null when there is none.
+
+    The flagged keys of all relationships are computed in one job and
+    materialised with a reliable ``checkpoint()`` under the shared
+    ``spark.checkpoint.dir`` (lineage cut, survives executor loss); the
+    counts and the examples then both read that small table instead of
+    scanning and shuffling the child and parent tables twice.  Examples are
+    a per-label ``row_number() <= n``, which Spark limits per task before
+    the shuffle (bounded, never a list of all orphans)."""
+    checkpoint_root(checks[0].child.sparkSession)
+    flags = fk_flags(checks).checkpoint(eager=True)
+    counts = flags.groupBy("label").agg(F.count(F.lit(1)).alias("child_ids"),
+                                        F.count_if("orphan").alias("orphans"))
+    w = Window.partitionBy("label").orderBy(F.asc_nulls_first("k_num"),
+                                            F.asc_nulls_first("k_txt"))
+    top = (flags.filter("orphan").withColumn("__rn", F.row_number().over(w))
+           .filter(F.col("__rn") <= n_examples))
+    srt = F.sort_array(F.collect_list(F.struct("__rn", "k_txt")))
+    txt = F.transform(srt, lambda e: F.coalesce(e["k_txt"], F.lit("NULL")))
+    ex = top.groupBy("label").agg(F.array_join(txt, ", ").alias("examples"))
+    return counts.join(ex, "label", "left").select("label", "child_ids", "orphans", "examples")
 
 
 def fk_check(fk: ForeignKey, n_examples: int = 5) -> DataFrame:

@@ -169,9 +169,14 @@ class TableProfile:
         norm = F.lower(strip_ws(raw))
         unexp = ~F.coalesce(norm.isin(*YES_NO_DOMAIN), F.lit(False))
         lower = F.lower(raw)
+        # one flag per distinct normalised value, so counting distinct
+        # unexpected values is a sum (no set materialised per row)
+        g = g.withColumn("__nfirst", F.row_number().over(
+            Window.partitionBy("column_name", norm).orderBy(F.asc_nulls_first("raw"))) == 1)
+        distinct_unexp = F.when(unexp & norm.isNotNull() & F.col("__nfirst"), 1).otherwise(0)
         g = g.select("*",
                      F.sum(cnt).over(w).alias("__total"),
-                     (F.size(F.collect_set(F.when(unexp, norm)).over(w))
+                     (F.sum(distinct_unexp).over(w)
                       + F.max(F.when(raw.isNull(), 1).otherwise(0)).over(w))
                      .cast("bigint").alias("__uc"),
                      F.sum(F.when(lower == "yes", cnt).otherwise(0)).over(w)

@@ -6,12 +6,14 @@ The file source tracks processed files in the query's checkpoint (under
 the shared ``spark.checkpoint.dir``); ``trigger(availableNow=True)``
 processes everything new and stops, which suits a scheduled batch.  Rows
 carry the same ingest ordinal as the batch reader (file name, split start,
-row position in the split), so "first in file order" is unchanged.
+row position in the split), so "first in file order" is unchanged.  Each
+micro-batch is written by ``foreachBatch`` to its own folder, overwritten
+on replay, so a retried epoch never duplicates rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -27,23 +29,40 @@ def text_schema(spark: SparkSession, csv_dir: str) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in header])
 
 
+def _batch_writer(out_path: str, data_cols: list[str]):
+    """Write one micro-batch to ``<out>/batch=<epoch>``.
+
+    The row position is taken here, on the micro-batch's own file scan
+    (``monotonically_increasing_id`` is a batch expression), exactly as the
+    batch reader does.  Overwriting the epoch's own folder makes a replayed
+    epoch idempotent, so the landing is exactly-once."""
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        landed = batch.select(*[F.col(f"`{c}`") for c in data_cols],
+                              F.struct(F.col("__file").alias("file"),
+                                       F.col("__block").alias("block"),
+                                       F.monotonically_increasing_id().alias("row"))
+                              .alias(ORDINAL))
+        landed.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={epoch_id}")
+    return write
+
+
 def land_stream(spark: SparkSession, csv_dir: str, out_path: str,
                 checkpoint: str | None = None, schema: StructType | None = None,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start an ``availableNow`` stream from ``csv_dir`` to Parquet at
-    ``out_path``; the caller waits with ``awaitTermination()``."""
+    """Start an ``availableNow`` stream from ``csv_dir`` to Parquet under
+    ``out_path`` (one ``batch=<epoch>`` folder per micro-batch); the caller
+    waits with ``awaitTermination()``."""
     schema = schema or text_schema(spark, csv_dir)
     reader = spark.readStream.schema(schema).options(
         **{k: v for k, v in READ_OPTIONS.items() if k != "inferSchema"})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = reader.csv(csv_dir)
-    data = [F.col(f"`{c}`") for c in schema.names]
-    landed = src.select(*data, F.struct(
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row")).alias(ORDINAL))
-    return (landed.writeStream.format("parquet")
+    with_meta = src.select(*[F.col(f"`{c}`") for c in schema.names],
+                           F.col("_metadata.file_name").alias("__file"),
+                           F.col("_metadata.file_block_start").alias("__block"))
+    return (with_meta.writeStream
+            .foreachBatch(_batch_writer(out_path, schema.names))
             .option("checkpointLocation", checkpoint or shared_path(spark, "stream-ckpt"))
             .trigger(availableNow=True)
-            .start(out_path))
+            .start())
