@@ -191,3 +191,26 @@ def test_nulls_count_blanks(spark):
                                "s string, d double")
     rows = {r.column_name: (r.null_count, r.pct) for r in P.profile_nulls(df, "t").collect()}
     assert rows == {"s": (3, 75.0), "d": (2, 50.0)}
+
+
+def test_csv_reader_dialect_and_ordinal(spark):
+    import os
+
+    from dq_mart.session import local_fs_path, shared_path
+    from dq_mart.sources.csv import ORDINAL, read_raw_csv
+
+    base = local_fs_path(shared_path(spark, "tests", "csv"))
+    os.makedirs(base, exist_ok=True)
+    with open(os.path.join(base, "a.csv"), "w", encoding="utf-8") as f:
+        f.write('﻿Sl. No.,Name,Note\n1,"Doe, ""J""",None\n2,x,\n3,y,  \n')
+    df = read_raw_csv(spark, os.path.join(base, "a.csv"))
+    assert df.columns == ["Sl. No.", "Name", "Note", ORDINAL]
+    rows = df.orderBy(ORDINAL).collect()
+    assert [r["Sl. No."] for r in rows] == ["1", "2", "3"]
+    assert rows[0]["Name"] == 'Doe, "J"' and rows[0]["Note"] is None
+    assert rows[1]["Note"] is None and rows[2]["Note"] == "  "
+
+    with open(os.path.join(base, "bad.csv"), "w", encoding="utf-8") as f:
+        f.write("a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception):
+        read_raw_csv(spark, os.path.join(base, "bad.csv")).collect()
