@@ -12,7 +12,7 @@ from ..operators import profiling as P
 from ..operators.conform import (ColumnSpec, TableSpec, conform, good_rows,
                                  rejected_rows)
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, list_items_sql,
-                      ls_sql, nt_sql, strip_sql, yes_no_sql, yn_sql)
+                      ls_sql, nt_sql, yes_no_sql, yn_sql)
 from .registry import query
 from .standins import (DriverTables, dirty_bigint, dirty_date, dirty_list,
                        dirty_null_token, dirty_yes_no)
@@ -237,4 +237,3 @@ ORACLES["conform_rejects"] = f"""
 SELECT o_orderkey, {_REASONS} AS reasons, case_id, visit_date, priority, total_bill, branches
 FROM {_VISITS_CHECKED} c WHERE {_REASONS} <> ''"""
 
-__all__ = ["strip_sql"]

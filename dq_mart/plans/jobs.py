@@ -20,7 +20,6 @@ from ..operators import profiling as P
 from ..operators.cleaning import explode_list_pairs
 from ..operators.conform import REJECT_REASONS, RAW, conform, transform
 from ..operators.table_profile import TableProfile
-from ..functions.text import quoted
 from ..sources.catalog import row_counts
 from ..sources.csv import ORDINAL, read_raw_csv
 from ..sources.landing import RAW_PREFIX, land_raw

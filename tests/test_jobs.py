@@ -7,7 +7,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from dq_mart.plans import jobs as J
 from dq_mart.session import local_fs_path, shared_path
