@@ -57,24 +57,30 @@ def get_session(app: str = "dq_mart", master: str | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (also registered
+    with the SparkContext, so ``DataFrame.checkpoint()`` writes there).
 
     Falls back to a fresh private folder only for a local master (tests,
     laptops); on a cluster a missing setting is an error rather than a
     silent machine-local path.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = (spark.conf.get(_CHECKPOINT_KEY, None)
+            or sc.getConf().get(_CHECKPOINT_KEY, None))
     if root:
-        return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+        root = root.rstrip("/")
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)
+        return root
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             f"{_CHECKPOINT_KEY} is not set; point it at a shared folder")
     root = tempfile.mkdtemp(prefix="dq_mart-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, root)
-    spark.sparkContext.setCheckpointDir(root)
+    sc.setCheckpointDir(root)
     return root
 
 

@@ -47,7 +47,11 @@ def rename_path(spark: SparkSession, src: str, dst: str) -> None:
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
-    """Write and return the number of rows written (observed on the write)."""
+    """Write and return the number of rows written (observed on the write).
+
+    The observation sits directly under the write, in the job's result
+    stage, whose metric updates Spark applies once per successful task: a
+    retried task or a lost executor does not double-count."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
