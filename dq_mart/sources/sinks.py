@@ -111,3 +111,16 @@ def load_count_audit(spark: SparkSession, written: Sequence[Written],
         out = out.unionByName(p)
     return out.withColumn("ok", F.coalesce(F.col("rows_written") == F.col("rows_read"),
                                            F.lit(False)))
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str],
+               batch_size: int = 10000, max_connections: int = 16,
+               mode: str = "append") -> None:
+    """S6, JDBC variant: append rows to a database table with batched
+    inserts.  ``max_connections`` caps the writing tasks (each task holds one
+    connection), so a large cluster does not open thousands of sessions
+    against one database; a coalesce, not a shuffle, reduces the tasks.
+    (Not exercised by the tests: no database is started here.)"""
+    out = df.coalesce(max_connections) if max_connections else df
+    props = dict(properties, batchsize=str(batch_size))
+    out.write.mode(mode).jdbc(url, table, properties=props)
