@@ -25,6 +25,26 @@ DEFAULT_DATE_FORMATS = ("yyyy-MM-dd",)
 # ---------------------------------------------------------------------------
 
 LIST_SCHEMA = "array<string>"
+# Text shapes that Spark's integral / decimal casts can accept.  Checking the
+# shape first keeps junk text away from the cast's exception path (a thrown
+# and caught parse error per bad value costs far more than a regex match).
+_INT_TEXT = r"^\s*[+-]?\d+\s*$"
+_NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint", "byte", "short", "integer", "long")
+
+
+def safe_cast(c: Column | str, type_: str) -> Column:
+    """``try_cast`` from text, null when the value does not fit; integral
+    and decimal targets are shape-checked first (same results, no
+    exception per bad value).  Worth it where junk is common (P7); on
+    mostly clean columns the plain ``try_cast`` is cheaper."""
+    c = col_of(c)
+    t = type_.lower()
+    if t in _INTEGRAL:
+        return F.when(c.rlike(_INT_TEXT), c.try_cast(type_))
+    if t.startswith("decimal"):
+        return F.when(c.rlike(_NUM_TEXT), c.try_cast(type_))
+    return c.try_cast(type_)
 _JSON_OPTS = {"allowSingleQuotes": "true",
               "allowBackslashEscapingAnyCharacter": "true"}
 
@@ -55,7 +75,7 @@ def bigint_or_zero(c: Column | str) -> Column:
     truncated toward zero, anything unparseable or missing becomes 0."""
     c = col_of(c).cast("string")
     return F.coalesce(
-        c.try_cast("bigint"),
+        safe_cast(c, "bigint"),
         c.try_cast("double").try_cast("bigint"),
         F.lit(0).cast("bigint"),
     )

@@ -130,6 +130,8 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
             continue
         v = F.col(c.name)
         src_str = isinstance(have[c.name], StringType)
+        # plain try_cast: declared-type columns are mostly clean, bad values
+        # (rejects) are the exception
         t = v.try_cast(c.type) if c.type != "string" else v.cast("string")
         typed[c.name] = t
         reasons.extend(_fits(v, t, c, src_str))
