@@ -93,4 +93,6 @@ def parse_list_string(c: Column | str) -> Column:
     s = F.regexp_replace(s, r"^\((.*)\)$", "[$1]")
     s = F.regexp_replace(s, r"^\{(.*)\}$", "[$1]")
     s = F.regexp_replace(s, r",\s*\]$", "]")
-    return F.from_json(s, LIST_SCHEMA, _JSON_OPTS)
+    # only bracketed text can be an array: skip the parser (and its
+    # per-record parse error) for anything else
+    return F.when(s.startswith("[") & s.endswith("]"), F.from_json(s, LIST_SCHEMA, _JSON_OPTS))
