@@ -50,7 +50,7 @@ CSV = {
 
 
 @pytest.fixture(scope="module")
-def pipeline(spark):
+def lake(spark):
     base = shared_path(spark, "tests", "hospital")
     csv_dir = local_fs_path(f"{base}/csv")
     os.makedirs(csv_dir, exist_ok=True)
@@ -62,14 +62,14 @@ def pipeline(spark):
     return {"base": base, "landed": landed, "raw": raw}
 
 
-def test_landing_skips_missing_file(pipeline):
-    assert sorted(w.table for w in pipeline["landed"]) == sorted(
+def test_landing_skips_missing_file(lake):
+    assert sorted(w.table for w in lake["landed"]) == sorted(
         n for n in J.HOSPITAL_FILES if n != "lab_reports")
-    assert {w.table: w.rows for w in pipeline["landed"]}["branches"] == 3
+    assert {w.table: w.rows for w in lake["landed"]}["branches"] == 3
 
 
-def test_profile_job(spark, pipeline):
-    rep = J.profile_job(spark, pipeline["raw"])
+def test_profile_job(spark, lake):
+    rep = J.profile_job(spark, lake["raw"])
     rows = rep.collect()
     total = [r.value for r in rows if r.check_name == "row_counts" and r.table_name == "TOTAL"]
     assert total == ["20"]
@@ -90,14 +90,14 @@ def test_profile_job(spark, pipeline):
 
 
 @pytest.fixture(scope="module")
-def mart(spark, pipeline):
-    root = f"{pipeline['base']}/mart"
-    audit = {r.table_name: r for r in J.etl_job(spark, pipeline["raw"], root).collect()}
+def mart(spark, lake):
+    root = f"{lake['base']}/mart"
+    audit = {r.table_name: r for r in J.etl_job(spark, lake["raw"], root).collect()}
     return root, audit
 
 
-def test_etl_and_report(spark, pipeline, mart):
-    base = pipeline["base"]
+def test_etl_and_report(spark, lake, mart):
+    base = lake["base"]
     _, audit = mart
     assert all(r.ok for r in audit.values())
     assert audit["branches"].rows_written == 2 and audit["doctor_branch_visits"].rows_written == 2
