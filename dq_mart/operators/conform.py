@@ -14,7 +14,8 @@ transforms are then data, and two generic operators do the work:
 
 ``conform`` is one projection: reasons, typed values and (for rejected rows
 only) the raw text are computed in the same pass, so a sink can write good
-and rejected rows with one scan (``write_conformed``).
+and rejected rows with one scan (the ETL job partitions its output by load
+status, see ``plans/jobs.etl_job``).
 """
 
 from __future__ import annotations
@@ -146,25 +147,12 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
     return out.withColumn(RAW, F.when(F.col(REJECT_REASONS).isNotNull(), F.col(RAW)))
 
 
-def _split_barrier(conformed: DataFrame) -> DataFrame:
-    """Keep the good/rejected filter *above* the cleaning projection.
-
-    Catalyst pushes a filter below a deterministic projection by inlining the
-    projected expressions into the predicate; with several stacked cleaning
-    projections that predicate repeats every cast and grows too large for
-    compiled code, and every expression then runs twice.  A projection that
-    also holds a non-deterministic column (the task's partition id, dropped
-    right after) is not crossed, so each row is cleaned once."""
-    return conformed.select("*", F.spark_partition_id().alias("__task"))
-
-
 def good_rows(conformed: DataFrame) -> DataFrame:
     """Rows that fit, without the bookkeeping columns."""
-    return (_split_barrier(conformed).filter(F.col(REJECT_REASONS).isNull())
-            .drop(REJECT_REASONS, RAW, "__task"))
+    return conformed.filter(F.col(REJECT_REASONS).isNull()).drop(REJECT_REASONS, RAW)
 
 
 def rejected_rows(conformed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Rejected rows: kept columns, reasons and raw text."""
-    return (_split_barrier(conformed).filter(F.col(REJECT_REASONS).isNotNull())
+    return (conformed.filter(F.col(REJECT_REASONS).isNotNull())
             .select(*keep, F.col(REJECT_REASONS).alias("reasons"), F.col(f"{RAW}.*")))
