@@ -154,3 +154,22 @@ def test_sql_texts_match_dataframe_forms(spark, mart):
         got = run_query(spark, name)
         assert got.columns == df.columns, name
         assert [tuple(r) for r in got.collect()] == [tuple(r) for r in df.collect()], name
+
+
+def test_cli_runs_all_jobs(spark, lake, capsys):
+    import json
+
+    from dq_mart.__main__ import main
+    base = lake["base"]
+    csv_dir = local_fs_path(f"{base}/csv")
+    out = f"{base}/cli"
+    assert main(["land", "--csv", csv_dir, "--lake", f"{out}/lake"]) == 0
+    assert main(["profile", "--lake", f"{out}/lake", "--out", f"{out}/profile"]) == 0
+    assert main(["etl", "--lake", f"{out}/lake", "--mart", f"{out}/mart"]) == 0
+    assert main(["report", "--mart", f"{out}/mart", "--out", out,
+                 "--run-date", "2026-01-02"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[0]["job"] == "land" and lines[0]["branches"] == 3
+    assert lines[2]["branches"] == [2, 2, True]
+    assert spark.read.parquet(f"{out}/profile").count() > 50
+    assert spark.read.text(f"{out}/reports/daily_report_2026-01-02").count() > 10
