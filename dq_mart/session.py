@@ -45,6 +45,8 @@ def get_session(app: str = "dq_mart", master: str | None = None,
         # falls back to expression evaluation for that stage instead, which
         # is several times faster (Spark's documented HotSpot setting).
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # reliable checkpoints (lineage cuts) are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
