@@ -50,14 +50,14 @@ def union_all(parts: Iterable[DataFrame]) -> DataFrame:
 
 def row_counts(tables: Mapping[str, DataFrame], with_total: bool = True) -> DataFrame:
     """One row per table ``(table_name, row_count)`` and, optionally, a
-    final ``TOTAL`` row.  Each count is a global aggregate (Parquet answers
-    it from footers); the total is a sum over those few rows."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    counts = union_all(parts)
-    if not with_total:
-        return counts
-    total = counts.agg(F.sum("row_count").cast("bigint").alias("row_count")) \
-        .select(F.lit("TOTAL").alias("table_name"), "row_count")
-    return counts.unionByName(total)
+    final ``TOTAL`` row.
+
+    One aggregation: the tables are unioned as bare row markers (no column
+    is read, so each scan decodes nothing) and counted with ``rollup``,
+    which yields the per-table counts and the grand total together, each
+    with a map-side partial count."""
+    marks = union_all([df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
+    grouped = marks.rollup("table_name") if with_total else marks.groupBy("table_name")
+    counts = grouped.agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"),
+                         "row_count")
