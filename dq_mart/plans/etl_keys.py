@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import idiv
 from ..functions.text import NA_TOKENS, normalize_header
 from ..operators.cleaning import normalize_null_tokens
 from ..operators.conform import TableSpec, conform, good_rows, transform
@@ -55,7 +56,7 @@ def branches_raw():
     k = lambda: col("k")
     return "nation", "n_nationkey", [
         ("Sl. No.", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
-        ("Branch ID", lambda: _cat("BR", _pad2(F.floor(k() / 2))),
+        ("Branch ID", lambda: _cat("BR", _pad2(idiv(k(), F.lit(2)))),
          "'BR' || lpad(CAST(k // 2 AS VARCHAR), 2, '0')"),
         ("Location", lambda: col("n_name"), "n_name"),
         ("OT_Available", lambda: dirty_yes_no(k()), yn_sql("k")),
@@ -84,7 +85,7 @@ def doctors_raw():
     return "supplier", "s_suppkey", [
         ("Sl. No.", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
         ("Doctor Name", lambda: col("s_name"), "s_name"),
-        ("Doctor ID", lambda: _cat("DR", _txt(F.floor(k() / 3))), "'DR' || CAST(k // 3 AS VARCHAR)"),
+        ("Doctor ID", lambda: _cat("DR", _txt(idiv(k(), F.lit(3)))), "'DR' || CAST(k // 3 AS VARCHAR)"),
         ("Specialization", lambda: _cat("Spec ", _txt(nk())), "'Spec ' || CAST(s_nationkey AS VARCHAR)"),
         ("Qualification", qual,
          "CASE s_nationkey % 3 WHEN 0 THEN 'MBBS' WHEN 1 THEN 'MD' ELSE 'MBBS, MD (Internal Medicine)' END"),
@@ -99,13 +100,13 @@ def patients_raw():
     nk = lambda: col("c_nationkey")
     return "customer", "c_custkey", [
         ("Serial No", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(k() / 2))), "'PT' || CAST(k // 2 AS VARCHAR)"),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(k(), F.lit(2)))), "'PT' || CAST(k // 2 AS VARCHAR)"),
         ("Date of Registration", lambda: dirty_date(k(), F.lit("2024-01-15")), dt_sql("k", "'2024-01-15'")),
         ("Date of First Consultation", lambda: dirty_date(k() + 1, F.lit("2024-02-01")),
          dt_sql("(k + 1)", "'2024-02-01'")),
         ("Date of Latest Consultation", lambda: dirty_date(k() + 2, F.lit("2024-03-01")),
          dt_sql("(k + 2)", "'2024-03-01'")),
-        ("Overall Satisfaction Rating", lambda: _txt(F.floor(nk() / 5) + 1),
+        ("Overall Satisfaction Rating", lambda: _txt(idiv(nk(), F.lit(5)) + 1),
          "CAST(c_nationkey // 5 + 1 AS VARCHAR)"),
         ("Admission", lambda: dirty_yes_no(k()), yn_sql("k")),
         ("Surgery Underwent", lambda: dirty_yes_no(k() + 3), yn_sql("(k + 3)")),
@@ -119,13 +120,13 @@ def appointments_raw():
     return "orders", "o_orderkey", [
         ("Sl. No.", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
         ("Case ID", lambda: _txt(k() + F.lit(5000000000)), "CAST(k + 5000000000 AS VARCHAR)"),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(ck() / 2))), "'PT' || CAST(o_custkey // 2 AS VARCHAR)"),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(ck(), F.lit(2)))), "'PT' || CAST(o_custkey // 2 AS VARCHAR)"),
         ("Branch ID", lambda: _cat("BR", F.substring(col("o_orderpriority"), 1, 1)),
          "'BR' || substr(o_orderpriority, 1, 1)"),
         ("Date of Consultation", lambda: dirty_date(k(), col("o_orderdate")), dt_sql("k", "o_orderdate")),
-        ("Requested Doctor ID", lambda: _cat("DR", _txt(F.floor(ck() / 5))),
+        ("Requested Doctor ID", lambda: _cat("DR", _txt(idiv(ck(), F.lit(5)))),
          "'DR' || CAST(o_custkey // 5 AS VARCHAR)"),
-        ("Consulted Doctor ID", lambda: _cat("DR", _txt(F.floor(ck() / 7))),
+        ("Consulted Doctor ID", lambda: _cat("DR", _txt(idiv(ck(), F.lit(7)))),
          "'DR' || CAST(o_custkey // 7 AS VARCHAR)"),
         ("Reason for Visit", lambda: col("o_orderstatus"), "o_orderstatus"),
         ("Diagnosis", lambda: col("o_orderpriority"), "o_orderpriority"),
@@ -148,7 +149,7 @@ def billing_raw():
     return "orders", "o_orderkey", [
         ("Sl. No.", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
         ("Claim ID", lambda: dirty_bigint(k()), bi_sql("k")),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(col("o_custkey") / 2))),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(col("o_custkey"), F.lit(2)))),
          "'PT' || CAST(o_custkey // 2 AS VARCHAR)"),
         ("Case ID", lambda: dirty_bigint(k() + 1), bi_sql("(k + 1)")),
         ("Branch ID", lambda: _cat("BR", F.substring(col("o_orderpriority"), 1, 1)),
@@ -174,7 +175,7 @@ def surgeries_raw():
     return "lineitem", "l_orderkey", [
         ("Sl. No.", lambda: _txt(ln()), "CAST(l_linenumber AS VARCHAR)"),
         ("Case ID", lambda: _txt(k()), "CAST(k AS VARCHAR)"),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(col("l_partkey") / 2))),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(col("l_partkey"), F.lit(2)))),
          "'PT' || CAST(l_partkey // 2 AS VARCHAR)"),
         ("Doctor ID", lambda: _cat("DR", _txt(col("l_suppkey"))), "'DR' || CAST(l_suppkey AS VARCHAR)"),
         ("Branch ID", lambda: _cat("BR", _txt(ln())), "'BR' || CAST(l_linenumber AS VARCHAR)"),
@@ -199,7 +200,7 @@ def lab_reports_raw():
         ("Sl. No.", lambda: _txt(ln()), "CAST(l_linenumber AS VARCHAR)"),
         ("Report ID", lambda: _txt(k() * 10 + ln()), "CAST(k * 10 + l_linenumber AS VARCHAR)"),
         ("Case ID", lambda: dirty_bigint(k()), bi_sql("k")),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(col("l_partkey") / 2))),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(col("l_partkey"), F.lit(2)))),
          "'PT' || CAST(l_partkey // 2 AS VARCHAR)"),
         ("Branch ID", lambda: _cat("BR", _txt(ln())), "'BR' || CAST(l_linenumber AS VARCHAR)"),
         ("Test Name", lambda: _cat("Test ", col("l_returnflag")), "'Test ' || l_returnflag"),
@@ -215,7 +216,7 @@ def prescriptions_raw():
     return "part", "p_partkey", [
         ("Sl. No.", lambda: _txt(k() + 1), "CAST(k + 1 AS VARCHAR)"),
         ("Bill ID", lambda: _txt(k() + F.lit(7000000000)), "CAST(k + 7000000000 AS VARCHAR)"),
-        ("Patient ID", lambda: _cat("PT", _txt(F.floor(k() / 3))), "'PT' || CAST(k // 3 AS VARCHAR)"),
+        ("Patient ID", lambda: _cat("PT", _txt(idiv(k(), F.lit(3)))), "'PT' || CAST(k // 3 AS VARCHAR)"),
         ("Doctor ID", lambda: _cat("DR", _txt(size())), "'DR' || CAST(p_size AS VARCHAR)"),
         ("Medication Name", lambda: col("p_name"), "p_name"),
         ("Dosage", lambda: _cat(_txt(size()), "mg"), "CAST(p_size AS VARCHAR) || 'mg'"),
