@@ -52,3 +52,37 @@ def test_scan_reads_only_needed_columns(spark):
 def test_keep_first_is_an_aggregate_not_a_window(spark):
     plan = plan_of(E.queries()["dedup_keep_first"](spark, SF_SMALL))
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_fk_checks_shuffle_only_their_distinct_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # the plan before execution (an executed adaptive plan prints both
+        # its final and its initial form)
+        plan = plan_of(E.queries()["fk_orphans"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # eight relationships: one shuffle per side (the distinct), joined in place
+    assert plan.count("SortMergeJoin") == 8
+    assert plan.count("Exchange hashpartitioning") == 16
+
+
+def test_fk_examples_are_limited_per_task(spark):
+    df = E.queries()["fk_integrity"](spark, SF_SMALL)
+    df.collect()
+    assert "WindowGroupLimit" in plan_of(df)
+
+
+def test_row_counts_are_one_rollup(spark):
+    text = optimized_of(E.queries()["catalog_row_counts"](spark, SF_SMALL))
+    assert text.count("Aggregate [") == 1 and "Expand" in text
+
+
+def test_a_profiled_table_is_scanned_twice(spark):
+    from dq_mart.operators.table_profile import TableProfile
+    from dq_mart.plans import profiling_keys as PK
+    from dq_mart.plans.standins import DriverTables
+    t = DriverTables(spark, SF_SMALL)
+    prof = (TableProfile(PK.customer_nt(t), "customer").nulls().types("c_custkey")
+            .categorical(["segment", "c_nationkey"]).yes_no(["segment"]).long())
+    assert optimized_of(prof).count("Relation [") == 2
