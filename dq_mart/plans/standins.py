@@ -4,8 +4,8 @@ The reference's own CSVs are not shipped, so every operator is exercised on
 the driver's Parquet tables, each column cast into a hospital role (see
 FIXTURES.md section 3).  Dirty values are *derived* from each row's own key
 (never by filtering rows), so every query still reads whole tables and its
-work grows with them.  Each derivation here has a twin in the DuckDB oracle
-text of ``__spark_entry__.py``.
+work grows with them.  Each derivation here has a SQL twin in
+``plans/oracles.py`` used by the DuckDB oracles.
 """
 
 from __future__ import annotations
