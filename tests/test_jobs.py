@@ -173,3 +173,26 @@ def test_cli_runs_all_jobs(spark, lake, capsys):
     assert lines[2]["branches"] == [2, 2, True]
     assert spark.read.parquet(f"{out}/profile").count() > 50
     assert spark.read.text(f"{out}/reports/daily_report_2026-01-02").count() > 10
+
+
+def test_version_a_queries_on_hospital_mart(spark, mart):
+    from dq_mart.operators import analytics as A
+    root, _ = mart
+    appt = J.read_loaded(spark, root, "appointments")
+    bill = J.read_loaded(spark, root, "billing")
+    surg = J.read_loaded(spark, root, "surgeries")
+    branches = J.read_loaded(spark, root, "branches")
+    assert [tuple(r) for r in A.monthly_visits(appt).collect()] == [
+        ("BR01", 1, "2024-01"), ("BR02", 1, "2024-01"), ("BR01", 1, "2024-02")]
+    assert [tuple(r) for r in A.top_diagnoses_pct(appt).collect()] == [
+        ("Arthritis", 2, 66.67), ("Flu", 1, 33.33)]
+    assert [tuple(r) for r in A.revenue_coverage(bill).collect()] == [
+        ("BR02", 1, 200.25, 0.0, 200.25), ("BR01", 2, 150.5, 105.0, 45.5)]
+    assert [tuple(r) for r in A.surgery_outcomes_rate(surg).collect()] == [
+        ("DR1", 2, 1, 1, 0, 50.0), ("DR2", 1, 0, 0, 1, 0.0)]
+    # both branches are in Pune: merged by location
+    assert [tuple(r) for r in A.substitution_rate(appt, branches).collect()] == [
+        ("Pune", 3, 2, 66.67)]
+    # the insurer "None" is a reader null token: its claim status is empty
+    assert [tuple(r) for r in A.claim_status_rate(bill).collect()] == [
+        (None, 0, 0, 0, 0, None), ("Acme", 2, 1, 0, 1, 50.0)]
