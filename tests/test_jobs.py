@@ -196,3 +196,16 @@ def test_version_a_queries_on_hospital_mart(spark, mart):
     # the insurer "None" is a reader null token: its claim status is empty
     assert [tuple(r) for r in A.claim_status_rate(bill).collect()] == [
         (None, 0, 0, 0, 0, None), ("Acme", 2, 1, 0, 1, 50.0)]
+
+
+def test_shared_pass_report_equals_one_query_per_section(spark, mart):
+    from dq_mart.plans.report import report_lines
+    root, _ = mart
+    t = {n: J.read_loaded(spark, root, n) for n in ("appointments", "billing", "surgeries")}
+    one = sorted(tuple(r) for r in report_lines(J.report_sections(t)).collect())
+    shared_df = report_lines(J.report_sections_shared(t))
+    shared = sorted(tuple(r) for r in shared_df.collect())
+    assert shared == one
+    # each fact is scanned once: the sections read the checkpointed groups
+    plan = shared_df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1  # surgeries; the facts are checkpoints
