@@ -11,6 +11,10 @@ import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Every ASCII byte but letters and digits parts words.
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[:128] = True
+PUNCTUATION[[*b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32                       # A-Z to a-z, other bytes as they are
 _POS = 256
@@ -34,13 +38,13 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], parts: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and the number of words of each.
 
-    A word is a run of bytes other than space and 0x09-0x0D; A-Z count as
-    a-z.  Runs over concatenated texts, so the cost per text is small."""
+    A word is a run of bytes outside ``parts`` (space and 0x09-0x0D); A-Z
+    count as a-z.  Runs over concatenated texts, so the cost per text is small."""
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)]
-    space = _SPACE[data]
+    space = parts[data]
     inside = ~space
     first = inside.copy()
     first[1:] &= space[:-1]

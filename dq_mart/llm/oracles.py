@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import RULES, known_sentences
+
 #: Words, distinct shingles and exact similarity of all pairs that share a
 #: shingle; components by a recursive walk over the links.
 OP1 = r"""
@@ -32,4 +34,62 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id,
 FROM s JOIN comp ON comp.id = s.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_minhash_neardup": OP1}
+#: Signs compared place by place over all pairs of a query and a row.
+OP10 = """
+WITH v AS (SELECT DISTINCT vec_id AS id, list_transform(embedding, lambda x: x > 0) AS s
+           FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+d AS (SELECT q.id AS query_id, c.id AS neighbour_id,
+             CAST(len(list_filter(list_zip(q.s, c.s), lambda p: p[1] <> p[2])) AS BIGINT) AS distance
+      FROM v q JOIN v c ON q.id <> c.id WHERE q.id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM d)
+SELECT query_id, neighbour_id, distance, rank FROM r WHERE rank <= 10
+"""
+
+
+def _op5() -> str:
+    """Sentences one row each, joined with the known ones; rules in order."""
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ",\n".join(f"({q(t)}, {q(i)})" for t, i in known_sentences().items())
+    steps, left, hits = [], "seq0", []
+    for n, (licence, sequence) in enumerate(RULES, 1):
+        text = q("".join(f",{x}," for x in sequence))
+        steps.append(f"r{n} AS (SELECT *, replace(seq{n - 1}, {text}, '') AS seq{n} "
+                     f"FROM {'seq' if n == 1 else f'r{n - 1}'})")
+        hits.append(f"CASE WHEN seq{n} <> seq{n - 1} THEN {q(licence)} END")
+    last = len(RULES)
+    return rf"""
+WITH known(t, id) AS (VALUES {known}),
+cutting AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;:])\s+', '\1' || chr(10), 'g'),
+                            '[\r\n]+') AS parts
+  FROM documents),
+one AS (SELECT row, unnest(parts) AS s, unnest(range(len(parts))) AS pos FROM cutting),
+norm AS (
+  SELECT row, pos, trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower(s),
+      '[^a-z0-9.]+', ' ', 'g'), '\.(\s|$)', ' \1', 'g'), '(^|\s)\.', '\1 ', 'g')), '\s+', ' ', 'g')) AS t
+  FROM one),
+ids AS (SELECT row, list(id ORDER BY pos) AS l FROM norm JOIN known USING (t) GROUP BY row),
+seq AS (
+  SELECT doc_id, coalesce(l, []) AS l,
+         list_aggregate(list_prepend('', list_transform(coalesce(l, []), lambda x: ',' || x || ',')),
+                        'string_agg', '') AS seq0
+  FROM cutting LEFT JOIN ids USING (row)),
+{", ".join(steps)},
+named AS (
+  SELECT doc_id, l, list_concat(list_filter([{", ".join(hits)}], lambda x: x IS NOT NULL),
+    list_transform(list_filter(string_split(seq{last}, ','), lambda x: starts_with(x, 'ref:')),
+                   lambda x: x[5:])) AS a
+  FROM r{last}),
+once AS (SELECT doc_id, l, list_filter(a, lambda x, i: list_position(a, x) = i) AS u FROM named)
+SELECT doc_id, coalesce(array_to_string(l, ','), '') AS sentences,
+       coalesce(array_to_string(u, ','), '') AS licenses, CAST(len(u) AS BIGINT) AS n_licenses
+FROM once
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_minhash_neardup": OP1,
+    "op5_license_sentences": _op5(),
+    "op10_multi_index_hashing": OP10,
+}

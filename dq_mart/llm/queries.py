@@ -5,16 +5,88 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import neardup
-from .common import table
+from . import (codesearch, decontaminate, licenses, neardup, packing, pii, quality, secrets,
+               toxicity, urlfilter)
+from .common import fold_of, table
 
 
 def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source is the owner, its language part the repository."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"),
+                                 repo=F.concat_ws("/", "source", "lang"))
+    live = F.filter("found", lambda c: c["verdict"] == "live")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
+                        secrets.named_spans("found").alias("spans"),
+                        F.size(live).cast("bigint").alias("n_live"),
+                        (F.size("found") - F.size(live)).cast("bigint").alias("n_example"))
+
+
+def op3_quality_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(fold_of("doc_id") != 0))
+    return quality.score(docs, model).select(
+        "doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines", "bad_lines")
+
+
+def op4_url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The rules of the query, as verdict, host, path.
+    rules = [("allow", "com", "/"), ("block", "example.com", "/en/"),
+             ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.fit(pages), rules).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"), "words")
+
+
+def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licenses", ",").alias("licenses"),
+        F.size("licenses").cast("bigint").alias("n_licenses"))
+
+
+def op6_pii_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.fit(docs)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
+
+
+def op7_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = toxicity.fit(docs, labels.where(fold_of("doc_id") != 0))
+    return toxicity.score(docs, index).select(
+        "doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+def op8_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
+def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                       "doc_tokens", "sequence_id", "offset")
+
+
+def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 100 asks for its ten nearest codes."""
+    rows = table(spark, sf_dir, "embeddings")
+    return codesearch.nearest_codes(rows, rows.where("vec_id % 100 = 0"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_neardup,)
+    f.__name__: f for f in (
+        op1_minhash_neardup, op2_secret_ownership, op3_quality_line_crf, op4_url_words,
+        op5_license_sentences, op6_pii_semi_markov, op7_toxicity_neighbours,
+        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing)
 }
