@@ -30,6 +30,7 @@ LIST_SCHEMA = "array<string>"
 # and caught parse error per bad value costs far more than a regex match).
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
 _NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_QUOTED = r"""^\(\s*(?:'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*")\s*\)$"""
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint", "byte", "short", "integer", "long")
 
 
@@ -49,6 +50,28 @@ _JSON_OPTS = {"allowSingleQuotes": "true",
               "allowBackslashEscapingAnyCharacter": "true"}
 
 
+def number_or_null(c: Column | str) -> Column:
+    """Text -> DOUBLE for plain decimal numbers (with an exponent or not);
+    null for anything else, also for forms that only Java reads (``12d``,
+    ``0x1p3``, ``Infinity``)."""
+    c = col_of(c)
+    return F.when(c.rlike(_NUM_TEXT), c.try_cast("double"))
+
+
+def declared_cast(c: Column, type_: str, from_text: bool) -> Column:
+    """A value as its declared type, null when it does not fit.  An integer
+    column takes any number and rounds it half away from zero, as the store
+    does on assignment (``5.0`` is 5, ``12.7`` is 13); text that is no plain
+    number does not fit."""
+    if type_.lower() not in _INTEGRAL:
+        return c.try_cast(type_)
+    exact = c.try_cast("decimal(38,10)")
+    if not from_text:
+        return F.round(exact, 0).try_cast(type_)
+    return F.coalesce(c.try_cast(type_),
+                      F.when(c.rlike(_NUM_TEXT), F.round(exact, 0).try_cast(type_)))
+
+
 def yes_no(c: Column | str) -> Column:
     """Text -> boolean: strip, lower, membership; null becomes False."""
     norm = F.lower(strip_ws(col_of(c).cast("string")))
@@ -70,15 +93,17 @@ def to_date_safe(c: Column | str,
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 
-def bigint_or_zero(c: Column | str) -> Column:
+def bigint_from_text(c: Column | str) -> Column:
     """Text -> BIGINT: exact for integers (also above 2^53), fractions are
-    truncated toward zero, anything unparseable or missing becomes 0."""
+    truncated toward zero, null for anything that is no number."""
     c = col_of(c).cast("string")
-    return F.coalesce(
-        safe_cast(c, "bigint"),
-        c.try_cast("double").try_cast("bigint"),
-        F.lit(0).cast("bigint"),
-    )
+    # the second arm reads numbers only, not literals such as 12d or 0x1p3
+    return F.coalesce(safe_cast(c, "bigint"), number_or_null(c).try_cast("bigint"))
+
+
+def bigint_or_zero(c: Column | str) -> Column:
+    """Text -> BIGINT with 0 for anything unparseable or missing."""
+    return F.coalesce(bigint_from_text(c), F.lit(0).cast("bigint"))
 
 
 def parse_list_string(c: Column | str) -> Column:
@@ -86,10 +111,13 @@ def parse_list_string(c: Column | str) -> Column:
     does not parse.
 
     Accepted: ``['A', 'B']``, ``["A"]``, ``[]``, escaped quotes, a trailing
-    comma, and a tuple or set bracket pair.  A bare string, unquoted items or
-    empty text are parse errors.
+    comma, and a tuple or set bracket pair.  A bare string (also in
+    parentheses, where only a comma makes a tuple), unquoted items or empty
+    text are parse errors.
     """
     s = strip_ws(col_of(c))
+    # only a comma makes a tuple: ('AB') is the string itself
+    s = F.when(~s.rlike(_QUOTED), s)
     s = F.regexp_replace(s, r"^\((.*)\)$", "[$1]")
     s = F.regexp_replace(s, r"^\{(.*)\}$", "[$1]")
     s = F.regexp_replace(s, r",\s*\]$", "]")

@@ -81,9 +81,9 @@ def revenue_coverage(billing: DataFrame, branch: str = "branch_id",
     return (billing
             .groupBy(F.col(branch).alias("branch_id"))
             .agg(count_all().alias("total_claims"),
-                 sum_money(bill).cast("double").alias("total_revenue"),
-                 sum_money(covered).cast("double").alias("total_covered"),
-                 sum_money(out_of_pocket).cast("double").alias("total_out_of_pocket"))
+                 sum_money(bill).alias("total_revenue"),
+                 sum_money(covered).alias("total_covered"),
+                 sum_money(out_of_pocket).alias("total_out_of_pocket"))
             .orderBy(F.desc_nulls_first("total_revenue"), F.asc_nulls_last("branch_id")))
 
 
@@ -96,7 +96,7 @@ def revenue_by_branch(billing: DataFrame, branch: str = "branch_id",
                 sum_money(bill).alias("_sum"),
                 F.count(bill).alias("_n")))
     return (agg.select("branch_id", "total_claims",
-                       F.col("_sum").cast("double").alias("total_revenue"),
+                       F.col("_sum").alias("total_revenue"),
                        avg_money_from("_sum", "_n").alias("avg_bill"))
             .orderBy(F.desc_nulls_first("total_revenue"), F.asc_nulls_last("branch_id")))
 

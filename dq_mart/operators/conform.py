@@ -8,8 +8,8 @@ transforms are then data, and two generic operators do the work:
 * ``transform(raw, spec)`` — the reference's cleaning steps (P1, P3, P4, P5,
   P6, P7, D1), in its order;
 * ``conform(df, spec)`` — the implicit cast of an INSERT into the declared
-  types (P8), made explicit: ``try_cast`` per column plus a length check
-  for VARCHAR(n); a row whose non-null input does not fit is *rejected*
+  types (P8), made explicit: a cast per column (numbers are rounded into
+  integer columns) plus a length check for VARCHAR(n); a row whose non-null input does not fit is *rejected*
   with its reasons instead of failing the load.
 
 ``conform`` is one projection: reasons, typed values and (for rejected rows
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.casts import DEFAULT_DATE_FORMATS
+from ..functions.casts import DEFAULT_DATE_FORMATS, declared_cast
 from .cleaning import (cast_bigint_default0, cast_dates, cast_yes_no,
                        clean_headers, dedup_keep_first, rename_columns)
 
@@ -131,19 +131,20 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
             continue
         v = F.col(c.name)
         src_str = isinstance(have[c.name], StringType)
-        # plain try_cast: declared-type columns are mostly clean, bad values
-        # (rejects) are the exception
-        t = v.try_cast(c.type) if c.type != "string" else v.cast("string")
+        t = declared_cast(v, c.type, src_str) if c.type != "string" else v.cast("string")
         typed[c.name] = t
         reasons.extend(_fits(v, t, c, src_str))
         raw_fields.append(v.cast("string").alias(c.name))
     # concat_ws skips nulls: the reasons of a row, or null when it fits.
     why = (F.nullif(F.concat_ws("; ", *reasons), F.lit("")) if reasons
            else F.lit(None).cast("string"))
-    out = df.select(*[typed[c].alias(c) for c in spec.column_names],
-                    *[F.col(k) for k in keep],
-                    why.alias(REJECT_REASONS),
-                    F.struct(*raw_fields).alias(RAW))
+    row = F.struct(*[typed[c].alias(c) for c in spec.column_names],
+                   *[F.col(k) for k in keep],
+                   why.alias(REJECT_REASONS),
+                   F.struct(*raw_fields).alias(RAW))
+    # one row out of a generator: a filter on the reasons stays above it, so
+    # the cleaning of a row is evaluated once, not again inside the filter
+    out = df.select(F.explode(F.array(row)).alias("__row")).select("__row.*")
     return out.withColumn(RAW, F.when(F.col(REJECT_REASONS).isNotNull(), F.col(RAW)))
 
 
