@@ -2,7 +2,8 @@
 parent column.
 
 Semantics of the reference's set difference: keys are compared as distinct
-sets; a null child key is an id of its own and an orphan unless the parent
+sets, in a type that loses nothing of either side (keys of different kinds
+by a text that is the same for equal numbers); a null child key is an id of its own and an orphan unless the parent
 has a null key too (null-safe equality).
 
 Plan: both sides are reduced to distinct keys first (hash aggregate with
@@ -21,15 +22,19 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import (DataType, FractionalType, IntegralType, LongType, NumericType,
+                               StringType)
 from pyspark.sql.window import Window
 
 from ..functions.text import col_of
 from ..session import checkpoint_root
 
 
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     label: str
@@ -39,15 +44,36 @@ class ForeignKey:
     parent_col: str
 
 
-def distinct_keys(df: DataFrame, col: str, alias: str = "k") -> DataFrame:
-    return df.select(col_of(col).alias(alias)).distinct()
+def _common_type(a: DataType, b: DataType) -> DataType | None:
+    """The type in which keys of two types compare without loss; None when
+    only their text does."""
+    if a == b:
+        return a
+    if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+        return LongType()
+    return None
+
 
+def _key_text(k: Column, type_: DataType) -> Column:
+    """A key as text that is equal for equal numbers of any type: ``5``,
+    ``5.0`` and ``"5"`` are one key, ``1.5`` and ``"zz"`` are keys that no
+    whole number equals."""
+    text = k.cast("string")
+    if isinstance(type_, (StringType, FractionalType)):
+        exact = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)"))
+        plain = F.regexp_replace(exact.cast("string"), r"\.?0+$", "")
+        return F.coalesce(F.when(exact == 0, F.lit("0")).otherwise(plain), text)
+    return text
 
-def _key_pair(df: DataFrame, col: str, as_type: DataType) -> DataFrame:
+
+def _key_pair(df: DataFrame, col: str, as_type: DataType | None) -> DataFrame:
     """Distinct keys as ``(kc, kn)`` = ``(coalesce(k, default), isnull(k))``:
     equality on the pair is null-safe equality on the key."""
-    k = col_of(col).cast(as_type)
-    if isinstance(as_type, NumericType):
+    k = (col_of(col).cast(as_type) if as_type is not None
+         else _key_text(col_of(col), df.schema[col].dataType))
+    if as_type is None:
+        default = F.lit("")
+    elif isinstance(as_type, NumericType):
         default = F.lit(0).cast(as_type)
     elif isinstance(as_type, StringType):
         default = F.lit("")
@@ -70,12 +96,12 @@ def flagged_keys(child: DataFrame, child_col: str, parent: DataFrame,
       key is an orphan unless the parent has a null key).
     Each child key meets at most one parent key: no row is multiplied and
     no key is hot in the join."""
-    ptype = parent.schema[parent_col].dataType
+    ptype = _common_type(child.schema[child_col].dataType, parent.schema[parent_col].dataType)
     c = _key_pair(child, child_col, ptype)
     p = _key_pair(parent, parent_col, ptype).withColumn("__hit", F.lit(True))
     j = c.join(p, ["kc", "kn"], "left")
     k = F.when(~F.col("kn"), F.col("kc"))
-    if not isinstance(ptype, (NumericType, StringType)):
+    if ptype is not None and not isinstance(ptype, (NumericType, StringType)):
         k = k.cast(ptype)
     return j.select(k.alias("k"), F.col("__hit").isNull().alias("orphan"))
 
@@ -132,7 +158,12 @@ def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame
     srt = F.sort_array(F.collect_list(F.struct("__rn", "k_txt")))
     txt = F.transform(srt, lambda e: F.coalesce(e["k_txt"], F.lit("NULL")))
     ex = top.groupBy("label").agg(F.array_join(txt, ", ").alias("examples"))
-    return counts.join(ex, "label", "left").select("label", "child_ids", "orphans", "examples")
+    # every relationship has a row, also one whose child is empty
+    labels = checks[0].child.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(fk.label) for fk in checks])).alias("label"))
+    return labels.join(counts, "label", "left").join(ex, "label", "left").select(
+        "label", F.coalesce("child_ids", F.lit(0)).alias("child_ids"),
+        F.coalesce("orphans", F.lit(0)).alias("orphans"), "examples")
 
 
 def fk_check(fk: ForeignKey, n_examples: int = 5) -> DataFrame:

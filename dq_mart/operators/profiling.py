@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, FloatType, NumericType,
                                StringType, TimestampNTZType, TimestampType)
 
-from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN,
+from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN, number_or_null,
                                parse_list_string, to_date_safe)
 from ..functions.numeric import pct_half_up
 from ..functions.text import is_blank, quoted, strip_ws
@@ -115,7 +115,7 @@ def profile_int_range_text(df: DataFrame, table: str,
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(quoted(c))
-        num = strip_ws(v).try_cast("double")
+        num = number_or_null(strip_ws(v))
         aggs += [F.count(v).alias(f"__t{i}"), F.count(num).alias(f"__p{i}"),
                  F.max(num).alias(f"__m{i}")]
     one = df.agg(*aggs)
@@ -177,8 +177,13 @@ def parsed_date(df: DataFrame, c: str,
 def profile_dates(df: DataFrame, table: str, cols: Sequence[str],
                   formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
     """``(table_name, column_name, bad_count, min_date, max_date)``;
-    bad = unparseable or null; the range only when nothing is bad."""
+    bad = unparseable or null; the range only when nothing is bad.  Absent
+    columns are skipped."""
     cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, column_name string, bad_count bigint, "
+            "min_date date, max_date date")
     aggs = []
     for i, c in enumerate(cols):
         p = parsed_date(df, c, formats)
@@ -227,8 +232,13 @@ def profile_yes_no(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
     """``(table_name, column_name, yes_count, no_count,
     unexpected_count)``.  The domain test trims and lower-cases distinct
     values (a null is unexpected); the counts lower-case without trimming
-    and are given only when nothing is unexpected."""
+    and are given only when nothing is unexpected.  Absent columns are
+    skipped."""
     cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, column_name string, yes_count bigint, no_count bigint, "
+            "unexpected_count bigint")
     d = _distinct_values(df, cols)
     norm, unexp = _unexpected(F.col("raw"))
     lower = F.lower(F.col("raw"))
@@ -247,8 +257,11 @@ def profile_yes_no(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
 
 def profile_yes_no_unexpected(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
     """C7 detail: the distinct unexpected (trimmed, lower-cased) values per
-    column; a null value appears as a null."""
+    column; a null value appears as a null.  Absent columns are skipped."""
     cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df.sparkSession.createDataFrame(
+            [], "table_name string, column_name string, unexpected_value string")
     d = _distinct_values(df, cols)
     norm, unexp = _unexpected(F.col("raw"))
     return (d.filter(unexp).select("column_name", norm.alias("unexpected_value"))

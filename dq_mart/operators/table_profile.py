@@ -21,14 +21,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
-from pyspark.sql.window import Window
 
-from ..functions.casts import DEFAULT_DATE_FORMATS, YES_NO_DOMAIN
+from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN, number_or_null,
+                               parse_list_string)
 from ..functions.numeric import pct_half_up
 from ..functions.text import quoted, strip_ws
+from ..session import checkpoint_root
 from .profiling import (INT_MAX, missing_predicate, numeric_columns,
                         parsed_date)
 
+#: Stands for the items of the list column among the column names.
+_ITEMS = "[items]"
 LONG_COLUMNS = ["step", "check_name", "table_name", "column_name", "item", "metric",
                 "value"]
 
@@ -61,6 +64,8 @@ class TableProfile:
         self._items: list[Column] = []
         self._cat: tuple[int, list[str], list[str]] | None = None
         self._yn: tuple[int, list[str]] | None = None
+        self._yn_values = False
+        self._list: tuple | None = None
 
     def _agg(self, expr: Column) -> Column:
         alias = f"__a{len(self._aggs)}"
@@ -105,7 +110,7 @@ class TableProfile:
                 mx = self._agg(F.max(v))
                 keep = None
             elif isinstance(self.df.schema[c].dataType, StringType):
-                num = strip_ws(v).try_cast("double")
+                num = number_or_null(strip_ws(v))
                 mx = self._agg(F.max(num))
                 t, p = self._agg(F.count(v)), self._agg(F.count(num))
                 keep = (t == p) & (t > 0)
@@ -142,6 +147,19 @@ class TableProfile:
             _item(step, check, table, column, None, "all_mismatch", m == n)]
         return self
 
+    def list_column(self, col: str, step: int = 8, table=None, column=None) -> "TableProfile":
+        """Rows, parse errors and pairs here; the distinct items in the
+        value pass."""
+        n = self._rows()
+        items = parse_list_string(F.col(quoted(col)))
+        errors = self._agg(F.count_if(items.isNull()))
+        pairs = self._agg(F.coalesce(F.sum(F.size(F.coalesce(items, F.array().cast("array<string>")))),
+                                     F.lit(0)))
+        for metric, value in (("total_rows", n), ("parse_errors", errors), ("pairs", pairs)):
+            self._items.append(_item(step, "list_column", table, column, None, metric, value))
+        self._list = (step, col, table, column)
+        return self
+
     # --- value pass ------------------------------------------------------------------
 
     def categorical(self, cols: Sequence[str], step: int = 5) -> "TableProfile":
@@ -149,86 +167,110 @@ class TableProfile:
         self._cat = (step, have, [c for c in cols if c not in self.df.columns])
         return self
 
-    def yes_no(self, cols: Sequence[str], step: int = 7) -> "TableProfile":
+    def yes_no(self, cols: Sequence[str], step: int = 7,
+               values: bool = False) -> "TableProfile":
+        """Yes/no audit; ``values`` also lists the distinct unexpected values
+        (normalised; a null as ``NULL``)."""
         self._yn = (step, [c for c in cols if c in self.df.columns])
+        self._yn_values = values
         return self
 
     def _value_pass(self) -> DataFrame | None:
         cat = self._cat[1] if self._cat else []
         yn = self._yn[1] if self._yn else []
         cols = list(dict.fromkeys(cat + yn))
-        if not cols:
-            return None
-        stacked = self.df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("string").alias("raw"))
-            for c in cols])).alias("__v")).select("__v.*")
-        g = stacked.groupBy("column_name", "raw").agg(F.count(F.lit(1)).alias("cnt"))
-        # windows run over the grouped rows of one column: its distinct values
-        w = Window.partitionBy("column_name")
+        if not cols and not self._list:
+            return self._missing()
+        value = lambda c, v: F.struct(F.lit(c).alias("column_name"), v.alias("raw"))
+        values = F.array(*[value(c, F.col(quoted(c)).cast("string")) for c in cols])
+        if self._list:
+            items = F.transform(F.coalesce(parse_list_string(F.col(quoted(self._list[1]))),
+                                           F.array().cast("array<string>")),
+                                lambda x: value(_ITEMS, strip_ws(x)))
+            values = F.concat(values, items) if cols else items
+        stacked = self.df.select(F.explode(values).alias("__v")).select("__v.*")
         raw, cnt, col = F.col("raw"), F.col("cnt"), F.col("column_name")
-        norm = F.lower(strip_ws(raw))
-        unexp = ~F.coalesce(norm.isin(*YES_NO_DOMAIN), F.lit(False))
-        lower = F.lower(raw)
-        # one flag per distinct normalised value, so counting distinct
-        # unexpected values is a sum (no set materialised per row)
-        g = g.withColumn("__nfirst", F.row_number().over(
-            Window.partitionBy("column_name", norm).orderBy(F.asc_nulls_first("raw"))) == 1)
-        distinct_unexp = F.when(unexp & norm.isNotNull() & F.col("__nfirst"), 1).otherwise(0)
-        g = g.select("*",
-                     F.sum(cnt).over(w).alias("__total"),
-                     (F.sum(distinct_unexp).over(w)
-                      + F.max(F.when(raw.isNull(), 1).otherwise(0)).over(w))
-                     .cast("bigint").alias("__uc"),
-                     F.sum(F.when(lower == "yes", cnt).otherwise(0)).over(w)
-                     .cast("bigint").alias("__y"),
-                     F.sum(F.when(lower == "no", cnt).otherwise(0)).over(w)
-                     .cast("bigint").alias("__no"),
-                     (F.row_number().over(w.orderBy(F.asc_nulls_first("raw"))) == 1)
-                     .alias("__first"))
-        items = []
+        # several results read the distinct values; written once to the shared
+        # folder, they cost one scan of the table
+        checkpoint_root(self.df.sparkSession)
+        g = stacked.groupBy("column_name", "raw").agg(F.count(F.lit(1)).alias("cnt")) \
+            .checkpoint(eager=True)
+        lower, norm = F.lower(raw), F.lower(strip_ws(raw))
+        unexp = norm.isNotNull() & ~norm.isin(*YES_NO_DOMAIN)
+        # the distinct values are the one large input; per column they are
+        # aggregated with partial sums, by (column, normalised value) first so
+        # that counting distinct unexpected values is a sum as well
+        by_norm = g.groupBy("column_name", norm.alias("norm")).agg(
+            F.sum("cnt").alias("cnt"),
+            F.sum(F.when(lower == "yes", cnt).otherwise(0)).alias("y"),
+            F.sum(F.when(lower == "no", cnt).otherwise(0)).alias("no"),
+            F.max(F.when(unexp, 1).otherwise(0)).alias("unexpected"),
+            F.max(F.when(raw.isNull(), 1).otherwise(0)).alias("null"))
+        per = by_norm.groupBy("column_name").agg(
+            F.sum("cnt").alias("total"), F.sum("y").cast("bigint").alias("y"),
+            F.sum("no").cast("bigint").alias("no"),
+            (F.sum("unexpected") + F.max("null")).cast("bigint").alias("uc"))
+        parts = []
         if cat:
             step = self._cat[0]
-            is_cat = col.isin(*cat) & raw.isNotNull()
-            items += [_item(step, "categorical", self.table, col, raw, "cnt", cnt, is_cat),
-                      _item(step, "categorical", self.table, col, raw, "pct",
-                            _num_text(pct_half_up(cnt, F.col("__total"), 1)), is_cat),
-                      _item(step, "categorical", self.table, col, raw, "status", F.lit("ok"),
-                            is_cat)]
+            # one row per audited column: as small as the list of columns
+            totals = F.broadcast(per.select("column_name", "total"))
+            items = [_item(step, "categorical", self.table, col, raw, "cnt", cnt),
+                     _item(step, "categorical", self.table, col, raw, "pct",
+                           _num_text(pct_half_up(cnt, F.col("total"), 1))),
+                     _item(step, "categorical", self.table, col, raw, "status", F.lit("ok"))]
+            parts.append(g.where(col.isin(*cat) & raw.isNotNull()).join(totals, "column_name")
+                         .select(F.explode(F.array(*items)).alias("__m")))
         if yn:
-            step = self._yn[0]
-            uc = F.col("__uc")
-            is_yn = col.isin(*yn) & F.col("__first")
-            items += [_item(step, "yes_no", self.table, col, None, "yes_count",
-                            F.when(uc == 0, F.col("__y")), is_yn),
-                      _item(step, "yes_no", self.table, col, None, "no_count",
-                            F.when(uc == 0, F.col("__no")), is_yn),
-                      _item(step, "yes_no", self.table, col, None, "unexpected_count", uc,
-                            is_yn)]
-        out = g.select(F.explode(F.array(*items)).alias("__m")).select("__m.*")
-        out = out.filter("__keep").select(*LONG_COLUMNS)
-        if self._cat and self._cat[2]:
-            step = self._cat[0]
-            spark = self.df.sparkSession
-            missing = spark.createDataFrame(
-                [(step, "categorical", self.table, c, None, m, v)
-                 for c in self._cat[2]
-                 for m, v in (("cnt", None), ("pct", None), ("status", "missing"))],
-                "step int, check_name string, table_name string, column_name string, "
-                "item string, metric string, value string")
-            out = out.unionByName(missing)
-        return out
+            step, uc = self._yn[0], F.col("uc")
+            items = [_item(step, "yes_no", self.table, col, None, "yes_count",
+                           F.when(uc == 0, F.col("y"))),
+                     _item(step, "yes_no", self.table, col, None, "no_count",
+                           F.when(uc == 0, F.col("no"))),
+                     _item(step, "yes_no", self.table, col, None, "unexpected_count", uc)]
+            parts.append(per.where(col.isin(*yn)).select(F.explode(F.array(*items)).alias("__m")))
+            if self._yn_values:
+                bad = by_norm.where(col.isin(*yn) & ((F.col("unexpected") == 1) | (F.col("null") == 1)))
+                parts.append(bad.select(_item(step, "yes_no_unexpected", self.table, col, F.col("norm"),
+                                              "value", F.coalesce("norm", F.lit("NULL"))).alias("__m")))
+        if self._list:
+            step, _, table, column = self._list
+            found = g.where((col == _ITEMS) & raw.isNotNull()).agg(F.count(F.lit(1)).alias("d"))
+            parts.append(found.select(_item(step, "list_column", table, column, None,
+                                            "distinct_items", F.col("d")).alias("__m")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out = out.select("__m.*").select(*LONG_COLUMNS)
+        missing = self._missing()
+        return out if missing is None else out.unionByName(missing)
+
+    def _missing(self) -> DataFrame | None:
+        """Rows for audited columns that the table lacks."""
+        if not (self._cat and self._cat[2]):
+            return None
+        return self.df.sparkSession.createDataFrame(
+            [(self._cat[0], "categorical", self.table, c, None, m, v)
+             for c in self._cat[2]
+             for m, v in (("cnt", None), ("pct", None), ("status", "missing"))],
+            "step int, check_name string, table_name string, column_name string, "
+            "item string, metric string, value string")
 
     # --- both ----------------------------------------------------------------------------
 
     def long(self) -> DataFrame:
         parts = []
-        if self._aggs:
+        if self._items:
             one = self.df.agg(*self._aggs)
             parts.append(one.select(F.explode(F.array(*self._items)).alias("__m"))
                          .select("__m.*").filter("__keep").select(*LONG_COLUMNS))
         vp = self._value_pass()
         if vp is not None:
             parts.append(vp)
+        if not parts:     # no check applies to this table
+            return self.df.sparkSession.createDataFrame(
+                [], "step int, check_name string, table_name string, column_name string, "
+                "item string, metric string, value string")
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)

@@ -39,12 +39,6 @@ def get_session(app: str = "dq_mart", master: str | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # HotSpot does not JIT-compile methods above 8000 bytes of bytecode;
-        # a wider generated stage (many cleaning expressions over derived
-        # columns) would run as interpreted bytecode.  At this limit Spark
-        # falls back to expression evaluation for that stage instead, which
-        # is several times faster (Spark's documented HotSpot setting).
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         # reliable checkpoints (lineage cuts) are removed once unreferenced
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -77,7 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError(
             f"{_CHECKPOINT_KEY} is not set; point it at a shared folder")
     root = tempfile.mkdtemp(prefix="dq_mart-ckpt-")
@@ -95,6 +89,14 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return "/".join([checkpoint_root(spark), *segs])
 
 
+def scratch_path(spark: SparkSession, *parts: str) -> str:
+    """A fresh path under the shared folder that goes when the driver ends."""
+    path = shared_path(spark, "scratch", *parts)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side existence checks."""
     if path.startswith("file:"):

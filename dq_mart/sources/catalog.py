@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import functools
 import logging
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sinks import path_exists
+
 log = logging.getLogger(__name__)
 
 # Tables of the driver's test data folders.
@@ -22,22 +23,13 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "benchmark", "labels", "conversations")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if path.startswith(("file:", "/")):
-        return os.path.exists(path.removeprefix("file:"))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def load_parquet_catalog(spark: SparkSession, folder: str,
                          names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
     """``<folder>/<name>.parquet`` for each name that exists."""
     out: dict[str, DataFrame] = {}
     for name in names:
         path = f"{folder.rstrip('/')}/{name}.parquet"
-        if _exists(spark, path):
+        if path_exists(spark, path):
             out[name] = spark.read.parquet(path)
         else:
             log.warning("table %s not found at %s; skipped", name, path)
@@ -52,12 +44,12 @@ def row_counts(tables: Mapping[str, DataFrame], with_total: bool = True) -> Data
     """One row per table ``(table_name, row_count)`` and, optionally, a
     final ``TOTAL`` row.
 
-    One aggregation: the tables are unioned as bare row markers (no column
-    is read, so each scan decodes nothing) and counted with ``rollup``,
-    which yields the per-table counts and the grand total together, each
-    with a map-side partial count."""
-    marks = union_all([df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
-    grouped = marks.rollup("table_name") if with_total else marks.groupBy("table_name")
-    counts = grouped.agg(F.count(F.lit(1)).alias("row_count"))
+    Each table is one global count (no column is read, so a scan decodes
+    nothing), which gives a row for an empty table too; ``rollup`` over these
+    few counts adds the total in the same plan."""
+    counts = union_all([df.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(name).alias("table_name"), "n") for name, df in tables.items()])
+    grouped = counts.rollup("table_name") if with_total else counts.groupBy("table_name")
+    counts = grouped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
     return counts.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"),
                          "row_count")

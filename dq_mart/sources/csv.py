@@ -5,7 +5,7 @@ second scan and guess differently from the reference), applies the
 reference reader's null tokens, and can attach the *ingest ordinal* — the
 file order of each row — taken on the scan itself:
 
-    ingest_ord = struct(file name, split start offset, monotonically_increasing_id())
+    ingest_ord = struct(file path, split start offset, monotonically_increasing_id())
 
 Within one split, ``monotonically_increasing_id`` grows with file order;
 splits of one file are ordered by their start offset; files by name.  So
@@ -20,21 +20,24 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import null_tokens
 
 ORDINAL = "ingest_ord"
 
 # Reader options matching the reference's CSV dialect: header row, doubled
-# quotes inside quoted fields, empty field = missing.  Rows with too many
-# fields fail the job (the reference's reader raises), instead of being
-# silently truncated.
+# quotes inside quoted fields, empty field = missing.  A row with fewer fields
+# than the header is filled up with nulls; one with more fails the job (see
+# ``no_surplus``).  Columns are never pruned in the parser, whose check of a
+# row would otherwise depend on what a query selects.
 READ_OPTIONS = {
     "header": "true",
     "inferSchema": "false",
     "quote": '"',
     "escape": '"',
-    "mode": "FAILFAST",
+    "mode": "PERMISSIVE",
+    "columnPruning": "false",
     "encoding": "UTF-8",
 }
 
@@ -51,6 +54,28 @@ WRITE_OPTIONS = {
 }
 
 
+#: Takes the first field beyond the header's.
+SURPLUS = "__surplus"
+
+
+def text_schema(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> StructType:
+    """All-text schema from the header of the files (no data is read)."""
+    names = spark.read.options(**dict(READ_OPTIONS, **(options or {}))).csv(path).columns
+    return StructType([StructField(c, StringType(), True) for c in names])
+
+
+def with_surplus(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(SURPLUS, StringType(), True)])
+
+
+def no_surplus(df: DataFrame) -> DataFrame:
+    """Fail on a row with more fields than the header, whatever is selected:
+    a filter that every row passes or raises in."""
+    surplus = F.col(SURPLUS).isNotNull()
+    message = F.concat(F.lit("CSV row with more fields than the header; first one beyond: "), SURPLUS)
+    return df.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(True)).drop(SURPLUS)
+
+
 def read_raw_csv(spark: SparkSession, path: str, *, with_ordinal: bool = True,
                  normalize_nulls: bool = True, multiline: bool = False,
                  options: Mapping[str, str] | None = None) -> DataFrame:
@@ -60,14 +85,16 @@ def read_raw_csv(spark: SparkSession, path: str, *, with_ordinal: bool = True,
     off by default.
     """
     opts = dict(READ_OPTIONS, multiLine=str(multiline).lower(), **(options or {}))
-    df = spark.read.options(**opts).csv(path)
-    data_cols = list(df.columns)
+    schema = text_schema(spark, path, opts)
+    data_cols = schema.names
+    df = spark.read.options(**opts).schema(with_surplus(schema)).csv(path)
     if with_ordinal:
-        df = df.select(*[F.col(f"`{c}`") for c in data_cols],
-                       F.struct(F.col("_metadata.file_name").alias("file"),
+        df = df.select(*[F.col(f"`{c}`") for c in data_cols], SURPLUS,
+                       F.struct(F.col("_metadata.file_path").alias("file"),
                                 F.col("_metadata.file_block_start").alias("block"),
                                 F.monotonically_increasing_id().alias("row"))
                        .alias(ORDINAL))
+    df = no_surplus(df)
     if normalize_nulls:
         df = df.select(*[null_tokens(F.col(f"`{c}`")).alias(c) for c in data_cols],
                        *([ORDINAL] if with_ordinal else []))

@@ -1,11 +1,14 @@
-"""Table sinks (S6, S7, S12): write, publish by swap, audit counts.
-
-A job writes each table to a staging folder, counts the rows it wrote with
-an ``Observation`` (a metric collected on the write itself, so no second
-scan), and only then swaps the staging folder into place.  A failed run
-leaves the previous version readable.  Everything goes through the Hadoop
-FileSystem API, so the same code works on a local path, HDFS or an object
-store.
+"""Table sinks (S6, S7, S12): write a version, publish it, audit counts.
+
+A table is a folder of versions and one small pointer file that names the
+current one.  A job writes a new version, counts the rows it wrote with an
+``Observation`` (a metric collected on the write itself, so no second scan),
+and only then switches the pointer.  At every moment the pointer names a
+complete version, so a failed run leaves the previous one readable, and
+publishing moves no data, also on an object store.  The version before the
+current one is kept for readers that have already started; older ones go.
+Everything goes through the Hadoop FileSystem API, so the same code works on
+a local path, HDFS or an object store.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +39,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def rename_path(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} to {dst}")
-
-
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
     """Write and return the number of rows written (observed on the write).
@@ -60,6 +54,9 @@ def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
     return int(obs.get["rows"])
 
 
+POINTER = "_CURRENT"
+
+
 @dataclass(frozen=True)
 class Written:
     table: str
@@ -67,45 +64,90 @@ class Written:
     rows: int
 
 
-def publish(spark: SparkSession, staging: str, final: str) -> None:
-    """Swap a finished staging folder into the final location."""
-    old = f"{final}__old_{uuid.uuid4().hex[:8]}"
-    had_old = path_exists(spark, final)
-    if had_old:
-        rename_path(spark, final, old)
-    rename_path(spark, staging, final)
-    if had_old:
-        delete_path(spark, old)
+def _write_pointer(spark: SparkSession, folder: str, version: str) -> None:
+    """Replace the pointer file in one step: a new file renamed over it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs, final = _fs(spark, f"{folder}/{POINTER}")
+    _, new = _fs(spark, f"{folder}/{POINTER}.{version}")
+    out = fs.create(new, True)
+    try:
+        out.write(bytearray(version, "utf-8"))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    flags = spark.sparkContext._gateway.new_array(rename, 1)
+    flags[0] = rename.OVERWRITE
+    context.rename(fs.makeQualified(new), fs.makeQualified(final), flags)
+
+
+def _read_pointer(spark: SparkSession, folder: str) -> str | None:
+    fs, p = _fs(spark, f"{folder}/{POINTER}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def table_path(spark: SparkSession, root: str, table: str) -> str | None:
+    """The folder of a published table's current version; None if there is
+    no such table."""
+    folder = f"{root.rstrip('/')}/{table}"
+    version = _read_pointer(spark, folder)
+    return f"{folder}/{version}" if version else None
+
+
+def publish(spark: SparkSession, folder: str, version: str) -> None:
+    """Make a finished version the table's current one."""
+    previous = _read_pointer(spark, folder)
+    _write_pointer(spark, folder, version)
+    fs, p = _fs(spark, folder)
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("v_") and name not in (version, previous):
+            fs.delete(status.getPath(), True)
 
 
 def write_table(spark: SparkSession, df: DataFrame, root: str, table: str,
                 partition_by: Sequence[str] = ()) -> Written:
-    """Full refresh of ``<root>/<table>``: staging write, count, swap."""
-    final = f"{root.rstrip('/')}/{table}"
-    staging = f"{final}__staging_{uuid.uuid4().hex[:8]}"
-    rows = write_counted(df, staging, partition_by=partition_by)
-    publish(spark, staging, final)
-    return Written(table, final, rows)
+    """Full refresh of ``<root>/<table>``: version write, count, pointer."""
+    folder = f"{root.rstrip('/')}/{table}"
+    version = f"v_{uuid.uuid4().hex[:12]}"
+    path = f"{folder}/{version}"
+    rows = write_counted(df, path, partition_by=partition_by)
+    if not rows and partition_by:
+        # no row, no partition folder: an empty file keeps the schema readable
+        df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
+    publish(spark, folder, version)
+    return Written(table, path, rows)
 
 
 def load_count_audit(spark: SparkSession, written: Sequence[Written],
-                     filters: Mapping[str, str] | None = None) -> DataFrame:
-    """``(table_name, rows_written, rows_read, ok)`` — the observed
-    write count against a fresh count of the published table (answered
-    from Parquet footers).  A table that cannot be read gives a null count
-    and ``ok = false`` instead of stopping the audit."""
+                     loaded: str | None = None) -> DataFrame:
+    """``(table_name, rows_written, rows_read, rows_loaded,
+    rows_rejected, ok)`` — the observed write count against a fresh count of
+    the published table (from Parquet footers and partition values).
+    ``loaded`` is the predicate of a loaded row (all rows without it); the
+    others are rejected.  A table that cannot be read gives null counts and
+    ``ok = false`` instead of stopping the audit."""
     parts = []
     for w in written:
         try:
             t = spark.read.parquet(w.path)
-            if filters and w.table in filters:
-                t = t.filter(filters[w.table])
-            read = t.agg(F.count(F.lit(1)).alias("rows_read"))
-        except Exception:  # noqa: BLE001 - a broken table is reported, not raised
-            read = spark.range(1).select(F.lit(None).cast("bigint").alias("rows_read"))
+            n, good = F.count(F.lit(1)), F.count_if(F.expr(loaded or "true"))
+            read = t.agg(n.alias("rows_read"), good.alias("rows_loaded"),
+                         (n - good).alias("rows_rejected"))
+        except AnalysisException:   # missing or unreadable: reported, not raised
+            none = F.lit(None).cast("bigint")
+            read = spark.range(1).select(none.alias("rows_read"), none.alias("rows_loaded"),
+                                         none.alias("rows_rejected"))
         parts.append(read.select(F.lit(w.table).alias("table_name"),
                                  F.lit(w.rows).cast("bigint").alias("rows_written"),
-                                 "rows_read"))
+                                 "rows_read", "rows_loaded", "rows_rejected"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -119,8 +161,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     """S6, JDBC variant: append rows to a database table with batched
     inserts.  ``max_connections`` caps the writing tasks (each task holds one
     connection), so a large cluster does not open thousands of sessions
-    against one database; a coalesce, not a shuffle, reduces the tasks.
+    against one database; a shuffle hands the rows over, so that the scan and
+    the cleaning before it keep their own number of tasks.
     (Not exercised by the tests: no database is started here.)"""
-    out = df.coalesce(max_connections) if max_connections else df
+    out = df.repartition(max_connections) if max_connections else df
     props = dict(properties, batchsize=str(batch_size))
     out.write.mode(mode).jdbc(url, table, properties=props)

@@ -2,9 +2,11 @@
 source, so a daily run lands only the CSV files that arrived since the last
 run, exactly once.
 
-The file source tracks processed files in the query's checkpoint (under
-the shared ``spark.checkpoint.dir``); ``trigger(availableNow=True)``
-processes everything new and stops, which suits a scheduled batch.  Rows
+The file source tracks processed files in the query's checkpoint, which by
+default belongs to the output (``<out>/_checkpoint``), so the next run goes
+on where the last one stopped and its epochs are new ones;
+``trigger(availableNow=True)`` processes everything new and stops, which
+suits a scheduled batch.  Rows
 carry the same ingest ordinal as the batch reader (file name, split start,
 row position in the split), so "first in file order" is unchanged.  Each
 micro-batch is written by ``foreachBatch`` to its own folder, overwritten
@@ -16,17 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from ..session import shared_path
-from ..sources.csv import ORDINAL, READ_OPTIONS
-
-
-def text_schema(spark: SparkSession, csv_dir: str) -> StructType:
-    """All-text schema from the header of the files already present (a
-    stream needs its schema up front; headers are read, not data)."""
-    header = spark.read.options(**READ_OPTIONS).csv(csv_dir).columns
-    return StructType([StructField(c, StringType(), True) for c in header])
+from ..sources.csv import ORDINAL, READ_OPTIONS, SURPLUS, no_surplus, text_schema, with_surplus
 
 
 def _batch_writer(out_path: str, data_cols: list[str]):
@@ -37,12 +31,13 @@ def _batch_writer(out_path: str, data_cols: list[str]):
     batch reader does.  Overwriting the epoch's own folder makes a replayed
     epoch idempotent, so the landing is exactly-once."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        landed = batch.select(*[F.col(f"`{c}`") for c in data_cols],
+        landed = batch.select(*[F.col(f"`{c}`") for c in data_cols], SURPLUS,
                               F.struct(F.col("__file").alias("file"),
                                        F.col("__block").alias("block"),
                                        F.monotonically_increasing_id().alias("row"))
                               .alias(ORDINAL))
-        landed.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={epoch_id}")
+        no_surplus(landed).write.mode("overwrite").parquet(
+            f"{out_path.rstrip('/')}/batch={epoch_id}")
     return write
 
 
@@ -51,18 +46,20 @@ def land_stream(spark: SparkSession, csv_dir: str, out_path: str,
                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``csv_dir`` to Parquet under
     ``out_path`` (one ``batch=<epoch>`` folder per micro-batch); the caller
-    waits with ``awaitTermination()``."""
+    waits with ``awaitTermination()``.  A ``checkpoint`` of one's own must stay
+    with the output: a fresh one starts at epoch 0 again and would overwrite
+    the first batches, so the default lies in the output folder."""
     schema = schema or text_schema(spark, csv_dir)
-    reader = spark.readStream.schema(schema).options(
+    reader = spark.readStream.schema(with_surplus(schema)).options(
         **{k: v for k, v in READ_OPTIONS.items() if k != "inferSchema"})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     src = reader.csv(csv_dir)
-    with_meta = src.select(*[F.col(f"`{c}`") for c in schema.names],
-                           F.col("_metadata.file_name").alias("__file"),
+    with_meta = src.select(*[F.col(f"`{c}`") for c in schema.names], SURPLUS,
+                           F.col("_metadata.file_path").alias("__file"),
                            F.col("_metadata.file_block_start").alias("__block"))
     return (with_meta.writeStream
             .foreachBatch(_batch_writer(out_path, schema.names))
-            .option("checkpointLocation", checkpoint or shared_path(spark, "stream-ckpt"))
+            .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}/_checkpoint")
             .trigger(availableNow=True)
             .start())
