@@ -1,6 +1,6 @@
 """Command line for the four jobs (``spark-submit -m``-style use):
 
-    python -m dq_mart land    --csv <folder> --lake <root>
+    python -m dq_mart land    --csv <folder> --lake <root> [--multiline]
     python -m dq_mart profile --lake <root> --out <folder>
     python -m dq_mart etl     --lake <root> --mart <root>
     python -m dq_mart report  --mart <root> --out <root> [--run-date YYYY-MM-DD]
@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("land")
     p.add_argument("--csv", required=True)
     p.add_argument("--lake", required=True)
+    p.add_argument("--multiline", action="store_true", help="fields may hold quoted newlines")
     p = sub.add_parser("profile")
     p.add_argument("--lake", required=True)
     p.add_argument("--out", required=True)
@@ -42,16 +43,16 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session(f"dq_mart-{args.job}", master=args.master)
     if args.job == "land":
-        written = J.land_job(spark, args.csv, args.lake)
-        summary = {w.table: w.rows for w in written}
+        audit = J.land_job(spark, args.csv, args.lake, multiline=args.multiline)
+        # the audits have one row per table: small by construction
+        summary = {r.table_name: [r.status, r.files, r.size_bytes] for r in audit.collect()}
     elif args.job == "profile":
         metrics = J.profile_job(spark, J.read_landed(spark, args.lake))
         metrics.write.mode("overwrite").parquet(args.out)
         summary = {"metrics": args.out}
     elif args.job == "etl":
         audit = J.etl_job(spark, J.read_landed(spark, args.lake), args.mart)
-        # the audit has one row per table: small by construction
-        summary = {r.table_name: [r.rows_written, r.rows_read, r.ok] for r in audit.collect()}
+        summary = {r.table_name: [r.rows_loaded, r.rows_rejected, r.ok] for r in audit.collect()}
     else:
         summary = {"report": J.report_job(spark, args.mart, args.out, args.run_date)}
     print(json.dumps({"job": args.job, **summary}, default=str))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from ..operators import analytics as A
 from .oracles import ORACLES, pct_sql as _pct
 from .registry import query
+from .sql_texts import SQL, register_views, run_query
 from .standins import DriverTables
 
 
@@ -70,17 +71,46 @@ def _claim_status_rate(t: DriverTables) -> DataFrame:
     return A.claim_status_rate(t.order_billing)
 
 
-# --- oracles ----------------------------------------------------------------------
+# --- the same queries as SQL texts (S8, S14) -----------------------------------
 
-_ORDER_VISITS = """(SELECT o_orderpriority AS branch_id,
-        CAST(o_orderdate AS DATE) AS date_of_consultation FROM orders)"""
+#: The table that each SQL text reads, by the role views that play it.
+_SQL_ROLES = {
+    "monthly_visits": {"appointments": "order_visits"},
+    "visits_by_branch": {"appointments": "order_visits"},
+    "revenue_coverage": {"billing": "lineitem_billing"},
+    "revenue_by_branch": {"billing": "order_billing"},
+    "top_diagnoses": {"appointments": "part_diagnoses"},
+    "top_diagnoses_pct": {"appointments": "part_diagnoses"},
+    "surgery_outcomes": {"surgeries": "lineitem_surgeries"},
+    "surgery_outcomes_rate": {"surgeries": "lineitem_surgeries"},
+    "substitution_rate": {"appointments": "substitution_visits", "branches": "nation_branches"},
+    "substitution_by_branch": {"appointments": "substitution_visits"},
+    "claim_status": {"billing": "order_billing"},
+    "claim_status_rate": {"billing": "order_billing"},
+}
+
+
+def _sql_key(t: DriverTables, name: str) -> DataFrame:
+    register_views({view: getattr(t, role) for view, role in _SQL_ROLES[name].items()})
+    return run_query(t.spark, name)
+
+
+for _name in SQL:
+    query(f"sql_{_name}")(lambda t, _n=_name: _sql_key(t, _n))
+
+
+# --- oracles (output names and literals of the contract are fixed values) ----------------------------------------------------------------------
+
+_ORDER_VISITS = """(SELECT CASE WHEN o_orderkey % 41 <> 0 THEN o_orderpriority END AS branch_id,
+        CASE WHEN o_orderkey % 31 <> 0 THEN CAST(o_orderdate AS DATE) END AS date_of_consultation
+   FROM orders)"""
 
 ORACLES["monthly_visits"] = f"""
 SELECT branch_id, CAST(COUNT(*) AS BIGINT) AS visits,
        strftime(date_of_consultation, '%Y-%m') AS month
 FROM {_ORDER_VISITS} v
 GROUP BY branch_id, strftime(date_of_consultation, '%Y-%m')
-ORDER BY month, branch_id"""
+ORDER BY month NULLS LAST, branch_id NULLS LAST"""
 
 ORACLES["visits_by_branch"] = f"""
 SELECT branch_id, strftime(date_of_consultation, '%Y-%m') AS month,
@@ -97,9 +127,9 @@ _LINEITEM_BILLING = """(SELECT l_suppkey AS branch_id,
 
 ORACLES["revenue_coverage"] = f"""
 SELECT branch_id, CAST(COUNT(*) AS BIGINT) AS total_claims,
-       CAST(SUM(total_bill) AS DOUBLE) AS total_revenue,
-       CAST(SUM(amount_covered) AS DOUBLE) AS total_covered,
-       CAST(SUM(total_bill - amount_covered) AS DOUBLE) AS total_out_of_pocket
+       CAST(SUM(total_bill) AS DECIMAL(38,2)) AS total_revenue,
+       CAST(SUM(amount_covered) AS DECIMAL(38,2)) AS total_covered,
+       CAST(SUM(total_bill - amount_covered) AS DECIMAL(38,2)) AS total_out_of_pocket
 FROM {_LINEITEM_BILLING} b
 GROUP BY branch_id ORDER BY total_revenue DESC, branch_id"""
 
@@ -117,9 +147,9 @@ WITH g AS (
          SUM(CAST(total_bill AS DECIMAL(12,2))) AS s
   FROM {_ORDER_BILLING} b GROUP BY branch_id)
 SELECT branch_id, CAST(n_all AS BIGINT) AS total_claims,
-       CAST(s AS DOUBLE) AS total_revenue,
-       CAST(sign(CAST(s * 100 AS BIGINT)) * ((2 * abs(CAST(s * 100 AS BIGINT)) + n) // NULLIF(2 * n, 0))
-            AS DOUBLE) / 100.0 AS avg_bill
+       CAST(s AS DECIMAL(38,2)) AS total_revenue,
+       CAST(CAST(sign(CAST(s * 100 AS BIGINT)) * ((2 * abs(CAST(s * 100 AS BIGINT)) + n)
+            // NULLIF(2 * n, 0)) AS DECIMAL(30,0)) * 0.01 AS DECIMAL(38,2)) AS avg_bill
 FROM g ORDER BY total_revenue DESC, branch_id"""
 
 ORACLES["top_diagnoses"] = """
@@ -154,19 +184,23 @@ WITH g AS (
   ORDER BY total_surgeries DESC, doctor_id LIMIT 20)
 SELECT *, {_pct('successful', 'total_surgeries', 1)} AS success_rate_pct FROM g"""
 
-_SUBST = """(SELECT l_linenumber AS serial_no, s_nationkey AS branch_id,
-        c_nationkey AS requested_doctor_id, s_nationkey AS consulted_doctor_id
+_SUBST = """(SELECT CASE WHEN l_orderkey % 19 <> 0 THEN l_linenumber END AS serial_no,
+        CASE WHEN l_orderkey % 43 = 0 THEN s_nationkey + 100
+             WHEN l_orderkey % 47 <> 0 THEN s_nationkey END AS branch_id,
+        CASE WHEN l_orderkey % 11 <> 0 THEN c_nationkey END AS requested_doctor_id,
+        CASE WHEN l_orderkey % 13 <> 0 THEN s_nationkey END AS consulted_doctor_id
    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         JOIN customer ON o_custkey = c_custkey
         JOIN supplier ON l_suppkey = s_suppkey)"""
 
 ORACLES["substitution_rate"] = f"""
 WITH g AS (
-  SELECT n_name AS branch_name, CAST(COUNT(a.serial_no) AS BIGINT) AS total_appointments,
+  SELECT CASE WHEN n_nationkey % 4 = 0 THEN 'SHARED' ELSE n_name END AS branch_name,
+         CAST(COUNT(a.serial_no) AS BIGINT) AS total_appointments,
          CAST(SUM(CASE WHEN a.requested_doctor_id <> a.consulted_doctor_id THEN 1 ELSE 0 END)
               AS BIGINT) AS substituted_appointments
   FROM {_SUBST} a JOIN nation ON a.branch_id = n_nationkey
-  GROUP BY n_name)
+  GROUP BY 1)
 SELECT *, {_pct('substituted_appointments', 'total_appointments', 2)} AS substitution_rate_pct
 FROM g ORDER BY substitution_rate_pct DESC, branch_name"""
 
@@ -193,3 +227,6 @@ WITH g AS (
   FROM {_ORDER_BILLING} b GROUP BY insurance_provider)
 SELECT *, {_pct('approved_claims', 'total_claims', 2)} AS approved_rate_pct
 FROM g ORDER BY approved_rate_pct DESC, insurance_provider"""
+
+for _name in SQL:
+    ORACLES[f"sql_{_name}"] = ORACLES[_name]

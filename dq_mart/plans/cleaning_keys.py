@@ -11,7 +11,7 @@ from ..operators import cleaning as C
 from ..operators import profiling as P
 from ..operators.conform import (ColumnSpec, TableSpec, conform, good_rows,
                                  rejected_rows)
-from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, list_items_sql,
+from .oracles import (ORACLES, bi_sql, bigint0_sql, declared_int_sql, dt_sql, list_items_sql,
                       ls_sql, nt_sql, yes_no_sql, yn_sql)
 from .registry import query
 from .standins import (DriverTables, dirty_bigint, dirty_date, dirty_list,
@@ -214,9 +214,8 @@ _VISITS_RAW = f"""(SELECT o_orderkey, bi_raw AS case_id, dt_raw AS visit_date,
         CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS total_bill,
         ls_raw AS branches FROM {_DIRTY_ORDERS} d)"""
 
-_INT_TEXT = "regexp_full_match({v}, '\\s*[+-]?[0-9]+\\s*')"
 _VISITS_CHECKED = f"""(SELECT *,
-   CASE WHEN {_INT_TEXT.format(v='case_id')} THEN TRY_CAST(trim(case_id) AS BIGINT) END AS t_case_id,
+   {declared_int_sql('case_id', 'BIGINT')} AS t_case_id,
    TRY_CAST(visit_date AS DATE) AS t_visit_date,
    TRY_CAST(total_bill AS DECIMAL(10,2)) AS t_total_bill
    FROM {_VISITS_RAW} r)"""

@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import idiv
-from ..functions.text import NA_TOKENS, normalize_header
+from ..functions.text import NA_TOKENS
 from ..operators.cleaning import normalize_null_tokens
 from ..operators.conform import TableSpec, conform, good_rows, transform
 from . import schemas as S
-from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, ls_sql, nt_sql,
+from .oracles import (ORACLES, bi_sql, bigint0_sql, declared_int_sql, dt_sql, ls_sql, nt_sql,
                       yes_no_sql, yn_sql)
 from .registry import query
 from .standins import (DriverTables, dirty_bigint, dirty_date, dirty_list,
@@ -257,7 +257,6 @@ for _name in STANDINS:
 # --- oracles: the spec applied with DuckDB's own casts -------------------------------
 
 _TOKENS = ", ".join("'" + x.replace("'", "''") + "'" for x in NA_TOKENS)
-_INT_TEXT = "regexp_full_match({v}, '\\s*[+-]?[0-9]+\\s*')"
 
 
 def _clean_sql(spec: TableSpec, col: str, type_: str) -> tuple[str, str]:
@@ -272,7 +271,7 @@ def _clean_sql(spec: TableSpec, col: str, type_: str) -> tuple[str, str]:
         return bigint0_sql(v), "false"
     if type_ in ("int", "bigint"):
         sql_t = "INTEGER" if type_ == "int" else "BIGINT"
-        t = f"CASE WHEN {_INT_TEXT.format(v=v)} THEN TRY_CAST(trim({v}) AS {sql_t}) END"
+        t = declared_int_sql(v, sql_t)
         return t, f"({v} IS NOT NULL AND ({t}) IS NULL)"
     if type_.startswith("decimal"):
         t = f"TRY_CAST({v} AS {type_.upper()})"
@@ -280,23 +279,63 @@ def _clean_sql(spec: TableSpec, col: str, type_: str) -> tuple[str, str]:
     return v, "false"
 
 
+# The clean name of each raw header, written out so that the
+# oracle does not rest on the operators under test.
+CLEAN_NAMES = {
+    "Sl. No.": "serial_no", "Serial No": "serial_no", "Branch ID": "branch_id",
+    "Location": "location", "OT_Available": "ot_available",
+    "Inhouse Anesthetician": "inhouse_anesthetician", "No. of OTs": "no_of_ots",
+    "Inhouse Pharmacy": "inhouse_pharmacy", "Inhouse Nutritionist": "inhouse_nutritionist",
+    "Inpatient Rooms": "inpatient_rooms", "Luxury Suite Rooms": "luxury_suite_rooms",
+    "Prayer Room": "prayer_room", "Kids Play Area": "kids_play_area",
+    "Doctor Name": "doctor_name", "Doctor ID": "doctor_id", "Specialization": "specialization",
+    "Qualification": "qualification", "Surgery Experience": "surgery_experience",
+    "Practicing Branch": "practicing_branch", "Other Branches Visited": "other_branches",
+    "Patient ID": "patient_id", "Date of Registration": "date_of_registration",
+    "Date of First Consultation": "date_of_first_consultation",
+    "Date of Latest Consultation": "date_of_latest_consultation",
+    "Overall Satisfaction Rating": "overall_satisfaction_rating", "Admission": "admission",
+    "Surgery Underwent": "surgery_underwent", "Total Number of Visits": "total_number_of_visits",
+    "Case ID": "case_id", "Date of Consultation": "date_of_consultation",
+    "Requested Doctor ID": "requested_doctor_id", "Consulted Doctor ID": "consulted_doctor_id",
+    "Reason for Visit": "reason_for_visit", "Diagnosis": "diagnosis",
+    "Prescribed Medication": "prescribed_medication", "Followup Required": "followup_required",
+    "Nutritionist Recommended": "nutritionist_recommended", "Claim ID": "claim_id",
+    "Total Bill": "total_bill", "Insurance Provider": "insurance_provider",
+    "Amount Covered": "amount_covered", "Out of Pocket Expenses": "out_of_pocket_expenses",
+    "Claim Status": "claim_status", "Surgery Type": "surgery_type", "Surgery Date": "surgery_date",
+    "Anesthesia Type": "anesthesia_type", "Surgery Outcome": "surgery_outcome",
+    "Surgery Duration (hours)": "surgery_duration_hours",
+    "Recovery Period (days)": "recovery_period_days", "Report ID": "report_id",
+    "Test Name": "test_name", "Test Date": "test_date", "Result": "result", "Bill ID": "bill_id",
+    "Medication Name": "medication_name", "Dosage": "dosage", "Quantity": "quantity",
+    "Pharmacy Availability": "pharmacy_availability", "Issued Date": "issued_date",
+}
+
+
+def texts_sql(table: str) -> str:
+    """The raw texts of a stand-in, as ``r_<clean name>``, and its order."""
+    source, key, raw = STANDINS[table]()
+    texts = ", ".join(f"CASE WHEN ({sql}) IN ({_TOKENS}) THEN NULL ELSE ({sql}) END "
+                      f"AS r_{CLEAN_NAMES[h]}" for h, _, sql in raw)
+    return f"(SELECT {texts}, k AS ord FROM (SELECT *, {key} AS k FROM {source}) s)"
+
+
+def base_sql(table: str) -> str:
+    """The rows of a stand-in after keep-first."""
+    spec = S.SPECS[table]
+    if not spec.primary_key:
+        return texts_sql(table)
+    return (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY r_{spec.primary_key} "
+            f"ORDER BY ord) AS rn FROM {texts_sql(table)} b0) WHERE rn = 1)")
+
+
 def etl_oracle(table: str) -> str:
     spec = S.SPECS[table]
-    source, key, raw = STANDINS[table]()
-    src_sql = f"(SELECT *, {key} AS k FROM {source})"
-    renamed = {}
-    for h, _, sql in raw:
-        clean = spec.rename_for([_norm_header(h)]).get(_norm_header(h), _norm_header(h))
-        renamed[clean] = sql
-    texts = ", ".join(f"CASE WHEN ({sql}) IN ({_TOKENS}) THEN NULL ELSE ({sql}) END AS r_{c}"
-                      for c, sql in renamed.items())
-    base = f"(SELECT {texts}, k AS ord FROM {src_sql} s)"
-    if spec.primary_key:
-        base = (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY r_{spec.primary_key} "
-                f"ORDER BY ord) AS rn FROM {base} b0) WHERE rn = 1)")
+    have = {CLEAN_NAMES[h] for h, _, _ in STANDINS[table]()[2]}
     sel, bad = [], []
     for c in spec.columns:
-        if c.name not in renamed:
+        if c.name not in have:
             sel.append(f"NULL AS {c.name}")
             continue
         expr, unfit = _clean_sql(spec, c.name, c.type)
@@ -304,11 +343,7 @@ def etl_oracle(table: str) -> str:
         bad.append(unfit)
         if c.max_len is not None:
             bad.append(f"COALESCE(length({expr}) > {c.max_len}, false)")
-    return f"SELECT {', '.join(sel)} FROM {base} b WHERE NOT ({' OR '.join(bad)})"
-
-
-def _norm_header(h: str) -> str:
-    return normalize_header(h)
+    return f"SELECT {', '.join(sel)} FROM {base_sql(table)} b WHERE NOT ({' OR '.join(bad)})"
 
 
 for _name in STANDINS:

@@ -8,7 +8,9 @@ values are per-table row counts observed on writes.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import logging
+import operator
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +19,16 @@ from pyspark.sql import functions as F
 from ..operators import analytics as A
 from ..operators import integrity as I
 from ..operators import profiling as P
+from ..functions.casts import bigint_from_text, parse_list_string
+from ..functions.text import normalize_header, quoted
 from ..operators.cleaning import explode_list_pairs
 from ..operators.conform import REJECT_REASONS, RAW, conform, transform
 from ..operators.table_profile import TableProfile
 from ..session import checkpoint_root
-from ..sources.catalog import row_counts
-from ..sources.csv import ORDINAL, read_raw_csv
-from ..sources.landing import RAW_PREFIX, land_raw
-from ..sources.sinks import Written, load_count_audit, path_exists, write_table
+from ..sources.catalog import row_counts, union_all
+from ..sources.csv import ORDINAL
+from ..sources.landing import RAW_PREFIX, land_raw, verify_landing
+from ..sources.sinks import Written, load_count_audit, table_path, write_table
 from . import schemas as S
 from .report import Section, report_lines, write_report
 
@@ -81,11 +85,15 @@ LOAD_STATUS = "load_status"
 # --- land -------------------------------------------------------------------------
 
 def land_job(spark: SparkSession, csv_folder: str, root: str,
-             files: Mapping[str, str] = HOSPITAL_FILES) -> list[Written]:
-    """Every raw CSV -> Parquet at ``<root>/raw/<table>`` with its
-    ingest ordinal; absent files are skipped."""
+             files: Mapping[str, str] = HOSPITAL_FILES, multiline: bool = False) -> DataFrame:
+    """Every raw CSV -> Parquet at ``<root>/raw/<table>`` with its
+    ingest ordinal, then the audit of what landed: a row for each table
+    (absent sources are skipped and audited as missing) and the total.
+    Fails when nothing landed."""
     sources = {name: f"{csv_folder.rstrip('/')}/{fn}" for name, fn in files.items()}
-    return land_raw(spark, sources, root)
+    land_raw(spark, sources, root, multiline=multiline)
+    raw = f"{root.rstrip('/')}/{RAW_PREFIX}"
+    return verify_landing(spark, {name: table_path(spark, raw, name) for name in files})
 
 
 def read_landed(spark: SparkSession, root: str, names=HOSPITAL_FILES) -> dict[str, DataFrame]:
@@ -94,8 +102,8 @@ def read_landed(spark: SparkSession, root: str, names=HOSPITAL_FILES) -> dict[st
     from ..operators.cleaning import normalize_null_tokens
     out = {}
     for name in names:
-        path = f"{root.rstrip('/')}/{RAW_PREFIX}/{name}"
-        if path_exists(spark, path):
+        path = table_path(spark, f"{root.rstrip('/')}/{RAW_PREFIX}", name)
+        if path is not None:
             df = spark.read.parquet(path)
             out[name] = normalize_null_tokens(df, [c for c in df.columns if c != ORDINAL])
     return out
@@ -128,30 +136,73 @@ def etl_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str) ->
     """Dimensions, bridge, facts; each written to ``<out_root>/<table>``
     partitioned by ``load_status`` (rejected rows keep their reasons and raw
     text in the ``rejected`` partition: one scan, one write per table), then
-    the row-count audit (S12)."""
+    the row-count audit (S12) with the written, loaded and rejected rows and,
+    per table, the ids that became 0 and the list-strings that don't parse
+    (null where a table has no such column)."""
     written: list[Written] = []
+    quality: list[DataFrame] = []
     for name, spec in S.SPECS.items():
         if name not in raw:
             log.warning("etl: no raw %s; skipped", name)
             continue
         written.append(write_table(spark, etl_table(raw[name], spec), out_root, name,
                                    partition_by=[LOAD_STATUS]))
+        quality.append(coercion_counts(raw[name], spec))
         if name == "doctors":
             bridge = doctor_bridge(raw[name])
             if bridge is not None:
                 written.append(write_table(spark, bridge, out_root, S.BRIDGE.name,
                                            partition_by=[LOAD_STATUS]))
-    return load_count_audit(spark, written)
+    audit = load_count_audit(spark, written, loaded=f"{LOAD_STATUS} = 'ok'")
+    return audit.join(union_all(quality), "table_name", "left") if quality else audit
+
+
+def coercion_counts(raw: DataFrame, spec) -> DataFrame:
+    """``(table_name, zero_ids, list_errors)``: values of zero-defaulted id
+    columns that are no number, over the raw rows, and list-strings that do
+    not parse; null where the table has no such column."""
+    clean = {c: normalize_header(c) for c in raw.columns}
+    final = spec.rename_for(list(clean.values()))
+    ids = [c for c, name in clean.items() if final.get(name, name) in spec.bigint_default0]
+    null = F.lit(None).cast("bigint")
+    zeros = (functools.reduce(operator.add, [
+        F.count_if(bigint_from_text(F.col(quoted(c))).isNull()) for c in ids]) if ids else null)
+    errors = (F.count_if(parse_list_string(F.col(quoted(S.DOCTOR_LIST_COLUMN))).isNull())
+              if S.DOCTOR_LIST_COLUMN in raw.columns else null)
+    return raw.agg(F.count(F.lit(1)).alias("n"), zeros.alias("zero_ids"),
+                   errors.alias("list_errors")).select(
+        F.lit(spec.name).alias("table_name"), "zero_ids", "list_errors")
 
 
 def read_loaded(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The loaded rows of a table (the ``ok`` partition, pruned at scan)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
+    path = table_path(spark, root, table)
+    if path is None:
+        raise FileNotFoundError(f"no table {table} under {root}")
+    df = spark.read.parquet(path)
     return df.filter(F.col(LOAD_STATUS) == "ok").drop(LOAD_STATUS, REJECT_REASONS, RAW)
 
 
 # --- profile ------------------------------------------------------------------------
 
+def bad_date_examples(df: DataFrame, table: str, column: str, order: str) -> DataFrame:
+    """The first distinct bad values of a date column, as long metrics; a
+    missing value as ``NULL``."""
+    bad = P.profile_dates_bad_values(df, table, column, order)
+    return P.long_metrics(bad.withColumn("bad_value", F.coalesce("bad_value", F.lit("NULL"))),
+                          6, "dates_bad_values", ["bad_value"])
+
+
+def bridge_preview(df: DataFrame, table: str, id_col: str, list_col: str, order: str) -> DataFrame:
+    """The first unpacked (id, item) pairs as long metrics, numbered."""
+    top = P.list_column_preview(df, id_col, list_col, order)
+    return P.long_metrics(
+        top.select(F.lit(table).alias("table_name"), F.lit(list_col).alias("column_name"),
+                   F.col("pair_no").cast("string").alias("pair_no"),
+                   F.concat_ws(" -> ", F.col("doctor_id").cast("string"), "branch_id").alias("pair")),
+        8, "list_column_preview", ["pair"], item_col="pair_no")
+
+
 def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """All checks over the raw catalog, in the reference's order, as one
     long metrics table.  Each table is scanned twice (one aggregate pass for
@@ -169,10 +220,13 @@ def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
             prof.int_range(cols=data)
         if name in DATE_COLUMNS:
             prof.dates(DATE_COLUMNS[name])
+            if ORDINAL in df.columns:
+                parts += [bad_date_examples(df, name, c, ORDINAL)
+                          for c in DATE_COLUMNS[name] if c in df.columns]
         if name in CATEGORICAL:
             prof.categorical(CATEGORICAL[name])
         if name in YES_NO_COLUMNS:
-            prof.yes_no(YES_NO_COLUMNS[name])
+            prof.yes_no(YES_NO_COLUMNS[name], values=True)
         if name == "appointments":
             prof.mismatch("Requested Doctor ID", "Consulted Doctor ID")
         parts.append(prof.long())
@@ -182,6 +236,9 @@ def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
             F.lit(S.DOCTOR_LIST_COLUMN).alias("column_name"), "*")
         parts.append(P.long_metrics(prof, 8, "list_column",
                                     ["total_rows", "parse_errors", "pairs", "distinct_items"]))
+        if ORDINAL in tables["doctors"].columns:
+            parts.append(bridge_preview(tables["doctors"], "doctors", S.DOCTOR_ID_COLUMN,
+                                        S.DOCTOR_LIST_COLUMN, ORDINAL))
     fks = [I.ForeignKey(f"{c}.{cc} -> {p}.{pc}", tables[c], cc, tables[p], pc)
            for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
     if fks:
@@ -196,26 +253,6 @@ def profile_job(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
 
 # --- report -------------------------------------------------------------------------
 
-def report_sections(tables: Mapping[str, DataFrame]) -> list[Section]:
-    """R1 on the loaded hospital tables, in the reference's order, one query
-    per section (the reference's form)."""
-    asc, desc = F.asc_nulls_last, F.desc_nulls_first
-    appt, bill, surg = tables["appointments"], tables["billing"], tables["surgeries"]
-    return [
-        Section("visits_by_branch", A.visits_by_branch(appt),
-                (asc("month"), desc("visit_count"), asc("branch_id"))),
-        Section("revenue_by_branch", A.revenue_by_branch(bill),
-                (desc("total_revenue"), asc("branch_id"))),
-        Section("top_diagnoses", A.top_diagnoses(appt), (desc("frequency"), asc("diagnosis"))),
-        Section("surgery_outcomes", A.surgery_outcomes(surg),
-                (desc("total_surgeries"), asc("doctor_id"))),
-        Section("claim_status", A.claim_status(bill),
-                (desc("total_claims"), asc("insurance_provider"))),
-        Section("doctor_substitution", A.substitution_by_branch(appt),
-                (desc("substitutions"), asc("branch_id"))),
-    ]
-
-
 def _grouped_once(df: DataFrame, sets: list[list[str]], cols: list[str],
                   aggs: list) -> DataFrame:
     """One ``GROUPING SETS`` aggregation over a fact, materialised with a
@@ -228,11 +265,10 @@ def _grouped_once(df: DataFrame, sets: list[list[str]], cols: list[str],
             .checkpoint(eager=True))
 
 
-def report_sections_shared(tables: Mapping[str, DataFrame]) -> list[Section]:
+def report_sections(tables: Mapping[str, DataFrame]) -> list[Section]:
     """R1 with one pass per fact: the three appointment sections come from
-    one grouping-sets aggregation, the two billing sections from another;
-    same rows as ``report_sections``."""
-    asc, desc = F.asc_nulls_last, F.desc_nulls_first
+    one grouping-sets aggregation, the two billing sections from another."""
+    asc, desc = (lambda c: (c, "asc")), (lambda c: (c, "desc"))
     appt = tables["appointments"].withColumn("month", A.month_of("date_of_consultation"))
     ga = _grouped_once(
         appt, [["branch_id", "month"], ["diagnosis"], ["branch_id"]],
@@ -242,7 +278,7 @@ def report_sections_shared(tables: Mapping[str, DataFrame]) -> list[Section]:
     # grouping_id bits follow (branch_id, month, diagnosis); 1 = rolled up
     visits = ga.filter("__gid = 1").select("branch_id", "month", F.col("n").alias("visit_count"))
     top = (ga.filter("__gid = 6").select("diagnosis", F.col("n").alias("frequency"))
-           .orderBy(desc("frequency"), asc("diagnosis")).limit(10))
+           .orderBy(F.desc_nulls_first("frequency"), F.asc_nulls_last("diagnosis")).limit(10))
     subst = ga.filter("__gid = 3").select("branch_id", F.col("n").alias("total_appointments"),
                                           F.col("s").alias("substitutions"))
     bill = tables["billing"]
@@ -255,8 +291,7 @@ def report_sections_shared(tables: Mapping[str, DataFrame]) -> list[Section]:
          A._cnt_when(st == A.REJECTED).alias("rejected"),
          A._cnt_when(st == A.PENDING).alias("pending")])
     revenue = gb.filter("__gid = 1").select(
-        "branch_id", F.col("n").alias("total_claims"),
-        F.col("total").cast("double").alias("total_revenue"),
+        "branch_id", F.col("n").alias("total_claims"), F.col("total").alias("total_revenue"),
         A.avg_money_from("total", "n_bill").alias("avg_bill"))
     claims = gb.filter("__gid = 2").select("insurance_provider", F.col("n").alias("total_claims"),
                                            "approved", "rejected", "pending")
@@ -274,23 +309,10 @@ def report_sections_shared(tables: Mapping[str, DataFrame]) -> list[Section]:
 def report_job(spark: SparkSession, loaded_root: str, out_root: str,
                run_date: _dt.date | None = None) -> str:
     """Write ``<out_root>/reports/daily_report_<YYYY-MM-DD>`` and return its
-    path.  Each fact is scanned once (``report_sections_shared``)."""
+    path.  Each fact is scanned once (``report_sections``)."""
     run_date = run_date or _dt.date.today()
     tables = {n: read_loaded(spark, loaded_root, n)
               for n in ("appointments", "billing", "surgeries")}
     path = f"{out_root.rstrip('/')}/reports/daily_report_{run_date.isoformat()}"
-    write_report(report_lines(report_sections_shared(tables)), path)
+    write_report(report_lines(report_sections(tables)), path)
     return path
-
-
-def read_raw_folder(spark: SparkSession, csv_folder: str,
-                    files: Mapping[str, str] = HOSPITAL_FILES) -> dict[str, DataFrame]:
-    """The raw catalog straight from CSV (absent files skipped)."""
-    out = {}
-    for name, fn in files.items():
-        path = f"{csv_folder.rstrip('/')}/{fn}"
-        if path_exists(spark, path):
-            out[name] = read_raw_csv(spark, path)
-        else:
-            log.warning("profile: %s not found; skipped", path)
-    return out

@@ -37,6 +37,9 @@ def dt_sql(k: str, clean: str) -> str:
 def bi_sql(k: str) -> str:
     return (f"CASE WHEN {k} % 10 = 0 THEN 'x1' WHEN {k} % 10 = 1 THEN NULL "
             f"WHEN {k} % 10 = 2 THEN CAST({k} AS VARCHAR) || '.7' "
+            f"WHEN {k} % 10 = 3 THEN CAST({k} AS VARCHAR) || '.0' "
+            f"WHEN {k} % 70 = 4 THEN '12d' WHEN {k} % 70 = 14 THEN '77F' "
+            f"WHEN {k} % 70 = 24 THEN '1e3' WHEN {k} % 70 = 34 THEN '0x1p3' "
             f"ELSE CAST({k} + 3000000000 AS VARCHAR) END")
 
 
@@ -72,6 +75,13 @@ def bigint0_sql(v: str) -> str:
     return f"COALESCE(CAST(trunc(TRY_CAST({v} AS DOUBLE)) AS BIGINT), 0)"
 
 
+def declared_int_sql(v: str, type_: str) -> str:
+    """Text as an integer type: any plain number, rounded; else NULL."""
+    return (f"CASE WHEN regexp_full_match({v}, '\\s*[+-]?[0-9]+\\s*') THEN TRY_CAST(trim({v}) AS {type_}) "
+            f"WHEN regexp_full_match({v}, '\\s*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*') "
+            f"THEN TRY_CAST(round(TRY_CAST({v} AS DECIMAL(38,10))) AS {type_}) END")
+
+
 def list_items_sql(v: str) -> str:
     """Items of a list-string, or NULL when it does not parse (valid for the
     LS derivation, which has no escaped quotes)."""

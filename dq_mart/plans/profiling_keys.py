@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cleaning as C
 from ..operators import integrity as I
 from ..operators import profiling as P
-from ..sources.catalog import row_counts
+from ..sources.catalog import DRIVER_TABLES, row_counts
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, mm_sql, nt_sql,
                       pct_sql, strip_sql, yn_sql)
 from .registry import query
 from .standins import (DriverTables, dirty_bigint, dirty_date,
                        dirty_null_token, dirty_yes_no, mismatch_pair)
 
-CATALOG = ("region", "nation", "customer", "supplier", "part", "orders")
+CATALOG = DRIVER_TABLES
 
 
 def customer_nt(t: DriverTables) -> DataFrame:
@@ -33,21 +33,31 @@ def orders_mm(t: DriverTables) -> DataFrame:
     return o.select("o_orderkey", a.alias("requested"), b.alias("consulted"))
 
 
-def orders_profiled(t: DriverTables) -> DataFrame:
+def profiled_columns(t: DriverTables) -> dict[str, Column]:
+    """The columns of orders that the report profiles."""
     o = t.orders
     k = o.o_orderkey
     clean_yn = (F.when(o.o_orderstatus == "F", "Yes").when(o.o_orderstatus == "O", "No")
                 .otherwise(" no"))
-    return o.select("o_orderkey", "o_totalprice", "o_orderdate",
-                    dirty_yes_no(k).alias("yn_raw"), clean_yn.alias("yn_clean"),
-                    dirty_date(k, o.o_orderdate).alias("dt_raw"),
-                    o.o_orderdate.cast("date").cast("string").alias("dt_clean"),
-                    C.bigint_or_zero(dirty_bigint(k)).alias("bi"))
+    return {"o_orderkey": k, "o_totalprice": o.o_totalprice, "o_orderdate": o.o_orderdate,
+            "yn_raw": dirty_yes_no(k), "yn_clean": clean_yn,
+            "dt_raw": dirty_date(k, o.o_orderdate),
+            "dt_clean": o.o_orderdate.cast("date").cast("string"),
+            "bi": C.bigint_or_zero(dirty_bigint(k))}
+
+
+def orders_profiled(t: DriverTables) -> DataFrame:
+    return t.orders.select(*[c.alias(n) for n, c in profiled_columns(t).items()])
+
+
+def counted_tables(t: DriverTables) -> dict[str, DataFrame]:
+    """All tables, and one that a predicate leaves empty."""
+    return {**{n: t.table(n) for n in CATALOG}, "empty": t.region.where("r_regionkey < 0")}
 
 
 @query("catalog_row_counts")
 def _catalog_row_counts(t: DriverTables) -> DataFrame:
-    return row_counts({n: t.table(n) for n in CATALOG})
+    return row_counts(counted_tables(t))
 
 
 @query("profile_nulls")
@@ -108,7 +118,8 @@ def lineitem_dirty_fk(t: DriverTables) -> DataFrame:
 
 
 def driver_fks(t: DriverTables) -> list[I.ForeignKey]:
-    """Eight relationships, like the reference's eight checks."""
+    """Eight relationships, like the reference's eight checks, then keys of
+    different kinds and an empty child."""
     li = lineitem_dirty_fk(t)
     o, c, p, s, n, r, e = (t.orders, t.customer, t.part, t.supplier, t.nation,
                            t.region, t.events)
@@ -121,6 +132,15 @@ def driver_fks(t: DriverTables) -> list[I.ForeignKey]:
         I.ForeignKey("supplier.s_nationkey -> nation.n_nationkey", s, "s_nationkey", n, "n_nationkey"),
         I.ForeignKey("nation.n_regionkey -> region.r_regionkey", n, "n_regionkey", r, "r_regionkey"),
         I.ForeignKey("events.user_id -> customer.c_custkey", e, "user_id", c, "c_custkey"),
+        # keys of different kinds: text (some no number) and fractions
+        I.ForeignKey("text supplier -> supplier.s_suppkey",
+                     s.select(F.when(s.s_suppkey % 7 == 0, "zz").when(s.s_suppkey % 5 == 0, F.concat(
+                         s.s_suppkey.cast("string"), F.lit(".0"))).otherwise(s.s_suppkey.cast("string"))
+                         .alias("k")), "k", s, "s_suppkey"),
+        I.ForeignKey("half part -> part.p_partkey",
+                     p.select((p.p_partkey / 2).alias("k")), "k", p, "p_partkey"),
+        I.ForeignKey("no region -> region.r_regionkey", r.where("r_regionkey < 0"), "r_regionkey",
+                     r, "r_regionkey"),
     ]
 
 
@@ -138,7 +158,7 @@ def _fk_orphans(t: DriverTables) -> DataFrame:
 
 ORACLES["catalog_row_counts"] = " UNION ALL ".join(
     [f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {n}"
-     for n in CATALOG]
+     for n in CATALOG] + ["SELECT 'empty', CAST(0 AS BIGINT)"]
     + ["SELECT 'TOTAL' AS table_name, CAST(("
        + " + ".join(f"(SELECT COUNT(*) FROM {n})" for n in CATALOG) + ") AS BIGINT)"])
 
@@ -283,6 +303,19 @@ _FK_SQL = [
     ("events.user_id -> customer.c_custkey", "SELECT user_id AS k FROM events",
      "SELECT c_custkey AS k FROM customer"),
 ]
+# keys of different kinds, compared as numbers where they are numbers
+_TEXT_KEY = ("CASE WHEN s_suppkey % 7 = 0 THEN 'zz' WHEN s_suppkey % 5 = 0 "
+             "THEN CAST(s_suppkey AS VARCHAR) ELSE CAST(s_suppkey AS VARCHAR) END")
+_HALF_KEY = ("CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey // 2 AS VARCHAR) "
+             "ELSE CAST(p_partkey // 2 AS VARCHAR) || '.5' END")
+_FK_SQL += [
+    ("text supplier -> supplier.s_suppkey", f"SELECT {_TEXT_KEY} AS k FROM supplier",
+     "SELECT CAST(s_suppkey AS VARCHAR) AS k FROM supplier"),
+    ("half part -> part.p_partkey", f"SELECT {_HALF_KEY} AS k FROM part",
+     "SELECT CAST(p_partkey AS VARCHAR) AS k FROM part"),
+    ("no region -> region.r_regionkey", "SELECT r_regionkey AS k FROM region WHERE r_regionkey < 0",
+     "SELECT r_regionkey AS k FROM region"),
+]
 
 
 def _orphans_sql(child: str, parent: str) -> str:

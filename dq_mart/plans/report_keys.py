@@ -1,47 +1,46 @@
-"""Key ``report_sections`` (R1): the daily report over the six version-b
-queries, as ordered text lines."""
+"""Key ``report_sections`` (R1): the daily report as the report job makes it,
+as ordered text lines; ``report_file`` is the file it writes, read back."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import analytics as A
+from ..session import scratch_path
+from .jobs import report_sections
 from .oracles import ORACLES
 from .registry import query
-from .report import Section, report_lines
-from .standins import DriverTables
-
-
-def report_sections_of(t: DriverTables) -> list[Section]:
-    """The six sections in the reference's order."""
-    asc, desc = F.asc_nulls_last, F.desc_nulls_first
-    return [
-        Section("visits_by_branch", A.visits_by_branch(t.order_visits),
-                (asc("month"), desc("visit_count"), asc("branch_id"))),
-        Section("revenue_by_branch", A.revenue_by_branch(t.order_billing),
-                (desc("total_revenue"), asc("branch_id"))),
-        Section("top_diagnoses", A.top_diagnoses(t.part_diagnoses),
-                (desc("frequency"), asc("diagnosis"))),
-        Section("surgery_outcomes", A.surgery_outcomes(t.lineitem_surgeries),
-                (desc("total_surgeries"), asc("doctor_id"))),
-        Section("claim_status", A.claim_status(t.order_billing),
-                (desc("total_claims"), asc("insurance_provider"))),
-        Section("doctor_substitution", A.substitution_by_branch(t.substitution_visits),
-                (desc("substitutions"), asc("branch_id"))),
-    ]
+from .report import report_lines, write_report
+from .standins import APPOINTMENTS_SQL, DriverTables
+
+
+def _lines(t: DriverTables) -> DataFrame:
+    return report_lines(report_sections({
+        "appointments": t.lineitem_appointments, "billing": t.order_billing,
+        "surgeries": t.lineitem_surgeries}))
 
 
 @query("report_sections")
 def _report_sections(t: DriverTables) -> DataFrame:
-    return report_lines(report_sections_of(t))
+    return _lines(t)
+
+
+@query("report_file")
+def _report_file(t: DriverTables) -> DataFrame:
+    """The written file's lines with their numbers: its one part file is read
+    in one piece, so the order of its lines is known."""
+    path = scratch_path(t.spark, "report")
+    write_report(_lines(t), path)
+    text = t.spark.read.text(path, wholetext=True)
+    return text.select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n"))
+                       .alias("line_no", "line"))
 
 
 # --- oracle ----------------------------------------------------------------------
 
 
 def _num(c: str) -> str:
-    return (f"regexp_replace(regexp_replace(CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR), "
+    return (f"regexp_replace(regexp_replace(CAST(CAST({c} AS DECIMAL(38,2)) AS VARCHAR), "
             f"'0$', ''), '\\.$', '.0')")
 
 
@@ -51,26 +50,40 @@ def _txt(c: str) -> str:
             f"THEN '\"' || replace({v}, '\"', '\"\"') || '\"' ELSE {v} END, '')")
 
 
-# (section, oracle key, [(column, is_float)], ORDER BY)
+def _sections_over(appointments: str) -> dict[str, str]:
+    return {
+        "visits": f"""SELECT branch_id, strftime(date_of_consultation, '%Y-%m') AS month,
+            COUNT(*) AS visit_count FROM {appointments} a GROUP BY ALL""",
+        "diagnoses": f"""SELECT diagnosis, COUNT(*) AS frequency FROM {appointments} a
+            GROUP BY ALL ORDER BY frequency DESC, diagnosis NULLS LAST LIMIT 10""",
+        "substitution": f"""SELECT branch_id, COUNT(*) AS total_appointments,
+            COUNT(*) FILTER (WHERE requested_doctor_id <> consulted_doctor_id) AS substitutions
+            FROM {appointments} a GROUP BY ALL""",
+    }
+
+
+_OVER = _sections_over(APPOINTMENTS_SQL)
+
+# (section, its SQL, [(column, is_float)], ORDER BY)
 _SECTIONS = [
-    ("visits_by_branch", "visits_by_branch",
+    ("visits_by_branch", _OVER["visits"],
      [("branch_id", False), ("month", False), ("visit_count", False)],
-     "month, visit_count DESC, branch_id"),
-    ("revenue_by_branch", "revenue_by_branch",
+     "month NULLS LAST, visit_count DESC, branch_id NULLS LAST"),
+    ("revenue_by_branch", ORACLES["revenue_by_branch"],
      [("branch_id", False), ("total_claims", False), ("total_revenue", True), ("avg_bill", True)],
      "total_revenue DESC, branch_id"),
-    ("top_diagnoses", "top_diagnoses", [("diagnosis", False), ("frequency", False)],
+    ("top_diagnoses", _OVER["diagnoses"], [("diagnosis", False), ("frequency", False)],
      "frequency DESC, diagnosis"),
-    ("surgery_outcomes", "surgery_outcomes",
+    ("surgery_outcomes", ORACLES["surgery_outcomes"],
      [("doctor_id", False), ("total_surgeries", False), ("successful", False), ("failed", False)],
      "total_surgeries DESC, doctor_id"),
-    ("claim_status", "claim_status",
+    ("claim_status", ORACLES["claim_status"],
      [("insurance_provider", False), ("total_claims", False), ("approved", False),
       ("rejected", False), ("pending", False)],
      "total_claims DESC, insurance_provider"),
-    ("doctor_substitution", "substitution_by_branch",
+    ("doctor_substitution", _OVER["substitution"],
      [("branch_id", False), ("total_appointments", False), ("substitutions", False)],
-     "substitutions DESC, branch_id"),
+     "substitutions DESC, branch_id NULLS LAST"),
 ]
 
 
@@ -82,7 +95,7 @@ SELECT {i} AS section_ord, '{name}' AS section, 0 AS line_ord, '' AS line UNION
 SELECT {i}, '{name}', 1, '### {name.upper()} ###' UNION ALL
 SELECT {i}, '{name}', 2, '{header}' UNION ALL
 SELECT {i}, '{name}', CAST(ROW_NUMBER() OVER (ORDER BY {order}) + 2 AS INTEGER), {line}
-FROM ({ORACLES[key]}) s{i}"""
+FROM ({key}) s{i}"""
 
 
 def _report_sql() -> str:
@@ -91,3 +104,6 @@ def _report_sql() -> str:
 
 
 ORACLES["report_sections"] = _report_sql()
+ORACLES["report_file"] = f"""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY section_ord, line_ord) - 1 AS INTEGER) AS line_no, line
+FROM ({_report_sql()}) r"""

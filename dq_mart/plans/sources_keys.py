@@ -7,18 +7,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import integrity as I
 from ..operators import profiling as P
 from ..operators.cleaning import dedup_keep_first
 from ..operators.conform import ColumnSpec, TableSpec
-from ..session import shared_path
+from ..operators.table_profile import TableProfile
+from ..session import scratch_path
 from ..sources.csv import ORDINAL, read_raw_csv, write_csv
-from ..sources.landing import file_audit, land_raw
-from ..sources.sinks import load_count_audit, write_table
+from ..sources.catalog import DRIVER_TABLES, row_counts
+from ..sources.landing import land_raw, landing_audit
+from ..sources.sinks import delete_path, load_count_audit, write_table
 from . import profiling_keys as PK
-from .jobs import etl_table, read_loaded
-from .oracles import ORACLES
+from . import etl_keys as EK
+from .jobs import bad_date_examples, bridge_preview, etl_job, etl_table, read_loaded
+from . import schemas as S
+from .oracles import ORACLES, list_items_sql
 from .registry import query
-from .standins import DriverTables
+from .standins import DriverTables, dirty_list, mismatch_pair
 
 ORDERS_TEXT_SPEC = TableSpec(
     name="orders",
@@ -37,7 +42,7 @@ LOADED_ORDERS_SPEC = TableSpec(
 def _orders_as_csv(t: DriverTables, name: str) -> str:
     """orders written as CSV (in key order, several part files) under the
     shared folder; returns the folder."""
-    path = shared_path(t.spark, name)
+    path = scratch_path(t.spark, name)
     o = t.orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     write_csv(o.orderBy("o_orderkey"), path)
     return path
@@ -58,7 +63,7 @@ def _land_raw_roundtrip(t: DriverTables) -> DataFrame:
     """CSV -> landed Parquet with the ingest ordinal -> keep the first order
     of each customer *in file order*: equals the smallest order key, since
     the file was written in key order across several part files."""
-    root = shared_path(t.spark, "landing")
+    root = scratch_path(t.spark, "landing")
     written = land_raw(t.spark, {"orders": _orders_as_csv(t, "land_src")}, root)
     landed = t.spark.read.parquet(written[0].path)
     first = dedup_keep_first(landed.select("o_custkey", "o_orderkey", "o_orderstatus", ORDINAL),
@@ -70,21 +75,43 @@ def _land_raw_roundtrip(t: DriverTables) -> DataFrame:
 
 @query("landing_file_audit")
 def _landing_file_audit(t: DriverTables) -> DataFrame:
-    return file_audit(t.spark, f"{t.sf_dir}/*.parquet")
+    """Every table of the catalog by its files, with its rows beside them;
+    one name has no files."""
+    paths = {n: f"{t.sf_dir}/{n}.parquet" for n in (*DRIVER_TABLES, "absent_table")}
+    audit = landing_audit(t.spark, paths).select("table_name", "present", "non_empty", "status")
+    rows = row_counts({n: t.table(n) for n in DRIVER_TABLES})
+    return audit.join(rows, "table_name", "left").select(
+        "table_name", "present", "non_empty", "status", F.coalesce("row_count", F.lit(0)).alias("rows"))
+
+
+def _small(t: DriverTables, audit: DataFrame, root: str) -> DataFrame:
+    """An audit (one row per table) taken before its tables are removed."""
+    rows = audit.collect()
+    delete_path(t.spark, root)
+    return t.spark.createDataFrame(rows, audit.schema)
 
 
 @query("load_count_audit")
 def _load_count_audit(t: DriverTables) -> DataFrame:
-    root = shared_path(t.spark, "warehouse")
-    written = [write_table(t.spark, t.table(n), root, n) for n in PK.CATALOG]
-    return load_count_audit(t.spark, written)
+    root = scratch_path(t.spark, "warehouse")
+    written = [write_table(t.spark, t.table(n), root, n) for n in DRIVER_TABLES]
+    return _small(t, load_count_audit(t.spark, written), root)
+
+
+@query("etl_job")
+def _etl_job(t: DriverTables) -> DataFrame:
+    """Dimensions, bridge and facts of all eight raw stand-ins, written,
+    published and audited."""
+    root = scratch_path(t.spark, "mart")
+    raw = {n: EK.raw_frame(t, n) for n in EK.STANDINS}
+    return _small(t, etl_job(t.spark, raw, root), root)
 
 
 @query("etl_load_roundtrip")
 def _etl_load_roundtrip(t: DriverTables) -> DataFrame:
     """orders as raw text -> conform to the declared schema -> published
     with a load-status partition -> the loaded rows read back."""
-    root = shared_path(t.spark, "etl")
+    root = scratch_path(t.spark, "etl")
     raw = t.orders.select(*[F.col(c).cast("string").alias(c) for c in
                             ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]],
                           F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
@@ -118,25 +145,33 @@ PROFILE_STEPS = [
 ]
 
 
+def orders_audited(t: DriverTables) -> DataFrame:
+    """orders once, with every derived column that the report profiles."""
+    src, k = t.orders, t.orders.o_orderkey
+    a, b = mismatch_pair(k, src.o_orderstatus)
+    return src.select(*[c.alias(n) for n, c in PK.profiled_columns(t).items()],
+                      a.alias("requested"), b.alias("consulted"),
+                      dirty_list(k, src.o_orderstatus, src.o_orderpriority).alias("ls_raw"))
+
+
 @query("profile_report")
 def _profile_report(t: DriverTables) -> DataFrame:
     """C13 on the stand-ins: each table is scanned twice (one aggregate
-    pass, one value pass) whatever the number of checks."""
-    from ..operators.table_profile import TableProfile
-    from ..sources.catalog import row_counts
-    from . import cleaning_keys as CK
-    from ..operators import integrity as I
-    cust, op, mm = PK.customer_nt(t), PK.orders_profiled(t), PK.orders_mm(t)
+    pass, one value pass) whatever the number of checks; examples and
+    previews are bounded."""
+    cust, op = PK.customer_nt(t), orders_audited(t)
+    profiled = list(PK.profiled_columns(t))
     parts = [
-        P.long_metrics(row_counts({n: t.table(n) for n in PK.CATALOG}), 1, "row_counts",
+        P.long_metrics(row_counts(PK.counted_tables(t)), 1, "row_counts",
                        ["row_count"], "table_name", None),
         TableProfile(cust, "customer").nulls().types("c_custkey", cols=cust.columns)
         .categorical(["segment", "c_nationkey", "Anesthesia Type"]).long(),
-        TableProfile(op, "orders").int_range(cols=P.numeric_columns(op))
-        .dates(["dt_raw", "dt_clean", "o_orderdate"]).yes_no(["yn_raw", "yn_clean"]).long(),
-        TableProfile(mm, "orders").nulls().mismatch("requested", "consulted").long(),
-        P.long_metrics(P.profile_list_column(CK._orders_dirty(t), "ls_raw"), 8, "list_column",
-                       ["total_rows", "parse_errors", "pairs", "distinct_items"], None, None),
+        TableProfile(op, "orders").nulls(cols=["o_orderkey", "requested", "consulted"])
+        .int_range(cols=[c for c in P.numeric_columns(op) if c in profiled])
+        .dates(["dt_raw", "dt_clean", "o_orderdate"]).yes_no(["yn_raw", "yn_clean"], values=True)
+        .mismatch("requested", "consulted").list_column("ls_raw").long(),
+        bad_date_examples(op, "orders", "dt_raw", "o_orderkey"),
+        bridge_preview(op, "orders", "o_orderkey", "ls_raw", "o_orderkey"),
         P.long_metrics(I.fk_integrity(PK.driver_fks(t)), 9, "foreign_keys",
                        ["child_ids", "orphans", "examples"], None, None, "label"),
     ]
@@ -156,7 +191,41 @@ ORACLES["land_raw_roundtrip"] = ORACLES["dedup_keep_first"]
 
 ORACLES["load_count_audit"] = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, "
-    f"CAST(COUNT(*) AS BIGINT) AS rows_read, true AS ok FROM {n}" for n in PK.CATALOG)
+    f"CAST(COUNT(*) AS BIGINT) AS rows_read, CAST(COUNT(*) AS BIGINT) AS rows_loaded, "
+    f"CAST(0 AS BIGINT) AS rows_rejected, true AS ok FROM {n}" for n in DRIVER_TABLES)
+
+ORACLES["landing_file_audit"] = " UNION ALL ".join(
+    [f"SELECT '{n}' AS table_name, true AS present, true AS non_empty, 'ok' AS status, "
+     f"CAST(COUNT(*) AS BIGINT) AS rows FROM {n}" for n in DRIVER_TABLES]
+    + ["SELECT 'absent_table', false, false, 'missing', CAST(0 AS BIGINT)",
+       "SELECT 'TOTAL', true, true, 'ok', CAST("
+       + " + ".join(f"(SELECT COUNT(*) FROM {n})" for n in DRIVER_TABLES) + " AS BIGINT)"])
+
+
+def _etl_job_sql() -> str:
+    parts = []
+    for name in EK.STANDINS:
+        ids = " + ".join(f"COUNT(*) FILTER (WHERE TRY_CAST(r_{c} AS DOUBLE) IS NULL)"
+                         for c in S.SPECS[name].bigint_default0)
+        raw = EK.texts_sql(name)
+        errors = (f"(SELECT COUNT(*) FROM {raw} r WHERE r_other_branches IS NULL "
+                  f"OR r_other_branches NOT LIKE '[%]')" if name == "doctors" else "NULL")
+        parts.append(f"""SELECT '{name}' AS table_name,
+          (SELECT COUNT(*) FROM {EK.base_sql(name)} b) AS w,
+          (SELECT COUNT(*) FROM ({ORACLES[f'etl_{name}']}) l) AS l,
+          {f'(SELECT {ids} FROM {raw} r)' if ids else 'NULL'} AS z, {errors} AS e""")
+    doctors = EK.texts_sql("doctors")
+    pairs = f"""(SELECT DISTINCT r_doctor_id, unnest({list_items_sql('r_other_branches')}) AS b
+       FROM {doctors} d)"""
+    parts.append(f"""SELECT 'doctor_branch_visits', (SELECT COUNT(*) FROM {pairs} p),
+      (SELECT COUNT(*) FROM {pairs} p WHERE length(b) <= 10 AND length(r_doctor_id) <= 20), NULL, NULL""")
+    return f"""SELECT table_name, CAST(w AS BIGINT) AS rows_written, CAST(w AS BIGINT) AS rows_read,
+      CAST(l AS BIGINT) AS rows_loaded, CAST(w - l AS BIGINT) AS rows_rejected, true AS ok,
+      CAST(z AS BIGINT) AS zero_ids, CAST(e AS BIGINT) AS list_errors
+    FROM ({' UNION ALL '.join(parts)}) u"""
+
+
+ORACLES["etl_job"] = _etl_job_sql()
 
 ORACLES["etl_load_roundtrip"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
@@ -183,6 +252,16 @@ def _profile_report_sql() -> str:
                 f"SELECT {step} AS step, '{check}' AS check_name, {pick(tcol)} AS table_name, "
                 f"{pick(ccol)} AS column_name, {pick(icol)} AS item, '{m}' AS metric, "
                 f"{_metric_sql(m, m in _FLOAT_METRICS)} AS value FROM ({ORACLES[key]}) q")
+    examples = [
+        ("6 AS step, 'dates_bad_values'", "table_name", "column_name", "NULL", "'bad_value'",
+         "COALESCE(bad_value, 'NULL')", "profile_dates_bad_values"),
+        ("7 AS step, 'yes_no_unexpected'", "table_name", "column_name", "unexpected_value", "'value'",
+         "COALESCE(unexpected_value, 'NULL')", "profile_yes_no_unexpected"),
+        ("8 AS step, 'list_column_preview'", "'orders'", "'ls_raw'", "CAST(pair_no AS VARCHAR)", "'pair'",
+         "CAST(doctor_id AS VARCHAR) || ' -> ' || branch_id", "bridge_preview")]
+    for head, table, column, item, metric, value, key in examples:
+        parts.append(f"SELECT {head} AS check_name, {table} AS table_name, {column} AS column_name, "
+                     f"{item} AS item, {metric} AS metric, {value} AS value FROM ({ORACLES[key]}) q")
     return " UNION ALL ".join(parts)
 
 

@@ -18,6 +18,15 @@ from pyspark.sql import functions as F
 from ..functions.numeric import MONEY
 
 
+#: The SQL twin of ``DriverTables.lineitem_appointments``.
+APPOINTMENTS_SQL = """(SELECT CASE WHEN l_orderkey % 47 <> 0 THEN l_suppkey END AS branch_id,
+        CASE WHEN l_orderkey % 31 <> 0 THEN CAST(o_orderdate AS DATE) END AS date_of_consultation,
+        CASE WHEN l_orderkey % 29 <> 0 THEN o_orderpriority END AS diagnosis,
+        CASE WHEN l_orderkey % 11 <> 0 THEN l_partkey % 5 END AS requested_doctor_id,
+        CASE WHEN l_orderkey % 13 <> 0 THEN l_suppkey % 5 END AS consulted_doctor_id
+   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 class DriverTables:
     """Lazy handles on ``<sf_dir>/<table>.parquet``."""
 
@@ -42,10 +51,12 @@ class DriverTables:
 
     @cached_property
     def order_visits(self) -> DataFrame:
-        """orders as appointments: branch = priority, date = order date."""
+        """orders as appointments: branch = priority (null for some), date =
+        order date (null for some)."""
         o = self.orders
-        return o.select(o.o_orderpriority.alias("branch_id"),
-                        o.o_orderdate.cast("date").alias("date_of_consultation"))
+        return o.select(F.when(o.o_orderkey % 41 != 0, o.o_orderpriority).alias("branch_id"),
+                        F.when(o.o_orderkey % 31 != 0, o.o_orderdate.cast("date"))
+                        .alias("date_of_consultation"))
 
     @cached_property
     def part_diagnoses(self) -> DataFrame:
@@ -92,7 +103,9 @@ class DriverTables:
     @cached_property
     def substitution_visits(self) -> DataFrame:
         """lineitem as appointments: requested doctor = the customer's nation,
-        consulted doctor = the supplier's nation, branch = supplier nation."""
+        consulted doctor = the supplier's nation, branch = supplier nation;
+        serial number, doctors and branch are null for some rows, and some
+        branches are in no dimension."""
         li, o, c, s = self.lineitem, self.orders, self.customer, self.supplier
         j = (li.select("l_orderkey", "l_suppkey", "l_linenumber")
              .join(o.select("o_orderkey", "o_custkey"),
@@ -101,15 +114,32 @@ class DriverTables:
                    F.col("o_custkey") == F.col("c_custkey"))
              .join(s.select("s_suppkey", "s_nationkey"),
                    F.col("l_suppkey") == F.col("s_suppkey")))
-        return j.select(F.col("l_linenumber").alias("serial_no"),
-                        F.col("s_nationkey").alias("branch_id"),
-                        F.col("c_nationkey").alias("requested_doctor_id"),
-                        F.col("s_nationkey").alias("consulted_doctor_id"))
+        k, b = F.col("l_orderkey"), F.col("s_nationkey")
+        return j.select(F.when(k % 19 != 0, F.col("l_linenumber")).alias("serial_no"),
+                        F.when(k % 43 == 0, b + 100).when(k % 47 != 0, b).alias("branch_id"),
+                        F.when(k % 11 != 0, F.col("c_nationkey")).alias("requested_doctor_id"),
+                        F.when(k % 13 != 0, b).alias("consulted_doctor_id"))
+
+    @cached_property
+    def lineitem_appointments(self) -> DataFrame:
+        """lineitem as appointments with all roles of the report: branch =
+        supplier, date = order date, diagnosis = order priority (some null),
+        requested doctor = part's, consulted doctor = the supplier's."""
+        k, o = F.col("l_orderkey"), self.orders
+        j = self.lineitem.select("l_orderkey", "l_suppkey", "l_partkey").join(
+            o.select("o_orderkey", "o_orderdate", "o_orderpriority"), k == F.col("o_orderkey"))
+        return j.select(F.when(k % 47 != 0, F.col("l_suppkey")).alias("branch_id"),
+                        F.when(k % 31 != 0, F.col("o_orderdate").cast("date")).alias("date_of_consultation"),
+                        F.when(k % 29 != 0, F.col("o_orderpriority")).alias("diagnosis"),
+                        F.when(k % 11 != 0, F.col("l_partkey") % 5).alias("requested_doctor_id"),
+                        F.when(k % 13 != 0, F.col("l_suppkey") % 5).alias("consulted_doctor_id"))
 
     @cached_property
     def nation_branches(self) -> DataFrame:
+        """nation as branches; some share a location."""
         n = self.nation
-        return n.select(n.n_nationkey.alias("branch_id"), n.n_name.alias("location"))
+        return n.select(n.n_nationkey.alias("branch_id"),
+                        F.when(n.n_nationkey % 4 == 0, "SHARED").otherwise(n.n_name).alias("location"))
 
 
 def key_case(key: Column, modulus: int, cases: dict[int, Column | str | None],
@@ -146,10 +176,16 @@ def dirty_date(key: Column, clean: Column) -> Column:
 
 
 def dirty_bigint(key: Column) -> Column:
-    """BI: junk, a null, a fraction, and ids above the INT range."""
+    """BI: junk, a null, fractions, an exponent, forms that only some parsers
+    take for numbers, and ids above the INT range."""
     return (F.when(key % 10 == 0, _s("x1"))
             .when(key % 10 == 1, _s(None))
             .when(key % 10 == 2, F.concat(key.cast("string"), F.lit(".7")))
+            .when(key % 10 == 3, F.concat(key.cast("string"), F.lit(".0")))
+            .when(key % 70 == 4, _s("12d"))
+            .when(key % 70 == 14, _s("77F"))
+            .when(key % 70 == 24, _s("1e3"))
+            .when(key % 70 == 34, _s("0x1p3"))
             .otherwise((key + F.lit(3000000000)).cast("string")))
 
 

@@ -57,15 +57,32 @@ def lake(spark):
     for name, text in CSV.items():
         with open(os.path.join(csv_dir, name), "w", encoding="utf-8") as f:
             f.write(text)
-    landed = J.land_job(spark, csv_dir, f"{base}/lake")
+    landed = {r.table_name: r for r in J.land_job(spark, csv_dir, f"{base}/lake").collect()}
     raw = J.read_landed(spark, f"{base}/lake")
     return {"base": base, "landed": landed, "raw": raw}
 
 
-def test_landing_skips_missing_file(lake):
-    assert sorted(w.table for w in lake["landed"]) == sorted(
+def test_landing_skips_missing_file(spark, lake):
+    landed = lake["landed"]
+    assert sorted(n for n, r in landed.items() if r.status == "ok" and n != "TOTAL") == sorted(
         n for n in J.HOSPITAL_FILES if n != "lab_reports")
-    assert {w.table: w.rows for w in lake["landed"]}["branches"] == 3
+    assert landed["lab_reports"].status == "missing" and landed["lab_reports"].size_bytes == 0
+    assert lake["raw"]["branches"].count() == 3
+    # sizes against the file system
+    import glob
+    import os
+
+    from dq_mart.sources.sinks import table_path
+    folder = local_fs_path(table_path(spark, f"{lake['base']}/lake/raw", "branches"))
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{folder}/*.parquet")]
+    assert landed["branches"].size_bytes == sum(sizes) and landed["branches"].files == len(sizes)
+    total = [r for n, r in landed.items() if n != "TOTAL"]
+    assert landed["TOTAL"].size_bytes == sum(r.size_bytes for r in total)
+
+
+def test_landing_nothing_fails(spark, lake):
+    with pytest.raises(FileNotFoundError):
+        J.land_job(spark, f"{lake['base']}/no-such-folder", f"{lake['base']}/empty-lake")
 
 
 def test_profile_job(spark, lake):
@@ -169,13 +186,15 @@ def test_cli_runs_all_jobs(spark, lake, capsys):
     assert main(["report", "--mart", f"{out}/mart", "--out", out,
                  "--run-date", "2026-01-02"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
-    assert lines[0]["job"] == "land" and lines[0]["branches"] == 3
-    assert lines[2]["branches"] == [2, 2, True]
+    assert lines[0]["job"] == "land" and lines[0]["branches"][:2] == ["ok", lines[0]["branches"][1]]
+    assert lines[2]["branches"] == [2, 0, True]
     assert spark.read.parquet(f"{out}/profile").count() > 50
     assert spark.read.text(f"{out}/reports/daily_report_2026-01-02").count() > 10
 
 
 def test_version_a_queries_on_hospital_mart(spark, mart):
+    from decimal import Decimal as D
+
     from dq_mart.operators import analytics as A
     root, _ = mart
     appt = J.read_loaded(spark, root, "appointments")
@@ -187,7 +206,8 @@ def test_version_a_queries_on_hospital_mart(spark, mart):
     assert [tuple(r) for r in A.top_diagnoses_pct(appt).collect()] == [
         ("Arthritis", 2, 66.67), ("Flu", 1, 33.33)]
     assert [tuple(r) for r in A.revenue_coverage(bill).collect()] == [
-        ("BR02", 1, 200.25, 0.0, 200.25), ("BR01", 2, 150.5, 105.0, 45.5)]
+        ("BR02", 1, D("200.25"), D("0.00"), D("200.25")),
+        ("BR01", 2, D("150.50"), D("105.00"), D("45.50"))]
     assert [tuple(r) for r in A.surgery_outcomes_rate(surg).collect()] == [
         ("DR1", 2, 1, 1, 0, 50.0), ("DR2", 1, 0, 0, 1, 0.0)]
     # both branches are in Pune: merged by location
@@ -198,14 +218,34 @@ def test_version_a_queries_on_hospital_mart(spark, mart):
         (None, 0, 0, 0, 0, None), ("Acme", 2, 1, 0, 1, 50.0)]
 
 
-def test_shared_pass_report_equals_one_query_per_section(spark, mart):
-    from dq_mart.plans.report import report_lines
+def test_report_sections_equal_the_single_queries(spark, mart):
+    from dq_mart.operators import analytics as A
     root, _ = mart
     t = {n: J.read_loaded(spark, root, n) for n in ("appointments", "billing", "surgeries")}
-    one = sorted(tuple(r) for r in report_lines(J.report_sections(t)).collect())
-    shared_df = report_lines(J.report_sections_shared(t))
-    shared = sorted(tuple(r) for r in shared_df.collect())
-    assert shared == one
-    # each fact is scanned once: the sections read the checkpointed groups
-    plan = shared_df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 1  # surgeries; the facts are checkpoints
+    single = {"visits_by_branch": A.visits_by_branch(t["appointments"]),
+              "revenue_by_branch": A.revenue_by_branch(t["billing"]),
+              "top_diagnoses": A.top_diagnoses(t["appointments"]),
+              "surgery_outcomes": A.surgery_outcomes(t["surgeries"]),
+              "claim_status": A.claim_status(t["billing"]),
+              "doctor_substitution": A.substitution_by_branch(t["appointments"])}
+    sections = J.report_sections(t)
+    assert [s.name for s in sections] == list(single)
+    for s in sections:
+        assert s.df.columns == single[s.name].columns
+        assert sorted(map(str, s.df.collect())) == sorted(map(str, single[s.name].collect())), s.name
+
+
+def test_audit_tells_loaded_from_rejected(spark, lake, mart):
+    _, audit = mart
+    for r in audit.values():
+        assert r.rows_loaded + r.rows_rejected == r.rows_written
+    assert audit["billing"].zero_ids is not None and audit["branches"].zero_ids is None
+    assert audit["doctors"].list_errors is not None
+
+
+def test_profile_job_lists_bad_values_and_pairs(spark, lake):
+    rows = J.profile_job(spark, lake["raw"]).collect()
+    checks = {r.check_name for r in rows}
+    assert {"dates_bad_values", "list_column_preview"} <= checks
+    bad = [r.value for r in rows if r.check_name == "dates_bad_values"]
+    assert bad

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from dq_mart.session import local_fs_path, shared_path
 from dq_mart.sources.csv import ORDINAL
-from dq_mart.streaming.landing import land_stream, text_schema
+from dq_mart.sources.csv import text_schema
+from dq_mart.streaming.landing import land_stream
 
 HEADER = "Sl. No.,Branch ID,Location\n"
 
@@ -36,4 +37,19 @@ def test_land_stream_is_incremental(spark):
     landed = spark.read.parquet(out)
     rows = sorted((r["Branch ID"], r.file) for r in
                   landed.select("`Branch ID`", F.col(f"{ORDINAL}.file").alias("file")).collect())
-    assert rows == [("BR01", "day1.csv"), ("BR02", "day1.csv"), ("BR03", "day2.csv")]
+    assert [(b, f.rsplit("/", 1)[-1]) for b, f in rows] == [
+        ("BR01", "day1.csv"), ("BR02", "day1.csv"), ("BR03", "day2.csv")]
+
+
+def test_default_checkpoint_keeps_earlier_batches(spark):
+    """Without a checkpoint of one's own a second run goes on after the first,
+    also when the first day's file is gone by then."""
+    base = shared_path(spark, "tests", "stream-default")
+    src, out = local_fs_path(f"{base}/in"), f"{base}/raw/branches"
+    os.makedirs(src, exist_ok=True)
+    _write(src, "day1.csv", ["1,BR01,Pune", "2,BR02,Mumbai"])
+    land_stream(spark, src, out).awaitTermination()
+    _write(src, "day1.csv", [])
+    _write(src, "day2.csv", ["3,BR03,Delhi"])
+    land_stream(spark, src, out).awaitTermination()
+    assert sorted(r["Branch ID"] for r in spark.read.parquet(out).collect()) == ["BR01", "BR02", "BR03"]
