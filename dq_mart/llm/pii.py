@@ -82,6 +82,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def octet(p: str) -> bool:
+    """At most 255, however many leading zeros."""
+    p = p.lstrip("0")
+    return len(p) <= 3 and int(p or "0") <= 255
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
@@ -106,7 +112,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         at = text.find("@", max(at + 1, done))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(int(p) <= 255 for p in m[0].split(".")):
+            if all(octet(p) for p in m[0].split(".")):
                 out.append((IP, m.start(), m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 13:
@@ -171,7 +177,7 @@ def span_features(text: str, start: int, end: int, kind: int) -> list[str]:
         f.append(f"luhn={luhn(d)}")
     elif kind == IP:
         parts = _GROUPS.findall(s)
-        f.append(f"octets={len(parts) == 4 and all(int(p) <= 255 for p in parts)}")
+        f.append(f"octets={len(parts) == 4 and all(map(octet, parts))}")
         f.append(f"dots={s.count('.')}")
     elif kind == EMAIL:
         f.append(f"ats={len(_AT.findall(s))}")
@@ -297,6 +303,10 @@ SENTENCES = [
     "write to {email:jane.doe@example.com} soon", "mail {email:jane (at) example.com} please",
     "reach {email:j.doe [at] mail [dot] example [dot] org} there", "ask {email:info at example dot com} about it",
     "{email:the.72@mail3.example.com}", "send it to {email:sales(at)example.net}, thanks",
+    "mail {email:kim (at) example.com}; or write", "see {email:b (at) example.org}. then",
+    "({email:lee [at] example [dot] net})", "or {email:a.c (at) mail.example.com}!",
+    "call ({phone:(203) 555-0170}); or", "is it {phone:203-555-0171}? yes", "to {phone:203.555.0172}.",
+    "was {ip:10 . 1 . 2 . 3}; now", "({ip:10[.]9[.]8[.]7})", "my card: {card:5500-0055-5555-5559}.",
     "card {card:4111 1111 1111 1111} was used", "pay with {card:4111-1111-1111-1111} now",
     "number {card:4111.1111.1111.1111} expired", "charged {card:5500005555555559} twice",
     "{card:4012888888881881}", "from {ip:192.168.10.24} came", "host {ip:10[.]0[.]0[.]7} is bad",
@@ -309,6 +319,8 @@ SENTENCES = [
     "score 12 - 7 - 3", "build 20240115123045", "increase of 12.5% in 2020-2021", "tag @user said 10 things",
     "hash 9c8b45435718dcc700c184a7", "coordinates 48.8566, 2.3522", "numbers 1 2 3 4 5 6 7 8 9 10",
     "line 100200300400 of the log", "size 1024 x 768 x 32", "meet at home.then go", "they stay at it. dot it",
+    "we met at example.com today", "found at www.site.net yesterday", "look at example.org for more",
+    "sold at shop.example.com, they say", "is at docs.example.net now", "we stay at home.it is late",
 ]
 
 

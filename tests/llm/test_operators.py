@@ -1,0 +1,406 @@
+"""The operators on Spark: small inputs by brute force, and the defined
+results for nulls, empty and very long texts, repeated rows, empty tables and
+further columns with clashing names."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from dq_mart.llm import (codesearch, decontaminate, licenses, neardup, packing, pii, quality,
+                         secrets, toxicity, urlfilter)
+from dq_mart.llm.common import fold_of
+
+from conftest import SF_SMALL
+from oracle_harness import compare, duck
+
+LONG = "lorem ipsum " * 20_000
+#: Names that the operators use inside, as further columns.
+CLASH = ["id", "label", "score", "row", "key", "rep", "n", "s", "u", "v", "found", "words",
+         "rank", "rn", "code", "base", "host", "gone", "h1", "keys", "sentences", "left", "hit0"]
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def docs_of(spark, rows, clash=True):
+    """rows: (doc_id, text) or (doc_id, text, source)."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "src", None if r[1] is None else len(r[1]))
+            for r in rows]
+    df = spark.createDataFrame(full, SCHEMA).repartition(3)
+    return df.withColumns({c: F.lit("x") for c in CLASH}) if clash else df
+
+
+EDGE = [(1, None), (None, "some text here that is long enough to matter"), (2, ""), (3, " \n "),
+        (4, LONG), (4, LONG), (None, None), (5, "é" * 50), (6, "a\n\n\nb")]
+
+
+# --- near duplicates --------------------------------------------------------------
+
+def _components(rows, size, percent):
+    sets = {}
+    for i, t in rows:
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", (t or "").lower()) if x]
+        k = min(size, len(w))
+        sets[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                x = len(sets[a] & sets[b])
+                if 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
+                    p, q = sorted((root(a), root(b)))
+                    label[q] = p
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def _copies(seed=0):
+    """Groups of near copies with chains, hubs and unlinked look-alikes."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows, at = [], 0
+    for n in (1, 2, 6, 8, 30, 120):
+        for rep in range(6):
+            base = rng.choices(vocab, k=n)
+            group = [base]
+            for _ in range(rng.randrange(1, 12)):
+                v = list(rng.choice(group))             # copies of copies: chains
+                for _ in range(rng.randrange(0, max(2, n // 12))):
+                    v[rng.randrange(len(v))] = rng.choice(vocab)
+                group.append(v)
+            for v in group:
+                rows.append((at, " ".join(v)))
+                at += 1
+    shared = rng.choices(vocab, k=80)                   # a passage that many share
+    for _ in range(40):
+        rows.append((at, " ".join(shared + rng.choices(vocab, k=25))))
+        at += 1
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    return [(order[i], t) for i, t in rows]
+
+
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_components_against_all_pairs(spark, size, percent):
+    rows = _copies(size)
+    want = _components(rows, size, percent)
+    got = neardup.near_duplicates(docs_of(spark, rows), shingle=size, percent=percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+
+
+def test_further_stars_find_links_beside_the_centre(spark):
+    """The centre of a bucket links to neither of two that link to each other."""
+    rng = random.Random(9)
+    base = [f"a{i}" for i in range(200)]
+    far = lambda k, tag: base[:200 - k] + [f"{tag}{i}" for i in range(k)]
+    rows = [(0, " ".join(far(30, "x"))), (1, " ".join(far(30, "y"))),
+            (2, " ".join(far(30, "y") + ["end"]))]
+    rows += [(10 + j, " ".join(far(28, f"z{j}_"))) for j in range(10)]
+    want = _components(rows, 3, 85)
+    got = neardup.near_duplicates(docs_of(spark, rows), shingle=3, percent=85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert want[2][1] == 1 and rng
+
+
+def test_near_duplicates_defined_results(spark):
+    got = neardup.near_duplicates(docs_of(spark, EDGE)).collect()
+    assert len(got) == len(EDGE)
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append(r)
+    assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in by[1]] == [(0, 1, True)]
+    assert [(r["component_id"], r["kept"]) for r in by[4]] == [(4, True)] * 2
+    assert all(r["component_id"] is None and r["kept"] for r in by[None])
+    assert neardup.near_duplicates(docs_of(spark, [])).count() == 0
+
+
+# --- secrets ----------------------------------------------------------------------
+
+def test_ownership_parts_examples_from_live_secrets(spark):
+    live, copied = "kJ8s9DfQ2mZx7LpW4vTn", "Zx91mQpLw82KsDf73HgT"
+    rows = [(i, f"token = {copied}", f"src{i % 5}") for i in range(30)]
+    rows += [(100, f"token = {live} and again {live}", "own"), (101, f"x {live} y", "own"),
+             (102, f"see {copied} there", "other"), (103, "password: changeme123", "own"),
+             (104, None, None), (None, f"secret={live}", "own"), (100, "", "own")]
+    got = secrets.scan_secrets(docs_of(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by = defaultdict(list)
+    for r in got:
+        by[r["doc_id"]].append(r)
+    assert [c["verdict"] for c in by[0][0]["found"]] == ["example"]
+    assert by[0][0]["found"][0]["n_owners"] == 6 and by[0][0]["found"][0]["n_places"] == 31
+    both = max(by[100], key=lambda r: len(r["found"]))
+    assert [(c["kind"], c["verdict"]) for c in both["found"]] == [(0, "live"), (3, "live")]
+    assert [(c["kind"], c["verdict"]) for c in by[101][0]["found"]] == [(3, "live")]
+    assert by[102][0]["found"] == []                      # a copied value adds no span
+    assert [c["verdict"] for c in by[103][0]["found"]] == ["example"]
+    assert by[104][0]["found"] == [] and by[104][0]["n_assign"] == 0
+    assert len(by[None]) == 1 and by[None][0]["n_assign"] == 1
+    assert secrets.scan_secrets(docs_of(spark, [])).count() == 0
+    assert secrets.scan_secrets(docs_of(spark, EDGE)).count() == len(EDGE)
+
+
+# --- classifiers ------------------------------------------------------------------
+
+def _read(spark, name, sf="/root/testdata/sf0.01"):
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _held_out(spark, predicted, label):
+    truth = {r["doc_id"]: r[label] for r in _read(spark, "labels").collect()}
+    return [(truth[i], p) for i, p in predicted.items()
+            if i in truth and zlib.crc32(str(i).encode()) % 5 == 0]
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = _read(spark, "documents"), _read(spark, "labels")
+    model = quality.fit(docs, labels.where(fold_of("doc_id") != 0))
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    pairs = _held_out(spark, got, "quality")
+    assert all(0 <= s <= 1 for s in got.values())
+    good = [s for y, s in pairs if y == 1]
+    bad = [s for y, s in pairs if y == 0]
+    assert sum(s >= 0.3 for s in good) / len(good) >= 0.97
+    assert sum(s < 0.3 for s in bad) / len(bad) >= 0.8
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = _read(spark, "documents"), _read(spark, "labels")
+    index = toxicity.fit(docs, labels.where(fold_of("doc_id") != 0))
+    assert {"idiot", "scum"} & set(index.vocabulary)
+    got = {r["doc_id"]: r for r in toxicity.score(docs, index).collect()}
+    pairs = _held_out(spark, {i: r["score"] for i, r in got.items()}, "toxic")
+    clean = [s for y, s in pairs if y == 0]
+    assert sum(s >= 0.5 for s in clean) / len(clean) <= 0.02
+    # marked texts without any of the words give nothing to learn from
+    assert sum(s >= 0.5 for y, s in pairs if y == 1) / sum(y == 1 for y, _ in pairs) >= 0.4
+    toxic = next(r for r in got.values() if r["score"] >= 0.5)
+    assert toxic["evidence"] and toxic["evidence"] == sorted(
+        toxic["evidence"], key=lambda e: (-e["cosine"], e["id"]))
+
+
+@pytest.mark.parametrize("label,fit,score", [("quality", quality.fit, quality.score),
+                                             ("toxic", toxicity.fit, toxicity.score)])
+def test_classifiers_defined_results(spark, label, fit, score):
+    schema = f"doc_id bigint, {label} int, text string, id bigint"
+    none = spark.createDataFrame([], schema)
+    one = spark.createDataFrame([(2, 1, "x", 1), (5, 1, "x", 1)], schema)
+    odd = spark.createDataFrame([(1, 1, "x", 1), (2, 0, "x", 1), (None, 1, "x", 1), (3, None, "x", 1),
+                                 (4, 1, "x", 1), (4, 0, "x", 1), (5, 0, "x", 1)], schema)
+    docs = docs_of(spark, EDGE)
+    for labels, want in ((none, {0.0}), (one, {1.0}), (odd, None)):
+        got = [r["score"] for r in score(docs, fit(docs, labels)).collect()]
+        assert len(got) == len(EDGE) and all(0 <= s <= 1 for s in got)
+        assert want is None or set(got) == want
+    empty = docs_of(spark, [])
+    assert score(empty, fit(empty, odd)).count() == 0
+
+
+# --- urls -------------------------------------------------------------------------
+
+RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
+         ("allow", "www.example.com", "/en/"), ("block", "net", "/es/")]
+
+
+def _parts(url):
+    rest = (url or "").partition("://")[2] if "://" in (url or "") else ""
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def test_urls_against_brute_force(spark):
+    urls = ["http://WWW.Example.com/en/1?x", "https://a.example.com/en/", "http://example.com/en",
+            "http://example.com", "http://notexample.com/en/", "https://x.net/es/1#t", "ftp://net/es/",
+            "http://cheap-pills.example.org/en/1", "http://casinowin.example.net/en/2", None, "", "no url",
+            "://h.com/", "a://b://c/d", "http://h?q=/en/", "http://h#f", "http://É.com/é", "http:///p",
+            "http://" + "x" * 3000 + ".org/" + "y" * 3000, "http://a.com\n/en/"]
+    rows = [(i, u, "<p>cheap pills casino win</p>" if i % 2 else None) for i, u in enumerate(urls)]
+    rows += [(None, "http://a.org/", None), (1, urls[1], None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string") \
+        .withColumns({c: F.lit("x") for c in CLASH if c != "host"}).withColumn("host", F.lit("x"))
+    model = urlfilter.fit(pages)
+    got = urlfilter.judge(pages, model, RULES).collect()
+    assert len(got) == len(rows)
+    by = {r["page_id"]: r for r in got if r["page_id"] is not None}
+    for i, u in enumerate(urls):
+        host, path = _parts(u)
+        assert (by[i]["host"], by[i]["path"]) == (host, path), u
+        fits = [(len(h + p), h + p, v) for v, h, p in RULES
+                if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule = max(fits) if fits else None
+        assert by[i]["rule"] == (rule and rule[1]), u
+        p = model.bayes.block_probability(model.segmenter.words(host, path))
+        assert by[i]["verdict"] == (rule[2] if rule else "block" if p >= 0.5 else "allow"), u
+    assert by[7]["verdict"] == "block" and by[8]["verdict"] == "block"
+    assert by[9]["verdict"] == "allow" and by[9]["host"] == ""
+    empty = pages.limit(0)
+    assert urlfilter.judge(empty, urlfilter.fit(empty), RULES).count() == 0
+
+
+# --- licences ---------------------------------------------------------------------
+
+def test_licence_sequences_and_rules(spark):
+    s = licenses.SENTENCES
+    mit = f"Copyright (c) 2020 X\n\n{s['mit-grant'].capitalize()}:\n\n{s['mit-notice']}.\n\n{s['mit-warranty']}."
+    rows = [(1, mit), (2, f"{s['bsd-grant']}:\n{s['bsd-source']}.\n{s['bsd-binary']}.\n{s['bsd-endorse']}."),
+            (3, f"{s['bsd-grant']}:\n{s['bsd-source']}.\n{s['bsd-binary']}."),
+            (4, f"{s['bsd-source']}.\n{s['bsd-grant']}."),         # out of order: no rule
+            (5, "Released under the MIT License. Licensed under CC BY-NC 4.0.\nReleased under the MIT licence."),
+            (6, "This work is licensed under the GNU General Public License, version 3."),
+            (7, "We like licenses. A licence is fine"), *[(10 + i, t) for i, (_, t) in enumerate(EDGE)]]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs_of(spark, rows)).collect()}
+    assert got[1]["licenses"] == ["MIT"] and got[1]["sentences"] == ["mit-grant", "mit-notice", "mit-warranty"]
+    assert got[2]["licenses"] == ["BSD-3-Clause"] and got[3]["licenses"] == ["BSD-2-Clause"]
+    assert got[4]["licenses"] == [] and got[4]["sentences"] == ["bsd-source", "bsd-grant"]
+    assert got[5]["licenses"] == ["MIT", "CC-BY-NC-4.0"]
+    assert got[6]["licenses"] == ["GPL-3.0"] and got[7]["licenses"] == []
+    assert all(got[10 + i]["licenses"] == [] for i in range(len(EDGE)))
+    assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
+
+
+def test_licence_scan_has_no_python_and_no_shuffle(spark):
+    plan = licenses.scan_licenses(docs_of(spark, EDGE, clash=False).coalesce(1)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# --- personal data ----------------------------------------------------------------
+
+def test_pii_rows(spark):
+    rows = [(1, "Write to a.b@c.org or a (at) example.com; 10.0.0.1!"), *EDGE]
+    docs = docs_of(spark, rows)
+    model = pii.fit(docs)
+    got = pii.scan(docs, model).collect()
+    assert len(got) == len(rows)
+    r = next(r for r in got if r["n_email"])
+    assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == (1, 1, 0, 0)
+    assert r["base"] == "email:9:18,ip:42:50" and r["n_added"] == 1
+    assert r["spans"] == "email:9:18,email:22:40,ip:42:50"
+    assert r["redacted"] == "Write to [EMAIL] or [EMAIL]; [IP]!"
+    assert all(r["spans"] == "" and r["n_added"] == 0 for r in got if not r["n_email"])
+    assert pii.scan(docs_of(spark, []), model).count() == 0
+    assert pii.fit(docs_of(spark, [])).weights
+
+
+# --- decontamination --------------------------------------------------------------
+
+def test_contaminated_rows(spark):
+    rng = random.Random(4)
+    words = [f"t{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choices(words, k=20 + i))) for i in range(9)]
+    text = lambda *mid: " ".join(rng.choices(words, k=30) + list(mid) + rng.choices(words, k=30))
+    rows = [(1, text(items[3][1])), (1, text(items[3][1])), (2, text()), (3, text(items[4][1], items[5][1])),
+            (4, text(items[4][1].upper().replace(" ", ", "))), (None, text(items[0][1])), *EDGE]
+    bench = spark.createDataFrame([*items, (50, items[3][1]), (51, None), (None, "x y"), (52, "")],
+                                  "item_id bigint, text string").withColumn("doc_id", F.lit(7))
+    docs = docs_of(spark, rows)
+    for block in (4000, 3):
+        got = decontaminate.contaminated(docs, bench, block=block).collect()
+        assert Counter((r["doc_id"], r["item_id"]) for r in got) == Counter(
+            [(1, 3), (1, 3), (1, 50), (1, 50), (3, 4), (3, 5), (4, 4), (None, 0)])
+        assert all(r["distance"] == 0 for r in got)
+        kept = docs
+        for found in decontaminate.detectors(bench, block=block):
+            kept = kept.where(~found("text"))
+        assert kept.count() == len(EDGE) + 1
+    assert decontaminate.contaminated(docs_of(spark, []), bench).count() == 0
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_every_planted_item_is_found(spark):
+    """Documents that hold a benchmark text literally, by brute force."""
+    docs, bench = _read(spark, "documents"), _read(spark, "benchmark")
+    texts = [(r["item_id"], r["text"]) for r in bench.collect()]
+    want = {(r["doc_id"], i) for r in docs.collect() for i, t in texts if t in r["text"]}
+    got = decontaminate.contaminated(docs, bench).collect()
+    assert want and want <= {(r["doc_id"], r["item_id"]) for r in got}
+    by = {r["doc_id"]: r["text"] for r in docs.collect()}
+    item = dict(texts)
+    for r in got:                                     # nothing that isn't there
+        w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", by[r["doc_id"]][r["start"]:r["end"]].lower())
+        v = re.findall(r"[0-9a-z\x80-\U0010ffff]+", item[r["item_id"]].lower())
+        assert len(set(w) ^ set(v)) <= 2 * r["distance"]
+
+
+# --- packing ----------------------------------------------------------------------
+
+def test_packing_round_trip(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(1, 900))))
+            for i in range(60)] + EDGE
+    out = packing.pack(docs_of(spark, rows), path).collect()
+    tok = Tokenizer.from_file(path)
+    ids = [(i, tuple(tok.encode(t or "", add_special_tokens=False).ids) + (2,)) for i, t in rows]
+    # sequences: gapless, at most a window, padded nowhere
+    seqs = defaultdict(list)
+    for r in out:
+        assert r["length"] > 0 and r["length"] * 4 == len(r["ids"])
+        seqs[r["sequence_id"]].append(r)
+    for held in seqs.values():
+        at = 0
+        for r in sorted(held, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 4096 and at & (at - 1) == 0
+    # documents: pieces by start give the ids back, each row once
+    pieces = defaultdict(list)
+    for r in out:
+        pieces[(r["doc_id"], r["doc_tokens"])].append(r)
+    want = Counter((i, len(x)) for i, x in ids)
+    for key, n in want.items():
+        total = sum(r["length"] for r in pieces[key])
+        assert total == n * key[1]
+    for i, x in ids:
+        if i is not None and want[(i, len(x))] == 1:
+            got = sorted(pieces[(i, len(x))], key=lambda r: r["start"])
+            joined = np.concatenate([np.frombuffer(r["ids"], "<u4") for r in got])
+            assert joined.tolist() == list(x)
+    assert sum(r["length"] for r in out) == sum(len(x) for _, x in ids)
+    assert packing.pack(docs_of(spark, []), path).count() == 0
+
+
+# --- code search ------------------------------------------------------------------
+
+def test_nearest_codes_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(300, 64)).round(2)
+    vectors[40:140] = vectors[7]                       # a vector that a third share
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(3, vectors[3].tolist()), (900, None), (901, []), (None, vectors[1].tolist()),
+             (902, [None] * 64), (903, [1.0] * 100)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>") \
+        .withColumns({c: F.lit("x") for c in CLASH}).repartition(4)
+    got = codesearch.nearest_codes(df, df.where("vec_id % 20 = 0 or vec_id > 890"), k=6).collect()
+    signs = {i: tuple(x is not None and x > 0 for x in v) for i, v in rows if v and i is not None}
+    for q in {i for i in signs if i % 20 == 0 or i > 890}:
+        every = sorted((sum(a != b for a, b in zip(signs[q], s)), i) for i, s in signs.items()
+                       if i != q and -(-len(s) // 64) == -(-len(signs[q]) // 64))[:6]
+        mine = sorted((r["rank"], r["distance"], r["neighbour_id"]) for r in got if r["query_id"] == q)
+        assert mine == [(n + 1, d, i) for n, (d, i) in enumerate(every)], q
+    assert not any(r["query_id"] in (900, 901) for r in got)
+    assert codesearch.nearest_codes(df.limit(0), df, k=3).count() == 0
+    assert codesearch.nearest_codes(df, df.limit(0), k=3).count() == 0
+
+
+# --- registered queries -----------------------------------------------------------
+
+def test_queries_match_their_sql(spark):
+    from dq_mart.llm.oracles import ORACLES
+    from dq_mart.llm.queries import QUERIES
+    con = duck(SF_SMALL)
+    for name, sql in ORACLES.items():
+        result = compare(QUERIES[name](spark, SF_SMALL), con, sql)
+        assert result["values_match"], (name, result)
