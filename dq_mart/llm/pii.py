@@ -16,8 +16,9 @@ is found as well.
 
 Training maximises the conditional likelihood of segmentations (inside-outside
 over the same lattice).  Its examples are the base spans in a bounded sample
-of the documents, their rewritten variants, and fixed sentences with numbers
-that are no personal data.
+of the documents, their rewritten variants, and fixed sentences, also with
+numbers that are no personal data; texts of the sample that may hold more than
+their base spans are left out.
 
 Text far from any digit or at-sign cannot start a segment, so leaving it out
 leaves the best path unchanged.
@@ -413,8 +414,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      "id bigint, snippets array<string>").where(F.size("snippets") > 0)
     found = sorted({s for r in rows.orderBy(F.xxhash64("id"), "id").limit(examples).collect()
                     for s in r["snippets"]})
+    return fitted(found[:examples])
+
+
+def fitted(snippets: list[str]) -> SemiMarkov:
+    """A model of the fixed sentences and the snippets.  Snippets where a model
+    of the sentences alone finds more than the base spans are left out: their
+    base spans may not be all there is."""
+    first = SemiMarkov()
+    first.train(training_examples([]))
+    whole = [s for s in snippets if not Scanner(first).added(s, base_spans(s))]
     model = SemiMarkov()
-    model.train(training_examples(found[:examples]))
+    model.train(training_examples(whole))
     return model
 
 
