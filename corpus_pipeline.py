@@ -38,15 +38,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = neardup.near_duplicates(docs)
-    gone = groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    out = docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    out = docs.join(gone, "doc_id", "left_anti").select(*names)
     repeats = docs.groupBy("doc_id").count().where("doc_id is not null and count > 1")
     if repeats.isEmpty():
         return out
     rank = "rank"
     while rank in docs.columns:
         rank += "_"
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64(*names))
     return (out.where("doc_id is not null").withColumn(rank, F.row_number().over(one))
             .where(F.col(rank) == 1).drop(rank).unionByName(out.where("doc_id is null")))
 
