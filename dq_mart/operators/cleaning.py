@@ -95,8 +95,10 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Column | str) ->
     (the ingest ordinal).  Null keys are equal to each other, so one
     null-key row survives.  Output keeps the input's columns and order.
 
-    Plan: ``HashAggregate(partial) -> Exchange(keys) -> HashAggregate(final)``
-    on ``min(struct(order, other columns))``.
+    Plan: partial and final aggregate on ``min(struct(order, other
+    columns))`` around one exchange by the keys.  The rows are wide, so Spark
+    sorts by key instead of hashing; the partial step still leaves one row a
+    key and task.
     """
     order_col = col_of(order)
     rest = [c for c in df.columns if c not in keys]

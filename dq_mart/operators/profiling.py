@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, FloatType, NumericType,
                                StringType, TimestampNTZType, TimestampType)
 
-from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN, number_or_null,
+from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN,
                                parse_list_string, to_date_safe)
 from ..functions.numeric import pct_half_up
 from ..functions.text import is_blank, quoted, strip_ws
@@ -74,11 +74,12 @@ def profile_types(df: DataFrame, table: str, order: str) -> DataFrame:
     """``(table_name, column_name, dtype, sample)`` — the Spark type
     and the value of the first row (smallest ``order``) as text."""
     cols = [c for c in df.columns]
-    one = df.agg(*[F.min_by(F.col(quoted(c)).cast("string"), F.col(quoted(order))).alias(f"__s{i}")
-                   for i, c in enumerate(cols)])
+    # one comparison of the order a row, whatever the number of columns
+    first = F.struct(*[F.col(quoted(c)).cast("string").alias(f"s{i}") for i, c in enumerate(cols)])
+    one = df.agg(F.min_by(first, F.col(quoted(order))).alias("__first"))
     items = [F.struct(F.lit(c).alias("column_name"),
                       F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                      F.col(f"__s{i}").alias("sample"))
+                      F.col(f"__first.s{i}").alias("sample"))
              for i, c in enumerate(cols)]
     return _long(one, items).select(F.lit(table).alias("table_name"), "column_name",
                                     "dtype", "sample")
@@ -106,31 +107,6 @@ def profile_int_range(df: DataFrame, table: str,
                                     "max_value", "needs_bigint")
 
 
-def profile_int_range_text(df: DataFrame, table: str,
-                           cols: Sequence[str] | None = None) -> DataFrame:
-    """C3 on raw text: the columns whose every non-null value reads as a
-    number (what a type-inferring reader would call numeric), with their
-    max and the BIGINT verdict.  One aggregation pass."""
-    cols = [c for c in (cols or df.columns) if isinstance(df.schema[c].dataType, StringType)]
-    aggs = []
-    for i, c in enumerate(cols):
-        v = F.col(quoted(c))
-        num = number_or_null(strip_ws(v))
-        aggs += [F.count(v).alias(f"__t{i}"), F.count(num).alias(f"__p{i}"),
-                 F.max(num).alias(f"__m{i}")]
-    one = df.agg(*aggs)
-    items = [F.struct(F.lit(c).alias("column_name"),
-                      F.col(f"__m{i}").alias("max_value"),
-                      F.coalesce(F.col(f"__m{i}") > F.lit(INT_MAX), F.lit(False))
-                      .alias("needs_bigint"),
-                      ((F.col(f"__t{i}") == F.col(f"__p{i}")) & (F.col(f"__t{i}") > 0))
-                      .alias("__numeric"))
-             for i, c in enumerate(cols)]
-    return (_long(one, items).filter("__numeric")
-            .select(F.lit(table).alias("table_name"), "column_name", "max_value",
-                    "needs_bigint"))
-
-
 # --- C4: categorical values --------------------------------------------------------------
 
 def profile_categorical(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:

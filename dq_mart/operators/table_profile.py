@@ -92,8 +92,12 @@ class TableProfile:
 
     def types(self, order: str, step: int = 3,
               cols: Sequence[str] | None = None) -> "TableProfile":
-        for c in cols or [c for c in self.df.columns if c != order]:
-            sample = self._agg(F.min_by(F.col(quoted(c)).cast("string"), F.col(quoted(order))))
+        cols = list(cols or [c for c in self.df.columns if c != order])
+        # one comparison of the order a row, whatever the number of columns
+        first = self._agg(F.min_by(F.struct(*[F.col(quoted(c)).cast("string").alias(f"s{i}")
+                                              for i, c in enumerate(cols)]), F.col(quoted(order))))
+        for i, c in enumerate(cols):
+            sample = first.getField(f"s{i}")
             self._items += [
                 _item(step, "types", self.table, c, None, "dtype",
                       F.lit(self.df.schema[c].dataType.simpleString())),

@@ -10,7 +10,7 @@ from ..functions.text import NA_TOKENS
 from ..operators import cleaning as C
 from ..operators import profiling as P
 from ..operators.conform import (ColumnSpec, TableSpec, conform, good_rows,
-                                 rejected_rows)
+                                 rejected_rows, transform)
 from .oracles import (ORACLES, bi_sql, bigint0_sql, declared_int_sql, dt_sql, list_items_sql,
                       ls_sql, nt_sql, yes_no_sql, yn_sql)
 from .registry import query
@@ -114,7 +114,8 @@ def _bridge_doctor_dim(t: DriverTables) -> DataFrame:
     d = _orders_dirty(t).select(F.col("o_orderkey").alias("Doctor_ID"),
                                 F.col("o_orderpriority").alias("Practicing_Branch"),
                                 F.col("ls_raw").alias("Other_Branches_Visited"))
-    return d.drop("Other_Branches_Visited", "Not_A_Column")
+    return transform(d, TableSpec(name="doctors", columns=(),
+                                  drop=("Other_Branches_Visited", "Not_A_Column")))
 
 
 # Declared schema of the conformance stand-in: ids, a date, VARCHAR(10) texts

@@ -1,41 +1,19 @@
-"""Catalog of named tables: name -> DataFrame, plus row-count audit.
-
-Absent tables are left out of the catalog (and logged), as the reference
-skips a missing file.
-"""
+"""Named tables and the row-count audit over them."""
 
 from __future__ import annotations
 
 import functools
-import logging
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sinks import path_exists
-
-log = logging.getLogger(__name__)
-
 # Tables of the driver's test data folders.
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
 
 
-def load_parquet_catalog(spark: SparkSession, folder: str,
-                         names: Iterable[str] = DRIVER_TABLES) -> dict[str, DataFrame]:
-    """``<folder>/<name>.parquet`` for each name that exists."""
-    out: dict[str, DataFrame] = {}
-    for name in names:
-        path = f"{folder.rstrip('/')}/{name}.parquet"
-        if path_exists(spark, path):
-            out[name] = spark.read.parquet(path)
-        else:
-            log.warning("table %s not found at %s; skipped", name, path)
-    return out
-
-
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     return functools.reduce(lambda a, b: a.unionByName(b), list(parts))
 
