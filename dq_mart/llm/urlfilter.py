@@ -10,8 +10,8 @@ word costs a fixed sum for each character.  The words (those of the host and
 those of the path are apart) are the features of a multinomial naive Bayes
 model with classes allow and block.  It is fitted on fixed labelled names,
 then once more with the hosts of all pages, each counted by its own
-probability of either class (one step of expectation maximisation, with a
-small weight, so that the labelled names keep the lead).
+probability of either class (one step of expectation maximisation; in each
+class the pages together weigh as much as the labelled names).
 
 A url that a rule fits gets the rule's verdict; the longest rule wins.
 
@@ -41,12 +41,13 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bounded_batches
+from .common import python_tasks
 
 #: Words of the unigram model and of the classifier that are kept at most.
 WORDS = 50_000
 LONGEST = 24
-EM_WEIGHT = 0.05
+#: What the pages' expected words weigh against the labelled names, in each class.
+EM_WEIGHT = 1.0
 _RUN = re.compile(r"[a-z]+|[0-9]+")
 
 # Names whose verdict is known, as words.
@@ -64,8 +65,8 @@ ALLOWED = (
     "garden club,book club,travel guide,city guide,food recipes,home recipes,music school,film review,"
     "book review,game review,code notes,open source,code docs,docs home,learn math,learn code,"
     "health clinic,family doctor,green energy,solar home,local weather,weather report,sports club,"
-    "football league,town council,county office,data portal,map service,photo album,family blog,"
-    "travel blog,tech blog,word list,language school,bird watch,example,blog,www,m").split(",")
+    "football league,town council,county office,data portal,map service,photo album,family album,"
+    "travel notes,tech guide,word list,language school,bird watch").split(",")
 #: Pseudo-counts of the words above in the unigram model.
 LISTED = 20
 
@@ -196,7 +197,7 @@ def text_words(pages: DataFrame, html_col: str) -> DataFrame:
 
 def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html",
         words: int = WORDS) -> UrlModel:
-    bounded_batches(pages.sparkSession)
+    python_tasks(pages.sparkSession)
     counts = listed_words()
     for r in text_words(pages, html_col).orderBy(F.desc("n"), "word").limit(words).collect():
         counts[r["word"]] += r["n"]
@@ -228,11 +229,12 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str = "html",
             .agg(F.round(F.sum("b"), 6).alias("b"), F.round(F.sum("a"), 6).alias("a"))
             .orderBy(F.desc(F.col("a") + F.col("b")), "word").limit(words).collect())
     bayes = NaiveBayes(dict(first.block), dict(first.allow), first.prior)
-    whole = sum(r["a"] + r["b"] for r in soft) or 1.0
-    scale = EM_WEIGHT * sum(bayes.totals) / whole
-    for r in soft:
-        bayes.block[r["word"]] = bayes.block.get(r["word"], 0.0) + scale * r["b"]
-        bayes.allow[r["word"]] = bayes.allow.get(r["word"], 0.0) + scale * r["a"]
+    # each class gets its own share, so that words which all pages have alike
+    # (the public part, languages, page numbers) speak for neither
+    for held, total, column in ((bayes.block, first.totals[0], "b"), (bayes.allow, first.totals[1], "a")):
+        whole = sum(r[column] for r in soft) or 1.0
+        for r in soft:
+            held[r["word"]] = held.get(r["word"], 0.0) + EM_WEIGHT * total * r[column] / whole
     bayes.__post_init__()
     return UrlModel(segmenter, bayes)
 
@@ -241,7 +243,7 @@ def judge(pages: DataFrame, model: UrlModel, rules: Sequence[tuple[str, str, str
           id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id_col, host, path, rule, verdict, score, words): score is the model's
     probability of block, words the segmented words it rests on."""
-    bounded_batches(pages.sparkSession)
+    python_tasks(pages.sparkSession)
     src = pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"),
                        path_of(F.col(url_col)).alias("path"))
 
