@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, python_tasks
 
 SHARD = 200_000
 QUERIES = 50_000
@@ -164,6 +164,7 @@ def nearest_codes(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: st
                 .select(F.col(id_col).cast("bigint").alias("id"), sign_code(vector_col).alias("code"))
                 .distinct())
 
+    python_tasks(corpus.sparkSession)
     most = k + 1
     least = Window.partitionBy("code").orderBy("id")
     entries = cut(coded(corpus).withColumn("rn", F.row_number().over(least)).where(F.col("rn") <= most)

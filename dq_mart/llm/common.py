@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +17,23 @@ from ..session import checkpoint_root
 #: be long, so the default of 10,000 rows could hold gigabytes.
 BATCH_ROWS = 1000
 BATCH_BYTES = 16 << 20
+#: The folder that this package is in.
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds; a smaller setting of the user stays."""
+def python_tasks(spark: SparkSession) -> None:
+    """Settings of Python tasks.  What one Arrow batch holds is bounded (a
+    smaller setting of the user stays), and workers find this package also when
+    the driver found it by ``sys.path`` alone (on a cluster it is installed or
+    sent along, and the path is no use but no harm)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         try:
@@ -41,6 +52,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Ids that are sent to every task at most; more are joined by a shuffle.
+IDS = 1_000_000
+
+
+def ids_side(ids: DataFrame, most: int = IDS) -> DataFrame:
+    """A checkpointed table of ids as the side of a join: broadcast if its
+    counted size allows, so that the other side, with whole texts, stays where
+    it is; else left to Spark's shuffle joins."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def fold_of(id_col) -> "F.Column":
     """The remainder by 5 of the CRC-32 of the id written as text."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
@@ -71,7 +93,7 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
               schema: str) -> DataFrame:
     """``mapInArrow`` with bounded slices: ``fn`` turns a slice into rows."""
-    bounded_batches(df.sparkSession)
+    python_tasks(df.sparkSession)
 
     def run(batches):
         for b in batches:

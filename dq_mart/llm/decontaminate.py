@@ -46,7 +46,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_batches, map_texts
+from .common import python_tasks, map_texts
 from .hashing import PUNCTUATION, mix, word_hashes
 
 RATE = 0.1
@@ -310,7 +310,7 @@ def detectors(benchmark: DataFrame, item_col: str = "item_id", item_text: str =
               rate: float = RATE, block: int = BLOCK) -> list:
     """For each block of items, whether a text column holds any of them, for
     rows kept in place; null texts hold none."""
-    bounded_batches(benchmark.sparkSession)
+    python_tasks(benchmark.sparkSession)
 
     def detector(index: ItemIndex):
         @F.pandas_udf("boolean")

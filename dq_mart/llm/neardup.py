@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .common import bounded_batches, cut, list_array, pieces
+from .common import python_tasks, cut, list_array, pieces
 from .hashing import mix, shingle_sets, word_hashes
 
 SHINGLE = 5
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     shingle: int = SHINGLE, percent: int = PERCENT,
                     rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """(id_col, n_shingles, component_id, kept), a row for each row of ``docs``."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     bands = bands_for(percent, rows, miss)
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sigs = cut(_signatures(src, shingle, bands, rows))

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from .common import bounded_batches, pieces
+from .common import python_tasks, pieces
 
 WINDOW = 4096
 #: Chunks, and parts of chunks, that a worker remembers the ids of; a memory
@@ -231,7 +231,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``,
     ``sequence_id``, ``offset``.  ``tokenizer`` is a file that every executor
     has."""
-    bounded_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):

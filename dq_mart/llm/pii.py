@@ -48,7 +48,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import bounded_batches, map_texts
+from .common import python_tasks, map_texts
 
 # The kinds in the order in which they are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -461,7 +461,7 @@ class Scanner:
 
 def redaction(spark: SparkSession, model: SemiMarkov):
     """The redacted text as a function of a text column; null stays null."""
-    bounded_batches(spark)
+    python_tasks(spark)
     scanner = Scanner(model)
 
     def one(text):

@@ -46,7 +46,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import bounded_batches, cut, map_texts
+from .common import python_tasks, cut, map_texts
 from .hashing import mix, shingle_sets, word_hashes
 
 #: The greatest number of labelled texts that are fitted on.
@@ -257,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score_of(spark: SparkSession, index: BlockMaxIndex):
     """The score as a function of a text column, for rows kept in place."""
-    bounded_batches(spark)
+    python_tasks(spark)
 
     @F.pandas_udf("double")
     def toxicity_score(texts: pd.Series) -> pd.Series:
