@@ -181,6 +181,8 @@ def nearest_codes(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: st
         .withColumn("block", every(blocks))
     right = distinct.select(F.size("code").alias("words"), deal(blocks, 2).alias("block"), "code") \
         .withColumn("shard", every(shards))
+    # a number of one's own: small codes would else be coalesced into few tasks
+    left, right = (x.repartition(shards * blocks, *key) for x in (left, right))
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
         _search(most), "code array<bigint>, distance bigint, id bigint")
     best = Window.partitionBy("code").orderBy("distance", "id")
