@@ -14,10 +14,11 @@ bucket is built, so a group of exact copies costs one row per map task.  In a
 bucket only star-shaped edges are made: from the centre (its least
 representative) to the others.  Edges are verified on the full shingle sets
 (never on signatures).  Links that a star cannot see -- two members that
-link to each other but not to the centre -- are found by further rounds:
-while a bucket still holds members of different components, its next 2, 4,
-8, ... members serve as centres towards members of other components.  So no
-bucket is given up, and a bucket whose members are linked costs one star.
+link to each other but not to the centre -- are found afterwards, in buckets
+that still hold several components: there the members outside the centre's
+component are compared with all members, block by block inside tasks, and
+only links come out.  So no bucket is given up, and a bucket whose members
+are linked costs one star.
 
 Components are the least label over verified edges (label propagation with
 pointer jumping, every step a Spark join); nothing is collected.
@@ -44,7 +45,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from .common import python_tasks, cut, list_array, pieces
 from .hashing import mix, shingle_sets, word_hashes
@@ -54,12 +54,16 @@ SHINGLE = 5
 PERCENT = 80
 #: Bins of a band.  More bins make chance buckets rarer and bands more.
 ROWS = 8
+#: Shingles in one block of a bucket that is compared member by member.
+ELEMENTS = 1_000_000
 #: The chance that a pair at the threshold shares no bucket is at most this.
 MISS = 1e-6
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     """Bands that leave a pair at the threshold unseen with chance ``miss``."""
+    if percent >= 100:                  # equal sets share every band
+        return 1
     return math.ceil(math.log(miss) / math.log1p(-(percent / 100) ** rows))
 
 
@@ -152,7 +156,7 @@ def _close(a, b, percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) whose full sets are similar enough."""
+    """Pairs (u, v) whose full sets are similar enough (in whole numbers)."""
     left = sets.select(F.col("id").alias("u"), F.col("s").alias("su"))
     right = sets.select(F.col("id").alias("v"), F.col("s").alias("sv"))
     both = pairs.join(left, "u").join(right, "v").select(
@@ -162,6 +166,88 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v").distinct())
 
 
+def _compare(percent: int):
+    """For one group: links between its minor members and all others of other
+    labels, one for each pair of labels that is not joined yet."""
+    def run(group: pa.Table) -> pa.Table:
+        rep = group.column("rep").to_pylist()
+        label = group.column("label").to_pylist()
+        minor = group.column("minor").to_pylist()
+        side = group.column("side").to_pylist()
+        lists = group.column("s").combine_chunks()
+        n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        _, ids = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        starts = np.cumsum(n) - n
+        mark = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
+        root: dict[int, int] = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+        u, v = [], []
+        for i in range(len(rep)):
+            if not minor[i] or side[i]:
+                continue
+            own = ids[starts[i]:starts[i] + n[i]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[ids], starts)
+            mark[own] = 0
+            for j in np.flatnonzero(both * 100 >= (n[i] + n - both) * percent).tolist():
+                a, b = find(label[i]), find(label[j])
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    u.append(min(rep[i], rep[j]))
+                    v.append(max(rep[i], rep[j]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+    return run
+
+
+def _links_in_open_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame,
+                           percent: int) -> DataFrame:
+    """Links that the stars did not see, by comparing, in every bucket that
+    holds several components, the members outside the centre's component (the
+    minor ones) with all members.
+
+    A bucket is dealt into blocks of at most about ``ELEMENTS`` shingles, minor
+    and other members apart; a task compares one block of minor members with
+    one other block, so its memory is bounded however large the bucket, and
+    blocks of the centre's component never meet each other.  Buckets of the
+    same members (from several bands) are compared once.  Only links come out,
+    at most one for each label of a group."""
+    now = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
+        .withColumn("label", F.coalesce("label", "rep"))
+    name = F.xxhash64("rep")
+    open_ = (now.groupBy("key").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("label", "rep").alias("cl"),
+        F.count("*").alias("m"), F.sum(name.cast("decimal(20,0)")).alias("h1"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("h2")).where("lo <> hi")
+        .groupBy("m", "h1", "h2", "cl").agg(F.min("key").alias("key")).select("key", "cl"))
+    rows = cut(now.join(open_, "key").withColumn("minor", F.col("label") != F.col("cl")))
+    blocks = lambda c: F.ceil(F.sum(c) / ELEMENTS).cast("int")
+    dealt = rows.groupBy("key").agg(
+        F.greatest(blocks(F.when(F.col("minor"), F.col("n"))), F.lit(1)).alias("a"),
+        F.greatest(F.coalesce(blocks(F.when(~F.col("minor"), F.col("n"))), F.lit(1)), F.lit(1)).alias("b"))
+    every = lambda c: F.sequence(F.lit(0), c - 1)
+    own = F.pmod(name, F.when(F.col("minor"), F.col("a")).otherwise(F.col("b"))).cast("int")
+    group = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"),
+                                              j.alias("j"), side.alias("side"))
+    # kind 0: minor block i with other block j (and, at j = 0, with itself);
+    # kind 1: minor block i with minor block j > i, whose members are the side
+    off = F.lit(False)
+    places = F.when(F.col("minor"), F.concat(
+        F.transform(every(F.col("b")), lambda j: group(0, F.col("own"), j, off)),
+        F.transform(F.filter(every(F.col("a")), lambda j: j != F.col("own")), lambda j: group(
+            1, F.least(F.col("own"), j), F.greatest(F.col("own"), j), j < F.col("own"))))) \
+        .otherwise(F.transform(every(F.col("a")), lambda i: group(0, i, F.col("own"), off)))
+    placed = (rows.join(dealt, "key").withColumn("own", own)
+              .select("key", "rep", "label", "minor", F.explode(places).alias("g"))
+              .select("key", "g.*", "rep", "label", "minor"))
+    found = (placed.join(sets.withColumnRenamed("id", "rep"), "rep")
+             .groupBy("key", "kind", "i", "j").applyInArrow(_compare(percent), "u bigint, v bigint"))
+    return cut(found.distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): the least id reachable over undirected edges (u, v).
 
@@ -210,40 +296,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = members.where((F.col("rep") != F.col("c.rep"))
                           & _close(F.col("n"), F.col("c.n"), percent)) \
         .select(F.col("c.rep").alias("u"), F.col("rep").alias("v")).distinct()
-    tried = cut(pairs)
-    edges = cut(_verified(tried, sets, percent))
+    edges = cut(_verified(pairs, sets, percent))
     labels = components(edges)
 
-    # further stars, for buckets that still hold different components
-    at, width = 1, 2
-    first = Window.partitionBy("key").orderBy("rep")
-    left = members.where("m > 2")
-    while True:
-        now = left.join(labels.withColumnRenamed("id", "rep"), "rep", "left") \
-            .withColumn("label", F.coalesce("label", "rep")).drop("c")
-        open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-            .where("lo <> hi").select("key")
-        now = cut(now.join(open_, "key", "left_semi")
-                  .withColumn("rank", F.row_number().over(first) - 1)
-                  .where(F.col("m") - at >= 2))
-        if now.isEmpty():
-            break
-        centre = now.where((F.col("rank") >= at) & (F.col("rank") < at + width)).select(
-            "key", F.col("rep").alias("u"), F.col("n").alias("nu"),
-            F.col("label").alias("lu"), F.col("rank").alias("ru"))
-        pairs = (now.join(centre, "key")
-                 .where((F.col("label") != F.col("lu")) & (F.col("rank") > F.col("ru"))
-                        & _close(F.col("n"), F.col("nu"), percent))
-                 .select("u", F.col("rep").alias("v")).distinct()
-                 .join(tried, ["u", "v"], "left_anti"))
-        pairs = cut(pairs)
-        tried = cut(tried.union(pairs))
-        found = cut(_verified(pairs, sets, percent))
-        if not found.isEmpty():
-            edges = cut(edges.union(found))
-            labels = components(edges)
-        at, width = at + width, 2 * width
-        left = members.where(F.col("m") - at >= 2)
+    more = _links_in_open_buckets(members.where("m > 2").select("key", "rep", "n"), labels, sets,
+                                  percent)
+    if not more.isEmpty():
+        labels = components(edges.union(more))
 
     named = classes.select("n", "h1", "h2", "rep").join(
         labels.withColumnRenamed("id", "rep"), "rep", "left").select(

@@ -99,7 +99,16 @@ def test_components_against_all_pairs(spark, size, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
-def test_further_stars_find_links_beside_the_centre(spark):
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """The same components when a bucket is dealt into many blocks."""
+    monkeypatch.setattr(neardup, "ELEMENTS", 250)
+    rows = _copies(11)
+    want = _components(rows, 3, 85)
+    got = neardup.near_duplicates(docs_of(spark, rows), shingle=3, percent=85, rows=2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_links_beside_the_centre_are_found(spark):
     """The centre of a bucket links to neither of two that link to each other."""
     rng = random.Random(9)
     base = [f"a{i}" for i in range(200)]
