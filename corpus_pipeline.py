@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from dq_mart.llm import decontaminate, neardup, packing, pii, toxicity
-from dq_mart.llm.common import fold_of, table
+from dq_mart.llm.common import cut, fold_of, ids_side, table
 from dq_mart.session import shared_path
 
 
@@ -38,9 +38,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = neardup.near_duplicates(docs)
-    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    gone = cut(groups.where(~F.col("kept")).select("doc_id").distinct())
     names = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.join(gone, "doc_id", "left_anti").select(*names)
+    out = docs.join(ids_side(gone), "doc_id", "left_anti").select(*names)
     repeats = docs.groupBy("doc_id").count().where("doc_id is not null and count > 1")
     if repeats.isEmpty():
         return out

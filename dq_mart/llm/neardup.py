@@ -25,7 +25,8 @@ pointer jumping, every step a Spark join); nothing is collected.
 
 Scale: the first pass reads the texts and keeps 400 to 700 bytes per document
 (44 bands at 85 %, 75 at 80 %); only documents that share a bucket are read a second time, for
-their sets.  Shuffles carry band keys, pairs and those sets.
+their sets.  Shuffles carry band keys, pairs and those sets; texts only if
+those documents are more than ``common.IDS``.
 
 Defined results
 ---------------
@@ -46,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import python_tasks, cut, list_array, pieces
+from .common import python_tasks, cut, ids_side, list_array, pieces
 from .hashing import mix, shingle_sets, word_hashes
 
 SHINGLE = 5
@@ -290,8 +291,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                           F.count("*").alias("m")).where("m > 1"))
     members = cut(members.join(buckets, "key").select("key", "rep", "n", "m", "c"))
 
-    need = members.select(F.col("rep").alias("id")).distinct()
-    sets = cut(_full_sets(src.join(need, "id", "left_semi"), shingle))
+    need = cut(members.select(F.col("rep").alias("id")).distinct())
+    sets = cut(_full_sets(src.join(ids_side(need), "id", "left_semi"), shingle))
 
     pairs = members.where((F.col("rep") != F.col("c.rep"))
                           & _close(F.col("n"), F.col("c.n"), percent)) \
