@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import checkpoint_root
 
 #: Rows and bytes of one Arrow batch handed to a Python task; whole texts may
-#: be long, so the default of 10,000 rows could hold gigabytes.
+#: be long, so the default of 10,000 rows could hold gigabytes.  Vectorised
+#: work takes some forty times the bytes of a slice for a moment.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 #: The folder that this package is in.
 ROOT = str(Path(__file__).resolve().parents[2])
 

@@ -46,7 +46,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import python_tasks, map_texts
+from .common import BATCH_BYTES, map_texts, python_tasks
 from .hashing import PUNCTUATION, mix, word_hashes
 
 RATE = 0.1
@@ -316,8 +316,14 @@ def detectors(benchmark: DataFrame, item_col: str = "item_id", item_text: str =
         @F.pandas_udf("boolean")
         def holds_item(texts: pd.Series) -> pd.Series:
             out = np.zeros(len(texts), bool)
-            for row, *_ in index.search([t or "" for t in texts]):
-                out[row] = True
+            held, size, first = [], 0, 0
+            for n, t in enumerate(texts, 1):
+                held.append(t or "")
+                size += len(held[-1])
+                if size >= BATCH_BYTES or n == len(texts):     # bounded slices
+                    for row, *_ in index.search(held):
+                        out[first + row] = True
+                    held, size, first = [], 0, n
             return pd.Series(out)
         return holds_item
     return [detector(index) for index in _indexes(benchmark, item_col, item_text, rate, block)]
