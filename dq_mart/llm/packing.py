@@ -42,7 +42,7 @@ from .common import python_tasks, pieces
 WINDOW = 4096
 #: Chunks, and parts of chunks, that a worker remembers the ids of; a memory
 #: that is full takes no more in this task and starts anew in the next.
-MEMORY = 500_000
+MEMORY = 250_000
 _WORD = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)")
 #: The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
 #: others, in order, for the characters from 256 on.

@@ -60,7 +60,7 @@ BLOCK = 64
 #: MinHash values of an example; sharing any marks a near copy.
 SKETCH = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMORY = 50_000
+_MEMORY = 10_000
 
 
 def terms_of(text: str) -> list[str]:
