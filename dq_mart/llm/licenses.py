@@ -2,9 +2,12 @@
 
 Method
 ------
-A text is cut into sentences; each is normalised (lower case, runs of other
-characters than letters, digits and inner dots to one space) and looked up
-among known licence sentences, each of which has an identifier.  The
+A text is normalised (lower case, runs of other characters than letters,
+digits and inner dots to one space, so also comment marks) into lines: every
+line break, ``;`` and ``:`` ends a line, every sentence end and blank line a
+paragraph.  Known licence sentences, each of which has an identifier, are found
+where they begin and end with a line; inside they may be wrapped over lines of
+one paragraph.  The longest sentence at a place is taken.  The
 document's sequence of identifiers is matched against ordered rules: a rule
 names a licence and a sequence of identifiers; a place that a rule matches is
 used up before later rules are tried.  Identifiers that refer to a licence on
@@ -12,7 +15,7 @@ their own (``ref:...``) name it where no rule used them.
 
 Scale: everything happens within a row -- no shuffle, no join, no explode --
 so a document costs what its text costs, and a hot source nothing more.
-Sentences are looked up only if they hold a key word; every known sentence
+Texts are normalised only if they hold a key word; every known sentence
 holds one (a test makes sure).
 
 Defined results
@@ -31,9 +34,10 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SENTENCE_END = r"(?<=[.!?;:])\s+|[\r\n]+"
+#: Ends of sentences; the dot of a version ("v. 2.0") is none.
+SENTENCE_END = r"(?:[!?]|\.(?!(?<=\bv\.)\s+[0-9]))\s+"
 #: Every known sentence holds one of these.
-KEY = r"(?i)licen|copyright|warrant|permission|redistribut|public domain|liab|endorse|gnu|spdx"
+KEY = r"(?i)licen|copyright|warrant|permission|redistribut|public|liab|endorse|gnu|spdx"
 
 # Names under which licences are referred to, as normalised text.
 NAMES = {
@@ -142,13 +146,45 @@ def known_sentences() -> dict[str, str]:
                 out[text] = f"ref:{licence}"
             out[f"spdx license identifier {licence.lower().replace('-', ' ')}"] = f"ref:{licence}"
     out.update({text: name for name, text in SENTENCES.items()})
-    return out
+    # as the normaliser leaves them: no dot at the end of a word
+    return {re.sub(r"\.(?=\s|$)", "", text): name for text, name in out.items()}
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case; letters, digits and dots between them; single spaces."""
-    words = F.regexp_replace(F.lower(sentence), r"[^a-z0-9.]+", " ")
-    return F.trim(F.regexp_replace(words, r"\.(?=\s|$)|(?<=^|\s)\.", " "))
+def normalised(text: Column) -> Column:
+    """Lower case; letters, digits and dots between them; single spaces; a line
+    break at each end of a line, two or more at each end of a paragraph."""
+    out = F.lower(text)
+    for pattern, by in ((r"\r\n?", "\n"),
+                        (r"(?md)^[^a-z0-9\n]+", ""),               # comment marks
+                        (SENTENCE_END, "\n\n"),
+                        (r"[;:][^\S\n]+(?=\S)", "\n"),
+                        (r"[^a-z0-9.\n]+", " "),
+                        (r"\.(?=\s|\z)|(?<!\S)\.", " "),
+                        (r" +", " "), (r" ?\n ?", "\n")):
+        out = F.regexp_replace(out, pattern, by)
+    return F.trim(out)
+
+
+def sentence_pattern(known) -> str:
+    """Known sentences from the start of a line to the end of one, longest
+    first, as a tree of their words."""
+    tree: dict = {}
+    for text in known:
+        node = tree
+        for word in text.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        ways = [re.escape(w) + after(n) for w, n in node.items() if w]
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+
+    def after(node: dict) -> str:
+        if not any(node):
+            return ""
+        rest = r"[ \n]" + written(node)
+        return f"(?:{rest})?" if "" in node else rest
+    return rf"(?md)^{written(tree)}$" if tree else r"(?!)"
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,11 +193,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and the licences, an array each."""
     known = known_sentences() if sentences is None else sentences
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    parts = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_END),
-                     lambda s: s.rlike(KEY))
-    # two rounds of trimming: "a. ." leaves a space before the second dot
-    found = F.transform(parts, lambda s: F.try_element_at(
-        table, F.trim(F.regexp_replace(normalised(s), r"\s+", " "))))
+    text = normalised(F.when(F.col(text_col).rlike(KEY), F.col(text_col)).otherwise(""))
+    found = F.transform(F.regexp_extract_all(text, F.lit(sentence_pattern(known)), F.lit(0)),
+                        lambda s: F.try_element_at(table, F.translate(s, "\n", " ")))
     ids = F.filter(found, lambda x: x.isNotNull())
     out = docs.select(F.col(id_col), ids.alias("sentences"))
     # rules in order, on the sequence written as ",a,,b,"; a match is used up

@@ -279,6 +279,45 @@ def test_licence_sequences_and_rules(spark):
     assert licenses.scan_licenses(docs_of(spark, [])).count() == 0
 
 
+def test_wrapped_licence_headers_and_spdx_lines(spark):
+    gpl = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+    mpl = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+    marked = lambda mark, t: "\n".join(f"{mark} {x}".rstrip() for x in t.splitlines())
+    rows = [(1, gpl.format(";", ",", 2)), (2, marked("#", gpl.format(":", ",", 3))),
+            (3, marked(";;", gpl.format(";", ";", 2)).replace("\n", "\r\n")), (4, mpl),
+            (5, marked("//", apache)), (6, "#!/bin/sh\n# SPDX-License-Identifier: MIT\nset -e"),
+            (7, "// SPDX-License-Identifier: Apache-2.0"), (8, "Released under the\nMIT License."),
+            (9, "Released under the MIT\n\nLicense."), (10, "Licensed under the Apache License. Version 2.0"),
+            (11, "free and unencumbered\n\n# This is free and unencumbered software released into the public\n# domain."),
+            (12, "we say\nreleased under the mit license\nand more")]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs_of(spark, rows)).collect()}
+    assert {i: r["licenses"] for i, r in got.items()} == {
+        1: ["GPL-2.0-or-later"], 2: ["GPL-3.0-or-later"], 3: ["GPL-2.0-or-later"], 4: ["MPL-2.0"],
+        5: ["Apache-2.0"], 6: ["MIT"], 7: ["Apache-2.0"], 8: ["MIT"], 9: [], 10: [],
+        11: ["Unlicense"], 12: ["MIT"]}
+    assert got[1]["sentences"] == ["gpl2-later", "gpl-warranty"]
+    assert got[5]["sentences"] == ["apache-header", "apache-comply", "apache-copy", "apache-warranty"]
+
+
 def test_licence_scan_has_no_python_and_no_shuffle(spark):
     plan = licenses.scan_licenses(docs_of(spark, EDGE, clash=False).coalesce(1)) \
         ._jdf.queryExecution().executedPlan().toString()
