@@ -4,15 +4,20 @@ Method
 ------
 A bounded sample of labelled texts becomes an index; a text's score is the
 distance-weighted vote of its ``NEIGHBOURS`` nearest examples, calibrated on
-the examples themselves (each left out of its own vote).  Terms are those
-whose presence depends on the label (chi-squared over the examples, at least
-``CHI2``); a text's vector holds (1 + log tf) * log(N / df) of its terms.
+the examples themselves (each left out of its own vote).  All terms of the
+examples that ``LEAST_TEXTS`` of them hold take part; a text's vector holds
+(1 + log tf) * log(N / df) * r * r of its terms, where r is the log-odds of the
+label given the term against the prior, smoothed by ``SMOOTHING`` examples of
+the prior.  So a word that says nothing of the label weighs next to nothing,
+however many examples there are, and no term is cut by a test that grows with
+their number.
 
 Search is exact.  The inverted index keeps each term's postings in blocks of
 ``BLOCK`` examples with the greatest weight in the block; the sum of a
 query's greatest weights bounds the cosine of every example in a block.
-Blocks are scored in order of their bounds until the bound falls below the
-k-th best cosine, so no example that belongs to the nearest is missed.
+The blocks of the greatest bounds are scored first, then all whose bound does
+not fall below the k-th best cosine so far, so no example that belongs to the
+nearest is missed.
 The neighbours are returned as evidence.
 
 Near copies among the examples would make any of their rare words look
@@ -20,8 +25,8 @@ telling, so of examples that share a MinHash value of word shingles only the
 one with the least id is kept.
 
 Scale: the index is bounded by ``EXAMPLES``, whatever the corpus, and goes to
-the tasks; texts are scored where they are read, with no shuffle.  Term
-counts over the examples are a Spark aggregation.
+the tasks; texts are scored where they are read, with no shuffle.  The terms of
+the examples are collected and counted as Arrow columns.
 
 Defined results
 ---------------
@@ -40,10 +45,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import python_tasks, cut, map_texts
@@ -51,12 +58,14 @@ from .hashing import mix, shingle_sets, word_hashes
 
 #: The greatest number of labelled texts that are fitted on.
 EXAMPLES = 8192
-#: The greatest number of terms that are kept, the most telling first.
-TERMS = 2000
-CHI2 = 30.0
-LEAST_TEXTS = 4
+#: Examples that hold a term, at least.
+LEAST_TEXTS = 2
+#: Examples of the prior that smooth a term's log-odds.
+SMOOTHING = 2.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are scored first.
+FIRST = 4
 #: MinHash values of an example; sharing any marks a near copy.
 SKETCH = 4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -75,8 +84,12 @@ class BlockMaxIndex:
     idf: np.ndarray
     ids: np.ndarray                  # of the examples, in index order
     labels: np.ndarray
-    postings: list                   # by term: {block: (places in it, weights)}
-    greatest: np.ndarray             # terms x blocks
+    first: np.ndarray                # by term: its first entry; one more at the end
+    block: np.ndarray                # of each entry, a term in a block
+    greatest: np.ndarray             # weight in each entry
+    start: np.ndarray                # of each entry's postings; one more at the end
+    places: np.ndarray               # of the postings
+    values: np.ndarray
     prior: float
     slope: float = 1.0
     level: float = 0.0
@@ -87,27 +100,31 @@ class BlockMaxIndex:
         w = (1 + np.log(tf)) * idf[terms]
         return w / np.sqrt((w * w).sum()) if len(w) else w
 
+    @staticmethod
+    def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """start[0], start[0] + 1, ... of all ranges, end to end."""
+        return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
     @classmethod
     def build(cls, vocabulary, idf, rows, prior):
         """rows: (id, label, term numbers, counts) of each example."""
         vectors = [(i, y, t, cls.weights(t, f, idf)) for i, y, t, f in rows if len(t)]
         # examples that lean on the same term share blocks, for tight bounds
         vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), -v[3].max(), v[0]))
-        blocks = -(-len(vectors) // BLOCK)
-        held = [{} for _ in vocabulary]
-        for at, (_, _, t, w) in enumerate(vectors):
-            for term, x in zip(t.tolist(), w.tolist()):
-                places, ws = held[term].setdefault(at // BLOCK, ([], []))
-                places.append(at % BLOCK)
-                ws.append(x)
-        greatest = np.zeros((len(vocabulary), blocks))
-        postings = []
-        for term, by_block in enumerate(held):
-            postings.append({b: (np.array(p), np.array(w)) for b, (p, w) in by_block.items()})
-            for b, (_, w) in by_block.items():
-                greatest[term, b] = max(w)
+        none = [np.zeros(0)]
+        term = np.concatenate([v[2] for v in vectors] or none).astype(np.int64)
+        values = np.concatenate([v[3] for v in vectors] or none)
+        places = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[2]) for v in vectors])
+        order = np.argsort(term, kind="stable")
+        term, values, places = term[order], values[order], places[order]
+        entry = np.flatnonzero((np.diff(term, prepend=-1) != 0)
+                               | (np.diff(places // BLOCK, prepend=-1) != 0))
         return cls(vocabulary, idf, np.array([v[0] for v in vectors], np.int64),
-                   np.array([v[1] for v in vectors], np.int64), postings, greatest, prior)
+                   np.array([v[1] for v in vectors], np.int64),
+                   np.searchsorted(term[entry], np.arange(len(vocabulary) + 1)),
+                   places[entry] // BLOCK,
+                   np.maximum.reduceat(values, entry) if len(entry) else values,
+                   np.append(entry, len(term)).astype(np.int32), places, values, prior)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         get = self.vocabulary
@@ -120,23 +137,35 @@ class BlockMaxIndex:
         """(cosine, place in the index) of the k nearest, exactly."""
         if not len(terms) or not len(self.ids):
             return []
-        bound = weights @ self.greatest[terms]
+        size = self.first[terms + 1] - self.first[terms]
+        at = self._ranges(self.first[terms], size)
+        block, w = self.block[at], np.repeat(weights, size)
+        bound = np.bincount(block, w * self.greatest[at], -(-len(self.ids) // BLOCK))
+        open_ = bound > 0
+        chosen = np.zeros(len(bound), bool)
+        chosen[np.argsort(-bound, kind="stable")[:FIRST]] = True
         best: list[tuple[float, int, int]] = []      # (-cosine, id, place)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for term, w in zip(terms.tolist(), weights.tolist()):
-                hit = self.postings[term].get(b)
-                if hit is not None:
-                    score[hit[0]] += w * hit[1]
-            for p in np.flatnonzero(score > 0).tolist():
-                at = b * BLOCK + p
-                if at != without:
-                    best.append((-round(float(score[p]), 12), int(self.ids[at]), at))
+        for _ in range(2):
+            chosen &= open_
+            if len(best) == k:
+                chosen &= bound >= -best[-1][0] - 1e-11
+            here = chosen[block]
+            start = self.start[at[here]]
+            size = self.start[at[here] + 1] - start
+            post = self._ranges(start, size)
+            score = np.bincount(self.places[post], np.repeat(w[here], size) * self.values[post],
+                                len(self.ids)).round(12)
+            if without is not None:
+                score[without] = 0
+            hit = np.flatnonzero(score > 0)
+            if len(hit) > k:                         # all that may be among the k best
+                hit = hit[score[hit] >= np.partition(score[hit], -k)[-k]]
+            best += zip((-score[hit]).tolist(), self.ids[hit].tolist(), hit.tolist())
             best.sort()
             del best[k:]
-        return [(-s, at) for s, _, at in best]
+            open_ &= ~chosen
+            chosen = open_.copy()
+        return [(-c, place) for c, _, place in best]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The share of label 1 among the neighbours, weighted by nearness,
@@ -170,7 +199,7 @@ class BlockMaxIndex:
     def score(self, text: str) -> tuple[float, list[tuple[int, float]]]:
         """The calibrated score and the neighbours (id, cosine)."""
         terms, tf = self.vector(text)
-        key = (terms.tobytes(), tf.tobytes())
+        key = blake2b(terms.tobytes() + tf.tobytes(), digest_size=16).digest()
         got = self.memory.get(key)
         if got is None:
             near = self.nearest(terms, self.weights(terms, tf, self.idf))
@@ -198,6 +227,14 @@ def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
         names=["id", "label", "terms", "tf", "sketch"])
 
 
+def term_weights(df: np.ndarray, top: np.ndarray, n: int, prior: float) -> np.ndarray:
+    """What a term weighs that ``df`` of n examples hold, ``top`` of them with
+    label 1."""
+    share = (top + SMOOTHING * prior) / (df + SMOOTHING)
+    odds = np.log(share / (1 - share)) - np.log(prior / (1 - prior))
+    return np.log(n / np.maximum(df, 1)) * odds * odds
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", examples: int = EXAMPLES) -> BlockMaxIndex:
     """The index of a sample of labelled texts (those of the least id hashes)."""
@@ -227,31 +264,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     of = spark.createDataFrame([(i,) for i in kept], "id bigint")
     rows = rows.join(F.broadcast(of), "id", "left_semi")
-    a = F.sum("label").cast("double")
-    d = F.count("*").cast("double")
-    p, q = float(total[1]), float(total[0])
-    # chi-squared of presence against label, from the four counts
-    gap = a * (q - (d - a)) - (d - a) * (p - a)
-    chi2 = F.lit(float(n)) * gap * gap / (F.lit(p * q) * d * (F.lit(float(n)) - d))
-    best = (rows.select("label", F.explode("terms").alias("term"))
-            .groupBy("term").agg(d.alias("df"), F.when(d < n, chi2).otherwise(0.0).alias("chi2"))
-            .where((F.col("df") >= LEAST_TEXTS) & (F.col("chi2") >= CHI2))
-            .orderBy(F.desc("chi2"), "term").limit(TERMS).collect())
-    vocabulary = {r["term"]: i for i, r in enumerate(best)}
-    idf = np.array([np.log(n / r["df"]) for r in best])
-    found = F.filter(F.arrays_zip("terms", "tf"),
-                     lambda x: F.array_contains(F.array(*map(F.lit, vocabulary)), x["terms"])) \
-        if vocabulary else F.array().cast("array<struct<terms:string,tf:int>>")
-    vectors, held = [], set()
-    for i, y, pairs in rows.select("id", "label", found).collect():
-        if i not in held:                      # a repeated row adds nothing
-            held.add(i)
-            t = np.array(sorted(vocabulary[x[0]] for x in pairs), np.int64)
-            by = {vocabulary[x[0]]: x[1] for x in pairs}
-            vectors.append((i, y, t, np.array([by[x] for x in t.tolist()], float)))
+    got = rows.select("id", "label", "terms", "tf").toArrow().combine_chunks()
+    ids = got["id"].to_numpy()
+    # a repeated row adds nothing
+    got = got.take(pa.array(np.unique(ids, return_index=True)[1]))
+    ids, labels = got["id"].to_numpy(), got["label"].to_numpy()
+    words = pa.concat_arrays(c.flatten() for c in got["terms"].chunks).dictionary_encode()
+    tf = pa.concat_arrays(c.flatten() for c in got["tf"].chunks).to_numpy()
+    term = words.indices.to_numpy()
+    of = np.repeat(np.arange(len(ids)), pc.list_value_length(got["terms"]).to_numpy())
+    df = np.bincount(term, minlength=len(words.dictionary)).astype(float)
+    top = np.bincount(term[labels[of] == 1], minlength=len(df)).astype(float)
+    idf = term_weights(df, top, n, prior)
+    stays = np.flatnonzero((df >= LEAST_TEXTS) & (df < n) & (idf > 0))
+    vocabulary = {w: i for i, w in enumerate(words.dictionary.take(pa.array(stays)).to_pylist())}
+    number = np.full(len(df), -1, np.int64)
+    number[stays] = np.arange(len(stays))
+    df, top, idf, term = df[stays], top[stays], idf[stays], number[term]
+    of, tf, term = of[term >= 0], tf[term >= 0], term[term >= 0]
+    order = np.lexsort((term, of))
+    cuts = np.searchsorted(of, np.arange(1, len(ids)))
+    vectors = list(zip(ids.tolist(), labels.tolist(), np.split(term[order], cuts),
+                       np.split(tf[order].astype(float), cuts)))
     index = BlockMaxIndex.build(vocabulary, idf, vectors, prior)
     place = {int(i): at for at, i in enumerate(index.ids.tolist())}
-    index.calibrate([(y, place.get(i), t, index.weights(t, f, idf)) for i, y, t, f in vectors])
+    # an example's own label is left out of the weights it asks with
+    index.calibrate([(y, place.get(i), t, index.weights(
+        np.arange(len(t)), f, term_weights(df[t] - 1, top[t] - y, n - 1, prior) + 1e-12))
+        for i, y, t, f in vectors])
     return index
 
 

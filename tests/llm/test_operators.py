@@ -199,6 +199,21 @@ def test_toxicity_on_held_out_rows(spark):
         toxic["evidence"], key=lambda e: (-e["cosine"], e["id"]))
 
 
+def test_toxicity_of_a_small_table(spark):
+    """Planted toxic words are learnt from few labelled rows, too."""
+    docs, labels = (_read(spark, name, SF_SMALL) for name in ("documents", "labels"))
+    index = toxicity.fit(docs, labels.where(fold_of("doc_id") != 0))
+    assert {"scum", "moron", "trash"} <= set(index.vocabulary)
+    clean = docs.where("length(text) between 200 and 800").orderBy("doc_id").limit(20).collect()
+    insult = " you moron, you scum, human trash"
+    rows = [(i, r["text"] + insult) for i, r in enumerate(clean)]
+    got = toxicity.score(docs_of(spark, rows), index).collect()
+    assert sum(r["score"] >= 0.5 for r in got) >= 0.8 * len(rows)
+    ids = {r["doc_id"] for r in labels.where("toxic = 0").collect()}
+    got = [r for r in toxicity.score(docs, index).collect() if r["doc_id"] in ids]
+    assert sum(r["score"] >= 0.5 for r in got) <= 0.05 * len(got)
+
+
 @pytest.mark.parametrize("label,fit,score", [("quality", quality.fit, quality.score),
                                              ("toxic", toxicity.fit, toxicity.score)])
 def test_classifiers_defined_results(spark, label, fit, score):
