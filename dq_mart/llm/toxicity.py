@@ -21,8 +21,9 @@ nearest is missed.
 The neighbours are returned as evidence.
 
 Near copies among the examples would make any of their rare words look
-telling, so of examples that share a MinHash value of word shingles only the
-one with the least id is kept.
+telling, so in order of ids an example is left out whose word shingles have a
+similarity of ``COPY`` or more to those of a kept one with the same label.
+MinHash sketches only name the pairs whose whole shingle sets are compared.
 
 Scale: the index is bounded by ``EXAMPLES``, whatever the corpus, and goes to
 the tasks; texts are scored where they are read, with no shuffle.  The terms of
@@ -66,8 +67,11 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Blocks that are scored first.
 FIRST = 4
-#: MinHash values of an example; sharing any marks a near copy.
-SKETCH = 4
+#: Least similarity of a near copy, and number of shingle words.
+COPY, SHINGLE = 0.8, 5
+#: MinHash values of an example, and how many two must share to be compared: of
+#: a pair at ``COPY`` fewer agree once in a million times.
+SKETCH, AGREE = 64, 35
 _WORD = re.compile(r"[^\W\d_]+")
 _MEMORY = 10_000
 
@@ -213,18 +217,64 @@ class BlockMaxIndex:
 
 
 def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
-    terms, tf, sketch = [], [], []
+    terms, tf, sketch, shingles = [], [], [], []
     for t in b.column(2).to_pylist():
         found = Counter(terms_of(t or ""))
         terms.append(list(found))
         tf.append(list(found.values()))
-        s = shingle_sets(word_hashes([(t or "").encode()])[0], 5)
-        sketch.append([int(mix(s, 50 + j).min() >> np.uint64(1)) if len(s) else -1
-                       for j in range(SKETCH)])
+        s = np.unique(shingle_sets(word_hashes([(t or "").encode()])[0], SHINGLE))
+        sketch.append(np.array([mix(s, 50 + j).min() if len(s) else 0 for j in range(SKETCH)],
+                               np.uint64).astype(np.uint32).tobytes())
+        shingles.append(s.tobytes())
     return pa.RecordBatch.from_arrays(
         [b.column(0), b.column(1), pa.array(terms, pa.list_(pa.string())),
-         pa.array(tf, pa.list_(pa.int32())), pa.array(sketch, pa.list_(pa.int64()))],
-        names=["id", "label", "terms", "tf", "sketch"])
+         pa.array(tf, pa.list_(pa.int32())), pa.array(sketch, pa.binary()),
+         pa.array(shingles, pa.binary())],
+        names=["id", "label", "terms", "tf", "sketch", "shingles"])
+
+
+def without_copies(rows: DataFrame) -> dict[int, int]:
+    """id -> label of the examples that are no near copy of a kept one with
+    the same label; of rows with one id, the first sketch counts."""
+    first: dict[int, tuple] = {}
+    for i, y, sketch in sorted(tuple(r) for r in rows.select("id", "label", "sketch").collect()):
+        first.setdefault(i, (y, bytes(sketch)))
+    ids = np.array(list(first), np.int64)
+    labels = np.array([y for y, _ in first.values()], np.int64)
+    sketches = np.frombuffer(b"".join(k for _, k in first.values()), np.uint32).reshape(-1, SKETCH)
+    near: dict[int, list[int]] = {}         # place -> earlier places to compare with
+    for y in (0, 1):
+        of = np.flatnonzero(labels == y)
+        own = sketches[of]
+        for j in range(1, len(of)):
+            hit = np.flatnonzero((own[:j] == own[j]).sum(axis=1) >= AGREE)
+            if len(hit):
+                near[int(of[j])] = of[hit]
+    asked = sorted({*near, *(int(p) for hit in near.values() for p in hit)})
+    if not asked:
+        return dict(zip(ids.tolist(), labels.tolist()))
+    side = rows.sparkSession.createDataFrame([(int(ids[p]),) for p in asked], "id bigint")
+    whole = rows.join(F.broadcast(side), "id", "left_semi") \
+        .select("id", "sketch", "shingles").orderBy("id", "sketch")
+    place = {int(ids[p]): p for p in asked}
+    held: dict[int, np.ndarray] = {}        # the whole sets of kept examples
+    gone, seen = set(), set()
+    for r in whole.toLocalIterator():
+        p = place[r["id"]]
+        if p in seen:
+            continue
+        seen.add(p)
+        mine = np.frombuffer(bytes(r["shingles"]), np.uint64)
+        for q in near.get(p, ()):
+            other = held.get(int(q))
+            if other is not None:
+                both = len(np.intersect1d(mine, other, assume_unique=True))
+                if both >= COPY * (len(mine) + len(other) - both):
+                    gone.add(p)
+                    break
+        else:
+            held[p] = mine
+    return {int(i): int(y) for p, (i, y) in enumerate(zip(ids, labels)) if p not in gone}
 
 
 def term_weights(df: np.ndarray, top: np.ndarray, n: int, prior: float) -> np.ndarray:
@@ -246,17 +296,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(sample), "id").select("id", "label", "text")
     rows = cut(map_texts(texts, _term_counts, "id bigint, label int, terms array<string>, "
-                         "tf array<int>, sketch array<bigint>"))
-    seen: list[set] = [set() for _ in range(SKETCH)]
-    kept, total = {}, Counter()
-    for i, y, sketch in sorted(tuple(r) for r in rows.select("id", "label", "sketch").collect()):
-        if i in kept:
-            continue
-        if all(h not in s for h, s in zip(sketch, seen)):
-            kept[i] = y
-            total[y] += 1
-        for h, s in zip(sketch, seen):
-            s.add(h)
+                         "tf array<int>, sketch binary, shingles binary"))
+    kept = without_copies(rows)
+    total = Counter(kept.values())
     n = sum(total.values())
     prior = total[1] / n if n else 0.0
     if not total[0] or not total[1]:

@@ -214,6 +214,20 @@ def test_toxicity_of_a_small_table(spark):
     assert sum(r["score"] >= 0.5 for r in got) <= 0.05 * len(got)
 
 
+def test_only_near_copies_of_one_label_are_left_out(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    passage = rng.choices(words, k=60)              # a template that all share
+    rows = [(i, " ".join(passage + rng.choices(words, k=60))) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(4)]        # copies, other label
+    rows += [(200 + i, rows[i][1] + " end") for i in range(4)]        # copies, same label
+    rows += [(300, ""), (301, "")]
+    labels = spark.createDataFrame([(i, int(100 <= i < 200)) for i, _ in rows], "doc_id bigint, toxic int")
+    index = toxicity.fit(docs_of(spark, rows), labels)
+    assert sorted(index.ids.tolist()) == [*range(40), *range(100, 104)]
+    assert index.prior == pytest.approx(4 / 45)
+
+
 @pytest.mark.parametrize("label,fit,score", [("quality", quality.fit, quality.score),
                                              ("toxic", toxicity.fit, toxicity.score)])
 def test_classifiers_defined_results(spark, label, fit, score):
