@@ -11,8 +11,8 @@ likelihood, each line carrying its document's label.  Forward-backward gives
 each line's marginal of being good; a document's quality is their mean
 weighted by line length, calibrated by Platt scaling.
 
-Scale: fitting uses at most ``DOCUMENTS`` labelled documents (their first
-``FIT_LINES`` lines), so the model is bounded; scoring is one pass over whole
+Scale: fitting uses at most ``DOCUMENTS`` labelled documents, whole texts of
+them (some ten bytes a line reach the driver); scoring is one pass over whole
 texts, no shuffle, vectorised over all lines of a slice.
 
 Defined results
@@ -37,7 +37,6 @@ from .common import map_texts
 from .hashing import mix, word_hashes
 
 DOCUMENTS = 4000
-FIT_LINES = 200
 STEPS = 120
 #: Bounds of the buckets of each feature of a line.
 _BUCKETS = {
@@ -257,7 +256,7 @@ def _bytes(col) -> list[bytes]:
 def _fit_rows(b: pa.RecordBatch) -> pa.RecordBatch:
     codes, lines, size = line_codes(_bytes(b.column(2)))
     starts = np.cumsum(lines) - lines
-    some = [(codes[s:s + min(n, FIT_LINES)].tobytes(), size[s:s + min(n, FIT_LINES)].tolist())
+    some = [(codes[s:s + n].tobytes(), size[s:s + n].tolist())
             for s, n in zip(starts.tolist(), lines.tolist())]
     return pa.RecordBatch.from_arrays(
         [b.column(0), b.column(1), pa.array([c for c, _ in some], pa.binary()),

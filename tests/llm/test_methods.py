@@ -104,6 +104,17 @@ def test_repeated_lines_and_words_are_seen():
     assert codes[3, names.index("doubled")] > 0 and codes[0, names.index("doubled")] == 0
 
 
+def test_whole_texts_are_fitted_on():
+    import pyarrow as pa
+    text = "\n".join(["a clean line of words"] * 500 + ["@@@ ### !!!"] * 200)
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([0, 1], pa.int32()), pa.array([text, "x"])],
+                                   names=["id", "label", "text"])
+    got = quality._fit_rows(b)
+    codes, lines, size = quality.line_codes([text.encode(), b"x"])
+    assert [len(x) for x in got.column(3).to_pylist()] == lines.tolist() == [700, 1]
+    assert b"".join(got.column(2).to_pylist()) == codes.tobytes()
+
+
 # --- urls -----------------------------------------------------------------------
 
 def test_segmentation_is_the_best_of_all_splits():
