@@ -156,9 +156,50 @@ FROM {last}, t{height + 1} t
 """
 
 
+#: All pairs of equal stretches of six words in one text; those at one distance
+#: and at neighbouring places are one repeat, so no suffix is sorted.
+OP12 = rf"""
+WITH {_CRC},
+cut AS (
+  SELECT row_number() OVER () AS row, doc_id, h, list_filter(
+      string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents LEFT JOIN crc USING (doc_id)),
+planted AS (
+  SELECT row, doc_id, w, coalesce(h % 10 = 0 AND len(w) > 0, false) AS altered, (h // 10) % greatest(len(w), 1) AS a,
+         1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p
+  FROM cut),
+ws AS (
+  SELECT row, doc_id, CASE WHEN altered THEN list_transform(range(len(w)), lambda i:
+      w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM planted),
+grams AS (
+  SELECT row, i, array_to_string(w[i + 1:i + 6], ' ') AS s
+  FROM (SELECT row, w, unnest(range(len(w) - 5)) AS i FROM ws WHERE len(w) >= 6)),
+pairs AS (
+  SELECT a.row, a.i, b.i - a.i AS q FROM grams a JOIN grams b ON a.row = b.row AND a.s = b.s AND a.i < b.i),
+islands AS (SELECT row, q, i, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM pairs),
+repeats AS (SELECT row, q, min(i) AS start, count(*) + 5 AS same FROM islands GROUP BY row, q, island),
+runs AS (
+  SELECT row, start, same + q AS length, min(q) AS period FROM repeats
+  WHERE same >= q AND same + q >= 12 GROUP BY row, start, same + q),
+listed AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS txt,
+         list({{'start': start, 'length': length, 'period': period}} ORDER BY length DESC, start, period)[1] AS best
+  FROM runs GROUP BY row),
+dropped AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT row, unnest(w) AS x, unnest(range(len(w))) AS i FROM ws WHERE row IN (SELECT row FROM listed)),
+kept AS (SELECT row, string_agg(x, ' ' ORDER BY i) AS txt FROM words ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+       1000 * best.length // best.period AS exponent_milli, sha256(coalesce(listed.txt, '')) AS runs_sha256,
+       sha256(coalesce(kept.txt, array_to_string(w, ' '))) AS collapsed_sha256, len(w) AS n_words
+FROM ws LEFT JOIN listed USING (row) LEFT JOIN kept USING (row)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_minhash_neardup": OP1,
     "op5_license_sentences": _op5(),
     "op10_multi_index_hashing": OP10,
+    "op12_periodic_runs": OP12,
     "op13_merkle_manifest": _op13(),
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (codesearch, decontaminate, licenses, manifest, neardup, packing, pii, quality,
-               secrets, toxicity, urlfilter)
+               runs, secrets, toxicity, urlfilter)
 from .common import fold_of, table
 
 
@@ -84,6 +84,41 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codesearch.nearest_codes(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The rows with the words of every tenth text (by hash) made periodic."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.expr("h div 10")
+
+    def planted(words):
+        n = F.size(words).cast("bigint")
+        a = F.pmod(g, n)
+        p = 1 + F.call_function("div", n - a, 3 + g % 8)
+        again = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")),
+                                         (F.call_function("div", n - a, p) + 1).cast("int")))
+        out = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(again, F.lit(1), (n - a).cast("int")))
+        return F.when(n > 0, F.array_join(out, " ")).otherwise(F.lit(""))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # an array of one, so that the words are cut once
+    return docs.select("doc_id", "text", h.alias("h")).select("doc_id", F.when(
+        (F.col("h") % 10 == 0) & F.col("text").isNotNull(),
+        F.transform(F.array(words), planted)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.get(F.sort_array(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words").select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256", "n_words")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-casing A-Z of every fifth row's text is the tampering to find."""
     docs = table(spark, sf_dir, "documents")
@@ -96,5 +131,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_neardup, op2_secret_ownership, op3_quality_line_crf, op4_url_words,
         op5_license_sentences, op6_pii_semi_markov, op7_toxicity_neighbours,
-        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing, op13_merkle_manifest)
+        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing, op12_periodic_runs,
+        op13_merkle_manifest)
 }
