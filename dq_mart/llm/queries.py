@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (codesearch, decontaminate, licenses, manifest, neardup, packing, pii, quality,
-               runs, secrets, toxicity, urlfilter)
+from . import (codesearch, decontaminate, licenses, maintext, manifest, neardup, packing, pii,
+               quality, runs, secrets, toxicity, urlfilter)
 from .common import fold_of, table
 
 
@@ -84,6 +84,12 @@ def op10_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codesearch.nearest_codes(rows, rows.where("vec_id % 100 = 0"), k=10)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return maintext.extract(pages, maintext.fit(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """The rows with the words of every tenth text (by hash) made periodic."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -131,6 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_neardup, op2_secret_ownership, op3_quality_line_crf, op4_url_words,
         op5_license_sentences, op6_pii_semi_markov, op7_toxicity_neighbours,
-        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing, op12_periodic_runs,
-        op13_merkle_manifest)
+        op8_cgk_decontamination, op9_sum_of_squares_packing, op10_multi_index_hashing,
+        op11_main_text, op12_periodic_runs, op13_merkle_manifest)
 }
