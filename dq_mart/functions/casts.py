@@ -30,6 +30,8 @@ LIST_SCHEMA = "array<string>"
 # and caught parse error per bad value costs far more than a regex match).
 _INT_TEXT = r"^\s*[+-]?\d+\s*$"
 _NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Plain decimals: the sign and the digits before the point.
+_WHOLE_PART = r"^\s*([+-]?)(\d*)(\.\d*)?\s*$"
 _QUOTED = r"""^\(\s*(?:'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*")\s*\)$"""
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint", "byte", "short", "integer", "long")
 
@@ -95,10 +97,14 @@ def to_date_safe(c: Column | str,
 
 def bigint_from_text(c: Column | str) -> Column:
     """Text -> BIGINT: exact for integers (also above 2^53), fractions are
-    truncated toward zero, null for anything that is no number."""
+    truncated toward zero, null for anything that is no number or out of
+    range (never the nearest id that fits)."""
     c = col_of(c).cast("string")
-    # the second arm reads numbers only, not literals such as 12d or 0x1p3
-    return F.coalesce(safe_cast(c, "bigint"), number_or_null(c).try_cast("bigint"))
+    # numbers only, not literals such as 12d or 0x1p3; a fraction's whole part is
+    # cut from the text, so that no digit of it is rounded away
+    whole = F.concat(F.regexp_extract(c, _WHOLE_PART, 1), F.lit("0"), F.regexp_extract(c, _WHOLE_PART, 2))
+    return F.coalesce(safe_cast(c, "bigint"), F.when(c.rlike(_NUM_TEXT), F.when(
+        c.rlike("[eE]"), c.try_cast("decimal(38,10)").try_cast("bigint")).otherwise(whole.try_cast("bigint"))))
 
 
 def bigint_or_zero(c: Column | str) -> Column:

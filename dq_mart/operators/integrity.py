@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DataType, FractionalType, IntegralType, LongType, NumericType,
+from pyspark.sql.types import (DataType, DoubleType, FloatType, FractionalType, IntegralType, LongType, NumericType,
                                StringType)
 from pyspark.sql.window import Window
 
@@ -32,7 +32,8 @@ from ..functions.text import col_of
 from ..session import checkpoint_root
 
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+#: A number as text in its usual form: no sign but minus, no leading zeros.
+_NUMBER = r"^\s*(-?(?:0|[1-9]\d*)(?:\.\d+)?)\s*$"
 
 
 @dataclass(frozen=True)
@@ -55,14 +56,21 @@ def _common_type(a: DataType, b: DataType) -> DataType | None:
 
 
 def _key_text(k: Column, type_: DataType) -> Column:
-    """A key as text that is equal for equal numbers of any type: ``5``,
-    ``5.0`` and ``"5"`` are one key, ``1.5`` and ``"zz"`` are keys that no
-    whole number equals."""
+    """A key as text that is equal for equal numbers of any type, with no
+    digit rounded: ``5``, ``5.0`` and ``"5.00"`` are one key; ``1.5``,
+    ``"5.00000000001"`` and ``"zz"`` are keys that no whole number equals.
+    Text with leading zeros or a plus sign is an identifier, not a number:
+    ``"007"`` equals only itself."""
     text = k.cast("string")
+    if isinstance(type_, (DoubleType, FloatType)):
+        # a whole double prints with an exponent from 1E7 on
+        whole = F.when(k == F.floor(k), k.try_cast("decimal(38,0)"))
+        text = F.coalesce(whole.cast("string"), text)
     if isinstance(type_, (StringType, FractionalType)):
-        exact = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)"))
-        plain = F.regexp_replace(exact.cast("string"), r"\.?0+$", "")
-        return F.coalesce(F.when(exact == 0, F.lit("0")).otherwise(plain), text)
+        number = F.regexp_extract(text, _NUMBER, 1)
+        plain = F.regexp_replace(number, r"(\.\d*?)0+$", "$1")
+        plain = F.regexp_replace(F.regexp_replace(plain, r"\.$", ""), r"^-0$", "0")
+        return F.when(text.rlike(_NUMBER), plain).otherwise(text)
     return text
 
 

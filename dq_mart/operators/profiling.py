@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DoubleType, FloatType, NumericType,
+from pyspark.sql.types import (DataType, DateType, DoubleType, FloatType, IntegralType, NumericType,
                                StringType, TimestampNTZType, TimestampType)
 
 from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN,
@@ -92,14 +92,23 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def exact_number(c: Column, type_: DataType) -> Column:
+    """A number as text with every digit: integers as they are (also above
+    2^53), others with six decimals, a double too large for those as it is."""
+    if isinstance(type_, IntegralType):
+        return c.cast("string")
+    return F.coalesce(c.try_cast("decimal(38,6)").cast("string"), c.cast("string"))
+
+
 def profile_int_range(df: DataFrame, table: str,
                       cols: Sequence[str] | None = None) -> DataFrame:
     """``(table_name, column_name, max_value, needs_bigint)`` for the
-    numeric columns; a column needs BIGINT when its max exceeds INT."""
+    numeric columns; a column needs BIGINT when its max exceeds INT.  The
+    maximum is exact text (``exact_number``)."""
     cols = [c for c in (cols or numeric_columns(df)) if c in numeric_columns(df)]
     one = df.agg(*[F.max(F.col(quoted(c))).alias(f"__m{i}") for i, c in enumerate(cols)])
     items = [F.struct(F.lit(c).alias("column_name"),
-                      F.col(f"__m{i}").cast("double").alias("max_value"),
+                      exact_number(F.col(f"__m{i}"), df.schema[c].dataType).alias("max_value"),
                       F.coalesce(F.col(f"__m{i}") > F.lit(INT_MAX), F.lit(False))
                       .alias("needs_bigint"))
              for i, c in enumerate(cols)]

@@ -27,9 +27,12 @@ from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN, number_or_nu
 from ..functions.numeric import pct_half_up
 from ..functions.text import quoted, strip_ws
 from ..session import checkpoint_root
-from .profiling import (INT_MAX, missing_predicate, numeric_columns,
+from .profiling import (INT_MAX, exact_number, missing_predicate, numeric_columns,
                         parsed_date)
 
+#: Text numbers whose maximum is exact: 32 digits before the point.
+_WIDE = "decimal(38,6)"
+
 #: Stands for the items of the list column among the column names.
 _ITEMS = "[items]"
 LONG_COLUMNS = ["step", "check_name", "table_name", "column_name", "item", "metric",
@@ -112,18 +115,26 @@ class TableProfile:
             v = F.col(quoted(c))
             if c in numeric:
                 mx = self._agg(F.max(v))
+                text, large = exact_number(mx, self.df.schema[c].dataType), mx > F.lit(INT_MAX)
                 keep = None
             elif isinstance(self.df.schema[c].dataType, StringType):
+                # exact while a number fits 38 digits; beyond, as a double
                 num = number_or_null(strip_ws(v))
-                mx = self._agg(F.max(num))
+                dec = F.when(num.isNotNull(), strip_ws(v).try_cast(_WIDE))
+                mx = self._agg(F.max(dec))
+                far = self._agg(F.max(F.when(dec.isNull(), num)))
                 t, p = self._agg(F.count(v)), self._agg(F.count(num))
                 keep = (t == p) & (t > 0)
+                beyond = F.coalesce(far > F.coalesce(mx.cast("double"), F.lit(0.0)), F.lit(False))
+                plain = F.regexp_replace(mx.cast("string"), r"\.0+$", "")
+                text = F.when(beyond | mx.isNull(), far.cast("string")).otherwise(plain)
+                large = beyond | (mx > F.lit(INT_MAX))
             else:
                 continue
             self._items += [
-                _item(step, "int_range", self.table, c, None, "max_value", _num_text(mx), keep),
+                _item(step, "int_range", self.table, c, None, "max_value", text, keep),
                 _item(step, "int_range", self.table, c, None, "needs_bigint",
-                      F.coalesce(mx > F.lit(INT_MAX), F.lit(False)), keep)]
+                      F.coalesce(large, F.lit(False)), keep)]
         return self
 
     def dates(self, cols: Sequence[str], step: int = 6,

@@ -40,6 +40,8 @@ def bi_sql(k: str) -> str:
             f"WHEN {k} % 10 = 3 THEN CAST({k} AS VARCHAR) || '.0' "
             f"WHEN {k} % 70 = 4 THEN '12d' WHEN {k} % 70 = 14 THEN '77F' "
             f"WHEN {k} % 70 = 24 THEN '1e3' WHEN {k} % 70 = 34 THEN '0x1p3' "
+            f"WHEN {k} % 70 = 44 THEN '9223372036854775808' "
+            f"WHEN {k} % 70 = 54 THEN '9223372036854775807.99999999999' "
             f"ELSE CAST({k} + 3000000000 AS VARCHAR) END")
 
 
@@ -71,8 +73,16 @@ def yes_no_sql(v: str) -> str:
     return f"COALESCE(lower({strip_sql(v)}) IN ('yes', 'true', '1'), false)"
 
 
+def bigint_or_null_sql(v: str) -> str:
+    """Text as BIGINT through HUGEINT (no double): fractions cut off, NULL out of
+    range and for what is no number."""
+    return (f"CASE WHEN regexp_full_match({v}, '\\s*[+-]?[0-9]*\\.?[0-9]*\\s*') "
+            f"THEN TRY_CAST(TRY_CAST(split_part(trim({v}), '.', 1) AS HUGEINT) AS BIGINT) "
+            f"ELSE TRY_CAST(trunc(TRY_CAST({v} AS DECIMAL(38,10))) AS BIGINT) END")
+
+
 def bigint0_sql(v: str) -> str:
-    return f"COALESCE(CAST(trunc(TRY_CAST({v} AS DOUBLE)) AS BIGINT), 0)"
+    return f"COALESCE({bigint_or_null_sql(v)}, 0)"
 
 
 def declared_int_sql(v: str, type_: str) -> str:

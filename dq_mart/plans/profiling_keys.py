@@ -43,7 +43,9 @@ def profiled_columns(t: DriverTables) -> dict[str, Column]:
             "yn_raw": dirty_yes_no(k), "yn_clean": clean_yn,
             "dt_raw": dirty_date(k, o.o_orderdate),
             "dt_clean": o.o_orderdate.cast("date").cast("string"),
-            "bi": C.bigint_or_zero(dirty_bigint(k))}
+            "bi": C.bigint_or_zero(dirty_bigint(k)),
+            # odd ids above 2^53, which no double holds
+            "wide_id": k * 2 + F.lit(9007199254740993)}
 
 
 def orders_profiled(t: DriverTables) -> DataFrame:
@@ -135,8 +137,10 @@ def driver_fks(t: DriverTables) -> list[I.ForeignKey]:
         # keys of different kinds: text (some no number) and fractions
         I.ForeignKey("text supplier -> supplier.s_suppkey",
                      s.select(F.when(s.s_suppkey % 7 == 0, "zz").when(s.s_suppkey % 5 == 0, F.concat(
-                         s.s_suppkey.cast("string"), F.lit(".0"))).otherwise(s.s_suppkey.cast("string"))
-                         .alias("k")), "k", s, "s_suppkey"),
+                         s.s_suppkey.cast("string"), F.lit(".0"))).when(s.s_suppkey % 11 == 0, F.concat(
+                             s.s_suppkey.cast("string"), F.lit(".00000000001"))).when(
+                         s.s_suppkey % 13 == 0, F.concat(F.lit("00"), s.s_suppkey.cast("string")))
+                         .otherwise(s.s_suppkey.cast("string")).alias("k")), "k", s, "s_suppkey"),
         I.ForeignKey("half part -> part.p_partkey",
                      p.select((p.p_partkey / 2).alias("k")), "k", p, "p_partkey"),
         I.ForeignKey("no region -> region.r_regionkey", r.where("r_regionkey < 0"), "r_regionkey",
@@ -218,16 +222,17 @@ _ORDERS_PROFILED = f"""(SELECT o_orderkey, o_totalprice, o_orderdate,
    CASE WHEN o_orderstatus = 'F' THEN 'Yes' WHEN o_orderstatus = 'O' THEN 'No' ELSE ' no' END AS yn_clean,
    {dt_sql('o_orderkey', 'o_orderdate')} AS dt_raw,
    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt_clean,
-   {bigint0_sql(bi_sql('o_orderkey'))} AS bi
+   {bigint0_sql(bi_sql('o_orderkey'))} AS bi, o_orderkey * 2 + 9007199254740993 AS wide_id
    FROM orders)"""
 
 ORACLES["profile_int_range"] = f"""
-WITH m AS (SELECT MAX(o_orderkey) AS a, MAX(o_totalprice) AS b, MAX(bi) AS c FROM {_ORDERS_PROFILED} p)
-SELECT 'orders' AS table_name, column_name, CAST(v AS DOUBLE) AS max_value,
-       COALESCE(v > 2147483647, false) AS needs_bigint FROM (
-  SELECT 'o_orderkey' AS column_name, CAST(a AS DOUBLE) AS v FROM m UNION ALL
-  SELECT 'o_totalprice', b FROM m UNION ALL
-  SELECT 'bi', CAST(c AS DOUBLE) FROM m)"""
+WITH m AS (SELECT MAX(o_orderkey) AS a, MAX(o_totalprice) AS b, MAX(bi) AS c, MAX(wide_id) AS d
+           FROM {_ORDERS_PROFILED} p)
+SELECT 'orders' AS table_name, column_name, max_value, COALESCE(large, false) AS needs_bigint FROM (
+  SELECT 'o_orderkey' AS column_name, CAST(a AS VARCHAR) AS max_value, a > 2147483647 AS large FROM m UNION ALL
+  SELECT 'o_totalprice', CAST(CAST(b AS DECIMAL(38,6)) AS VARCHAR), b > 2147483647 FROM m UNION ALL
+  SELECT 'bi', CAST(c AS VARCHAR), c > 2147483647 FROM m UNION ALL
+  SELECT 'wide_id', CAST(d AS VARCHAR), d > 2147483647 FROM m)"""
 
 ORACLES["profile_categorical"] = f"""
 WITH x AS (SELECT * FROM {_CUSTOMER_NT} c), t AS (SELECT COUNT(*) AS n FROM x),
@@ -304,8 +309,11 @@ _FK_SQL = [
      "SELECT c_custkey AS k FROM customer"),
 ]
 # keys of different kinds, compared as numbers where they are numbers
-_TEXT_KEY = ("CASE WHEN s_suppkey % 7 = 0 THEN 'zz' WHEN s_suppkey % 5 = 0 "
-             "THEN CAST(s_suppkey AS VARCHAR) ELSE CAST(s_suppkey AS VARCHAR) END")
+# (whole numbers with a zero fraction as themselves, leading zeros as text)
+_TEXT_KEY = ("CASE WHEN s_suppkey % 7 = 0 THEN 'zz' WHEN s_suppkey % 5 = 0 THEN CAST(s_suppkey AS VARCHAR) "
+             "WHEN s_suppkey % 11 = 0 THEN CAST(s_suppkey AS VARCHAR) || '.00000000001' "
+             "WHEN s_suppkey % 13 = 0 THEN '00' || CAST(s_suppkey AS VARCHAR) "
+             "ELSE CAST(s_suppkey AS VARCHAR) END")
 _HALF_KEY = ("CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey // 2 AS VARCHAR) "
              "ELSE CAST(p_partkey // 2 AS VARCHAR) || '.5' END")
 _FK_SQL += [

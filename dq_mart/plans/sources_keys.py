@@ -21,7 +21,7 @@ from . import profiling_keys as PK
 from . import etl_keys as EK
 from .jobs import bad_date_examples, bridge_preview, etl_job, etl_table, read_loaded
 from . import schemas as S
-from .oracles import ORACLES, list_items_sql
+from .oracles import ORACLES, bigint_or_null_sql, list_items_sql
 from .registry import query
 from .standins import DriverTables, dirty_list, mismatch_pair
 
@@ -205,7 +205,7 @@ ORACLES["landing_file_audit"] = " UNION ALL ".join(
 def _etl_job_sql() -> str:
     parts = []
     for name in EK.STANDINS:
-        ids = " + ".join(f"COUNT(*) FILTER (WHERE TRY_CAST(r_{c} AS DOUBLE) IS NULL)"
+        ids = " + ".join(f"COUNT(*) FILTER (WHERE {bigint_or_null_sql(f'r_{c}')} IS NULL)"
                          for c in S.SPECS[name].bigint_default0)
         raw = EK.texts_sql(name)
         errors = (f"(SELECT COUNT(*) FROM {raw} r WHERE r_other_branches IS NULL "
@@ -239,7 +239,7 @@ def _metric_sql(v: str, is_float: bool) -> str:
 
 
 # metrics printed from DOUBLE columns
-_FLOAT_METRICS = {"pct", "max_value"}
+_FLOAT_METRICS = {"pct"}
 
 
 def _profile_report_sql() -> str:

@@ -177,7 +177,8 @@ def dirty_date(key: Column, clean: Column) -> Column:
 
 def dirty_bigint(key: Column) -> Column:
     """BI: junk, a null, fractions, an exponent, forms that only some parsers
-    take for numbers, and ids above the INT range."""
+    take for numbers, a number just beyond BIGINT and the last one within, and ids
+    above the INT range."""
     return (F.when(key % 10 == 0, _s("x1"))
             .when(key % 10 == 1, _s(None))
             .when(key % 10 == 2, F.concat(key.cast("string"), F.lit(".7")))
@@ -186,6 +187,8 @@ def dirty_bigint(key: Column) -> Column:
             .when(key % 70 == 14, _s("77F"))
             .when(key % 70 == 24, _s("1e3"))
             .when(key % 70 == 34, _s("0x1p3"))
+            .when(key % 70 == 44, _s("9223372036854775808"))
+            .when(key % 70 == 54, _s("9223372036854775807.99999999999"))
             .otherwise((key + F.lit(3000000000)).cast("string")))
 
 

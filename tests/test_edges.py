@@ -131,3 +131,33 @@ def test_publishing_switches_a_pointer(spark):
     broken = sinks.Written("gone", f"{root}/gone", 4)
     (r,) = sinks.load_count_audit(spark, [broken]).collect()
     assert (r.rows_read, r.ok) == (None, False)
+
+
+def test_numbers_out_of_range_are_no_ids(spark):
+    texts = ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+             "9223372036854775807.9", "9223372036854775808.1", "1.99999999999999", "-0.5", ".5", "1e30", "5.", "+3"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    top, low = 2**63 - 1, -2**63
+    got = [r[0] for r in df.select(casts.bigint_from_text("v")).collect()]
+    assert got == [top, None, low, None, top, None, 1, 0, 0, None, 5, 3]
+
+
+def test_large_maxima_keep_every_digit(spark):
+    df = spark.createDataFrame([(2**53 + 1, str(2**53 + 1)), (3, "7")], "a bigint, b string")
+    got = {r.column_name: r.max_value for r in P.profile_int_range(df, "t").collect()}
+    assert got == {"a": "9007199254740993"}
+    rows = TableProfile(df, "t").int_range().long().collect()
+    assert {r.column_name: r.value for r in rows if r.metric == "max_value"} == {
+        "a": "9007199254740993", "b": "9007199254740993"}
+    far = spark.createDataFrame([("1e40",), ("5",)], "b string")
+    rows = TableProfile(far, "t").int_range().long().collect()
+    assert {r.metric: r.value for r in rows} == {"max_value": "1.0E40", "needs_bigint": "true"}
+
+
+def test_text_keys_keep_digits_and_leading_zeros(spark):
+    parent = spark.createDataFrame([(5,), (7,), (10000000,)], "k bigint")
+    text = spark.createDataFrame([("5.00000000001",), ("007",), ("7.00",), ("-0",), ("+5",)], "k string")
+    real = spark.createDataFrame([(1e7,), (5.00000000001,)], "k double")
+    got = {(r.label, r.orphan) for r in fk_orphans([ForeignKey("t", text, "k", parent, "k"),
+                                                     ForeignKey("r", real, "k", parent, "k")]).collect()}
+    assert got == {("t", "5.00000000001"), ("t", "007"), ("t", "0"), ("t", "+5"), ("r", "5.00000000001")}
