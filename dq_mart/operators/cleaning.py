@@ -90,10 +90,12 @@ def cast_bigint_default0(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: bigint_or_zero(c) for c in cols}) if cols else df
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Column | str) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Column | str,
+                     totals: Sequence[str] = ()) -> DataFrame:
     """The first row per key, "first" meaning the smallest ``order``
     (the ingest ordinal).  Null keys are equal to each other, so one
-    null-key row survives.  Output keeps the input's columns and order.
+    null-key row survives.  Output keeps the input's columns and order;
+    ``totals`` are columns that are summed over the key's rows instead.
 
     Plan: partial and final aggregate on ``min(struct(order, other
     columns))`` around one exchange by the keys.  The rows are wide, so Spark
@@ -101,10 +103,11 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Column | str) ->
     key and task.
     """
     order_col = col_of(order)
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in totals]
     packed = F.struct(order_col.alias("__ord"), *[col_of(c) for c in rest])
-    best = df.groupBy(*[col_of(k) for k in keys]).agg(F.min(packed).alias("__first"))
-    return best.select(*[col_of(c) if c in keys else F.col("__first").getField(c).alias(c)
+    best = df.groupBy(*[col_of(k) for k in keys]).agg(
+        F.min(packed).alias("__first"), *[F.sum(col_of(c)).alias(c) for c in totals])
+    return best.select(*[col_of(c) if c in keys or c in totals else F.col("__first").getField(c).alias(c)
                          for c in df.columns])
 
 

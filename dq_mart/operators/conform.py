@@ -77,13 +77,15 @@ class TableSpec:
         return ", ".join(f"{c.name} {c.type}" for c in self.columns)
 
 
-def transform(raw: DataFrame, spec: TableSpec, order: str | None = None) -> DataFrame:
+def transform(raw: DataFrame, spec: TableSpec, order: str | None = None,
+              totals: Sequence[str] = ()) -> DataFrame:
     """The reference's per-table cleaning, in its order: headers, renames,
     drops, yes/no, dates, zero-defaulted ids, keep-first on the primary key.
 
     ``order`` names the ingest-ordinal column that defines "first" (its name
     must be unchanged by header cleaning, e.g. ``ingest_ord``); it is
     required when the spec has a primary key and is kept in the output.
+    ``totals`` are counters that the rows dropped by keep-first add to.
     """
     df = clean_headers(raw)
     df = rename_columns(df, spec.rename_for(df.columns))
@@ -95,7 +97,7 @@ def transform(raw: DataFrame, spec: TableSpec, order: str | None = None) -> Data
     if spec.primary_key:
         if not order:
             raise ValueError(f"{spec.name}: keep-first on {spec.primary_key} needs an ordinal")
-        df = dedup_keep_first(df, [spec.primary_key], order)
+        df = dedup_keep_first(df, [spec.primary_key], order, totals)
     return df
 
 
@@ -124,7 +126,6 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
     have = {f.name: f.dataType for f in df.schema.fields}
     typed: dict[str, Column] = {}
     reasons: list[Column] = []
-    raw_fields: list[Column] = []
     for c in spec.columns:
         if c.name not in have:
             typed[c.name] = F.lit(None).cast(c.type)
@@ -134,18 +135,19 @@ def conform(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) -> DataFra
         t = declared_cast(v, c.type, src_str) if c.type != "string" else v.cast("string")
         typed[c.name] = t
         reasons.extend(_fits(v, t, c, src_str))
-        raw_fields.append(v.cast("string").alias(c.name))
     # concat_ws skips nulls: the reasons of a row, or null when it fits.
     why = (F.nullif(F.concat_ws("; ", *reasons), F.lit("")) if reasons
            else F.lit(None).cast("string"))
     row = F.struct(*[typed[c].alias(c) for c in spec.column_names],
-                   *[F.col(k) for k in keep],
-                   why.alias(REJECT_REASONS),
-                   F.struct(*raw_fields).alias(RAW))
+                   *[F.col(k) for k in keep], why.alias(REJECT_REASONS))
     # one row out of a generator: a filter on the reasons stays above it, so
-    # the cleaning of a row is evaluated once, not again inside the filter
-    out = df.select(F.explode(F.array(row)).alias("__row")).select("__row.*")
-    return out.withColumn(RAW, F.when(F.col(REJECT_REASONS).isNotNull(), F.col(RAW)))
+    # the cleaning of a row is evaluated once, not again inside the filter; the
+    # source text goes along beside it and is put together for rejects only
+    source = [F.col(c.name).alias(f"__raw_{c.name}") for c in spec.columns if c.name in have]
+    out = df.select(*source, F.explode(F.array(row)).alias("__row"))
+    raw = F.struct(*[F.col(f"__raw_{c.name}").cast("string").alias(c.name)
+                     for c in spec.columns if c.name in have])
+    return out.select("__row.*", F.when(F.col(f"__row.{REJECT_REASONS}").isNotNull(), raw).alias(RAW))
 
 
 def good_rows(conformed: DataFrame) -> DataFrame:

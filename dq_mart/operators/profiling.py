@@ -24,6 +24,7 @@ from pyspark.sql.types import (DataType, DateType, DoubleType, FloatType, Integr
 from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN,
                                parse_list_string, to_date_safe)
 from ..functions.numeric import pct_half_up
+from .inference import infer_types
 from ..functions.text import is_blank, quoted, strip_ws
 
 INT_MAX = 2147483647
@@ -71,18 +72,11 @@ def profile_nulls(df: DataFrame, table: str) -> DataFrame:
 # --- C2: types and first-row sample ---------------------------------------------------
 
 def profile_types(df: DataFrame, table: str, order: str) -> DataFrame:
-    """``(table_name, column_name, dtype, sample)`` — the Spark type
-    and the value of the first row (smallest ``order``) as text."""
-    cols = [c for c in df.columns]
-    # one comparison of the order a row, whatever the number of columns
-    first = F.struct(*[F.col(quoted(c)).cast("string").alias(f"s{i}") for i, c in enumerate(cols)])
-    one = df.agg(F.min_by(first, F.col(quoted(order))).alias("__first"))
-    items = [F.struct(F.lit(c).alias("column_name"),
-                      F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                      F.col(f"__first.s{i}").alias("sample"))
-             for i, c in enumerate(cols)]
-    return _long(one, items).select(F.lit(table).alias("table_name"), "column_name",
-                                    "dtype", "sample")
+    """``(table_name, column_name, dtype, sample)`` — the type (of a text
+    column the one that its values have, see ``inference``) and the value of
+    the first row (smallest ``order``) as text."""
+    return infer_types(df, table, order, df.columns).select(
+        "table_name", "column_name", "dtype", "sample")
 
 
 # --- C3: integer range -------------------------------------------------------------------

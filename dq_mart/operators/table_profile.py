@@ -27,6 +27,7 @@ from ..functions.casts import (DEFAULT_DATE_FORMATS, YES_NO_DOMAIN, number_or_nu
 from ..functions.numeric import pct_half_up
 from ..functions.text import quoted, strip_ws
 from ..session import checkpoint_root
+from .inference import joined_type, type_aggregates
 from .profiling import (INT_MAX, exact_number, missing_predicate, numeric_columns,
                         parsed_date)
 
@@ -95,15 +96,18 @@ class TableProfile:
 
     def types(self, order: str, step: int = 3,
               cols: Sequence[str] | None = None) -> "TableProfile":
+        """Types (of text columns: inferred from all values) and first-row sample."""
         cols = list(cols or [c for c in self.df.columns if c != order])
         # one comparison of the order a row, whatever the number of columns
         first = self._agg(F.min_by(F.struct(*[F.col(quoted(c)).cast("string").alias(f"s{i}")
                                               for i, c in enumerate(cols)]), F.col(quoted(order))))
         for i, c in enumerate(cols):
             sample = first.getField(f"s{i}")
+            dtype = F.lit(self.df.schema[c].dataType.simpleString())
+            if isinstance(self.df.schema[c].dataType, StringType):
+                dtype = joined_type(*[self._agg(a) for a in type_aggregates(F.col(quoted(c))).values()])
             self._items += [
-                _item(step, "types", self.table, c, None, "dtype",
-                      F.lit(self.df.schema[c].dataType.simpleString())),
+                _item(step, "types", self.table, c, None, "dtype", dtype),
                 _item(step, "types", self.table, c, None, "sample", sample)]
         return self
 

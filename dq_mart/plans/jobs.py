@@ -11,9 +11,9 @@ import datetime as _dt
 import functools
 import logging
 import operator
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
@@ -25,10 +25,11 @@ from ..operators.cleaning import explode_list_pairs
 from ..operators.conform import REJECT_REASONS, RAW, conform, transform
 from ..operators.table_profile import TableProfile
 from ..session import checkpoint_root
-from ..sources.catalog import row_counts, union_all
+from ..sources.catalog import row_counts
 from ..sources.csv import ORDINAL
 from ..sources.landing import RAW_PREFIX, land_raw, verify_landing
-from ..sources.sinks import Written, load_count_audit, table_path, write_table
+from ..sources.sinks import load_count_audit, table_path
+from ..sources.snapshots import Snapshot, Staged, commit, read_snapshot, stage_table
 from . import schemas as S
 from .report import Section, report_lines, write_report
 
@@ -116,10 +117,12 @@ def with_status(conformed: DataFrame) -> DataFrame:
         LOAD_STATUS, F.when(F.col(REJECT_REASONS).isNull(), "ok").otherwise("rejected"))
 
 
-def etl_table(raw: DataFrame, spec) -> DataFrame:
-    """transform + conform + status: the loaded form of one raw table."""
+def etl_table(raw: DataFrame, spec, counters: Sequence[str] = ()) -> DataFrame:
+    """transform + conform + status: the loaded form of one raw table;
+    ``counters`` are number columns of the raw rows that go along."""
     order = ORDINAL if spec.primary_key else None
-    return with_status(conform(transform(raw, spec, order=order), spec))
+    clean = transform(raw, spec, order=order, totals=counters)
+    return with_status(conform(clean, spec, keep=counters))
 
 
 def doctor_bridge(raw_doctors: DataFrame) -> DataFrame | None:
@@ -132,51 +135,86 @@ def doctor_bridge(raw_doctors: DataFrame) -> DataFrame | None:
     return with_status(conform(pairs, S.BRIDGE))
 
 
+class AuditFailed(RuntimeError):
+    """The refresh was not committed; ``audit`` holds the rows of its audit."""
+
+    def __init__(self, root: str, audit: list):
+        bad = ", ".join(r["table_name"] for r in audit if not r["ok"])
+        super().__init__(f"{root}: audit failed for {bad}; the snapshot stays as it was")
+        self.audit = audit
+
+
 def etl_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str) -> DataFrame:
-    """Dimensions, bridge, facts; each written to ``<out_root>/<table>``
-    partitioned by ``load_status`` (rejected rows keep their reasons and raw
-    text in the ``rejected`` partition: one scan, one write per table), then
-    the row-count audit (S12) with the written, loaded and rejected rows and,
-    per table, the ids that became 0 and the list-strings that don't parse
-    (null where a table has no such column)."""
-    written: list[Written] = []
-    quality: list[DataFrame] = []
+    """Dimensions, bridge, facts; each written as a new version under
+    ``<out_root>/<table>``, partitioned by ``load_status`` (rejected rows keep
+    their reasons and raw text in the ``rejected`` partition: one scan, one
+    write per table), then the row-count audit (S12) with the written, loaded
+    and rejected rows and, per table, the ids that became 0 and the
+    list-strings that don't parse (null where a table has no such column; both
+    counted on the write).
+
+    The audit is the gate: only if it holds for every table, one manifest makes
+    all versions the current snapshot.  A job that fails or is killed before
+    that, or whose audit is false (``AuditFailed``), leaves every table as it
+    was; one that another job overtook fails (``SnapshotConflict``)."""
+    base = read_snapshot(spark, out_root)
+    staged: list[Staged] = []
     for name, spec in S.SPECS.items():
         if name not in raw:
             log.warning("etl: no raw %s; skipped", name)
             continue
-        written.append(write_table(spark, etl_table(raw[name], spec), out_root, name,
-                                   partition_by=[LOAD_STATUS]))
-        quality.append(coercion_counts(raw[name], spec))
+        staged.append(stage_loaded(raw[name], spec, out_root))
         if name == "doctors":
             bridge = doctor_bridge(raw[name])
             if bridge is not None:
-                written.append(write_table(spark, bridge, out_root, S.BRIDGE.name,
-                                           partition_by=[LOAD_STATUS]))
-    audit = load_count_audit(spark, written, loaded=f"{LOAD_STATUS} = 'ok'")
-    return audit.join(union_all(quality), "table_name", "left") if quality else audit
-
-
-def coercion_counts(raw: DataFrame, spec) -> DataFrame:
-    """``(table_name, zero_ids, list_errors)``: values of zero-defaulted id
-    columns that are no number, over the raw rows, and list-strings that do
-    not parse; null where the table has no such column."""
+                staged.append(stage_table(bridge, out_root, S.BRIDGE.name, [LOAD_STATUS]))
+    audit = load_count_audit(spark, staged, loaded=f"{LOAD_STATUS} = 'ok'")
+    counted = spark.createDataFrame(
+        [(s.table, s.metrics.get("zero_ids"), s.metrics.get("list_errors")) for s in staged],
+        "table_name string, zero_ids bigint, list_errors bigint")
+    # one row for each table
+    rows = audit.join(counted, "table_name", "left").collect()
+    if not rows or not all(r["ok"] for r in rows):
+        raise AuditFailed(out_root, rows)
+    commit(spark, out_root, base, {s.table: s.version for s in staged}, {s.table: s.rows for s in staged})
+    return spark.createDataFrame(rows, "table_name string, rows_written bigint, rows_read bigint, "
+                                 "rows_loaded bigint, rows_rejected bigint, ok boolean, "
+                                 "zero_ids bigint, list_errors bigint")
+
+
+def coercion_counters(raw: DataFrame, spec) -> dict[str, Column]:
+    """``zero_ids``, ``list_errors`` of a raw row: its values of zero-defaulted
+    id columns that are no number, and its list-string if that does not parse;
+    only those that the table has columns for."""
     clean = {c: normalize_header(c) for c in raw.columns}
     final = spec.rename_for(list(clean.values()))
     ids = [c for c, name in clean.items() if final.get(name, name) in spec.bigint_default0]
-    null = F.lit(None).cast("bigint")
-    zeros = (functools.reduce(operator.add, [
-        F.count_if(bigint_from_text(F.col(quoted(c))).isNull()) for c in ids]) if ids else null)
-    errors = (F.count_if(parse_list_string(F.col(quoted(S.DOCTOR_LIST_COLUMN))).isNull())
-              if S.DOCTOR_LIST_COLUMN in raw.columns else null)
-    return raw.agg(F.count(F.lit(1)).alias("n"), zeros.alias("zero_ids"),
-                   errors.alias("list_errors")).select(
-        F.lit(spec.name).alias("table_name"), "zero_ids", "list_errors")
-
-
-def read_loaded(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The loaded rows of a table (the ``ok`` partition, pruned at scan)."""
-    path = table_path(spark, root, table)
+    out = {}
+    if ids:
+        out["zero_ids"] = functools.reduce(operator.add, [
+            bigint_from_text(F.col(quoted(c))).isNull().cast("bigint") for c in ids])
+    if S.DOCTOR_LIST_COLUMN in raw.columns:
+        out["list_errors"] = parse_list_string(F.col(quoted(S.DOCTOR_LIST_COLUMN))).isNull().cast("bigint")
+    return out
+
+
+def stage_loaded(raw: DataFrame, spec, root: str) -> Staged:
+    """One raw table conformed and written, with its quality counters observed
+    on the write: the raw rows are scanned once."""
+    counters = {f"etl_{n}": c for n, c in coercion_counters(raw, spec).items()}
+    rows = etl_table(raw.withColumns(counters) if counters else raw, spec, list(counters))
+    metrics = {c[len("etl_"):]: F.coalesce(F.sum(c), F.lit(0)) for c in counters}
+    return stage_table(rows, root, spec.name, [LOAD_STATUS], metrics, drop=list(counters))
+
+
+def read_loaded(spark: SparkSession, root: str, table: str,
+                snapshot: Snapshot | None = None) -> DataFrame:
+    """The loaded rows of a table (the ``ok`` partition, pruned at scan) as of
+    a snapshot (the latest without one); of a table published alone, its
+    current version."""
+    snapshot = snapshot or read_snapshot(spark, root)
+    path = table_path(spark, root, table) if table not in snapshot.tables \
+        else f"{root.rstrip('/')}/{snapshot.tables[table]}"
     if path is None:
         raise FileNotFoundError(f"no table {table} under {root}")
     df = spark.read.parquet(path)
@@ -311,7 +349,9 @@ def report_job(spark: SparkSession, loaded_root: str, out_root: str,
     """Write ``<out_root>/reports/daily_report_<YYYY-MM-DD>`` and return its
     path.  Each fact is scanned once (``report_sections``)."""
     run_date = run_date or _dt.date.today()
-    tables = {n: read_loaded(spark, loaded_root, n)
+    # all tables of one snapshot, whatever is committed meanwhile
+    snapshot = read_snapshot(spark, loaded_root)
+    tables = {n: read_loaded(spark, loaded_root, n, snapshot)
               for n in ("appointments", "billing", "surgeries")}
     path = f"{out_root.rstrip('/')}/reports/daily_report_{run_date.isoformat()}"
     write_report(report_lines(report_sections(tables)), path)

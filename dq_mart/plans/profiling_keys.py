@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as C
 from ..operators import integrity as I
 from ..operators import profiling as P
+from ..operators.inference import infer_types
 from ..sources.catalog import DRIVER_TABLES, row_counts
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, mm_sql, nt_sql,
                       pct_sql, strip_sql, yn_sql)
@@ -73,6 +74,33 @@ def _profile_types(t: DriverTables) -> DataFrame:
     return P.profile_types(customer_nt(t), "customer", "c_custkey")
 
 
+def orders_text(t: DriverTables) -> DataFrame:
+    """orders as raw text: clean columns of each kind, one of nulls only, and
+    columns that one odd value in many makes text or another number type."""
+    o = t.orders
+    k = o.o_orderkey
+    text = {
+        "key": k.cast("string"), "wide": (k * 2 + F.lit(9007199254740993)).cast("string"),
+        "huge": F.concat(k.cast("string"), F.lit("00000000000000000000")),
+        "money": o.o_totalprice.cast("decimal(12,2)").cast("string"),
+        "padded": F.concat(F.lit(" 00"), (k % 7).cast("string"), F.lit(" ")),
+        "flag": F.when(k % 3 == 0, "True").when(k % 3 == 1, "false"),
+        "day": o.o_orderdate.cast("date").cast("string"),
+        "mixed": F.when(k % 2 == 0, (k % 5).cast("string")).otherwise(
+            F.concat((k % 100).cast("string"), F.lit("."), (k % 8).cast("string"), F.lit("25"))),
+        "exponent": F.when(k % 64 == 1, "1e3").otherwise((k % 5).cast("string")),
+        "odd_flag": F.when(k % 64 == 1, "1").otherwise("true"),
+        "dirty_date": dirty_date(k, o.o_orderdate), "dirty_id": dirty_bigint(k),
+        "none": F.lit(None).cast("string"), "priority": o.o_orderpriority,
+    }
+    return o.select("o_orderkey", *[c.alias(n) for n, c in text.items()])
+
+
+@query("profile_inferred_types")
+def _profile_inferred_types(t: DriverTables) -> DataFrame:
+    return infer_types(orders_text(t), "orders", "o_orderkey")
+
+
 @query("profile_int_range")
 def _profile_int_range(t: DriverTables) -> DataFrame:
     return P.profile_int_range(orders_profiled(t), "orders")
@@ -212,11 +240,61 @@ WITH f AS (SELECT * FROM {_CUSTOMER_NT} x ORDER BY c_custkey LIMIT 1)
 SELECT 'customer' AS table_name, column_name,
        {_TYPE_NAME.format(t='dtype')} AS dtype, sample FROM (
   SELECT 'c_custkey' AS column_name, typeof(c_custkey) AS dtype, CAST(c_custkey AS VARCHAR) AS sample FROM f UNION ALL
-  SELECT 'c_name', typeof(c_name), CAST(c_name AS VARCHAR) FROM f UNION ALL
+  SELECT 'c_name', 'VARCHAR', CAST(c_name AS VARCHAR) FROM f UNION ALL
   SELECT 'c_nationkey', typeof(c_nationkey), CAST(c_nationkey AS VARCHAR) FROM f UNION ALL
   SELECT 'c_acctbal', typeof(c_acctbal), CAST(c_acctbal AS VARCHAR) FROM f UNION ALL
   SELECT 'segment', 'VARCHAR', CAST(segment AS VARCHAR) FROM f)"""
 
+_TEXT_COLUMNS = {
+    "key": "CAST(o_orderkey AS VARCHAR)", "wide": "CAST(o_orderkey * 2 + 9007199254740993 AS VARCHAR)",
+    "huge": "CAST(o_orderkey AS VARCHAR) || '00000000000000000000'",
+    "money": "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR)",
+    "padded": "' 00' || CAST(o_orderkey % 7 AS VARCHAR) || ' '",
+    "flag": "CASE WHEN o_orderkey % 3 = 0 THEN 'True' WHEN o_orderkey % 3 = 1 THEN 'false' END",
+    "day": "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)",
+    "mixed": "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 5 AS VARCHAR) ELSE "
+             "CAST(o_orderkey % 100 AS VARCHAR) || '.' || CAST(o_orderkey % 8 AS VARCHAR) || '25' END",
+    "exponent": "CASE WHEN o_orderkey % 64 = 1 THEN '1e3' ELSE CAST(o_orderkey % 5 AS VARCHAR) END",
+    "odd_flag": "CASE WHEN o_orderkey % 64 = 1 THEN '1' ELSE 'true' END",
+    "dirty_date": dt_sql("o_orderkey", "o_orderdate"), "dirty_id": bi_sql("o_orderkey"),
+    "none": "CAST(NULL AS VARCHAR)", "priority": "o_orderpriority",
+}
+
+
+def _inferred_types_sql() -> str:
+    """Types tried from the narrowest: all values of a column must fit."""
+    values = " UNION ALL ".join(f"SELECT o_orderkey AS k, '{n}' AS column_name, {e} AS raw FROM orders"
+                                for n, e in _TEXT_COLUMNS.items())
+    number = r"'[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)'"
+    return rf"""
+WITH v AS ({values}),
+p AS (SELECT *, trim(raw) AS t, regexp_full_match(trim(raw), {number}) AS plain FROM v),
+d AS (
+  SELECT *, CASE WHEN plain THEN length(ltrim(split_part(ltrim(t, '+-'), '.', 1), '0')) END AS whole,
+         CASE WHEN plain THEN length(split_part(t, '.', 2)) END AS scale FROM p),
+g AS (
+  SELECT column_name, count(raw) AS n, max(whole) AS whole, max(scale) AS scale,
+         bool_and(lower(t) IN ('true', 'false')) AS all_bool,
+         bool_and(regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(t AS DATE) IS NOT NULL) AS all_date,
+         bool_and(plain AND NOT contains(t, '.')) AS all_whole,
+         bool_and(plain) AS all_plain,
+         bool_and(plain OR regexp_full_match(t, {number[:-1]}[eE][+-]?[0-9]+')) AS all_number,
+         bool_and(TRY_CAST(t AS INTEGER) IS NOT NULL) AS fits_int,
+         bool_and(TRY_CAST(t AS BIGINT) IS NOT NULL) AS fits_big,
+         max(length(raw)) AS max_length, min(raw) FILTER (WHERE length(raw) = m) AS widest,
+         arg_min_null(raw, k) AS sample
+  FROM (SELECT *, max(length(raw)) OVER (PARTITION BY column_name) AS m FROM d) GROUP BY column_name)
+SELECT 'orders' AS table_name, column_name, CASE
+    WHEN n = 0 THEN 'void' WHEN all_bool THEN 'boolean' WHEN all_date THEN 'date'
+    WHEN all_whole AND fits_int THEN 'int' WHEN all_whole AND fits_big THEN 'bigint'
+    WHEN all_plain AND whole + scale <= 38 THEN 'decimal(' || greatest(whole + scale, 1) || ',' || scale || ')'
+    WHEN all_number THEN 'double' ELSE 'string' END AS dtype,
+  sample, widest, max_length, n AS non_null
+FROM g"""
+
+
+ORACLES["profile_inferred_types"] = _inferred_types_sql()
+
 _ORDERS_PROFILED = f"""(SELECT o_orderkey, o_totalprice, o_orderdate,
    {yn_sql('o_orderkey')} AS yn_raw,
    CASE WHEN o_orderstatus = 'F' THEN 'Yes' WHEN o_orderstatus = 'O' THEN 'No' ELSE ' no' END AS yn_clean,

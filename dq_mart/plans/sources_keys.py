@@ -17,6 +17,7 @@ from ..sources.csv import ORDINAL, read_raw_csv, write_csv
 from ..sources.catalog import DRIVER_TABLES, row_counts
 from ..sources.landing import land_raw, landing_audit
 from ..sources.sinks import delete_path, load_count_audit, write_table
+from ..sources.snapshots import read_snapshot, snapshot_table
 from . import profiling_keys as PK
 from . import etl_keys as EK
 from .jobs import bad_date_examples, bridge_preview, etl_job, etl_table, read_loaded
@@ -101,10 +102,15 @@ def _load_count_audit(t: DriverTables) -> DataFrame:
 @query("etl_job")
 def _etl_job(t: DriverTables) -> DataFrame:
     """Dimensions, bridge and facts of all eight raw stand-ins, written,
-    published and audited."""
+    audited and committed as one snapshot; ``snapshot_rows`` are those of the
+    nine tables that its manifest names, read back."""
     root = scratch_path(t.spark, "mart")
     raw = {n: EK.raw_frame(t, n) for n in EK.STANDINS}
-    return _small(t, etl_job(t.spark, raw, root), root)
+    audit = etl_job(t.spark, raw, root)
+    snapshot = read_snapshot(t.spark, root)
+    read = row_counts({n: snapshot_table(t.spark, root, n, snapshot) for n in snapshot.tables},
+                      with_total=False)
+    return _small(t, audit.join(read.withColumnRenamed("row_count", "snapshot_rows"), "table_name"), root)
 
 
 @query("etl_load_roundtrip")
@@ -221,7 +227,7 @@ def _etl_job_sql() -> str:
       (SELECT COUNT(*) FROM {pairs} p WHERE length(b) <= 10 AND length(r_doctor_id) <= 20), NULL, NULL""")
     return f"""SELECT table_name, CAST(w AS BIGINT) AS rows_written, CAST(w AS BIGINT) AS rows_read,
       CAST(l AS BIGINT) AS rows_loaded, CAST(w - l AS BIGINT) AS rows_rejected, true AS ok,
-      CAST(z AS BIGINT) AS zero_ids, CAST(e AS BIGINT) AS list_errors
+      CAST(z AS BIGINT) AS zero_ids, CAST(e AS BIGINT) AS list_errors, CAST(w AS BIGINT) AS snapshot_rows
     FROM ({' UNION ALL '.join(parts)}) u"""
 
 
