@@ -137,7 +137,7 @@ def _text_features(text: str, linked: int, tag: str) -> list[str]:
            f"link:{_bucket(linked / size, (0.01, 0.3, 0.7, 0.95))}",
            "ends:stop" if last in ".!?:;…。" else "ends:word" if last.isalnum() else "ends:other",
            f"commas:{_bucket(text.count(','), (1, 3))}"]
-    if "©" in text:
+    if text[0] == "©":
         out.append("copyright")
     if words <= 12:
         out.append(f"digits:{_bucket(sum(c.isdigit() for c in text) / size, (0.01, 0.2, 0.5))}")
