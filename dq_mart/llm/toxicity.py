@@ -13,11 +13,14 @@ however many examples there are, and no term is cut by a test that grows with
 their number.
 
 Search is exact.  The inverted index keeps each term's postings in blocks of
-``BLOCK`` examples with the greatest weight in the block; the sum of a
-query's greatest weights bounds the cosine of every example in a block.
-The blocks of the greatest bounds are scored first, then all whose bound does
-not fall below the k-th best cosine so far, so no example that belongs to the
-nearest is missed.
+``BLOCK`` examples with the greatest weight in the block.  A query's terms are
+taken by what they can add at most; the postings of the first, until the others
+together can add a ``REST`` of the whole, give every example a part of its
+cosine.  For the other terms the greatest weights of a block bound what they
+add to any example in it.  The examples with the greatest parts are completed
+first; then all whose part and bound do not fall below the k-th best cosine, so
+no example that belongs to the nearest is missed.  Most terms of a text weigh
+next to nothing, and their postings are never read.
 The neighbours are returned as evidence.
 
 Near copies among the examples would make any of their rare words look
@@ -26,8 +29,9 @@ similarity of ``COPY`` or more to those of a kept one with the same label.
 MinHash sketches only name the pairs whose whole shingle sets are compared.
 
 Scale: the index is bounded by ``EXAMPLES``, whatever the corpus, and goes to
-the tasks; texts are scored where they are read, with no shuffle.  The terms of
-the examples are collected and counted as Arrow columns.
+the tasks as one broadcast of flat arrays, which a worker drops when its next
+task does not use it; texts are scored where they are read, with no shuffle.
+The terms of the examples are collected and counted as Arrow columns.
 
 Defined results
 ---------------
@@ -37,6 +41,9 @@ Defined results
   (0 without any);
 * null labels or ids take no part in fitting; an id labelled both ways counts
   as 1; null ids and repeated rows are scored like any row;
+* of different texts with one labelled id, that of the least hash is learnt
+  from, however many rows there are;
+* a very long text is scored whole;
 * ties of the cosine: the lesser example id is nearer;
 * an empty table gives no rows; other columns are ignored.
 """
@@ -45,8 +52,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -54,7 +63,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import python_tasks, cut, map_texts
+from .common import cut, map_texts, pieces, python_tasks
 from .hashing import mix, shingle_sets, word_hashes
 
 #: The greatest number of labelled texts that are fitted on.
@@ -65,26 +74,39 @@ LEAST_TEXTS = 2
 SMOOTHING = 2.0
 NEIGHBOURS = 15
 BLOCK = 64
-#: Blocks that are scored first.
-FIRST = 4
+#: What the terms whose postings are not read can add at most, of the whole.
+REST = 0.003
+#: Examples that are completed first.
+FIRST = 24
 #: Least similarity of a near copy, and number of shingle words.
 COPY, SHINGLE = 0.8, 5
 #: MinHash values of an example, and how many two must share to be compared: of
 #: a pair at ``COPY`` fewer agree once in a million times.
 SKETCH, AGREE = 64, 35
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMORY = 10_000
+#: Scores that a task remembers, of texts with the same terms.
+_MEMORY = 5000
 
 
-def terms_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+_APART = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+
+
+def terms_of(text: str) -> Counter:
+    """Runs of letters, lower-cased, as UTF-8, and how often each occurs."""
+    found = Counter(text.lower().encode().translate(_APART).split())
+    # other alphabets have marks and digits of their own
+    for w in [w for w in found if not w.isascii() and not w.decode().isalpha()]:
+        n = found.pop(w)
+        for part in _WORD.findall(w.decode()):
+            found[part.encode()] += n
+    return found
 
 
 @dataclass
 class BlockMaxIndex:
     """Unit vectors of examples in an inverted index with block maxima."""
 
-    vocabulary: dict[str, int]
+    numbers: dict[bytes, int]        # of the terms, by their UTF-8
     idf: np.ndarray
     ids: np.ndarray                  # of the examples, in index order
     labels: np.ndarray
@@ -94,10 +116,18 @@ class BlockMaxIndex:
     start: np.ndarray                # of each entry's postings; one more at the end
     places: np.ndarray               # of the postings
     values: np.ndarray
+    top: np.ndarray                  # of each term: its greatest weight
+    own_first: np.ndarray            # of each example: its first term; one more at the end
+    own_terms: np.ndarray
+    own_values: np.ndarray
     prior: float
     slope: float = 1.0
     level: float = 0.0
-    memory: dict = field(default_factory=dict)
+    query: np.ndarray | None = None
+
+    @property
+    def vocabulary(self) -> dict[str, int]:
+        return {w.decode(): i for w, i in self.numbers.items()}
 
     @staticmethod
     def weights(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -116,60 +146,84 @@ class BlockMaxIndex:
         # examples that lean on the same term share blocks, for tight bounds
         vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), -v[3].max(), v[0]))
         none = [np.zeros(0)]
-        term = np.concatenate([v[2] for v in vectors] or none).astype(np.int64)
-        values = np.concatenate([v[3] for v in vectors] or none)
-        places = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[2]) for v in vectors])
-        order = np.argsort(term, kind="stable")
-        term, values, places = term[order], values[order], places[order]
+        own_terms = np.concatenate([v[2] for v in vectors] or none).astype(np.int32)
+        own_values = np.concatenate([v[3] for v in vectors] or none)
+        sizes = np.array([len(v[2]) for v in vectors], np.int64)
+        places = np.repeat(np.arange(len(vectors), dtype=np.int32), sizes)
+        order = np.argsort(own_terms, kind="stable")
+        term, values, places = own_terms[order], own_values[order], places[order]
+        top = np.zeros(len(vocabulary))
+        np.maximum.at(top, term, values)
         entry = np.flatnonzero((np.diff(term, prepend=-1) != 0)
                                | (np.diff(places // BLOCK, prepend=-1) != 0))
-        return cls(vocabulary, idf, np.array([v[0] for v in vectors], np.int64),
+        return cls({w.encode(): i for w, i in vocabulary.items()}, idf, np.array([v[0] for v in vectors], np.int64),
                    np.array([v[1] for v in vectors], np.int64),
                    np.searchsorted(term[entry], np.arange(len(vocabulary) + 1)),
                    places[entry] // BLOCK,
                    np.maximum.reduceat(values, entry) if len(entry) else values,
-                   np.append(entry, len(term)).astype(np.int32), places, values, prior)
+                   np.append(entry, len(term)).astype(np.int32), places, values, top,
+                   np.concatenate([[0], np.cumsum(sizes)]), own_terms, own_values, prior)
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        get = self.vocabulary
-        found = Counter([get[w] for w in terms_of(text) if w in get])
-        t = np.array(sorted(found), np.int64)
-        return t, np.array([found[x] for x in t.tolist()], np.float64)
+        found = terms_of(text)
+        t = np.fromiter(map(self.numbers.get, found, repeat(-1)), np.int64, len(found))
+        n = np.fromiter(found.values(), np.float64, len(found))
+        known = np.flatnonzero(t >= 0)
+        order = known[t[known].argsort()]
+        return t[order], n[order]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
         """(cosine, place in the index) of the k nearest, exactly."""
         if not len(terms) or not len(self.ids):
             return []
-        size = self.first[terms + 1] - self.first[terms]
-        at = self._ranges(self.first[terms], size)
-        block, w = self.block[at], np.repeat(weights, size)
-        bound = np.bincount(block, w * self.greatest[at], -(-len(self.ids) // BLOCK))
-        open_ = bound > 0
-        chosen = np.zeros(len(bound), bool)
-        chosen[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        best: list[tuple[float, int, int]] = []      # (-cosine, id, place)
-        for _ in range(2):
-            chosen &= open_
-            if len(best) == k:
-                chosen &= bound >= -best[-1][0] - 1e-11
-            here = chosen[block]
-            start = self.start[at[here]]
-            size = self.start[at[here] + 1] - start
-            post = self._ranges(start, size)
-            score = np.bincount(self.places[post], np.repeat(w[here], size) * self.values[post],
-                                len(self.ids)).round(12)
-            if without is not None:
-                score[without] = 0
-            hit = np.flatnonzero(score > 0)
-            if len(hit) > k:                         # all that may be among the k best
-                hit = hit[score[hit] >= np.partition(score[hit], -k)[-k]]
-            best += zip((-score[hit]).tolist(), self.ids[hit].tolist(), hit.tolist())
-            best.sort()
-            del best[k:]
-            open_ &= ~chosen
-            chosen = open_.copy()
-        return [(-c, place) for c, _, place in best]
+        most = weights * self.top[terms]
+        order = np.argsort(-most, kind="stable")
+        terms, weights, most = terms[order], weights[order], most[order]
+        rest = most[::-1].cumsum()[::-1]              # what a term and those after it can add
+        head = int(np.searchsorted(-rest, -REST * rest[0]))
+        # the parts of the cosines that the first terms make
+        t, w = terms[:head], weights[:head]
+        start = self.start[self.first[t]].astype(np.int64)
+        size = self.start[self.first[t + 1]] - start
+        post = self._ranges(start, size)
+        part = np.bincount(self.places[post], np.repeat(w, size) * self.values[post], len(self.ids))
+        # what the others can add in each block
+        t, w = terms[head:], weights[head:]
+        size = self.first[t + 1] - self.first[t]
+        at = self._ranges(self.first[t], size)
+        bound = np.bincount(self.block[at], np.repeat(w, size) * self.greatest[at],
+                            -(-len(self.ids) // BLOCK))
+        most = part + np.repeat(bound, BLOCK)[:len(part)]
+        if without is not None:
+            most[without] = 0
+        if self.query is None:
+            self.query = np.zeros(len(self.numbers))
+        query = self.query               # all zero but for the terms asked for
+        query[terms] = weights
+        first = np.argpartition(-most, FIRST)[:FIRST] if len(most) > FIRST else np.arange(len(most))
+        first = first[most[first] > 0]
+        score = self._cosines(query, first)
+        if (score > 0).sum() >= k:
+            least = np.partition(score, -k)[-k] - 1e-11
+            most[first] = -1
+            more = np.flatnonzero(most >= least)
+        else:
+            most[first] = -1
+            more = np.flatnonzero(most > 0)
+        hit = np.concatenate([first, more])
+        score = np.concatenate([score, self._cosines(query, more)])
+        query[terms] = 0
+        best = np.lexsort((self.ids[hit], -score))[:k]
+        return [(c, p) for c, p in zip(score[best].tolist(), hit[best].tolist()) if c > 0]
+
+    def _cosines(self, query: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The whole cosines of some examples; ``query`` by term."""
+        start = self.own_first[places]
+        size = self.own_first[places + 1] - start
+        at = self._ranges(start, size)
+        return np.bincount(np.repeat(np.arange(len(places)), size),
+                           query[self.own_terms[at]] * self.own_values[at], len(places)).round(12)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """The share of label 1 among the neighbours, weighted by nearness,
@@ -200,26 +254,27 @@ class BlockMaxIndex:
             a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
         self.slope, self.level = (a, b) if a > 0 else (1.0, 0.0)
 
-    def score(self, text: str) -> tuple[float, list[tuple[int, float]]]:
-        """The calibrated score and the neighbours (id, cosine)."""
+    def score(self, text: str, memory: dict | None = None) -> tuple[float, list[tuple[int, float]]]:
+        """The calibrated score and the neighbours (id, cosine); ``memory``
+        holds those of texts with the same terms."""
         terms, tf = self.vector(text)
         key = blake2b(terms.tobytes() + tf.tobytes(), digest_size=16).digest()
-        got = self.memory.get(key)
+        got = memory.get(key) if memory is not None else None
         if got is None:
             near = self.nearest(terms, self.weights(terms, tf, self.idf))
             v = self.vote(near)
             if 0 < v < 1:
                 v = 1 / (1 + np.exp(-(self.slope * np.log(v / (1 - v)) + self.level)))
             got = float(v), [(int(self.ids[at]), c) for c, at in near]
-            if len(self.memory) < _MEMORY:
-                self.memory[key] = got
+            if memory is not None and len(memory) < _MEMORY:
+                memory[key] = got
         return got
 
 
 def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
     terms, tf, sketch, shingles = [], [], [], []
     for t in b.column(2).to_pylist():
-        found = Counter(terms_of(t or ""))
+        found = terms_of(t or "")
         terms.append(list(found))
         tf.append(list(found.values()))
         s = np.unique(shingle_sets(word_hashes([(t or "").encode()])[0], SHINGLE))
@@ -227,7 +282,7 @@ def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
                                np.uint64).astype(np.uint32).tobytes())
         shingles.append(s.tobytes())
     return pa.RecordBatch.from_arrays(
-        [b.column(0), b.column(1), pa.array(terms, pa.list_(pa.string())),
+        [b.column(0), b.column(1), pa.array(terms, pa.list_(pa.binary())),
          pa.array(tf, pa.list_(pa.int32())), pa.array(sketch, pa.binary()),
          pa.array(shingles, pa.binary())],
         names=["id", "label", "terms", "tf", "sketch", "shingles"])
@@ -235,7 +290,7 @@ def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
 
 def without_copies(rows: DataFrame) -> dict[int, int]:
     """id -> label of the examples that are no near copy of a kept one with
-    the same label; of rows with one id, the first sketch counts."""
+    the same label."""
     first: dict[int, tuple] = {}
     for i, y, sketch in sorted(tuple(r) for r in rows.select("id", "label", "sketch").collect()):
         first.setdefault(i, (y, bytes(sketch)))
@@ -294,8 +349,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = known.orderBy(F.xxhash64("id"), "id").limit(examples)
     # at most ``examples`` pairs of numbers: bounded, so they may be broadcast
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(sample), "id").select("id", "label", "text")
-    rows = cut(map_texts(texts, _term_counts, "id bigint, label int, terms array<string>, "
+        .join(F.broadcast(sample), "id").groupBy("id").agg(
+            F.first("label").alias("label"),
+            F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")) \
+        .select("id", "label", "row.text")
+    rows = cut(map_texts(texts, _term_counts, "id bigint, label int, terms array<binary>, "
                          "tf array<int>, sketch binary, shingles binary"))
     kept = without_copies(rows)
     total = Counter(kept.values())
@@ -319,7 +377,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     top = np.bincount(term[labels[of] == 1], minlength=len(df)).astype(float)
     idf = term_weights(df, top, n, prior)
     stays = np.flatnonzero((df >= LEAST_TEXTS) & (df < n) & (idf > 0))
-    vocabulary = {w: i for i, w in enumerate(words.dictionary.take(pa.array(stays)).to_pylist())}
+    vocabulary = {w.decode(): i for i, w in enumerate(words.dictionary.take(pa.array(stays)).to_pylist())}
     number = np.full(len(df), -1, np.int64)
     number[stays] = np.arange(len(stays))
     df, top, idf, term = df[stays], top[stays], idf[stays], number[term]
@@ -340,10 +398,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score_of(spark: SparkSession, index: BlockMaxIndex):
     """The score as a function of a text column, for rows kept in place."""
     python_tasks(spark)
+    held = spark.sparkContext.broadcast(index)
 
     @F.pandas_udf("double")
-    def toxicity_score(texts: pd.Series) -> pd.Series:
-        return pd.Series([index.score(t or "")[0] for t in texts], dtype="float64")
+    def toxicity_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memory: dict = {}                # of this task
+        for texts in batches:
+            out = []
+            for t in texts:
+                score, _ = held.value.score(t or "", memory)
+                out.append(score)
+            yield pd.Series(out, dtype="float64")
     return toxicity_score
 
 
@@ -353,14 +418,18 @@ def score(docs: DataFrame, index: BlockMaxIndex, id_col: str = "doc_id",
     their cosines, nearest first."""
     near = pa.struct([("id", pa.int64()), ("cosine", pa.float64())])
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = [index.score(t or "") for t in b.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([s for s, _ in got], pa.float64()),
-             pa.array([[{"id": i, "cosine": c} for i, c in e] for _, e in got], pa.list_(near))],
-            names=["id", "score", "evidence"])
+    python_tasks(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches):
+        memory: dict = {}                # of this task
+        for batch in batches:
+            for b in pieces(batch):
+                got = [held.value.score(t or "", memory) for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array([s for s, _ in got], pa.float64()),
+                     pa.array([[{"id": i, "cosine": c} for i, c in e] for _, e in got], pa.list_(near))],
+                    names=["id", "score", "evidence"])
     kind = dict(src.dtypes)["id"]
-    return map_texts(src, run, f"id {kind}, score double, "
-                     "evidence array<struct<id:bigint,cosine:double>>") \
+    return src.mapInArrow(run, f"id {kind}, score double, evidence array<struct<id:bigint,cosine:double>>") \
         .withColumnRenamed("id", id_col)
