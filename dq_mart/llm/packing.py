@@ -5,13 +5,16 @@ Method
 A document's ids are followed by an end id.  What exceeds a window is cut
 into full windows; the rest is placed online.  ``levels[h]`` counts the open
 windows filled up to ``h``; a piece of size s goes to the level that makes
-the sum of squared counts least (a new window is level 0, a window that
-becomes full leaves the array), the fullest such level on a tie.
+the sum of squared counts least (a new window is level 0, a window that is
+done leaves the array), the fullest such level on a tie.  A window is done when
+no more than ``SLACK`` of it is free: as cuts are free, the next piece first
+gives what fills it up, and only what is left of the piece is placed.  So
+windows close all the time, also in small partitions, and few are open.
 
-At the end of a partition some windows are open.  As cuts are free, their
-pieces are laid end to end over full windows, and the last, partial one is
-cut along the binary digits of its length: a sequence whose length is a power
-of two needs no padding, so the packing pads nothing at all.
+At the end of a partition the pieces of the open windows are laid end to end
+over full windows, and the last, partial one is cut along the binary digits of
+its length: a sequence whose length is a power of two needs no padding, so the
+packing pads nothing at all.
 
 Scale: no shuffle; each partition of the input packs on its own and keeps its
 open windows only (their number follows the window size, not the rows).  A
@@ -27,7 +30,8 @@ Defined results
 
 from __future__ import annotations
 
-from struct import pack as pack_ids
+import sys
+from array import array
 from unicodedata import normalize
 
 import numpy as np
@@ -40,10 +44,16 @@ from tokenizers import Tokenizer
 from .common import python_tasks, pieces
 
 WINDOW = 4096
-#: Chunks, and parts of chunks, that a worker remembers the ids of; a memory
-#: that is full takes no more in this task and starts anew in the next.
-MEMORY = 250_000
-_WORD = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)")
+#: The greatest part of a window that the next piece fills up.
+SLACK = WINDOW // 16
+#: Bytes of chunks, and of parts of chunks, that a task remembers the ids of
+#: (with what Python adds for each, some three times as many); a memory that is
+#: full takes no more, and none outlives its task.
+MEMORY = 24 << 20
+#: What a chunk costs besides its bytes.
+_EACH = 64
+#: ASCII marks without the apostrophe.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 #: The byte-level alphabet: printable Latin-1 bytes stand for themselves, the
 #: others, in order, for the characters from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -53,6 +63,14 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bi
           "sequence_id bigint, offset bigint")
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit numbers."""
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit bytes.
 
@@ -64,37 +82,39 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.forget()
+
+    def forget(self) -> None:
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.room_chunks = self.room_parts = MEMORY
 
     def _direct(self, s: str) -> bytes:
-        ids = self.tokenizer.encode(s, add_special_tokens=False).ids
-        return pack_ids(f"<{len(ids)}I", *ids)
+        return _packed(self.tokenizer.encode(s, add_special_tokens=False).ids)
+
+    def _keep(self, s: str, ids: bytes) -> bytes:
+        if self.room_parts > 0:
+            self.parts[s] = ids
+            self.room_parts -= len(s) + len(ids) + _EACH
+        return ids
 
     def _word(self, s: str) -> bytes:
         """Of lower-case letters in normal form: the model sees their bytes."""
         got = self.parts.get(s)
         if got is None:
             seen = s if s.isascii() else s.encode().decode("latin-1").translate(_BYTES)
-            ids = [t.id for t in self.model.tokenize(seen)]
-            got = pack_ids(f"<{len(ids)}I", *ids)
-            if len(self.parts) < MEMORY:
-                self.parts[s] = got
+            got = self._keep(s, _packed([t.id for t in self.model.tokenize(seen)]))
         return got
 
     def _marks(self, s: str) -> bytes:
         got = self.parts.get(s)
-        if got is None:
-            got = self._direct(s)
-            if len(self.parts) < MEMORY:
-                self.parts[s] = got
-        return got
+        return self._keep(s, self._direct(s)) if got is None else got
 
     def _chunk(self, s: str) -> bytes:
-        m = _WORD.fullmatch(s) if len(s) < 100 else None
-        if m is None:
+        word = s if s.isalpha() else s.rstrip(_MARKS)
+        if len(s) >= 100 or not word.isalpha():
             return self._direct(s)
-        word = m[1]
+        marks = s[len(word):]
         if word.isascii():
             word = word.lower()
         else:
@@ -102,7 +122,7 @@ class Encoder:
             # letters that become a letter and a mark, or lower by their place
             if "\u03a3" in word or not (word := word.lower()).isalpha():
                 return self._direct(s)
-        return self._word(word) + (self._marks(m[2]) if m[2] else b"")
+        return self._word(word) + self._marks(marks) if marks else self._word(word)
 
     def __call__(self, text: str) -> bytes:
         if _SEPARATORS.search(text):   # white space for Python, not for the tokenizer
@@ -116,8 +136,9 @@ class Encoder:
                     got = known.get(s)
                     if got is None:
                         got = self._chunk(s)
-                        if len(s) < 100 and len(known) < MEMORY:
+                        if len(s) < 100 and self.room_chunks > 0:
                             known[s] = got
+                            self.room_chunks -= len(s) + len(got) + _EACH
                     out[i] = got
         return b"".join(out)
 
@@ -129,18 +150,16 @@ def encoder(path: str) -> Encoder:
     """One encoder for each tokenizer file and Python worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
-    e = _ENCODERS[path]
-    for memory in (e.chunks, e.parts):
-        if len(memory) >= MEMORY:
-            memory.clear()
-    return e
+    return _ENCODERS[path]
 
 
 class SumOfSquares:
-    """The open windows of one partition, by fill level."""
+    """The open windows of one partition, by fill level.  A window with
+    ``slack`` or less free is done."""
 
-    def __init__(self, window: int = WINDOW):
+    def __init__(self, window: int = WINDOW, slack: int = 0):
         self.window = window
+        self.done = window - slack
         self.levels = np.zeros(window + 1, dtype=np.int64)
         self.open: dict[int, list[list]] = {}
 
@@ -149,14 +168,14 @@ class SumOfSquares:
         n, w = self.levels, self.window
         h = np.flatnonzero(n[:w - size + 1])
         to = n[h + size]
-        change = np.where(h + size < w, 2 * to + 1, 0) - (2 * n[h] - 1)
-        fresh = 2 * n[size] + 1 if size < w else 0
+        change = np.where(h + size < self.done, 2 * to + 1, 0) - (2 * n[h] - 1)
+        fresh = 2 * n[size] + 1 if size < self.done else 0
         if not len(h) or fresh < change.min():
             return 0
         return int(h[np.flatnonzero(change == change.min())[-1]])
 
     def add(self, piece: tuple, size: int) -> list | None:
-        """Place a piece; the pieces of the window that it fills, if any."""
+        """Place a piece; the pieces of the window that is done by it, if any."""
         h = self.place(size)
         if h:
             held = self.open[h].pop()
@@ -164,7 +183,7 @@ class SumOfSquares:
         else:
             held = []
         held.append(piece)
-        if h + size == self.window:
+        if h + size >= self.done:
             return held
         self.open.setdefault(h + size, []).append(held)
         self.levels[h + size] += 1
@@ -226,7 +245,7 @@ def _laid_end_to_end(rest: list, window: int) -> list[list]:
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, end_id: int = 2) -> DataFrame:
+         window: int = WINDOW, end_id: int = 2, slack: int = SLACK) -> DataFrame:
     """A row for each piece: the document's id as ``doc_id``, ``start``,
     ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``,
     ``sequence_id``, ``offset``.  ``tokenizer`` is a file that every executor
@@ -235,22 +254,37 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        encode, packer = encoder(tokenizer), SumOfSquares(window)
+        encode, packer = encoder(tokenizer), SumOfSquares(window, slack)
         rows = _Rows(TaskContext.get().partitionId())
-        for batch in batches:
-            for b in pieces(batch):
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    ids = encode(text or "") + end
-                    total = len(ids) // 4
-                    for at in range(0, total - window + 1, window):
-                        rows.sequence_of([(doc, at, ids[4 * at:4 * (at + window)], total)])
-                    at = total - total % window
-                    if at < total:
-                        full = packer.add((doc, at, ids[4 * at:], total), total - at)
-                        if full:
-                            rows.sequence_of(full)
-                yield rows.batch()
-        for held in _laid_end_to_end(packer.rest(), window):
+        due, room = [], 0                # the window that is done, and what fills it up
+        try:
+            for batch in batches:
+                for b in pieces(batch):
+                    for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                        ids = encode(text or "") + end
+                        total = len(ids) // 4
+                        for at in range(0, total - window + 1, window):
+                            rows.sequence_of([(doc, at, ids[4 * at:4 * (at + window)], total)])
+                        at = total - total % window
+                        if due and at < total:
+                            take = min(room, total - at)
+                            due.append((doc, at, ids[4 * at:4 * (at + take)], total))
+                            at, room = at + take, room - take
+                            if not room:
+                                rows.sequence_of(due)
+                                due = []
+                        if at < total:
+                            held = packer.add((doc, at, ids[4 * at:], total), total - at)
+                            if held:
+                                room = window - sum(len(p[2]) // 4 for p in held)
+                                if room:
+                                    due = held
+                                else:
+                                    rows.sequence_of(held)
+                    yield rows.batch()
+        finally:
+            encode.forget()
+        for held in _laid_end_to_end(due + packer.rest(), window):
             rows.sequence_of(held)
         yield rows.batch()
 
