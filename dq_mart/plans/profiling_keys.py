@@ -9,6 +9,8 @@ from ..operators import cleaning as C
 from ..operators import integrity as I
 from ..operators import profiling as P
 from ..operators.inference import infer_types
+from ..operators.profile_state import finish, merge_states, merged_profile, profile_state
+from ..session import scratch_path
 from ..sources.catalog import DRIVER_TABLES, row_counts
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, mm_sql, nt_sql,
                       pct_sql, strip_sql, yn_sql)
@@ -101,6 +103,34 @@ def _profile_inferred_types(t: DriverTables) -> DataFrame:
     return infer_types(orders_text(t), "orders", "o_orderkey")
 
 
+@query("profile_merged")
+def _profile_merged(t: DriverTables) -> DataFrame:
+    """The profile of orders from the stored states of all years but the last
+    and that of the last year alone; distinct values by merged sketches, held
+    against exact counts."""
+    raw, o = orders_text(t), t.orders
+    raw = raw.join(o.select("o_orderkey", F.year("o_orderdate").alias("__year")), "o_orderkey")
+    cols = [c for c in raw.columns if c not in ("o_orderkey", "__year")]
+    last = raw.select(F.max("__year")).scalar()
+    path = scratch_path(t.spark, "profile_states")
+    old = raw.where(F.col("__year") < last)
+    profile_state(old, "orders", "o_orderkey", cols, F.col("__year")).write.parquet(path)
+    new = profile_state(raw.where(F.col("__year") == last), "orders", "o_orderkey", cols, F.col("__year"))
+    states = merged_profile(t.spark.read.parquet(path), new)
+    out = finish(merge_states(states))
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols])
+    exact = raw.select(F.explode(values).alias("e")).select("e.*").distinct().groupBy("column_name") \
+        .agg(F.count("v").alias("distinct_values"))
+    dated = F.col("column_name").isin("day", "dirty_date")
+    return out.join(exact, "column_name").select(
+        "table_name", "column_name", "dtype", "sample", "widest", "rows", "missing", "missing_pct",
+        "max_value", "needs_bigint", F.when(dated, F.col("bad_dates")).alias("bad_dates"),
+        F.when(dated, F.col("min_date")).alias("min_date"), F.when(dated, F.col("max_date")).alias("max_date"),
+        "unexpected", "yes_count", "no_count", "distinct_values",
+        (F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= 0.08 * F.col("distinct_values"))
+        .alias("estimate_close"))
+
+
 @query("profile_int_range")
 def _profile_int_range(t: DriverTables) -> DataFrame:
     return P.profile_int_range(orders_profiled(t), "orders")
@@ -295,6 +325,44 @@ FROM g"""
 
 ORACLES["profile_inferred_types"] = _inferred_types_sql()
 
+
+def _profile_merged_sql() -> str:
+    """Everything from all rows at once."""
+    values = " UNION ALL ".join(f"SELECT o_orderkey AS k, '{n}' AS column_name, {e} AS raw FROM orders"
+                                for n, e in _TEXT_COLUMNS.items())
+    text = strip_sql("raw")
+    return rf"""
+WITH types AS ({_inferred_types_sql()}),
+v AS ({values}),
+g AS (
+  SELECT column_name, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {_blank('raw')}) AS missing,
+         MAX(CASE WHEN NOT contains(lower(raw), 'e') THEN TRY_CAST({text} AS DECIMAL(38,6)) END) AS num,
+         MAX(CASE WHEN contains(lower(raw), 'e') THEN TRY_CAST({text} AS DOUBLE) END) AS dbl,
+         COUNT(*) FILTER (WHERE TRY_CAST(raw AS DATE) IS NULL) AS bad,
+         MIN(TRY_CAST(raw AS DATE)) AS lo, MAX(TRY_CAST(raw AS DATE)) AS hi,
+         COUNT(*) FILTER (WHERE raw IS NULL OR lower({text}) NOT IN ('yes', 'no')) AS unexpected,
+         COUNT(DISTINCT raw) AS distinct_values
+  FROM v GROUP BY column_name),
+m AS (
+  SELECT g.*, t.dtype, t.sample, t.widest, coalesce(dbl > coalesce(CAST(num AS DOUBLE), 0), false) AS beyond,
+         t.dtype IN ('int', 'bigint', 'double') OR t.dtype LIKE 'decimal%' AS numeric_column,
+         g.column_name IN ('day', 'dirty_date') AS dated
+  FROM g JOIN types t USING (column_name))
+SELECT 'orders' AS table_name, column_name, dtype, sample, widest, CAST(rows AS BIGINT) AS rows,
+       CAST(missing AS BIGINT) AS missing, {pct_sql('missing', 'rows', 1)} AS missing_pct,
+       CASE WHEN numeric_column THEN CASE WHEN beyond THEN CAST(dbl AS VARCHAR)
+            ELSE regexp_replace(CAST(num AS VARCHAR), '\.0+$', '') END END AS max_value,
+       CASE WHEN numeric_column THEN beyond OR num > 2147483647 END AS needs_bigint,
+       CASE WHEN dated THEN bad END AS bad_dates, CASE WHEN dated AND bad = 0 THEN lo END AS min_date,
+       CASE WHEN dated AND bad = 0 THEN hi END AS max_date, CAST(unexpected AS BIGINT) AS unexpected,
+       CASE WHEN unexpected = 0 THEN CAST(0 AS BIGINT) END AS yes_count,
+       CASE WHEN unexpected = 0 THEN CAST(0 AS BIGINT) END AS no_count,
+       CAST(distinct_values AS BIGINT) AS distinct_values, true AS estimate_close
+FROM m"""
+
+
+ORACLES["profile_merged"] = _profile_merged_sql()
+
 _ORDERS_PROFILED = f"""(SELECT o_orderkey, o_totalprice, o_orderdate,
    {yn_sql('o_orderkey')} AS yn_raw,
    CASE WHEN o_orderstatus = 'F' THEN 'Yes' WHEN o_orderstatus = 'O' THEN 'No' ELSE ' no' END AS yn_clean,
