@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import cleaning as C
 from ..operators import integrity as I
 from ..operators import profiling as P
+from ..operators.heavy_hitters import candidates_of, exact_top_k, top_k_state
 from ..operators.inference import infer_types
 from ..operators.profile_state import finish, merge_states, merged_profile, profile_state
 from ..session import scratch_path
-from ..sources.catalog import DRIVER_TABLES, row_counts
+from ..sources.catalog import DRIVER_TABLES, row_counts, union_all
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, mm_sql, nt_sql,
                       pct_sql, strip_sql, yn_sql)
 from .registry import query
@@ -131,6 +132,23 @@ def _profile_merged(t: DriverTables) -> DataFrame:
         .alias("estimate_close"))
 
 
+@query("top_values_sketched")
+def _top_values_sketched(t: DriverTables) -> DataFrame:
+    """The ten most frequent values of columns with few, many and only distinct
+    values; the sketches of the second are stored for each line number and
+    combined."""
+    li = t.lineitem
+    path = scratch_path(t.spark, "top_k_states")
+    top_k_state(li, "l_partkey", F.col("l_linenumber")).write.parquet(path)
+    parts = candidates_of(t.spark.read.parquet(path), 40)
+    found = {"l_suppkey": exact_top_k(li, "l_suppkey", 10), "l_partkey": exact_top_k(li, "l_partkey", 10, parts),
+             "o_comment_key": exact_top_k(t.orders.select(F.col("o_orderkey").alias("o_comment_key")),
+                                          "o_comment_key", 10),
+             "l_shipmode": exact_top_k(li.select((F.col("l_orderkey") % 7).alias("l_shipmode")), "l_shipmode", 10)}
+    return union_all(df.select(F.lit(c).alias("column_name"), F.col("value").cast("string").alias("value"), "cnt")
+                     for c, df in found.items())
+
+
 @query("profile_int_range")
 def _profile_int_range(t: DriverTables) -> DataFrame:
     return P.profile_int_range(orders_profiled(t), "orders")
@@ -361,6 +379,12 @@ SELECT 'orders' AS table_name, column_name, dtype, sample, widest, CAST(rows AS
 FROM m"""
 
 
+ORACLES["top_values_sketched"] = " UNION ALL ".join(
+    f"(SELECT '{c}' AS column_name, CAST(v AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS cnt "
+    f"FROM (SELECT {e} AS v FROM {src}) GROUP BY v ORDER BY COUNT(*) DESC, v LIMIT 10)"
+    for c, e, src in (("l_suppkey", "l_suppkey", "lineitem"), ("l_partkey", "l_partkey", "lineitem"),
+                      ("o_comment_key", "o_orderkey", "orders"), ("l_shipmode", "l_orderkey % 7", "lineitem")))
+
 ORACLES["profile_merged"] = _profile_merged_sql()
 
 _ORDERS_PROFILED = f"""(SELECT o_orderkey, o_totalprice, o_orderdate,
