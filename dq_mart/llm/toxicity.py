@@ -50,12 +50,10 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -63,7 +61,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import cut, map_texts, pieces, python_tasks
+from .common import BATCH_BYTES, cut, map_texts, pieces, python_tasks
 from .hashing import mix, shingle_sets, word_hashes
 
 #: The greatest number of labelled texts that are fitted on.
@@ -73,7 +71,7 @@ LEAST_TEXTS = 2
 #: Examples of the prior that smooth a term's log-odds.
 SMOOTHING = 2.0
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 128
 #: What the terms whose postings are not read can add at most, of the whole.
 REST = 0.003
 #: Examples that are completed first.
@@ -83,30 +81,42 @@ COPY, SHINGLE = 0.8, 5
 #: MinHash values of an example, and how many two must share to be compared: of
 #: a pair at ``COPY`` fewer agree once in a million times.
 SKETCH, AGREE = 64, 35
-_WORD = re.compile(r"[^\W\d_]+")
+#: Bytes that part terms, once other alphabets' marks and digits are spaces.
+_PARTS = np.zeros(256, dtype=bool)
+_PARTS[[c for c in range(128) if not chr(c).isalpha()]] = True
+#: Parts and bounds are sums of single-precision weights, at most so far off;
+#: whole cosines are exact.
+_ROUNDING = 1e-5
 #: Scores that a task remembers, of texts with the same terms.
 _MEMORY = 5000
 
 
-_APART = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+_APART = bytes(32 if p else c for c, p in enumerate(_PARTS))
+
+
+def lettered(text: str) -> bytes:
+    """The text in lower case, as UTF-8, with spaces for the marks and digits
+    that ASCII lacks: terms are its runs outside ``_PARTS``."""
+    text = text.lower()
+    if not text.isascii():
+        odd = [c for c in set(text) if c > "\x7f" and (not c.isalnum() or c.isdecimal())]
+        if odd:
+            text = text.translate(dict.fromkeys(map(ord, odd), " "))
+    return text.encode()
 
 
 def terms_of(text: str) -> Counter:
-    """Runs of letters, lower-cased, as UTF-8, and how often each occurs."""
-    found = Counter(text.lower().encode().translate(_APART).split())
-    # other alphabets have marks and digits of their own
-    for w in [w for w in found if not w.isascii() and not w.decode().isalpha()]:
-        n = found.pop(w)
-        for part in _WORD.findall(w.decode()):
-            found[part.encode()] += n
-    return found
+    """Terms of a text and how often each occurs."""
+    return Counter(lettered(text).translate(_APART).split())
 
 
 @dataclass
 class BlockMaxIndex:
     """Unit vectors of examples in an inverted index with block maxima."""
 
-    numbers: dict[bytes, int]        # of the terms, by their UTF-8
+    words: pa.Array                  # the terms, by number
+    hashes: np.ndarray               # of the terms, ascending, and their numbers
+    numbers: np.ndarray
     idf: np.ndarray
     ids: np.ndarray                  # of the examples, in index order
     labels: np.ndarray
@@ -127,7 +137,7 @@ class BlockMaxIndex:
 
     @property
     def vocabulary(self) -> dict[str, int]:
-        return {w.decode(): i for w, i in self.numbers.items()}
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
 
     @staticmethod
     def weights(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -141,36 +151,66 @@ class BlockMaxIndex:
 
     @classmethod
     def build(cls, vocabulary, idf, rows, prior):
-        """rows: (id, label, term numbers, counts) of each example."""
-        vectors = [(i, y, t, cls.weights(t, f, idf)) for i, y, t, f in rows if len(t)]
-        # examples that lean on the same term share blocks, for tight bounds
-        vectors.sort(key=lambda v: (int(v[2][v[3].argmax()]), -v[3].max(), v[0]))
-        none = [np.zeros(0)]
-        own_terms = np.concatenate([v[2] for v in vectors] or none).astype(np.int32)
-        own_values = np.concatenate([v[3] for v in vectors] or none)
-        sizes = np.array([len(v[2]) for v in vectors], np.int64)
-        places = np.repeat(np.arange(len(vectors), dtype=np.int32), sizes)
+        """vocabulary: number of each term; rows: (id, label, term numbers,
+        counts) of each example."""
+        rows = [r for r in rows if len(r[2])]
+        none = [np.zeros(0, np.int32)]
+        index, _ = cls.of_arrays(
+            pa.array(sorted(vocabulary, key=vocabulary.get), pa.string()), idf,
+            np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64),
+            np.array([len(r[2]) for r in rows], np.int64),
+            np.concatenate([r[2] for r in rows] or none).astype(np.int32),
+            np.concatenate([r[3] for r in rows] or none).astype(np.float32), prior)
+        return index
+
+    @classmethod
+    def of_arrays(cls, words, idf, ids, labels, sizes, terms, tf, prior):
+        """The index, and the counts in its order; sizes: the terms of each
+        example (one at least), terms and counts end to end."""
+        weight = (1 + np.log(tf, dtype=np.float64)) * idf[terms]
+        starts = np.cumsum(sizes) - sizes
+        if len(sizes):
+            weight /= np.repeat(np.sqrt(np.add.reduceat(weight * weight, starts)), sizes)
+            most = np.maximum.reduceat(weight, starts)
+            at = np.flatnonzero(weight == np.repeat(most, sizes))
+            leading = terms[at[np.searchsorted(at, starts)]]
+            # examples that lean on the same term share blocks, for tight bounds
+            order = np.lexsort((ids, -most, leading))
+        else:
+            order = np.zeros(0, np.int64)
+        move = cls._ranges(starts[order], sizes[order])
+        ids, labels, sizes = ids[order], labels[order], sizes[order]
+        own_terms, own_values, tf = terms[move], weight[move], tf[move]
+        del weight, move
         order = np.argsort(own_terms, kind="stable")
-        term, values, places = own_terms[order], own_values[order], places[order]
-        top = np.zeros(len(vocabulary))
-        np.maximum.at(top, term, values)
+        term, values = own_terms[order], own_values[order].astype(np.float32)
+        places = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        del order
         entry = np.flatnonzero((np.diff(term, prepend=-1) != 0)
-                               | (np.diff(places // BLOCK, prepend=-1) != 0))
-        return cls({w.encode(): i for w, i in vocabulary.items()}, idf, np.array([v[0] for v in vectors], np.int64),
-                   np.array([v[1] for v in vectors], np.int64),
-                   np.searchsorted(term[entry], np.arange(len(vocabulary) + 1)),
-                   places[entry] // BLOCK,
-                   np.maximum.reduceat(values, entry) if len(entry) else values,
+                               | (np.diff(places // BLOCK, prepend=-1) != 0)).astype(np.int32)
+        greatest = np.maximum.reduceat(values, entry) if len(entry) else values
+        first = np.searchsorted(term[entry], np.arange(len(words) + 1)).astype(np.int32)
+        top = np.maximum.reduceat(greatest, first[:-1]) if len(entry) else np.zeros(len(words), np.float32)
+        hashes = word_hashes([w.encode() for w in words.to_pylist()], _PARTS)[0]
+        numbers = np.argsort(hashes).astype(np.int32)
+        return cls(words, hashes[numbers], numbers, idf, ids, labels, first, places[entry] // BLOCK, greatest,
                    np.append(entry, len(term)).astype(np.int32), places, values, top,
-                   np.concatenate([[0], np.cumsum(sizes)]), own_terms, own_values, prior)
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = terms_of(text)
-        t = np.fromiter(map(self.numbers.get, found, repeat(-1)), np.int64, len(found))
-        n = np.fromiter(found.values(), np.float64, len(found))
-        known = np.flatnonzero(t >= 0)
-        order = known[t[known].argsort()]
-        return t[order], n[order]
+                   np.concatenate([[0], np.cumsum(sizes)]), own_terms, own_values, prior), tf
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(term numbers, counts) of each text, terms ascending."""
+        h, sizes = word_hashes([lettered(t) for t in texts], _PARTS)
+        if not len(self.hashes):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
+        # looking up sorted words keeps to one end of the table at a time
+        key, back = np.unique(h, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
+        number = np.where(self.hashes[at] == key, self.numbers[at], -1)[back]
+        known = number >= 0
+        of = np.repeat(np.arange(len(texts)), sizes)[known]
+        both, counts = np.unique(of * len(self.hashes) + number[known], return_counts=True)
+        cuts = np.searchsorted(both, np.arange(1, len(texts)) * len(self.hashes))
+        return list(zip(np.split(both % len(self.hashes), cuts), np.split(counts.astype(np.float64), cuts)))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS,
                 without: int | None = None) -> list[tuple[float, int]]:
@@ -178,7 +218,9 @@ class BlockMaxIndex:
         if not len(terms) or not len(self.ids):
             return []
         most = weights * self.top[terms]
-        order = np.argsort(-most, kind="stable")
+        # first those that add much for few postings
+        start = self.start[self.first[terms]]
+        order = np.argsort(-most / (self.start[self.first[terms + 1]] - start), kind="stable")
         terms, weights, most = terms[order], weights[order], most[order]
         rest = most[::-1].cumsum()[::-1]              # what a term and those after it can add
         head = int(np.searchsorted(-rest, -REST * rest[0]))
@@ -198,14 +240,14 @@ class BlockMaxIndex:
         if without is not None:
             most[without] = 0
         if self.query is None:
-            self.query = np.zeros(len(self.numbers))
+            self.query = np.zeros(len(self.hashes))
         query = self.query               # all zero but for the terms asked for
         query[terms] = weights
         first = np.argpartition(-most, FIRST)[:FIRST] if len(most) > FIRST else np.arange(len(most))
         first = first[most[first] > 0]
         score = self._cosines(query, first)
         if (score > 0).sum() >= k:
-            least = np.partition(score, -k)[-k] - 1e-11
+            least = np.partition(score, -k)[-k] - _ROUNDING
             most[first] = -1
             more = np.flatnonzero(most >= least)
         else:
@@ -235,12 +277,19 @@ class BlockMaxIndex:
             total += w
         return (top + self.prior) / (total + 1)
 
-    def calibrate(self, vectors) -> None:
-        """Platt scaling of left-out votes; vectors: (label, place or None,
-        terms, weights) of all examples, with those that no term is in."""
-        x, y = [], []
-        for label, at, terms, w in vectors:
-            x.append(self.vote(self.nearest(terms, w, without=at)))
+    def calibrate(self, tf: np.ndarray, df: np.ndarray, top: np.ndarray, n: int, empty: list[int]) -> None:
+        """Platt scaling of left-out votes: each example asks with weights that
+        do not know its own label.  ``tf`` are the counts of its terms, ``df``
+        and ``top`` those of ``term_weights``, ``empty`` the labels of the
+        examples that no term is in."""
+        none = self.vote([])
+        x, y = [none] * len(empty), list(empty)
+        for at, label in enumerate(self.labels.tolist()):
+            own = slice(self.own_first[at], self.own_first[at + 1])
+            t = self.own_terms[own].astype(np.int64)
+            w = (1 + np.log(tf[own], dtype=np.float64)) * (
+                term_weights(df[t] - 1, top[t] - label, n - 1, self.prior) + 1e-12)
+            x.append(self.vote(self.nearest(t, w / np.sqrt((w * w).sum()), without=at)))
             y.append(label)
         x, y = np.array(x), np.array(y, float)
         x = np.log(x / (1 - x))
@@ -254,21 +303,26 @@ class BlockMaxIndex:
             a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
         self.slope, self.level = (a, b) if a > 0 else (1.0, 0.0)
 
-    def score(self, text: str, memory: dict | None = None) -> tuple[float, list[tuple[int, float]]]:
-        """The calibrated score and the neighbours (id, cosine); ``memory``
-        holds those of texts with the same terms."""
-        terms, tf = self.vector(text)
-        key = blake2b(terms.tobytes() + tf.tobytes(), digest_size=16).digest()
-        got = memory.get(key) if memory is not None else None
-        if got is None:
-            near = self.nearest(terms, self.weights(terms, tf, self.idf))
-            v = self.vote(near)
-            if 0 < v < 1:
-                v = 1 / (1 + np.exp(-(self.slope * np.log(v / (1 - v)) + self.level)))
-            got = float(v), [(int(self.ids[at]), c) for c, at in near]
-            if memory is not None and len(memory) < _MEMORY:
-                memory[key] = got
-        return got
+    def scores(self, texts: list[str], memory: dict) -> list[tuple[float, list[tuple[int, float]]]]:
+        """The calibrated score and the neighbours (id, cosine) of each text;
+        ``memory`` holds those of texts with the same terms."""
+        out = []
+        for terms, tf in self.vectors(texts):
+            key = blake2b(terms.tobytes() + tf.tobytes(), digest_size=16).digest()
+            got = memory.get(key)
+            if got is None:
+                near = self.nearest(terms, self.weights(terms, tf, self.idf))
+                v = self.vote(near)
+                if 0 < v < 1:
+                    v = 1 / (1 + np.exp(-(self.slope * np.log(v / (1 - v)) + self.level)))
+                got = float(v), [(int(self.ids[at]), c) for c, at in near]
+                if len(memory) < _MEMORY:
+                    memory[key] = got
+            out.append(got)
+        return out
+
+    def score(self, text: str) -> tuple[float, list[tuple[int, float]]]:
+        return self.scores([text], {})[0]
 
 
 def _term_counts(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -364,37 +418,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     of = spark.createDataFrame([(i,) for i in kept], "id bigint")
     rows = rows.join(F.broadcast(of), "id", "left_semi")
-    got = rows.select("id", "label", "terms", "tf").toArrow().combine_chunks()
-    ids = got["id"].to_numpy()
-    # a repeated row adds nothing
-    got = got.take(pa.array(np.unique(ids, return_index=True)[1]))
-    ids, labels = got["id"].to_numpy(), got["label"].to_numpy()
-    words = pa.concat_arrays(c.flatten() for c in got["terms"].chunks).dictionary_encode()
-    tf = pa.concat_arrays(c.flatten() for c in got["tf"].chunks).to_numpy()
+    got = rows.select("id", "label", "terms", "tf").orderBy("id").toArrow()
+    ids, labels = got["id"].to_numpy(), got["label"].to_numpy().astype(np.int64)
+    words = pa.concat_arrays([c.flatten() for c in got["terms"].chunks]).dictionary_encode()
+    tf = pa.concat_arrays([c.flatten() for c in got["tf"].chunks]).to_numpy().astype(np.float32)
     term = words.indices.to_numpy()
-    of = np.repeat(np.arange(len(ids)), pc.list_value_length(got["terms"]).to_numpy())
-    df = np.bincount(term, minlength=len(words.dictionary)).astype(float)
+    sizes = pc.list_value_length(got["terms"]).to_numpy().astype(np.int64)
+    words = words.dictionary
+    del got
+    of = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+    df = np.bincount(term, minlength=len(words)).astype(float)
     top = np.bincount(term[labels[of] == 1], minlength=len(df)).astype(float)
     idf = term_weights(df, top, n, prior)
     stays = np.flatnonzero((df >= LEAST_TEXTS) & (df < n) & (idf > 0))
-    vocabulary = {w.decode(): i for i, w in enumerate(words.dictionary.take(pa.array(stays)).to_pylist())}
-    number = np.full(len(df), -1, np.int64)
+    number = np.full(len(df), -1, np.int32)
     number[stays] = np.arange(len(stays))
-    df, top, idf, term = df[stays], top[stays], idf[stays], number[term]
-    of, tf, term = of[term >= 0], tf[term >= 0], term[term >= 0]
+    words, df, top, idf = words.take(pa.array(stays)).cast(pa.string()), df[stays], top[stays], idf[stays]
+    term = number[term]
+    known = term >= 0
+    of, tf, term = of[known], tf[known], term[known]
     order = np.lexsort((term, of))
-    cuts = np.searchsorted(of, np.arange(1, len(ids)))
-    vectors = list(zip(ids.tolist(), labels.tolist(), np.split(term[order], cuts),
-                       np.split(tf[order].astype(float), cuts)))
-    index = BlockMaxIndex.build(vocabulary, idf, vectors, prior)
-    place = {int(i): at for at, i in enumerate(index.ids.tolist())}
-    # an example's own label is left out of the weights it asks with
-    index.calibrate([(y, place.get(i), t, index.weights(
-        np.arange(len(t)), f, term_weights(df[t] - 1, top[t] - y, n - 1, prior) + 1e-12))
-        for i, y, t, f in vectors])
+    sizes = np.bincount(of, minlength=len(ids))
+    some = sizes > 0
+    index, tf = BlockMaxIndex.of_arrays(words, idf, ids[some], labels[some], sizes[some],
+                                        term[order], tf[order], prior)
+    index.calibrate(tf, df, top, n, labels[~some].tolist())
+    pa.default_memory_pool().release_unused()
     return index
 
 
+def slices(texts: list) -> Iterator[list]:
+    """Texts in order, some megabytes at a time (one text at least)."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= BATCH_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def score_of(spark: SparkSession, index: BlockMaxIndex):
     """The score as a function of a text column, for rows kept in place."""
     python_tasks(spark)
@@ -404,11 +469,8 @@ def score_of(spark: SparkSession, index: BlockMaxIndex):
     def toxicity_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memory: dict = {}                # of this task
         for texts in batches:
-            out = []
-            for t in texts:
-                score, _ = held.value.score(t or "", memory)
-                out.append(score)
-            yield pd.Series(out, dtype="float64")
+            got = [held.value.scores([t or "" for t in part], memory) for part in slices(texts.tolist())]
+            yield pd.Series([s for part in got for s, _ in part], dtype="float64")
     return toxicity_score
 
 
@@ -425,7 +487,7 @@ def score(docs: DataFrame, index: BlockMaxIndex, id_col: str = "doc_id",
         memory: dict = {}                # of this task
         for batch in batches:
             for b in pieces(batch):
-                got = [held.value.score(t or "", memory) for t in b.column(1).to_pylist()]
+                got = held.value.scores([t or "" for t in b.column(1).to_pylist()], memory)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([s for s, _ in got], pa.float64()),
                      pa.array([[{"id": i, "cosine": c} for i, c in e] for _, e in got], pa.list_(near))],
