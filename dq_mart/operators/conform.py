@@ -29,7 +29,8 @@ from pyspark.sql.types import StringType
 
 from ..functions.casts import DEFAULT_DATE_FORMATS, declared_cast
 from .cleaning import (cast_bigint_default0, cast_dates, cast_yes_no,
-                       clean_headers, dedup_keep_first, rename_columns)
+                       clean_headers, dedup_keep_first, rename_columns, string_columns)
+from .date_layout import cast_guessed_dates, guessed_formats
 
 REJECT_REASONS = "reject_reasons"
 RAW = "raw"
@@ -55,6 +56,7 @@ class TableSpec:
     bigint_default0: tuple[str, ...] = ()
     primary_key: str | None = None
     drop: tuple[str, ...] = ()
+    # Layouts of the date columns; none: each column's is found from its values.
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
 
     @property
@@ -92,7 +94,11 @@ def transform(raw: DataFrame, spec: TableSpec, order: str | None = None,
     if spec.drop:
         df = df.drop(*spec.drop)
     df = cast_yes_no(df, spec.yes_no)
-    df = cast_dates(df, spec.dates, spec.date_formats)
+    if spec.date_formats:
+        df = cast_dates(df, spec.dates, spec.date_formats)
+    else:                       # the layout that each column's values vote for
+        df = cast_guessed_dates(df, guessed_formats(df, spec.dates))
+        df = cast_dates(df, [c for c in spec.dates if c in string_columns(df)])
     df = cast_bigint_default0(df, spec.bigint_default0)
     if spec.primary_key:
         if not order:

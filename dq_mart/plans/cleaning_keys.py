@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import NA_TOKENS
 from ..operators import cleaning as C
 from ..operators import profiling as P
+from ..operators.date_layout import cast_guessed_dates, guess_layouts, guessed_formats
 from ..operators.conform import (ColumnSpec, TableSpec, conform, good_rows,
                                  rejected_rows, transform)
 from .oracles import (ORACLES, bi_sql, bigint0_sql, declared_int_sql, dt_sql, list_items_sql,
@@ -82,6 +83,37 @@ def _cast_dates(t: DriverTables) -> DataFrame:
     return C.cast_dates(d, ["dt"])
 
 
+def orders_dated(t: DriverTables) -> DataFrame:
+    """Order dates in several layouts: clear ones, one that few values decide,
+    one that none decides, and junk."""
+    o = t.orders
+    k, day = o.o_orderkey, o.o_orderdate.cast("date")
+    low = F.make_date(F.year(day), F.month(day), F.lit(1) + k.cast("int") % 12)     # a day that may be a month
+    junk = F.when(k % 11 == 0, "not-a-date").when(k % 13 == 0, None)
+    fmt = lambda d, f: junk.otherwise(F.date_format(d, f))
+    return o.select(
+        "o_orderkey", fmt(day, "yyyy-MM-dd").alias("iso"), fmt(day, "dd/MM/yyyy").alias("day_first"),
+        fmt(F.when(k % 64 == 1, F.make_date(F.year(day), F.month(day), F.lit(25))).otherwise(low), "MM-dd-yyyy")
+        .alias("month_first"), fmt(low, "dd/MM/yyyy").alias("undecided"), fmt(day, "yyyyMMdd").alias("compact"),
+        fmt(day, "dd.MM.yyyy").alias("dotted"), fmt(day, "dd-MMM-yyyy").alias("named"),
+        fmt(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("timed"), o.o_orderpriority.alias("none"))
+
+
+DATED = ["iso", "day_first", "month_first", "undecided", "compact", "dotted", "named", "timed", "none"]
+
+
+@query("date_layouts")
+def _date_layouts(t: DriverTables) -> DataFrame:
+    return guess_layouts(orders_dated(t), DATED)
+
+
+@query("cast_guessed_dates")
+def _cast_guessed_dates(t: DriverTables) -> DataFrame:
+    """The columns cast by the layouts that their values voted for."""
+    d = orders_dated(t)
+    return cast_guessed_dates(d, guessed_formats(d, DATED))
+
+
 @query("cast_bigint_default0")
 def _cast_bigint_default0(t: DriverTables) -> DataFrame:
     d = _orders_dirty(t).select("o_orderkey", "bi_raw", F.col("bi_raw").alias("bi"))
@@ -177,6 +209,32 @@ SELECT o_orderkey, yn_raw, {yes_no_sql('yn_raw')} AS yn FROM {_DIRTY_ORDERS} d""
 ORACLES["cast_dates"] = f"""
 SELECT o_orderkey, dt_raw, TRY_CAST(dt_raw AS DATE) AS dt FROM {_DIRTY_ORDERS} d"""
 
+_DAY = "CAST(o_orderdate AS DATE)"
+_LOW = f"make_date(year({_DAY}), month({_DAY}), 1 + o_orderkey % 12)"
+_DECIDED = f"CASE WHEN o_orderkey % 64 = 1 THEN make_date(year({_DAY}), month({_DAY}), 25) ELSE {_LOW} END"
+# column: (day, format of its text, layout that wins, whether it is a guess)
+_DATED_SQL = {
+    "iso": (_DAY, "%Y-%m-%d", "yyyy-MM-dd", False), "day_first": (_DAY, "%d/%m/%Y", "dd/MM/yyyy", False),
+    "month_first": (_DECIDED, "%m-%d-%Y", "MM-dd-yyyy", False), "undecided": (_LOW, "%d/%m/%Y", "dd/MM/yyyy", True),
+    "compact": (_DAY, "%Y%m%d", "yyyyMMdd", False), "dotted": (_DAY, "%d.%m.%Y", "dd.MM.yyyy", False),
+    "named": (_DAY, "%d-%b-%Y", "dd-MMM-yyyy", False), "timed": (_DAY, "%Y-%m-%d", "yyyy-MM-dd HH:mm:ss", False),
+}
+_JUNK = "o_orderkey % 11 = 0 OR o_orderkey % 13 = 0"
+
+# a value is at stake where its day may be a month and is not the month itself
+ORACLES["date_layouts"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{layout}' AS layout, COUNT(*) FILTER (WHERE NOT ({_JUNK})) AS parsed,
+      COUNT(*) FILTER (WHERE o_orderkey % 11 = 0) AS unparsed, {str(guess).lower()} AS ambiguous,
+      COUNT(*) FILTER (WHERE NOT ({_JUNK}) AND {c in ('day_first', 'month_first', 'undecided')}
+        AND day({day}) <= 12 AND day({day}) <> month({day})) AS disputed FROM orders"""
+    for c, (day, _, layout, guess) in _DATED_SQL.items()) + """
+  UNION ALL SELECT 'none', NULL, 0, COUNT(*), false, 0 FROM orders"""
+
+ORACLES["cast_guessed_dates"] = (
+    "SELECT o_orderkey, " + ", ".join(f"CASE WHEN NOT ({_JUNK}) THEN {day} END AS {c}"
+                                      for c, (day, _, _, _) in _DATED_SQL.items())
+    + ", o_orderpriority AS none FROM orders")
+
 ORACLES["cast_bigint_default0"] = f"""
 SELECT o_orderkey, bi_raw, {bigint0_sql('bi_raw')} AS bi FROM {_DIRTY_ORDERS} d"""
 
