@@ -22,7 +22,7 @@ import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DoubleType, FloatType, FractionalType, IntegralType, LongType, NumericType,
                                StringType)
@@ -74,7 +74,8 @@ def _key_text(k: Column, type_: DataType) -> Column:
     return text
 
 
-def _key_pair(df: DataFrame, col: str, as_type: DataType | None) -> DataFrame:
+def _key_pair(df: DataFrame, col: str, as_type: DataType | None,
+              count: str | None = None) -> DataFrame:
     """Distinct keys as ``(kc, kn)`` = ``(coalesce(k, default), isnull(k))``:
     equality on the pair is null-safe equality on the key."""
     k = (col_of(col).cast(as_type) if as_type is not None
@@ -87,7 +88,16 @@ def _key_pair(df: DataFrame, col: str, as_type: DataType | None) -> DataFrame:
         default = F.lit("")
     else:
         k, default = k.cast("string"), F.lit("")
-    return df.select(F.coalesce(k, default).alias("kc"), k.isNull().alias("kn")).distinct()
+    pair = df.select(F.coalesce(k, default).alias("kc"), k.isNull().alias("kn"))
+    if count is None:
+        return pair.distinct()
+    return pair.groupBy("kc", "kn").agg(F.count(F.lit(1)).alias(count))
+
+
+def key_pair(df: DataFrame, col: str, kind: str, count: str | None = None) -> DataFrame:
+    """Distinct keys of a column as ``bigint`` or as canonical text
+    (``string``), with their rows as ``count``."""
+    return _key_pair(df, col, LongType() if kind == "bigint" else None, count)
 
 
 def flagged_keys(child: DataFrame, child_col: str, parent: DataFrame,
@@ -157,6 +167,12 @@ def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame
     the shuffle (bounded, never a list of all orphans)."""
     checkpoint_root(checks[0].child.sparkSession)
     flags = fk_flags(checks).checkpoint(eager=True)
+    return summarise_flags(checks[0].child.sparkSession, flags, [fk.label for fk in checks], n_examples)
+
+
+def summarise_flags(spark: SparkSession, flags: DataFrame, labels: Sequence[str],
+                    n_examples: int) -> DataFrame:
+    """Counts and examples of flagged keys, a row for each label."""
     counts = flags.groupBy("label").agg(F.count(F.lit(1)).alias("child_ids"),
                                         F.count_if("orphan").alias("orphans"))
     w = Window.partitionBy("label").orderBy(F.asc_nulls_first("k_num"),
@@ -167,9 +183,8 @@ def fk_integrity(checks: Sequence[ForeignKey], n_examples: int = 5) -> DataFrame
     txt = F.transform(srt, lambda e: F.coalesce(e["k_txt"], F.lit("NULL")))
     ex = top.groupBy("label").agg(F.array_join(txt, ", ").alias("examples"))
     # every relationship has a row, also one whose child is empty
-    labels = checks[0].child.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(fk.label) for fk in checks])).alias("label"))
-    return labels.join(counts, "label", "left").join(ex, "label", "left").select(
+    every = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in labels])).alias("label"))
+    return every.join(counts, "label", "left").join(ex, "label", "left").select(
         "label", F.coalesce("child_ids", F.lit(0)).alias("child_ids"),
         F.coalesce("orphans", F.lit(0)).alias("orphans"), "examples")
 

@@ -12,6 +12,7 @@ from ..operators.heavy_hitters import candidates_of, exact_top_k, top_k_state
 from ..operators.inference import infer_types
 from ..operators.profile_state import finish, merge_states, merged_profile, profile_state
 from ..session import scratch_path
+from ..sources.key_tables import key_integrity, kind_of, write_key_tables
 from ..sources.catalog import DRIVER_TABLES, row_counts, union_all
 from .oracles import (ORACLES, bi_sql, bigint0_sql, dt_sql, mm_sql, nt_sql,
                       pct_sql, strip_sql, yn_sql)
@@ -229,6 +230,18 @@ def _fk_integrity(t: DriverTables) -> DataFrame:
     return I.fk_integrity(driver_fks(t))
 
 
+@query("fk_integrity_keys")
+def _fk_integrity_keys(t: DriverTables) -> DataFrame:
+    """The same checks from key tables, with the rows that orphans hold."""
+    checks = driver_fks(t)
+    tables = write_key_tables(checks, scratch_path(t.spark, "key_tables"), buckets=8)
+    pairs = {}
+    for fk in checks:
+        kind = kind_of(fk.child.schema[fk.child_col].dataType, fk.parent.schema[fk.parent_col].dataType)
+        pairs[fk.label] = (tables[(id(fk.child), fk.child_col, kind)], tables[(id(fk.parent), fk.parent_col, kind)])
+    return key_integrity(t.spark, pairs)
+
+
 @query("fk_orphans")
 def _fk_orphans(t: DriverTables) -> DataFrame:
     return I.fk_orphans(driver_fks(t))
@@ -505,6 +518,17 @@ ORACLES["fk_orphans"] = " UNION ALL ".join(
     f"SELECT '{label}' AS label, CAST(k AS VARCHAR) AS orphan FROM ({_orphans_sql(c, p)}) o"
     for label, c, p in _FK_SQL)
 
+ORACLES["fk_integrity_keys"] = " UNION ALL ".join(
+    f"""SELECT '{label}' AS label,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT k FROM ({c}) c0)) AS BIGINT) AS child_ids,
+       CAST((SELECT COUNT(*) FROM ({_orphans_sql(c, p)}) o1) AS BIGINT) AS orphans,
+       (SELECT string_agg(COALESCE(CAST(k AS VARCHAR), 'NULL'), ', ' ORDER BY k NULLS FIRST)
+          FROM (SELECT k FROM ({_orphans_sql(c, p)}) o2 ORDER BY k NULLS FIRST LIMIT 5) o3) AS examples,
+       CAST((SELECT COUNT(*) FROM ({c}) c1) AS BIGINT) AS child_rows,
+       CAST((SELECT COUNT(*) FROM ({c}) c2 WHERE NOT EXISTS (SELECT 1 FROM ({p}) p2
+             WHERE p2.k IS NOT DISTINCT FROM c2.k)) AS BIGINT) AS orphan_rows"""
+    for label, c, p in _FK_SQL)
+
 ORACLES["fk_integrity"] = " UNION ALL ".join(
     f"""SELECT '{label}' AS label,
        CAST((SELECT COUNT(*) FROM (SELECT DISTINCT k FROM ({c}) c0)) AS BIGINT) AS child_ids,
