@@ -15,8 +15,9 @@ from ..operators.table_profile import TableProfile
 from ..session import scratch_path
 from ..sources.csv import ORDINAL, read_raw_csv, write_csv
 from ..sources.catalog import DRIVER_TABLES, row_counts
+from ..sources.incremental import land_changed, read_changed
 from ..sources.landing import land_raw, landing_audit
-from ..sources.sinks import delete_path, load_count_audit, write_table
+from ..sources.sinks import _fs, delete_path, load_count_audit, write_table
 from ..sources.snapshots import read_snapshot, snapshot_table
 from . import profiling_keys as PK
 from . import etl_keys as EK
@@ -85,6 +86,48 @@ def _landing_file_audit(t: DriverTables) -> DataFrame:
         "table_name", "present", "non_empty", "status", F.coalesce("row_count", F.lit(0)).alias("rows"))
 
 
+def _put_csv(df: DataFrame, folder: str, name: str) -> None:
+    """Rows as one CSV file of that name (a raw file of the stand-ins)."""
+    spark, tmp = df.sparkSession, f"{folder}/_{name}"
+    write_csv(df.coalesce(1), tmp)
+    fs, src = _fs(spark, tmp)
+    part = next(s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-"))
+    target = _fs(spark, f"{folder}/{name}")[1]
+    fs.delete(target, False)
+    fs.rename(part, target)
+    fs.delete(src, True)
+
+
+@query("land_changed_files")
+def _land_changed_files(t: DriverTables) -> DataFrame:
+    """orders as five raw files; then one is changed, one goes, one comes and two
+    stay: what the second landing says of each, and the rows and prices that the
+    table then holds."""
+    root = scratch_path(t.spark, "incremental")
+    o = t.orders.select("o_orderkey", (F.col("o_orderkey") % 6).alias("file"),
+                        F.col("o_totalprice").cast("decimal(12,2)").alias("price"))
+
+    def put(i: int, price) -> None:
+        _put_csv(o.where(F.col("file") == i).select("o_orderkey", price.cast("decimal(12,2)").alias("price")),
+                 f"{root}/csv", f"orders_{i}.csv")
+    for i in range(5):
+        put(i, F.col("price"))
+    land_changed(t.spark, {"orders": f"{root}/csv"}, root)
+    put(1, F.col("price") + 1000000)
+    put(5, F.col("price"))
+    fs, gone = _fs(t.spark, f"{root}/csv/orders_2.csv")
+    fs.delete(gone, False)
+    report = land_changed(t.spark, {"orders": f"{root}/csv"}, root)
+    held = read_changed(t.spark, root, "orders").select(
+        F.concat(F.lit("orders_"), (F.col("o_orderkey").cast("bigint") % 6).cast("string"), F.lit(".csv")).alias("file"),
+        F.col("price").cast("decimal(12,2)").alias("price"))
+    sums = held.groupBy("file").agg(F.count(F.lit(1)).alias("rows_held"), F.sum("price").alias("price_held"))
+    report = report.select(F.element_at(F.split("path", "/"), -1).alias("file"), "status", "rows")
+    return report.join(sums, "file", "left").select(
+        "file", "status", "rows", F.coalesce("rows_held", F.lit(0)).alias("rows_held"),
+        F.col("price_held").cast("string").alias("price_held"))
+
+
 def _small(t: DriverTables, audit: DataFrame, root: str) -> DataFrame:
     """An audit (one row per table) taken before its tables are removed."""
     rows = audit.collect()
@@ -195,6 +238,15 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS D
 
 ORACLES["land_raw_roundtrip"] = ORACLES["dedup_keep_first"]
 
+ORACLES["land_changed_files"] = """
+WITH f AS (SELECT o_orderkey % 6 AS i, CAST(o_totalprice AS DECIMAL(12,2)) AS price FROM orders),
+g AS (SELECT i, COUNT(*) AS n, SUM(price + CASE WHEN i = 1 THEN 1000000 ELSE 0 END) AS p FROM f GROUP BY i)
+SELECT 'orders_' || i || '.csv' AS file,
+       CASE i WHEN 1 THEN 'changed' WHEN 2 THEN 'vanished' WHEN 5 THEN 'new' ELSE 'unchanged' END AS status,
+       CAST(n AS BIGINT) AS rows, CAST(CASE WHEN i = 2 THEN 0 ELSE n END AS BIGINT) AS rows_held,
+       CASE WHEN i <> 2 THEN CAST(CAST(p AS DECIMAL(22,2)) AS VARCHAR) END AS price_held
+FROM g"""
+
 ORACLES["load_count_audit"] = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_written, "
     f"CAST(COUNT(*) AS BIGINT) AS rows_read, CAST(COUNT(*) AS BIGINT) AS rows_loaded, "

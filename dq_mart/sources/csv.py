@@ -58,7 +58,7 @@ WRITE_OPTIONS = {
 SURPLUS = "__surplus"
 
 
-def text_schema(spark: SparkSession, path: str, options: Mapping[str, str] | None = None) -> StructType:
+def text_schema(spark: SparkSession, path: str | list[str], options: Mapping[str, str] | None = None) -> StructType:
     """All-text schema from the header of the files (no data is read)."""
     names = spark.read.options(**dict(READ_OPTIONS, **(options or {}))).csv(path).columns
     return StructType([StructField(c, StringType(), True) for c in names])
@@ -76,10 +76,10 @@ def no_surplus(df: DataFrame) -> DataFrame:
     return df.where(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(True)).drop(SURPLUS)
 
 
-def read_raw_csv(spark: SparkSession, path: str, *, with_ordinal: bool = True,
+def read_raw_csv(spark: SparkSession, path: str | list[str], *, with_ordinal: bool = True,
                  normalize_nulls: bool = True, multiline: bool = False,
                  options: Mapping[str, str] | None = None) -> DataFrame:
-    """All-text scan of a CSV file or folder.
+    """All-text scan of a CSV file or folder, or of several.
 
     ``multiline`` allows quoted newlines but stops file splitting, so it is
     off by default.
