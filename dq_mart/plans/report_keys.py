@@ -1,4 +1,4 @@
-"""Key ``report_sections`` (R1): the daily report as the report job makes it,
+"""Keys of the report (R1): ``report_sections``, the daily report as the report job makes it,
 as ordered text lines; ``report_file`` is the file it writes, read back."""
 
 from __future__ import annotations
@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources.catalog import union_all
+from . import monthly as M
 from .jobs import report_sections
 from .oracles import ORACLES
 from .registry import query
@@ -107,3 +109,62 @@ ORACLES["report_sections"] = _report_sql()
 ORACLES["report_file"] = f"""
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY section_ord, line_ord) - 1 AS INTEGER) AS line_no, line
 FROM ({_report_sql()}) r"""
+
+
+@query("report_monthly")
+def _report_monthly(t: DriverTables) -> DataFrame:
+    """The sections of dated facts from monthly partials.  The facts are first
+    stored with a part of the last year's rows missing; then the last year's
+    months come again, whole, and only they are computed again."""
+    root = scratch_path(t.spark, "monthly")
+    appointments, surgeries = M.appointments_fact(), M.surgeries_fact()
+    li = t.lineitem
+    operated = li.select(
+        F.col("l_suppkey").alias("doctor_id"),
+        F.when(li.l_returnflag == "A", "Successful").when(li.l_returnflag == "R", "Failed")
+        .when(li.l_returnflag == "N", "Complications").alias("surgery_outcome"),
+        F.when(li.l_orderkey % 37 != 0, F.col("l_shipdate").cast("date")).alias("surgery_date"))
+    again = {}
+    for fact, rows in ((appointments, t.lineitem_appointments), (surgeries, operated)):
+        last = rows.select(F.max(F.year(fact.date))).scalar()
+        late = F.coalesce(F.year(fact.date) == last, F.lit(False))
+        odd = F.coalesce(F.col(fact.groups[0]) % 2 == 1, F.lit(False))
+        M.replace_months(rows.where(~(late & odd)), root, fact)
+        M.refresh(t.spark, root, fact)
+        M.replace_months(rows.where(late), root, fact)
+        again[fact.name] = len(M.refresh(t.spark, root, fact))
+    a, s = M.partials(t.spark, root, appointments), M.partials(t.spark, root, surgeries)
+
+    def lines(name: str, df: DataFrame, keys: list[str], numbers: list[str]) -> DataFrame:
+        k = [F.col(c).cast("string") for c in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
+        n = [F.col(c).cast("bigint") for c in numbers] + [F.lit(None).cast("bigint")] * (3 - len(numbers))
+        return df.select(F.lit(name).alias("section"), k[0].alias("key_1"), k[1].alias("key_2"),
+                         *[c.alias(f"number_{i}") for i, c in enumerate(n, 1)])
+    # one line for each fact
+    counted = t.spark.createDataFrame(sorted(again.items()), "fact string, months int")
+    return union_all([
+        lines("visits_by_branch", M.visits_by_branch(a), ["branch_id", "month"], ["visit_count"]),
+        lines("top_diagnoses", M.top_diagnoses(a), ["diagnosis"], ["frequency"]),
+        lines("doctor_substitution", M.substitutions(a), ["branch_id"], ["total_appointments", "substitutions"]),
+        lines("surgery_outcomes", M.surgery_outcomes(s), ["doctor_id"], ["total_surgeries", "successful", "failed"]),
+        lines("months computed again", counted, ["fact"], ["months"])])
+
+
+_SURGERIES_SQL = """(SELECT l_suppkey AS doctor_id, l_returnflag AS flag,
+   CASE WHEN l_orderkey % 37 <> 0 THEN CAST(l_shipdate AS DATE) END AS surgery_date FROM lineitem)"""
+
+ORACLES["report_monthly"] = f"""
+SELECT 'visits_by_branch' AS section, CAST(branch_id AS VARCHAR) AS key_1, strftime(date_of_consultation, '%Y-%m') AS key_2,
+       CAST(COUNT(*) AS BIGINT) AS number_1, CAST(NULL AS BIGINT) AS number_2, CAST(NULL AS BIGINT) AS number_3
+FROM {APPOINTMENTS_SQL} a GROUP BY ALL
+UNION ALL (SELECT 'top_diagnoses', diagnosis, NULL, COUNT(*), NULL, NULL FROM {APPOINTMENTS_SQL} a
+           GROUP BY diagnosis ORDER BY COUNT(*) DESC, diagnosis NULLS LAST LIMIT 10)
+UNION ALL SELECT 'doctor_substitution', CAST(branch_id AS VARCHAR), NULL, COUNT(*),
+       COUNT(*) FILTER (WHERE requested_doctor_id <> consulted_doctor_id), NULL FROM {APPOINTMENTS_SQL} a GROUP BY branch_id
+UNION ALL (SELECT 'surgery_outcomes', CAST(doctor_id AS VARCHAR), NULL, COUNT(*), COUNT(*) FILTER (WHERE flag = 'A'),
+           COUNT(*) FILTER (WHERE flag = 'R') FROM {_SURGERIES_SQL} s GROUP BY doctor_id
+           ORDER BY COUNT(*) DESC, doctor_id NULLS LAST LIMIT 20)
+UNION ALL SELECT 'months computed again', 'appointments', NULL, COUNT(DISTINCT month(date_of_consultation)), NULL, NULL
+  FROM {APPOINTMENTS_SQL} a WHERE year(date_of_consultation) = (SELECT MAX(year(date_of_consultation)) FROM {APPOINTMENTS_SQL} b)
+UNION ALL SELECT 'months computed again', 'surgeries', NULL, COUNT(DISTINCT month(surgery_date)), NULL, NULL
+  FROM {_SURGERIES_SQL} s WHERE year(surgery_date) = (SELECT MAX(year(surgery_date)) FROM {_SURGERIES_SQL} r)"""
