@@ -14,14 +14,20 @@ each of ``WALKS`` walks; windows that share a key with an item are verified
 by exact edit distance against the text around them, which also gives the
 passage's place.  ``recall`` of the defaults is measured in the tests.
 
+Embedding a window costs time in proportion to its length, so items longer than
+``PART`` words are cut into parts of even length, only to find candidates: of a
+passage within the whole item's edits at least one part is within its share of
+them.  What is verified, and returned, is always the whole item.
+
 Which windows could hold an item follows from counts alone, losslessly: at
 most k of its words occur in no item of the class, and at least as many
 rarely used words as the least of any item, less k.  Equal windows of a batch
 are embedded once.
 
-Scale: one pass over the documents for each block of ``BLOCK`` items; a block
-is what a task holds, so its size is bounded however long the benchmark is.
-No shuffle; a task holds one slice of texts.
+Scale: one pass over the documents for each block of ``BLOCK`` items, one after
+the other: driver and tasks hold one block at a time, however long the benchmark
+is, and what a block gave is cut in the shared folder before the next.  No
+shuffle; a task holds one slice of texts.
 
 Defined results
 ---------------
@@ -30,8 +36,8 @@ Defined results
 * repeated documents or items: each row is searched, each item found;
 * ties: of an item's passages in a document the one with the least distance
   is returned, the first of them, with the number of passages found;
-* items longer than ``MOST_WORDS`` words are searched as consecutive parts;
-  any part found is a hit of the item;
+* items of any length are found as wholes: half of a long item is no hit;
+* very long texts are searched whole;
 * an empty table on either side gives no rows; other columns are ignored.
 """
 
@@ -40,19 +46,21 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BATCH_BYTES, map_texts, python_tasks
+from .common import BATCH_BYTES, cut, map_texts, python_tasks
 from .hashing import PUNCTUATION, mix, word_hashes
 
 RATE = 0.1
 WALKS, TABLES, SAMPLES = 6, 8, 6
 BLOCK = 4000
-MOST_WORDS = 400
+#: Words of an item that are embedded as one.
+PART = 400
 #: Lengths of one class differ by this factor at most.
 SPREAD = 1.25
 #: A word of more items than this share of the class is not rarely used.
@@ -194,18 +202,23 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, walks: int = WALKS,
                  tables: int = TABLES, samples: int = SAMPLES, seed: int = 5):
         self.vocabulary: dict[int, int] = {}    # from the hash of a word
-        self.words: list[np.ndarray] = []
+        self.words: list[np.ndarray] = []       # of each part
+        self.whole: list[tuple[int, np.ndarray]] = []       # item id and all its words
+        self.place: list[tuple[int, int]] = []  # of each part: its item and its first word there
         self.rate = rate
         parts: list[tuple[int, int]] = []
         for item, text in items:
             found = word_hashes([lowered(text).encode()], PUNCTUATION)[0].tolist()
-            n = max(1, math.ceil(len(found) / MOST_WORDS))
-            size = max(1, math.ceil(len(found) / n))
-            for at in range(0, len(found), size):
-                ids = [self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-                       for x in found[at:at + size]]
-                parts.append((item, len(self.words)))
-                self.words.append(np.array(ids, np.int32))
+            if not found:
+                continue
+            ids = np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in found], np.int32)
+            cuts = math.ceil(len(ids) / PART)
+            for k in range(cuts):
+                at = k * len(ids) // cuts
+                parts.append((len(self.whole), len(self.words)))
+                self.place.append((len(self.whole), at))
+                self.words.append(ids[at:(k + 1) * len(ids) // cuts])
+            self.whole.append((item, ids))
         known = np.array(sorted(self.vocabulary), np.uint64)
         self.known = (known, np.array([self.vocabulary[h] for h in known.tolist()], np.int32))
         self.quick = np.zeros(1 << 16, bool)
@@ -255,28 +268,30 @@ class ItemIndex:
             return (total((~c.known[stream]).astype(np.int32)),
                     total(c.rare[stream].astype(np.int32)), power, back)
 
-        best: dict[tuple[int, int], list] = {}
+        # where an item would begin, from each of its parts that was met
+        cand: dict[tuple[int, int], set[int]] = {}
         for c in self.classes:
-            cand: dict[tuple[int, int], list[int]] = {}
             for p, i in c.candidates(stream, counts):
                 row = int(np.searchsorted(begin, p, "right")) - 1
-                cand.setdefault((row, i), []).append(p - int(begin[row]))
-            for (row, i), places in cand.items():
-                item, at = c.items[i]
-                words, k, done = self.words[at], edits(len(self.words[at]), self.rate), -1
-                at_row = stream[begin[row]:begin[row + 1] - self.gap]
-                for p in sorted(places):
-                    if p < done:
-                        continue
-                    a = max(0, p - 2 * k - 4)   # a window may lie beside the passage
-                    d, s, e = best_passage(words, at_row[a:p + len(words) + 2 * k + 4])
-                    if d > k or e <= s:
-                        continue
-                    done = a + e
-                    held = best.setdefault((row, item), [k + 1, 0, 0, 0, 0])
-                    held[4] += 1
-                    if d < held[0]:
-                        held[:4] = [d, a + s, a + e, len(words)]
+                whole, first = self.place[c.items[i][1]]
+                cand.setdefault((row, whole), set()).add(p - int(begin[row]) - first)
+        best: dict[tuple[int, int], list] = {}
+        for (row, whole), places in cand.items():
+            item, words = self.whole[whole]
+            k, done = edits(len(words), self.rate), -1
+            at_row = stream[begin[row]:begin[row + 1] - self.gap]
+            for p in sorted(places):
+                if p < done:
+                    continue
+                a = max(0, p - 2 * k - 4)       # a window may lie beside the passage
+                d, s, e = best_passage(words, at_row[a:max(0, p + len(words) + 2 * k + 4)])
+                if d > k or e <= s:
+                    continue
+                done = a + e
+                held = best.setdefault((row, item), [k + 1, 0, 0, 0, 0])
+                held[4] += 1
+                if d < held[0]:
+                    held[:4] = [d, a + s, a + e, len(words)]
         spans: dict[int, list] = {}
         out = []
         for (row, item), (d, s, e, n, times) in sorted(best.items(), key=lambda x: x[0]):
@@ -307,9 +322,9 @@ def _indexes(benchmark: DataFrame, item_col: str, item_text: str, rate: float, b
 
 
 def detectors(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text",
-              rate: float = RATE, block: int = BLOCK) -> list:
-    """For each block of items, whether a text column holds any of them, for
-    rows kept in place; null texts hold none."""
+              rate: float = RATE, block: int = BLOCK) -> Iterator:
+    """For each block of items in turn, whether a text column holds any of them,
+    for rows kept in place; null texts hold none."""
     python_tasks(benchmark.sparkSession)
 
     def detector(index: ItemIndex):
@@ -326,7 +341,19 @@ def detectors(benchmark: DataFrame, item_col: str = "item_id", item_text: str =
                     held, size, first = [], 0, n
             return pd.Series(out)
         return holds_item
-    return [detector(index) for index in _indexes(benchmark, item_col, item_text, rate, block)]
+    for index in _indexes(benchmark, item_col, item_text, rate, block):
+        yield detector(index)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                         item_col: str = "item_id", item_text: str = "text", rate: float = RATE,
+                         block: int = BLOCK) -> DataFrame:
+    """The rows whose text holds no item."""
+    for n, found in enumerate(detectors(benchmark, item_col, item_text, rate, block)):
+        if n:
+            docs = cut(docs)            # what the blocks before it left
+        docs = docs.where(~found(F.col(text_col)))
+    return docs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -350,5 +377,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     out = None
     for index in _indexes(benchmark, item_col, item_text, rate, block):
         found = search(index)
-        out = found if out is None else out.unionByName(found)
+        # of several blocks each is searched before the next is drawn
+        out = found if out is None else cut(out).unionByName(found)
     return docs.sparkSession.createDataFrame([], SCHEMA) if out is None else out

@@ -304,6 +304,24 @@ def test_places_are_code_points_and_long_items_are_cut():
     assert {x[1] for x in index.search(["a b " + long + " c"])} == {2}
 
 
+@pytest.mark.parametrize("size", [399, 400, 401, 402, 800, 1250])
+def test_items_of_any_length_are_found_whole(size):
+    """Edits anywhere, within the item's share; a half of it is no hit."""
+    rng = random.Random(size)
+    item = [f"w{i}" for i in range(size)]
+    index = decontaminate.ItemIndex([(1, " ".join(item))])
+    half = "x y " + " ".join(item[:size // 2]) + " z"
+    assert index.search([half, " ".join(item[size // 2:])]) == []
+    for edits in (0, size // 12):
+        passage = list(item)
+        # all edits in the first part
+        for i in rng.sample(range(min(size, 300)), edits):
+            passage[i] = "changed"
+        ((row, found, s, e, d, n, times),) = index.search(["", "a b " + " ".join(passage) + " c d"])
+        assert (row, found, d, n, times) == (1, 1, edits, size, 1)
+    assert index.search([" ".join(w if i % 5 else "changed" for i, w in enumerate(item))]) == []
+
+
 # --- packing --------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
