@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from dq_mart.llm import decontaminate, neardup, packing, pii, toxicity
 from dq_mart.llm.common import cut, fold_of, ids_side, table
-from dq_mart.session import shared_path
+from dq_mart.session import scratch_path, shared_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    for found in decontaminate.detectors(table(spark, sf_dir, "benchmark")):
-        docs = docs.where(~found(F.col("text")))
-    return docs
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,12 +87,20 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; a stage's input goes once it is used."""
-    docs, held = table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES:
-        path = shared_path(spark, "pipeline", name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        if held:
-            _remove(spark, held)
-        docs, held = spark.read.parquet(path), path
-    return docs
+    """The rows of the last stage.  A stage's rows go once the next one has used
+    them, also when a stage fails; the last one's when the driver ends."""
+    docs, written = table(spark, sf_dir, "documents"), []
+    try:
+        for name, stage in STAGES[:-1]:
+            written.append(shared_path(spark, "pipeline", name))
+            stage(spark, docs, sf_dir).write.parquet(written[-1])
+            if len(written) > 1:
+                _remove(spark, written.pop(0))
+            docs = spark.read.parquet(written[-1])
+        name, stage = STAGES[-1]
+        last = scratch_path(spark, "pipeline", name)
+        stage(spark, docs, sf_dir).write.parquet(last)
+    finally:
+        for path in written:
+            _remove(spark, path)
+    return spark.read.parquet(last)
