@@ -12,6 +12,7 @@ import functools
 import logging
 import operator
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..operators.table_profile import TableProfile
 from ..session import checkpoint_root
 from ..sources.catalog import row_counts
 from ..sources.csv import ORDINAL
+from ..sources.incremental import land_changed, read_changed
 from ..sources.landing import RAW_PREFIX, land_raw, verify_landing
 from ..sources.sinks import load_count_audit, table_path
 from ..sources.snapshots import Snapshot, Staged, commit, read_snapshot, stage_table
@@ -97,15 +99,23 @@ def land_job(spark: SparkSession, csv_folder: str, root: str,
     return verify_landing(spark, {name: table_path(spark, raw, name) for name in files})
 
 
+def land_changed_job(spark: SparkSession, csv_folder: str, root: str,
+                     files: Mapping[str, str] = HOSPITAL_FILES, multiline: bool = False) -> DataFrame:
+    """S4, S5 incrementally: only files that are new or changed are read; a row
+    for each file with its status."""
+    sources = {name: f"{csv_folder.rstrip('/')}/{fn}" for name, fn in files.items()}
+    return land_changed(spark, sources, root, multiline=multiline)
+
+
 def read_landed(spark: SparkSession, root: str, names=HOSPITAL_FILES) -> dict[str, DataFrame]:
-    """The landed raw tables that exist, null tokens applied as the
-    reference's reader does."""
+    """The landed raw tables that exist (whole, or file by file), null tokens
+    applied as the reference's reader does."""
     from ..operators.cleaning import normalize_null_tokens
     out = {}
     for name in names:
         path = table_path(spark, f"{root.rstrip('/')}/{RAW_PREFIX}", name)
-        if path is not None:
-            df = spark.read.parquet(path)
+        df = spark.read.parquet(path) if path is not None else read_changed(spark, root, name)
+        if df is not None:
             out[name] = normalize_null_tokens(df, [c for c in df.columns if c != ORDINAL])
     return out
 
@@ -144,7 +154,8 @@ class AuditFailed(RuntimeError):
         self.audit = audit
 
 
-def etl_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str) -> DataFrame:
+def etl_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str,
+            guess_dates: bool = False) -> DataFrame:
     """Dimensions, bridge, facts; each written as a new version under
     ``<out_root>/<table>``, partitioned by ``load_status`` (rejected rows keep
     their reasons and raw text in the ``rejected`` partition: one scan, one
@@ -156,13 +167,17 @@ def etl_job(spark: SparkSession, raw: Mapping[str, DataFrame], out_root: str) ->
     The audit is the gate: only if it holds for every table, one manifest makes
     all versions the current snapshot.  A job that fails or is killed before
     that, or whose audit is false (``AuditFailed``), leaves every table as it
-    was; one that another job overtook fails (``SnapshotConflict``)."""
+    was; one that another job overtook fails (``SnapshotConflict``).
+    ``guess_dates`` finds the layout of each date column from its values (one
+    more scan of the tables that have any)."""
     base = read_snapshot(spark, out_root)
     staged: list[Staged] = []
     for name, spec in S.SPECS.items():
         if name not in raw:
             log.warning("etl: no raw %s; skipped", name)
             continue
+        if guess_dates:
+            spec = replace(spec, date_formats=())
         staged.append(stage_loaded(raw[name], spec, out_root))
         if name == "doctors":
             bridge = doctor_bridge(raw[name])

@@ -249,3 +249,30 @@ def test_profile_job_lists_bad_values_and_pairs(spark, lake):
     assert {"dates_bad_values", "list_column_preview"} <= checks
     bad = [r.value for r in rows if r.check_name == "dates_bad_values"]
     assert bad
+
+
+def test_changed_files_and_guessed_dates_end_to_end(spark, lake, capsys):
+    """Landing by manifest, then a load whose dates are in another layout."""
+    import json
+    import shutil
+
+    from dq_mart.__main__ import main
+    base = lake["base"]
+    csv_dir = local_fs_path(f"{base}/csv2")
+    shutil.copytree(local_fs_path(f"{base}/csv"), csv_dir)
+    path = os.path.join(csv_dir, "appointments.csv")
+    text = open(path, encoding="utf-8").read()
+    for iso, shown in (("2024-01-05", "05/01/2024"), ("2024-01-20", "20/01/2024"), ("2024-02-03", "03/02/2024")):
+        text = text.replace(iso, shown)
+    open(path, "w", encoding="utf-8").write(text)
+    out = f"{base}/changed"
+    assert main(["land", "--csv", csv_dir, "--lake", f"{out}/lake", "--changed"]) == 0
+    assert main(["land", "--csv", csv_dir, "--lake", f"{out}/lake", "--changed"]) == 0
+    assert main(["etl", "--lake", f"{out}/lake", "--mart", f"{out}/mart", "--guess-dates"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert lines[0] == {"job": "land", "new": 7} and lines[1] == {"job": "land", "unchanged": 7}
+    got = {r.serial_no: str(r.date_of_consultation)
+           for r in J.read_loaded(spark, f"{out}/mart", "appointments").collect()}
+    assert got == {1: "2024-01-05", 2: "2024-01-20", 3: "2024-02-03"}
+    pats = {r.patient_id: r for r in J.read_loaded(spark, f"{out}/mart", "patients").collect()}
+    assert pats["PT1"].serial_no == 1 and pats["PT2"].date_of_registration is None
