@@ -17,7 +17,11 @@ from ..session import checkpoint_root
 #: be long, so the default of 10,000 rows could hold gigabytes.  Vectorised
 #: work takes some forty times the bytes of a slice for a moment.
 BATCH_ROWS = 1000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+#: Python workers live on from stage to stage: what a slice took goes back to
+#: the system at once instead of staying with the worker.
+_ALLOCATION = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2",
+               "ARROW_DEFAULT_MEMORY_POOL": "system"}
 #: The folder that this package is in.
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -35,6 +39,8 @@ def python_tasks(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+    for key, value in _ALLOCATION.items():
+        env.setdefault(key, value)
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
                       ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         try:
