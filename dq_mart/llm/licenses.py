@@ -11,7 +11,9 @@ one paragraph.  The longest sentence at a place is taken.  The
 document's sequence of identifiers is matched against ordered rules: a rule
 names a licence and a sequence of identifiers; a place that a rule matches is
 used up before later rules are tried.  Identifiers that refer to a licence on
-their own (``ref:...``) name it where no rule used them.
+their own (``ref:...``) name it where no rule used them.  ``SPDX`` lines hold
+expressions: each licence in one is named, whatever joins them (exceptions are
+no licences).
 
 Scale: everything happens within a row -- no shuffle, no join, no explode --
 so a document costs what its text costs, and a hot source nothing more.
@@ -23,7 +25,8 @@ Defined results
 * null or empty text: no sentences, ``licenses`` empty;
 * null ids and repeated rows: every row is scanned on its own;
 * a licence found twice is named once, in order of the rules, then of the
-  references by place;
+  references by place, then of the expressions;
+* a very long text is scanned whole;
 * an empty table gives no rows; other columns are ignored.
 """
 
@@ -45,7 +48,8 @@ NAMES = {
     "Apache-2.0": ("apache license version 2.0", "apache license 2.0", "apache 2.0 license"),
     "GPL-2.0": ("gnu general public license version 2", "gpl version 2", "gnu gpl v2"),
     "GPL-3.0": ("gnu general public license version 3", "gpl version 3", "gnu gpl v3"),
-    "LGPL-2.1": ("gnu lesser general public license version 2.1",),
+    "LGPL-2.0": ("gnu library general public license version 2",),
+    "LGPL-2.1": ("gnu lesser general public license version 2.1", "gnu lgpl v2.1"),
     "LGPL-3.0": ("gnu lesser general public license version 3",),
     "AGPL-3.0": ("gnu affero general public license version 3",),
     "MPL-2.0": ("mozilla public license version 2.0", "mozilla public license v. 2.0"),
@@ -59,7 +63,38 @@ NAMES = {
     "CC-BY-ND-4.0": ("cc by nd 4.0",),
     "CC0-1.0": ("cc0 1.0", "cc0 1.0 universal"),
     "Unlicense": ("unlicense",),
+    "BSL-1.0": ("boost software license version 1.0",),
+    "Zlib": ("zlib license",),
+    "Artistic-2.0": ("artistic license 2.0",),
+    "EUPL-1.2": ("european union public licence version 1.2", "eupl version 1.2"),
 }
+# Licences by the names that expressions give them.
+SPDX = (
+    "0BSD AFL-3.0 AGPL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-1-Clause "
+    "BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 "
+    "CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1 EUPL-1.2 GPL-2.0 GPL-2.0-only "
+    "GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.0 LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1 "
+    "LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-1.1 MPL-2.0 MS-PL "
+    "NCSA OFL-1.1 OSL-3.0 PostgreSQL PSF-2.0 Unicode-3.0 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib "
+    "ZPL-2.1").split()
+#: A line's expression, and the names in it.
+SPDX_LINE = r"(?i)SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)"
+SPDX_NAME = r"[A-Za-z0-9.+-]+"
+# GNU licences: short name, words, versions.
+GNU = (("gpl", "GPL", "gnu general public license", ("2", "3")),
+       ("lgpl", "LGPL", "gnu lesser general public license", ("2.1", "3")),
+       ("lgpl", "LGPL", "gnu library general public license", ("2",)),
+       ("agpl", "AGPL", "gnu affero general public license", ("3",)))
+# How their notices begin, and what they say of versions.
+GNU_WORKS = ("program", "library", "software", "file")
+GNU_HEAD = "this {work} is free software you can redistribute it and or modify it under the terms of the {name}"
+GNU_LATER = (" as published by the free software foundation either version {v} of the license or at your option "
+             "any later version",)
+GNU_ONLY = (" as published by the free software foundation version {v} of the license",
+            " as published by the free software foundation version {v} only",
+            " version {v} as published by the free software foundation", " version {v} only")
+GNU_WARRANTY = ("this {work} is distributed in the hope that it will be useful but without any warranty without "
+                "even the implied warranty of merchantability or fitness for a particular purpose")
 # What a sentence says of a name.
 PHRASES = ("licensed under {}", "licensed under the {}", "released under {}", "released under the {}",
            "this work is licensed under {}", "this work is licensed under the {}",
@@ -100,15 +135,11 @@ SENTENCES = {
     "apache-warranty": "unless required by applicable law or agreed to in writing software distributed "
                        "under the license is distributed on an as is basis without warranties or "
                        "conditions of any kind either express or implied",
-    "gpl2-later": "this program is free software you can redistribute it and or modify it under the terms "
-                  "of the gnu general public license as published by the free software foundation either "
-                  "version 2 of the license or at your option any later version",
-    "gpl3-later": "this program is free software you can redistribute it and or modify it under the terms "
-                  "of the gnu general public license as published by the free software foundation either "
-                  "version 3 of the license or at your option any later version",
-    "gpl-warranty": "this program is distributed in the hope that it will be useful but without any "
-                    "warranty without even the implied warranty of merchantability or fitness for a "
-                    "particular purpose",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial "
+                  "applications and to alter it and redistribute it freely subject to the following restrictions",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of "
+                   "the software and accompanying documentation covered by this license",
     "mpl-header": "this source code form is subject to the terms of the mozilla public license v. 2.0",
     "unlicense-grant": "this is free and unencumbered software released into the public domain",
     "rights-reserved": "copyright all rights reserved",
@@ -126,15 +157,41 @@ RULES = (
     ("Apache-2.0", ("apache-header", "apache-comply", "apache-copy", "apache-warranty")),
     ("Apache-2.0", ("apache-header", "apache-comply")),
     ("Apache-2.0", ("apache-header",)),
-    ("GPL-2.0-or-later", ("gpl2-later", "gpl-warranty")),
-    ("GPL-2.0-or-later", ("gpl2-later",)),
-    ("GPL-3.0-or-later", ("gpl3-later", "gpl-warranty")),
-    ("GPL-3.0-or-later", ("gpl3-later",)),
     ("MPL-2.0", ("mpl-header",)),
     ("Unlicense", ("unlicense-grant",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("BSL-1.0", ("boost-grant",)),
 )
 
 
+def gnu_notices() -> tuple[dict[str, str], tuple]:
+    """Sentences and rules of the GNU licences' notices, by family, version and
+    whether later versions are allowed."""
+    sentences, rules = {}, []
+    for short, spdx, name, versions in GNU:
+        for v, (way, tails) in product(versions, (("later", GNU_LATER), ("only", GNU_ONLY))):
+            key = f"{short}{v.replace('.', '_')}-{way}"
+            licence = f"{spdx}-{v if '.' in v else v + '.0'}-{'or-later' if way == 'later' else 'only'}"
+            for work, tail in product(GNU_WORKS, tails):
+                sentences[(GNU_HEAD + tail).format(work=work, name=name, v=v)] = key
+            rules += [(licence, (key, "gpl-warranty")), (licence, (key,))]
+    sentences.update({GNU_WARRANTY.format(work=w): "gpl-warranty" for w in GNU_WORKS})
+    return sentences, tuple(dict.fromkeys(rules))
+
+
+_GNU_SENTENCES, _GNU_RULES = gnu_notices()
+RULES += _GNU_RULES
+
+
+def spdx_names() -> dict[str, str]:
+    """Lower-cased name in an expression -> licence; ``+`` allows later
+    versions."""
+    out = {s.lower(): s for s in SPDX}
+    out.update({f"{s.lower()}+": f"{s}-or-later" for s in SPDX if f"{s}-or-later" in SPDX})
+    return out
+
+
 def known_sentences() -> dict[str, str]:
     """Normalised sentence -> identifier: the fixed sentences, and every
     phrase with every name."""
@@ -146,6 +203,7 @@ def known_sentences() -> dict[str, str]:
                 out[text] = f"ref:{licence}"
             out[f"spdx license identifier {licence.lower().replace('-', ' ')}"] = f"ref:{licence}"
     out.update({text: name for name, text in SENTENCES.items()})
+    out.update(_GNU_SENTENCES)
     # as the normaliser leaves them: no dot at the end of a word
     return {re.sub(r"\.(?=\s|$)", "", text): name for text, name in out.items()}
 
@@ -197,7 +255,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = F.transform(F.regexp_extract_all(text, F.lit(sentence_pattern(known)), F.lit(0)),
                         lambda s: F.try_element_at(table, F.translate(s, "\n", " ")))
     ids = F.filter(found, lambda x: x.isNotNull())
-    out = docs.select(F.col(id_col), ids.alias("sentences"))
+    none = F.array().cast("array<string>")
+    out = docs.select(F.col(id_col), ids.alias("sentences"),
+                      F.coalesce(spdx_licenses(F.col(text_col)), none).alias("spdx"))
     # rules in order, on the sequence written as ",a,,b,"; a match is used up
     out = out.withColumn("left", F.concat_ws("", F.transform("sentences", lambda x: F.concat(F.lit(","), x, F.lit(",")))))
     hits = []
@@ -209,5 +269,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         hits.append(f"hit{n}")
     refs = F.transform(F.filter(F.split("left", ","), lambda x: x.startswith("ref:")),
                        lambda x: F.substring(x, 5, 100))
-    licences = F.array_distinct(F.concat(F.array_compact(F.array(*hits)) if hits else F.array(), refs))
+    licences = F.array_distinct(F.concat(F.array_compact(F.array(*hits)) if hits else F.array(), refs, "spdx"))
     return out.select(id_col, "sentences", licences.alias("licenses"))
+
+
+def spdx_licenses(text: Column) -> Column:
+    """The licences that a text's SPDX lines name, in order."""
+    table = F.create_map(*[F.lit(x) for pair in spdx_names().items() for x in pair])
+    names = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SPDX_LINE), F.lit(1)),
+                                  lambda e: F.regexp_extract_all(e, F.lit(f"({SPDX_NAME})"), F.lit(1))))
+    found = F.filter(F.transform(names, lambda n: F.try_element_at(table, F.lower(n))), lambda x: x.isNotNull())
+    return F.when(text.rlike("(?i)spdx"), found).otherwise(F.array().cast("array<string>"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import RULES, known_sentences
+from .licenses import KEY, RULES, SPDX_LINE, SPDX_NAME, known_sentences, spdx_names
 
 #: Words, distinct shingles and exact similarity of all pairs that share a
 #: shingle; components by a recursive walk over the links.
@@ -47,39 +47,59 @@ SELECT query_id, neighbour_id, distance, rank FROM r WHERE rank <= 10
 
 
 def _op5() -> str:
-    """Sentences one row each, joined with the known ones; rules in order."""
+    """Lines of paragraphs; every stretch of lines that reads as a known
+    sentence, the longest at a line, from left to right without overlap; rules
+    in order."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ",\n".join(f"({q(t)}, {q(i)})" for t, i in known_sentences().items())
-    steps, left, hits = [], "seq0", []
+    sentences = known_sentences()
+    known = ",\n".join(f"({q(t)}, {q(i)})" for t, i in sentences.items())
+    named = ",\n".join(f"({q(t)}, {q(i)})" for t, i in spdx_names().items())
+    longest = max(len(t.split()) for t in sentences)
+    steps, hits = [], []
     for n, (licence, sequence) in enumerate(RULES, 1):
         text = q("".join(f",{x}," for x in sequence))
         steps.append(f"r{n} AS (SELECT *, replace(seq{n - 1}, {text}, '') AS seq{n} "
                      f"FROM {'seq' if n == 1 else f'r{n - 1}'})")
         hits.append(f"CASE WHEN seq{n} <> seq{n - 1} THEN {q(licence)} END")
     last = len(RULES)
+    low = "replace(replace(lower(coalesce(text, '')), chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    for pattern, by in ((r"(?m)^[^a-z0-9\n]+", ""), (r"\b(v)\.(\s+[0-9])", r"\1 \2"), (r"[.!?]\s+", "\n\n"),
+                        (r"[;:][^\S\n]+(\S)", "\n\\1"), (r"[^a-z0-9.\n]+", " "), (r"\.(\s|$)", r" \1"),
+                        (r"(^|\s)\.", r"\1 "), (r" +", " "), (r" ?\n ?", "\n")):
+        low = f"regexp_replace({low}, {q(pattern)}, {q(by)}, 'g')"
     return rf"""
 WITH known(t, id) AS (VALUES {known}),
-cutting AS (
-  SELECT row_number() OVER () AS row, doc_id,
-         string_split_regex(regexp_replace(coalesce(text, ''), '([.!?;:])\s+', '\1' || chr(10), 'g'),
-                            '[\r\n]+') AS parts
-  FROM documents),
-one AS (SELECT row, unnest(parts) AS s, unnest(range(len(parts))) AS pos FROM cutting),
-norm AS (
-  SELECT row, pos, trim(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower(s),
-      '[^a-z0-9.]+', ' ', 'g'), '\.(\s|$)', ' \1', 'g'), '(^|\s)\.', '\1 ', 'g')), '\s+', ' ', 'g')) AS t
-  FROM one),
-ids AS (SELECT row, list(id ORDER BY pos) AS l FROM norm JOIN known USING (t) GROUP BY row),
+names(t, id) AS (VALUES {named}),
+cutting AS (SELECT row_number() OVER () AS row, doc_id, text, string_split(trim({low}), chr(10)) AS lines FROM documents),
+line AS (SELECT row, unnest(lines) AS s, unnest(range(len(lines))) AS pos, lines FROM cutting
+         WHERE regexp_matches(coalesce(text, ''), {q(KEY)})),
+start AS (SELECT row, pos, lines FROM line WHERE s IN (SELECT DISTINCT t FROM known)
+          OR EXISTS (SELECT 1 FROM known WHERE s <> '' AND starts_with(t, s || ' '))),
+span AS (SELECT row, pos, pos + k AS upto, lines[pos + 1:pos + 1 + k] AS part
+         FROM start, (SELECT unnest(range({longest})) AS k) WHERE pos + k < len(lines)),
+met AS (SELECT row, pos, max(upto) AS upto, arg_max(id, upto) AS id
+        FROM (SELECT * FROM span WHERE NOT list_contains(part, '')) p JOIN known ON t = array_to_string(part, ' ')
+        GROUP BY row, pos),
+taken AS (
+  SELECT row, list_reduce(list_prepend({{'pos': -1, 'upto': -1, 'ids': CAST([] AS VARCHAR[])}},
+      list({{'pos': pos, 'upto': upto, 'ids': [id]}} ORDER BY pos)), lambda x, y:
+      CASE WHEN y.pos > x.upto THEN {{'pos': y.pos, 'upto': y.upto, 'ids': list_concat(x.ids, y.ids)}} ELSE x END).ids AS l
+  FROM met GROUP BY row),
+spoken AS (
+  SELECT row, unnest(n) AS n, unnest(range(len(n))) AS pos FROM (
+    SELECT row, flatten(list_transform(regexp_extract_all(text, {q(SPDX_LINE)}, 1),
+        lambda e: regexp_extract_all(e, {q(SPDX_NAME)}))) AS n FROM cutting WHERE text IS NOT NULL)),
+spdx AS (SELECT row, list(id ORDER BY pos) AS spdx FROM spoken JOIN names ON t = lower(n) GROUP BY row),
 seq AS (
-  SELECT doc_id, coalesce(l, []) AS l,
+  SELECT doc_id, coalesce(l, []) AS l, coalesce(spdx, []) AS spdx,
          list_aggregate(list_prepend('', list_transform(coalesce(l, []), lambda x: ',' || x || ',')),
                         'string_agg', '') AS seq0
-  FROM cutting LEFT JOIN ids USING (row)),
+  FROM cutting LEFT JOIN taken USING (row) LEFT JOIN spdx USING (row)),
 {", ".join(steps)},
 named AS (
-  SELECT doc_id, l, list_concat(list_filter([{", ".join(hits)}], lambda x: x IS NOT NULL),
+  SELECT doc_id, l, list_concat(list_concat(list_filter([{", ".join(hits)}], lambda x: x IS NOT NULL),
     list_transform(list_filter(string_split(seq{last}, ','), lambda x: starts_with(x, 'ref:')),
-                   lambda x: x[5:])) AS a
+                   lambda x: x[5:])), spdx) AS a
   FROM r{last}),
 once AS (SELECT doc_id, l, list_filter(a, lambda x, i: list_position(a, x) = i) AS u FROM named)
 SELECT doc_id, coalesce(array_to_string(l, ','), '') AS sentences,

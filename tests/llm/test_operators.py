@@ -392,6 +392,45 @@ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
     assert got[5]["sentences"] == ["apache-header", "apache-comply", "apache-copy", "apache-warranty"]
 
 
+def test_expressions_and_gnu_notices(spark, tmp_path):
+    """Also against the SQL, which reads lines where the operator reads text."""
+    import duckdb
+    from dq_mart.llm.oracles import ORACLES
+    from dq_mart.llm.queries import op5_license_sentences
+    lgpl = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+ *
+ * This library is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+    agpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero " \
+           "General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n" \
+           "(at your option) any later version."
+    only = "This program is free software; you can redistribute it and/or modify it under the terms of the\n" \
+           "GNU General Public License version 2 as published by the Free Software Foundation."
+    want = {
+        1: (lgpl, ["LGPL-2.1-or-later"]), 2: (agpl, ["AGPL-3.0-or-later"]), 3: (only, ["GPL-2.0-only"]),
+        4: ("// SPDX-License-Identifier: GPL-2.0-or-later\nx", ["GPL-2.0-or-later"]),
+        5: ("# SPDX-License-Identifier: (MIT OR Apache-2.0) AND bsd-3-clause", ["MIT", "Apache-2.0", "BSD-3-Clause"]),
+        6: ("/* SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0 */", ["GPL-2.0-or-later"]),
+        7: ("SPDX-License-Identifier: Zlib\nSPDX-License-Identifier: LicenseRef-own", ["Zlib"]),
+        8: ("Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)", ["BSL-1.0"]),
+        9: ("SPDX-License-Identifier:\nMIT", ["MIT"]), 10: ("Our license is MIT OR Apache-2.0", []),
+        11: ("released under the\nmit license\nreleased under the mit license.\n\nlicense", ["MIT"]),
+        12: ("the license, v. 2.0. see GNU GPL v3", []), 13: (None, []), 14: ("SPDX", []), 15: ("licen. .a b", []),
+    }
+    rows = [(i, t) for i, (t, _) in want.items()] + [(100 + i, t) for i, (_, t) in enumerate(EDGE)]
+    docs_of(spark, rows, clash=False).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs_of(spark, rows)).collect()}
+    assert {i: got[i] for i in want} == {i: w for i, (_, w) in want.items()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    result = compare(op5_license_sentences(spark, str(tmp_path)), con, ORACLES["op5_license_sentences"])
+    assert result["values_match"], result
+
+
 def test_licence_scan_has_no_python_and_no_shuffle(spark):
     plan = licenses.scan_licenses(docs_of(spark, EDGE, clash=False).coalesce(1)) \
         ._jdf.queryExecution().executedPlan().toString()
