@@ -20,8 +20,10 @@ of the documents, their rewritten variants, and fixed sentences, also with
 numbers that are no personal data; texts of the sample that may hold more than
 their base spans are left out.
 
-Text far from any digit or at-sign cannot start a segment, so leaving it out
-leaves the best path unchanged.
+Only the text around triggers is cut into tokens: around digits as far as a
+number can reach, from an at-sign as far as its host goes on, and in both
+directions to the next white space.  An entity is bounded by ``MOST_TOKENS``
+tokens and ``LONGEST`` characters, more than an address may have.
 
 Scale: fitting reads at most ``DOCUMENTS`` texts; scanning is one pass over
 whole texts, no shuffle.
@@ -30,6 +32,8 @@ Defined results
 ---------------
 * null or empty text: no spans; null ids and repeated rows: each row is
   scanned on its own;
+* a very long text is scanned whole; of different texts with one id in the
+  sample, that of the least hash is learnt from;
 * overlapping base spans of different kinds all stay; when spans are
   redacted, overlapping ones are replaced together, by the first one's kind;
 * an empty table gives no rows (the model then rests on the fixed sentences);
@@ -40,8 +44,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -60,10 +66,20 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DOCUMENTS = 3000
-MOST_TOKENS = 18
-#: Characters around a trigger that its tokens are taken from.
+#: Stretches of a text, and characters of one, that a model is fitted on at most.
+STRETCHES, SNIPPET = 5, 400
+#: The longest address: 64 characters, the sign and 255 more, were each name
+#: written apart by bracketed words.
+LONGEST = 64 + 255 + 8 * 16
+#: Tokens of an entity at most: an address of that length has no more names.
+MOST_TOKENS = 64
+#: Characters around a trigger that its tokens are taken from; an address goes on
+#: from its sign as far as its host does.
 AROUND = 60
-_TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
+#: A bracketed at or dot is one token.
+_TOKEN = re.compile(r"[\[(]\x20?(?:at|dot)\x20?[\])]|[^\W_]+|[^\w\s]|_", re.I)
+_AT_TOKEN = re.compile(r"@|at|[\[(]\x20?at\x20?[\])]", re.I)
+_HOST = re.compile(r"(?:\x20?[\w-]+(?:\.|\x20?[\[(]\x20?dot\x20?[\])]|\x20dot\x20))*\x20?[\w-]*", re.I)
 #: What a segment cannot do without; each pattern begins with a fixed text or
 #: a set of characters, which searches quickly.
 _TRIGGERS = (re.compile(r"[0-9@]+"), re.compile(r"[\[(]\x20?[Aa][Tt]\x20?[\])]"),
@@ -144,7 +160,7 @@ def span_kinds(s: str) -> list[int]:
     """The kinds whose plain necessary conditions a whole span meets."""
     out = []
     d = _digits(s)
-    if _AT.search(s) and (("." in s) or " dot " in s.lower() or "dot" in s.lower()) and len(s) < 100:
+    if _AT.search(s) and (("." in s) or " dot " in s.lower() or "dot" in s.lower()) and len(s) <= LONGEST:
         out.append(EMAIL)
     if not d:
         return out
@@ -199,14 +215,24 @@ class Lattice:
         self.segments: list[tuple[int, int, int]] = []     # first, behind, kind
         self.features: list[list[str]] = []
         tokens = self.tokens
+        words = [text[s:e] for s, e in tokens]
+        signs = [i for i, w in enumerate(words) if _AT_TOKEN.fullmatch(w)]
         for a, (start, _) in enumerate(tokens):
             head = text[start]
             if not (head.isalnum() or head in "+(") or start and text[start - 1].isalnum():
                 continue
+            n = bisect_left(signs, a)
+            address = n < len(signs) and signs[n] - a < MOST_TOKENS
+            digits, numbers = 0, True
             for b in range(a + 1, min(len(tokens), a + MOST_TOKENS) + 1):
                 end = tokens[b - 1][1]
                 if b > a + 1 and tokens[b - 1][0] - tokens[b - 2][1] > 1:
                     break                                  # wider than one space
+                word = words[b - 1]
+                digits += sum("0" <= c <= "9" for c in word)
+                numbers = numbers and digits <= 19 and not any(c.isalpha() for c in word)
+                if not numbers and not address or end - start > LONGEST:
+                    break                                  # nothing that begins here fits any more
                 if not text[end - 1].isalnum() or end < len(text) and text[end].isalnum():
                     continue
                 for kind in span_kinds(text[start:end]):
@@ -346,6 +372,8 @@ def stretches(text: str, around: int = AROUND) -> list[tuple[int, int]]:
     """Stretches around triggers, cut at white space."""
     out: list[list[int]] = []
     for at, end in sorted(m.span() for p in _TRIGGERS for m in p.finditer(text)):
+        if not text[end - 1].isdigit():                    # a sign: its host goes on
+            end = max(end, _HOST.match(text, end, end + LONGEST).end() - around)
         if out and at - around <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end + around)
         else:
@@ -383,7 +411,7 @@ def training_examples(snippets: list[str]) -> list:
         else:
             text = s[:m.start()] + m[2] + s[m.end():]
             out.append(_example(text, [(KINDS.index(m[1]), m.start(), m.start() + len(m[2]))]))
-    for n, s in enumerate(sorted(set(snippets))):
+    for n, s in enumerate(sorted(set(snippets), key=_by_hash)):
         gold = base_spans(s)
         out.append(_example(s, gold))
         if len(gold) == 1:
@@ -393,11 +421,16 @@ def training_examples(snippets: list[str]) -> list:
     return out
 
 
+def _by_hash(s: str) -> bytes:
+    return hashlib.blake2b(s.encode(), digest_size=8).digest()
+
+
 def _snippets(b: pa.RecordBatch) -> pa.RecordBatch:
     out = []
     for t in b.column(1).to_pylist():
         t = t or ""
-        out.append([t[a:z] for a, z in stretches(t)[:5] if z - a < 400])
+        some = {t[a:z] for a, z in stretches(t) if z - a < SNIPPET}
+        out.append(sorted(some, key=_by_hash)[:STRETCHES])
     return pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.string()))],
                                       names=["id", "snippets"])
 
@@ -405,15 +438,18 @@ def _snippets(b: pa.RecordBatch) -> pa.RecordBatch:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         documents: int = DOCUMENTS, examples: int = 600) -> SemiMarkov:
     """A model from a sample of the documents (those of the least id hashes):
-    at most five stretches of each, ``examples`` altogether."""
+    ``STRETCHES`` stretches of each and ``examples`` altogether at most, those
+    of the least hashes."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     some = src.select("id").where("id is not null").distinct() \
         .orderBy(F.xxhash64("id"), "id").limit(documents)
     # at most ``documents`` numbers: bounded, so they may be broadcast
-    rows = map_texts(src.join(F.broadcast(some), "id").select("id", "text"), _snippets,
-                     "id bigint, snippets array<string>").where(F.size("snippets") > 0)
+    # of different texts with one id that of the least hash
+    texts = src.join(F.broadcast(some), "id").groupBy("id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("id", "row.text")
+    rows = map_texts(texts, _snippets, "id bigint, snippets array<string>").where(F.size("snippets") > 0)
     found = sorted({s for r in rows.orderBy(F.xxhash64("id"), "id").limit(examples).collect()
-                    for s in r["snippets"]})
+                    for s in r["snippets"]}, key=_by_hash)
     return fitted(found[:examples])
 
 
@@ -436,12 +472,15 @@ class Scanner:
     def added(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """(kind, start, end) of the model's spans that touch no base span."""
         out = []
+        taken = sorted((a, z) for _, a, z in base)
+        starts, reach = [a for a, _ in taken], list(accumulate((z for _, z in taken), max))
         for low, high in stretches(text):
             x = Lattice(text, low, high)
             if x.segments:
                 for i in self.model.best(x):
                     kind, s, e = x.span(i)
-                    if not any(s < z and a < e for _, a, z in base):
+                    n = bisect_left(starts, e)             # base spans that begin before it ends
+                    if not n or reach[n - 1] <= s:
                         out.append((kind, s, e))
         return out
 

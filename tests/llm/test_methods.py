@@ -222,6 +222,23 @@ def test_the_model_adds_what_is_written_otherwise(pii_model):
     assert added("x +1 (212) 555-0147 y a@b.co") == []           # base spans already
 
 
+@pytest.mark.parametrize("address", [
+    "jane.doe [at] mail [dot] example [dot] co [dot] uk", "jane.doe (at) mail (dot) example (dot) co (dot) uk",
+    "x" * 40 + "." + "y" * 39 + " [at] example [dot] org", "a [at] " + " [dot] ".join(["name"] * 9 + ["com"])])
+def test_long_addresses_are_found_whole(pii_model, address):
+    text = f"please write to {address} soon, or call"
+    (kind, start, end), = pii_model.added(text, pii.base_spans(text))
+    assert kind == pii.EMAIL and text[start:end] == address
+
+
+def test_spans_of_many_numbers_take_linear_time(pii_model):
+    text = " ".join(f"10.0.{i % 200}.7 and (212) 555-0{i % 900 + 100} or x" for i in range(3000))
+    base = pii.base_spans(text)
+    added = pii_model.added(text, base)
+    assert len(base) >= 3000 and len(added) >= 2500
+    assert not any(s < z and a < e for _, s, e in added[:50] for _, a, z in base)
+
+
 def test_redaction(pii_model):
     t = "a@b.co and 10.0.0.1!"
     assert pii_model.redacted(t, pii.base_spans(t)) == "[EMAIL] and [IP]!"
