@@ -22,6 +22,8 @@ Defined results
   (0 without any);
 * null labels or ids take no part in fitting; an id labelled both ways counts
   as its greatest label; null ids and repeated rows are scored like any row;
+* of different texts with one labelled id, that of the least hash is learnt
+  from, however many rows there are; a very long text is scored whole;
 * an empty table gives no rows; other columns are ignored.
 """
 
@@ -272,7 +274,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = known.orderBy(F.xxhash64("id"), "id").limit(documents)
     # at most ``documents`` pairs of numbers: bounded, so they may be broadcast
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(sample), "id").select("id", "label", "text")
+        .join(F.broadcast(sample), "id").groupBy("id").agg(
+            F.first("label").alias("label"),
+            F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")) \
+        .select("id", "label", "row.text")
     rows = map_texts(texts, _fit_rows, "id bigint, label int, codes binary, size array<bigint>")
     got = sorted({r["id"]: r for r in rows.collect()}.items())
     rows = [r for _, r in got]

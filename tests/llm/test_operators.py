@@ -332,6 +332,21 @@ def test_urls_against_brute_force(spark):
     assert urlfilter.judge(empty, urlfilter.fit(empty), RULES).count() == 0
 
 
+def test_hot_ids_bring_one_row_to_the_driver(spark):
+    """A labelled id with very many rows and several texts."""
+    docs, labels = _read(spark, "documents", SF_SMALL), _read(spark, "labels", SF_SMALL)
+    hot = labels.where(fold_of("doc_id") != 0).orderBy("doc_id").first()["doc_id"]
+    one = docs.where(F.col("doc_id") == hot)
+    many = docs.unionByName(one.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3000)))).withColumn(
+        "text", F.concat(F.lit("other "), (F.col("k") % 3).cast("string"))).drop("k"))
+    train = labels.where(fold_of("doc_id") != 0)
+    # the same model whatever the order of the rows
+    for module in (quality, toxicity):
+        scores = [{(r["doc_id"], r["score"]) for r in module.score(docs, module.fit(rows, train)).collect()}
+                  for rows in (many.repartition(5), many.orderBy(F.desc("text")).coalesce(2))]
+        assert scores[0] == scores[1]
+
+
 # --- licences ---------------------------------------------------------------------
 
 def test_licence_sequences_and_rules(spark):
