@@ -284,6 +284,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                     yield rows.batch()
         finally:
             encode.forget()
+            _ENCODERS.clear()            # a worker outlives its task
         for held in _laid_end_to_end(due + packer.rest(), window):
             rows.sequence_of(held)
         yield rows.batch()

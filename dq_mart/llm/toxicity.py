@@ -303,9 +303,10 @@ class BlockMaxIndex:
             a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
         self.slope, self.level = (a, b) if a > 0 else (1.0, 0.0)
 
-    def scores(self, texts: list[str], memory: dict) -> list[tuple[float, list[tuple[int, float]]]]:
-        """The calibrated score and the neighbours (id, cosine) of each text;
-        ``memory`` holds those of texts with the same terms."""
+    def scores(self, texts: list[str], memory: dict,
+               evidence: bool = True) -> list[tuple[float, list[tuple[int, float]]]]:
+        """The calibrated score and, as ``evidence``, the neighbours (id, cosine)
+        of each text; ``memory`` holds those of texts with the same terms."""
         out = []
         for terms, tf in self.vectors(texts):
             key = blake2b(terms.tobytes() + tf.tobytes(), digest_size=16).digest()
@@ -315,7 +316,7 @@ class BlockMaxIndex:
                 v = self.vote(near)
                 if 0 < v < 1:
                     v = 1 / (1 + np.exp(-(self.slope * np.log(v / (1 - v)) + self.level)))
-                got = float(v), [(int(self.ids[at]), c) for c, at in near]
+                got = float(v), [(int(self.ids[at]), c) for c, at in near] if evidence else []
                 if len(memory) < _MEMORY:
                     memory[key] = got
             out.append(got)
@@ -469,7 +470,7 @@ def score_of(spark: SparkSession, index: BlockMaxIndex):
     def toxicity_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memory: dict = {}                # of this task
         for texts in batches:
-            got = [held.value.scores([t or "" for t in part], memory) for part in slices(texts.tolist())]
+            got = [held.value.scores([t or "" for t in part], memory, evidence=False) for part in slices(texts.tolist())]
             yield pd.Series([s for part in got for s, _ in part], dtype="float64")
     return toxicity_score
 
