@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
-from ..sources.sinks import _fs, delete_path, path_exists
+from ..sources.sinks import delete_path, path_exists
 
 MONTH = "month"
 #: The month of a row without a date.
